@@ -1,0 +1,33 @@
+"""Lists of unknown length as table cells.
+
+Catalog files hold lists in one cell. A list can be longer than a task can
+hold, so a long one is spread over several rows (``list_part`` 0, 1, ...); all
+of them together are the whole list, and an ordinary list stays in one row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PART_SIZE = 10_000
+
+
+def with_list_part(df: DataFrame, key: str, *element: str, part_size: int = PART_SIZE) -> DataFrame:
+    """Add ``list_part``: 0, or for keys with over ``part_size`` rows a part by hash of the element.
+
+    At most one key in ``part_size`` rows is that large, so the joined side is
+    small, and most often empty, in which case Spark drops the join at run time.
+    """
+    large = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > part_size)
+        .select(key, F.ceil(F.col("_rows") / part_size).alias("_parts"))
+    )
+    part = F.pmod(F.xxhash64(*element), F.col("_parts"))
+    return (
+        df.join(large, key, "left")
+        .withColumn("list_part", F.coalesce(part, F.lit(0)).cast("int"))
+        .drop("_parts")
+    )
