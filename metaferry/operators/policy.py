@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.functions.text import first_in_list, has_text, or_blank, slug, sort_number, strip
+from metaferry.functions.text import first_in_list, has_text, or_blank, slug, sort_number, split_list, strip
 from metaferry.operators.lists import with_list_part
 from metaferry.operators.ranking import batches
 
@@ -327,5 +327,5 @@ def sql_policy_counts(policies: DataFrame) -> DataFrame:
 
 def data_source_names(policy_rows: DataFrame) -> DataFrame:
     """Distinct data source names in the policy list."""
-    names = F.explode(F.split("assemblyNames", ","))
-    return policy_rows.select(strip(names).alias("name")).filter(F.col("name") != "").distinct()
+    names = F.explode(split_list(F.col("assemblyNames"), ","))
+    return policy_rows.select(names.alias("name")).distinct()

@@ -157,7 +157,7 @@ SNAPSHOTS = {
 
 
 def _needs(text: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"\$(\w+)", text)))
+    return list(dict.fromkeys(re.findall(r"\$([a-z]\w*)", text)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -171,7 +171,7 @@ def snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = SNAPSHOTS[name]
     inputs = {need: snapshot(spark, sf_dir, need) for need in _needs(text)}
     escaped = text.replace("{", "{{").replace("}", "}}")
-    return spark.sql(re.sub(r"\$(\w+)", r"{\1}", escaped), **inputs)
+    return spark.sql(re.sub(r"\$([a-z]\w*)", r"{\1}", escaped), **inputs)
 
 
 def plain_sql(text: str) -> str:
@@ -186,10 +186,10 @@ def plain_sql(text: str) -> str:
 
     for name in _needs(text):
         visit(name)
-    body = re.sub(r"\$(\w+)", r"\1", text).strip()
+    body = re.sub(r"\$([a-z]\w*)", r"\1", text).strip()
     if not ordered:
         return body
-    views = ",\n".join(f"{name} AS ({re.sub(r'[$](\w+)', r'\1', sql)})" for name, sql in ordered.items())
+    views = ",\n".join(f"{name} AS ({re.sub(r'[$]([a-z]\w*)', r'\1', sql)})" for name, sql in ordered.items())
     if body[:5].upper() == "WITH ":
         return f"WITH {views},\n{body[5:]}"
     return f"WITH {views}\n{body}"
