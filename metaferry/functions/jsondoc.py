@@ -8,6 +8,8 @@ document comes back byte for byte except for the values that changed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:\s*)?|[^"]++'
 _KEY_END = r'"\s*:\s*$'
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def tokens(document: Column) -> Column:
     return F.regexp_extract_all(document, F.lit(_TOKEN), F.lit(0))
 
@@ -65,20 +72,29 @@ def rewrite_strings(document: Column, renames: Renames | None, compact: bool = F
         text = F.array_join(F.transform(tokens(document), _compact), "")
         return F.struct(text.alias("text"), F.lit(0).alias("changes"))
 
+    def kept(token: Column) -> Column:
+        return _compact(token) if compact else token
+
     def edit(token: Column) -> Column:
-        old = _decode(token)
-        new = rename_words(old, pairs)
-        changed = _is_string(token) & (old != new)
-        kept = _compact(token) if compact else token
-        return F.struct(
-            F.when(changed, _encode(new)).otherwise(kept).alias("text"),
-            F.when(changed, 1).otherwise(0).alias("changed"),
+        return bind(
+            _decode(token),
+            lambda old: bind(
+                rename_words(old, pairs),
+                lambda new: F.struct(
+                    F.when(old == new, kept(token)).otherwise(_encode(new)).alias("text"), (old != new).alias("changed")
+                ),
+            ),
         )
 
-    edited = F.transform(tokens(document), edit)
-    joined = F.array_join(F.transform(edited, lambda t: t["text"]), "")
-    changes = F.size(F.filter(edited, lambda t: t["changed"] == 1))
-    rewritten = F.struct(joined.alias("text"), changes.alias("changes"))
+    def keep(token: Column) -> Column:
+        return F.struct(kept(token).alias("text"), F.lit(False).alias("changed"))
+
+    def assemble(edited: Column) -> Column:
+        joined = F.array_join(F.transform(edited, lambda t: t["text"]), "")
+        return F.struct(joined.alias("text"), F.size(F.filter(edited, lambda t: t["changed"])).alias("changes"))
+
+    edited = F.transform(tokens(document), lambda t: F.when(_is_string(t), edit(t)).otherwise(keep(t)))
+    rewritten = bind(edited, assemble)
     if compact:
         return rewritten
     # A word can hide behind escapes, so escaped documents are always looked at.
@@ -89,16 +105,20 @@ def rewrite_strings(document: Column, renames: Renames | None, compact: bool = F
 def find_uids(document: Column) -> Column:
     """Distinct non-blank string values, at any depth, under a key that holds
     ``uid`` in any case or equals ``backingAssetId``."""
-    all_tokens = tokens(document)
 
-    def candidate(token: Column, position: Column) -> Column:
+    def value_of(all_tokens: Column, position: Column) -> Column:
         following = F.get(all_tokens, position + 1)
-        name = _decode(F.regexp_replace(token, _KEY_END, '"'))
-        wanted = F.lower(name).contains("uid") | (name == "backingAssetId")
-        return F.when(_is_key(token) & _is_string(following) & wanted, strip(_decode(following)))
+        name = _decode(F.regexp_replace(F.get(all_tokens, position), _KEY_END, '"'))
+        wanted = bind(name, lambda n: F.lower(n).contains("uid") | (n == "backingAssetId"))
+        return F.when(_is_string(following) & wanted, strip(_decode(following)))
+
+    def scan(all_tokens: Column) -> Column:
+        return F.transform(all_tokens, lambda token, at: F.when(_is_key(token), value_of(all_tokens, at)))
 
-    found = F.transform(all_tokens, candidate)
-    return F.array_distinct(F.filter(found, lambda v: v.isNotNull() & (v != "")))
+    found = F.filter(bind(tokens(document), scan), lambda v: v.isNotNull() & (v != ""))
+    # A key can hide behind escapes, so escaped documents are always looked at.
+    possible = F.lower(document).contains("uid") | document.contains("backingAssetId") | document.contains("\\")
+    return F.when(possible, F.array_distinct(found))
 
 
 def as_object(document: Column) -> Column:

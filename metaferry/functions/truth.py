@@ -1,7 +1,8 @@
 """Truth and equality of JSON values as the catalog tools see them.
 
-Absent, null, false, zero and empty values all count as "not set"; two values
-are equal when they are the same JSON value, and numbers compare by value.
+Values are canonical JSON texts, see ``jsondoc.json_text``. Absent, null, false,
+zero and empty values all count as "not set"; two values are equal when they
+are the same JSON value, and numbers compare by value.
 """
 
 from __future__ import annotations
@@ -9,36 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import json_text
-
 # JSON texts of values that count as not set.
 _UNSET = ["false", "0", "0.0", "-0", "-0.0", '""', "[]", "{}"]
 
 
-def is_set(value: Column) -> Column:
-    """True for a variant that holds a set value; never null."""
-    text = json_text(value)
+def is_set(text: Column) -> Column:
+    """True for a set value; never null."""
     return F.coalesce(~text.isin(_UNSET), F.lit(False))
 
 
 def same_value(left: Column, right: Column) -> Column:
-    """Null-safe equality of two variants; 1, 1.0 and true are the same value."""
-    a, b = json_text(left), json_text(right)
-    numbers = _number(a).isNotNull() & (_number(a) == _number(b))
-    return a.eqNullSafe(b) | F.coalesce(numbers, F.lit(False))
+    """Null-safe equality; 1, 1.0 and true are the same value."""
+    return left.eqNullSafe(right) | F.coalesce(_number(left) == _number(right), F.lit(False))
 
 
 def _number(text: Column) -> Column:
     return F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(text.try_cast("double"))
 
 
-def shown(value: Column) -> Column:
-    """Display form of a variant in reports."""
-    text = json_text(value)
+def plain(text: Column) -> Column:
+    """Content of a JSON text: strings without quotes and escapes, null for JSON null."""
+    unquoted = F.get(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"), F.lit(0))
+    return F.when(text.startswith('"'), unquoted).otherwise(text)
+
+
+def shown(text: Column) -> Column:
+    """Display form of a value in reports."""
     return (
         F.when(text.isNull(), F.lit("None"))
         .when(text == "true", F.lit("True"))
         .when(text == "false", F.lit("False"))
-        .when(text.startswith('"'), value.try_cast("string"))
-        .otherwise(text)
+        .otherwise(plain(text))
     )

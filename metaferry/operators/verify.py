@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.jsondoc import json_text
-from metaferry.functions.truth import is_set, same_value, shown
+from metaferry.functions.truth import is_set, plain, same_value, shown
 
 # Compared configuration fields with their short and long report labels.
 COMPARED = (
@@ -54,16 +54,20 @@ STATUS_LABELS = {
 }
 
 
-def _settings_schema() -> str:
-    names = dict.fromkeys(
-        [n for n, _, _ in COMPARED] + [n for _, n in CONFIG_FLAGS] + [n for _, n in CONFIG_VALUES]
-    )
-    return "struct<assetConfiguration: struct<" + ", ".join(f"{n}: variant" for n in names) + ">>"
+_FIELDS = tuple(
+    dict.fromkeys([n for n, _, _ in COMPARED] + [n for _, n in CONFIG_FLAGS] + [n for _, n in CONFIG_VALUES])
+)
 
 
 def settings(document: Column) -> Column:
     """The known fields of a configuration document as variants; the rest is never parsed."""
-    return F.from_json(document, _settings_schema())["assetConfiguration"]
+    fields = ", ".join(f"{name}: variant" for name in _FIELDS)
+    return F.from_json(document, f"struct<assetConfiguration: struct<{fields}>>")["assetConfiguration"]
+
+
+def setting_texts(fields: Column) -> Column:
+    """Variants of ``settings`` as canonical JSON texts, which all comparisons work on."""
+    return F.struct(*[json_text(fields[name]).alias(name) for name in _FIELDS])
 
 
 def config_flags(fields: Column) -> list[Column]:
@@ -71,7 +75,7 @@ def config_flags(fields: Column) -> list[Column]:
 
 
 def config_values(fields: Column) -> list[Column]:
-    return [fields[field].try_cast("string").alias(name) for name, field in CONFIG_VALUES]
+    return [plain(fields[field]).alias(name) for name, field in CONFIG_VALUES]
 
 
 def config_status(document: Column) -> Column:
@@ -108,16 +112,20 @@ def verify_configs(expected: DataFrame, target_ids: DataFrame, actual: DataFrame
     ``actual(asset_id, actual_json)``; the last two have one row per key.
     """
     joined = expected.join(target_ids, "target_uid", "left").join(actual, "asset_id", "left")
-    want, have = settings(F.col("config_json")), settings(F.col("actual_json"))
-    checked = joined.select(
-        "target_uid",
-        "asset_id",
-        F.col("actual_json").isNotNull().alias("_found"),
-        F.try_parse_json("config_json").isNull().alias("_broken"),
-        config_status(F.col("config_json")).alias("_status"),
-        want.alias("_want"),
-        have.alias("_have"),
-    ).withColumn("_diff", mismatches(F.col("_want"), F.col("_have")))
+    checked = (
+        joined.select(
+            "target_uid",
+            "asset_id",
+            F.col("actual_json").isNotNull().alias("_found"),
+            F.try_parse_json("config_json").isNull().alias("_broken"),
+            config_status(F.col("config_json")).alias("_status"),
+            settings(F.col("config_json")).alias("_want"),
+            settings(F.col("actual_json")).alias("_have"),
+        )
+        .withColumn("_want", setting_texts(F.col("_want")))
+        .withColumn("_have", setting_texts(F.col("_have")))
+        .withColumn("_diff", mismatches(F.col("_want"), F.col("_have")))
+    )
     compared = F.col("_found") & ~F.col("_broken")
     status = (
         F.when(F.col("asset_id").isNull(), "asset_not_found")
@@ -212,8 +220,8 @@ def verify_profiles(imported: DataFrame, target_ids: DataFrame, profiles: DataFr
         status.alias("status"),
         error.alias("error"),
         (passed & F.coalesce(F.size(ids) > 0, F.lit(False))).alias("has_notifications"),
-        (passed & is_set(parsed["schedule"])).alias("has_schedule"),
-        (passed & is_set(parsed["enabled"])).alias("is_enabled"),
+        (passed & is_set(json_text(parsed["schedule"]))).alias("has_schedule"),
+        (passed & is_set(json_text(parsed["enabled"]))).alias("is_enabled"),
         F.when(passed, F.coalesce(ids, F.array().cast("array<string>"))).alias("notification_ids"),
     )
 

@@ -47,26 +47,41 @@ def is_policy_member(member: Column) -> Column:
     return member.startswith("data_quality_policy") & member.endswith(".json")
 
 
+# Members are handed on in groups of about this many bytes.
+_CHUNK_BYTES = 8 << 20
+
+
+def _archive_rows(bundle: str, content: bytes) -> Iterator[tuple]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            members = [m for m in archive.namelist() if not m.endswith("/")]
+            if not members:
+                yield bundle, None, None, "empty archive"
+            for member in members:
+                yield bundle, member, archive.read(member), None
+    except zipfile.BadZipFile as problem:
+        yield bundle, None, None, f"bad archive: {problem}"
+
+
 def _open_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["bundle", "member", "content", "error"]
+    rows, held = [], 0
     for batch in batches:
         for bundle, content in zip(batch["bundle"], batch["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [m for m in archive.namelist() if not m.endswith("/")]
-                    if not members:
-                        yield pd.DataFrame([(bundle, None, None, "empty archive")], columns=names)
-                    for member in members:
-                        yield pd.DataFrame([(bundle, member, archive.read(member), None)], columns=names)
-            except zipfile.BadZipFile as problem:
-                yield pd.DataFrame([(bundle, None, None, f"bad archive: {problem}")], columns=names)
+            for row in _archive_rows(bundle, content):
+                rows.append(row)
+                held += 100 + len(row[2] or b"")
+                if held > _CHUNK_BYTES:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
+    yield pd.DataFrame(rows, columns=names)
 
 
 def open_bundles(archives: DataFrame) -> DataFrame:
     """Members of ``archives(bundle, content)``; a broken or empty archive gives one error row.
 
-    Unpacking is the one step Spark has no expression for. Members leave it one
-    at a time, so a task holds one archive and one member.
+    Unpacking is the one step Spark has no expression for. Members leave it in
+    small groups, so a task never holds more than an archive and such a group.
     """
     members = archives.select("bundle", "content").mapInPandas(_open_archives, _MEMBERS)
     is_json = F.lower("member").endswith(".json")
