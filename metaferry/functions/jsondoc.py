@@ -18,7 +18,7 @@ from metaferry.functions.text import strip
 
 # The possessive quantifiers keep the match linear and off the call stack on long strings.
 _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:\s*)?|[^"]++'
-_KEY_END = r'"\s*:\s*$'
+_AFTER_KEY = ": \t\r\n"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -35,7 +35,11 @@ def _is_string(token: Column) -> Column:
 
 
 def _is_key(token: Column) -> Column:
-    return token.startswith('"') & token.rlike(_KEY_END)
+    return token.startswith('"') & ~token.endswith('"')
+
+
+def _quoted_key(token: Column) -> Column:
+    return F.rtrim(token, F.lit(_AFTER_KEY))
 
 
 def _decode(token: Column) -> Column:
@@ -52,9 +56,10 @@ def _encode(text: Column) -> Column:
 
 def _compact(token: Column) -> Column:
     """Drop white space between tokens; string values are left as they are."""
-    key = F.regexp_replace(token, _KEY_END, '":')
-    return F.when(_is_string(token), token).when(token.startswith('"'), key).otherwise(
-        F.regexp_replace(token, r"\s+", "")
+    return (
+        F.when(~token.startswith('"'), F.translate(token, " \t\r\n", ""))
+        .when(token.endswith('"'), token)
+        .otherwise(F.concat(_quoted_key(token), F.lit(":")))
     )
 
 
@@ -66,40 +71,32 @@ def rewrite_strings(document: Column, renames: Renames | None, compact: bool = F
     """
     pairs = as_pairs(renames)
     untouched = F.struct(document.alias("text"), F.lit(0).alias("changes"))
-    if not pairs:
-        if not compact:
-            return untouched
-        text = F.array_join(F.transform(tokens(document), _compact), "")
-        return F.struct(text.alias("text"), F.lit(0).alias("changes"))
-
-    def kept(token: Column) -> Column:
-        return _compact(token) if compact else token
+    if not pairs and not compact:
+        return untouched
 
     def edit(token: Column) -> Column:
         return bind(
             _decode(token),
-            lambda old: bind(
-                rename_words(old, pairs),
-                lambda new: F.struct(
-                    F.when(old == new, kept(token)).otherwise(_encode(new)).alias("text"), (old != new).alias("changed")
-                ),
-            ),
+            lambda old: bind(rename_words(old, pairs), lambda new: F.when(old == new, token).otherwise(_encode(new))),
         )
 
-    def keep(token: Column) -> Column:
-        return F.struct(kept(token).alias("text"), F.lit(False).alias("changed"))
+    # A word can hide behind escapes, so escaped values are always looked at.
+    def affected(text: Column) -> Column:
+        return mentions_any(text, pairs) | text.contains("\\")
+
+    def edited(all_tokens: Column) -> Column:
+        return F.transform(all_tokens, lambda t: F.when(_is_string(t) & affected(t), edit(t)).otherwise(t))
 
-    def assemble(edited: Column) -> Column:
-        joined = F.array_join(F.transform(edited, lambda t: t["text"]), "")
-        return F.struct(joined.alias("text"), F.size(F.filter(edited, lambda t: t["changed"])).alias("changes"))
+    def result(before: Column, after: Column) -> Column:
+        differs = F.zip_with(before, after, lambda a, b: a != b)
+        changes = F.size(F.filter(differs, lambda d: d))
+        return F.struct(F.array_join(after, "").alias("text"), changes.alias("changes"))
 
-    edited = F.transform(tokens(document), lambda t: F.when(_is_string(t), edit(t)).otherwise(keep(t)))
-    rewritten = bind(edited, assemble)
-    if compact:
-        return rewritten
-    # A word can hide behind escapes, so escaped documents are always looked at.
-    affected = mentions_any(document, pairs) | document.contains("\\")
-    return F.when(affected, rewritten).otherwise(untouched)
+    cut = F.transform(tokens(document), _compact) if compact else tokens(document)
+    if not pairs:
+        return F.struct(F.array_join(cut, "").alias("text"), F.lit(0).alias("changes"))
+    rewritten = bind(cut, lambda before: bind(edited(before), lambda after: result(before, after)))
+    return rewritten if compact else F.when(affected(document), rewritten).otherwise(untouched)
 
 
 def find_uids(document: Column) -> Column:
@@ -108,7 +105,7 @@ def find_uids(document: Column) -> Column:
 
     def value_of(all_tokens: Column, position: Column) -> Column:
         following = F.get(all_tokens, position + 1)
-        name = _decode(F.regexp_replace(F.get(all_tokens, position), _KEY_END, '"'))
+        name = _decode(_quoted_key(F.get(all_tokens, position)))
         wanted = bind(name, lambda n: F.lower(n).contains("uid") | (n == "backingAssetId"))
         return F.when(_is_string(following) & wanted, strip(_decode(following)))
 

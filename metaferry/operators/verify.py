@@ -271,14 +271,16 @@ def failure_counts(results: DataFrame) -> DataFrame:
 
 def mismatch_counts(results: DataFrame) -> DataFrame:
     """Mismatches per detail text."""
-    return results.select(F.explode("mismatch_details").alias("reason")).groupBy("reason").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return _details(results).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mismatch_fields(results: DataFrame) -> DataFrame:
     """Mismatches per field, the part of the detail text before its colon."""
     name = F.split_part(F.col("reason"), F.lit(":"), F.lit(1))
-    return results.select(F.explode("mismatch_details").alias("reason")).groupBy(name.alias("field")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return _details(results).groupBy(name.alias("field")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _details(results: DataFrame) -> DataFrame:
+    # The outer form keeps Spark from testing the list, and so comparing all fields, a second time below the joins.
+    rows = results.select(F.explode_outer("mismatch_details").alias("reason"))
+    return rows.filter(F.col("reason").isNotNull())
