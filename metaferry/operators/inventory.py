@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.rename import Renames, rename_words, renames_used
-from metaferry.functions.text import has_text, sort_number, split_list, strip
+from metaferry.functions.text import has_text, or_blank, sort_number, split_list, strip
 from metaferry.operators.ranking import first_per_key, last_per_key
 
 # Asset types that take part in a migration without carrying a tag.
@@ -84,17 +84,16 @@ def match_assets(source: DataFrame, target: DataFrame, renames: Renames | None,
     Source rows all stay; where the target inventory lists a uid twice its last
     row counts. Rows without a match have a null ``target_id``.
     """
+    # Blank uids instead of nulls keep Spark from renaming once more for a null test of the join key.
     known = last_per_key(
-        target.select(
-            F.col("source_uid").alias("_uid"), F.col("source_id").cast("string").alias("target_id"), F.col(ordinal)
-        ),
+        target.select(or_blank(F.col("source_uid")).alias("_uid"), F.col("source_id").alias("target_id"), ordinal),
         ["_uid"],
         ordinal,
-    ).drop(ordinal)
+    ).select("_uid", F.col("target_id").cast("string").alias("target_id"))
     wanted = source.select(
         F.col("source_id").cast("string").alias("source_id"),
         "source_uid",
-        rename_words(F.col("target_uid"), renames).alias("_uid"),
+        rename_words(or_blank(F.col("target_uid")), renames).alias("_uid"),
         "tags",
         F.col("asset_type").alias("source_asset_type"),
     )

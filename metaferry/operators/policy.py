@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.text import first_in_list, has_text, or_blank, slug, sort_number, split_list, strip
-from metaferry.operators.lists import with_list_part
+from metaferry.operators.lists import PART_SIZE, large_keys, with_list_part
 from metaferry.operators.ranking import batches
 
 # Policies per export batch by policy type, 50 where not listed.
@@ -147,31 +147,45 @@ def backing_details(backing: DataFrame, assets: DataFrame, assemblies: DataFrame
     )
 
 
-def policy_list(policies: DataFrame, backing: DataFrame, assets: DataFrame, assemblies: DataFrame) -> DataFrame:
+_SOURCE_SETS = (("assembly_ids", "assembly_id"), ("assembly_names", "assembly_name"), ("source_types", "source_type"))
+
+
+def _source_sets(prefix: str) -> list[Column]:
+    """Sorted distinct data source values of a group."""
+    return [
+        F.array_sort(F.collect_set(F.col(column).cast("string"))).alias(prefix + name) for name, column in _SOURCE_SETS
+    ]
+
+
+def policy_list(
+    policies: DataFrame, backing: DataFrame, assets: DataFrame, assemblies: DataFrame, part_size: int = PART_SIZE
+) -> DataFrame:
     """The policy list: one row per policy with its asset and data source lists as text.
 
-    Lists of distinct data sources are combined before the shuffle and stay
-    small. The lists that keep every asset, in document order, are spread over
-    several rows (``list_part``) where a policy has very many.
+    The lists that keep every asset, in document order, are spread over several
+    rows (``list_part``) where a policy has very many. The lists of distinct
+    data sources always describe the whole policy: for such a policy they are
+    combined separately, which touches nothing when there is none.
     """
-    details = backing_details(with_list_part(backing, "policy_id", "position", "table_asset_id"), assets, assemblies)
-    sources = details.groupBy(F.col("policy_id").alias("id")).agg(
-        F.array_sort(F.collect_set(F.col("assembly_id").cast("string"))).alias("assembly_ids"),
-        F.array_sort(F.collect_set("assembly_name")).alias("assembly_names"),
-        F.array_sort(F.collect_set("source_type")).alias("source_types"),
-    )
+    usable = usable_backing(backing)
+    parts = with_list_part(usable, "policy_id", "position", "table_asset_id", part_size=part_size)
     ordered = F.array_sort(F.collect_list(F.struct("position", "table_asset_id", "asset_type")))
     listed = (
-        details.groupBy(F.col("policy_id").alias("id"), "list_part")
-        .agg(ordered.alias("_assets"))
-        .select(
-            "id",
-            "list_part",
-            F.transform("_assets", lambda e: e["table_asset_id"].cast("string")).alias("ids"),
-            F.transform("_assets", lambda e: or_blank(e["asset_type"])).alias("types"),
-        )
+        backing_details(parts, assets, assemblies)
+        .groupBy(F.col("policy_id").alias("id"), "list_part")
+        .agg(ordered.alias("_assets"), *_source_sets("part_"))
+        .withColumn("ids", F.transform("_assets", lambda e: e["table_asset_id"].cast("string")))
+        .withColumn("types", F.transform("_assets", lambda e: or_blank(e["asset_type"])))
+    )
+    split = usable.join(large_keys(usable, "policy_id", part_size), "policy_id", "left_semi")
+    whole = (
+        backing_details(split, assets, assemblies)
+        .groupBy(F.col("policy_id").alias("id"))
+        .agg(*_source_sets("all_"))
     )
-    joined = policies.join(sources, "id", "left").join(listed, "id", "left")
+    joined = policies.join(listed, "id", "left").join(whole, "id", "left")
+    for name, _ in _SOURCE_SETS:
+        joined = joined.withColumn(name, F.coalesce(f"all_{name}", f"part_{name}"))
 
     def text(name: str) -> Column:
         return or_blank(F.array_join(name, ","))

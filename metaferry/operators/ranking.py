@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 _SLICE_BITS = 20
 _BLOCK_BITS = 40
 
+_FIXED_WIDTH = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp"}
+
 
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """Number the rows of a freshly scanned file in file order (unique, with gaps)."""
@@ -35,6 +37,11 @@ def last_per_key(df: DataFrame, keys: Sequence[str], ordinal: str | Column) -> D
 
 def _pick(df: DataFrame, keys: Sequence[str], chooser, ordinal: str | Column) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
+    kinds = dict(df.dtypes)
+    if all(kinds[c] in _FIXED_WIDTH for c in others):
+        # Each column on its own: the ordinal is unique, so all come from one row,
+        # and buffers of fixed width let Spark hash instead of sort.
+        return df.groupBy(*keys).agg(*[chooser(c, ordinal).alias(c) for c in others]).select(*df.columns)
     picked = df.groupBy(*keys).agg(chooser(F.struct(*others), ordinal).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 

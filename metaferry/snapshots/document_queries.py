@@ -126,8 +126,8 @@ def _(i: Inputs):
     FROM d WHERE text IS NOT NULL""",
 )
 def _(i: Inputs):
-    done = documents.rewrite_documents(_policy_documents(i), [("PROD_DB", "DEV_DB")], compact=True)
-    return done.filter(F.col("text").isNotNull()).select("o_orderkey", "text")
+    texts = _policy_documents(i).filter(F.col("text").isNotNull())
+    return documents.rewrite_documents(texts, [("PROD_DB", "DEV_DB")], compact=True).select("o_orderkey", "text")
 
 
 @query(

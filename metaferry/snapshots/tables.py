@@ -31,12 +31,12 @@ SNAPSHOTS = {
     "target_inventory": """
         SELECT concat('DEV_DB.', CASE n_name WHEN 'NATION_1' THEN 'COUNTRY_1' ELSE n_name END, '.', c_name)
                    AS source_uid,
-               c_custkey + copy * 1000000000 AS source_id,
-               CASE WHEN copy = 1 THEN 'TABLE' ELSE 'VIEW' END AS asset_type,
-               c_custkey + copy * 1000000000 AS ordinal
-        FROM $customer JOIN $nation ON c_nationkey = n_nationkey
-             CROSS JOIN (SELECT CAST(1 AS BIGINT) AS copy UNION ALL SELECT CAST(2 AS BIGINT)) AS copies
-        WHERE c_custkey % 10 <> 0 AND (copy = 1 OR c_custkey % 50 = 1)""",
+               c_custkey + 1000000000 AS source_id, 'TABLE' AS asset_type, c_custkey + 1000000000 AS ordinal
+        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0
+        UNION ALL
+        SELECT concat('DEV_DB.', CASE n_name WHEN 'NATION_1' THEN 'COUNTRY_1' ELSE n_name END, '.', c_name),
+               c_custkey + 2000000000, 'VIEW', c_custkey + 2000000000
+        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_custkey % 50 = 1""",
     "assemblies": """
         SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, r_name AS source_type
         FROM $nation JOIN $region ON n_regionkey = r_regionkey""",
@@ -75,12 +75,14 @@ SNAPSHOTS = {
     "source_groups": """
         SELECT s_suppkey AS id, s_name AS name, s_nationkey % 3 AS kind, s_suppkey AS ordinal FROM $supplier""",
     "target_groups": """
-        SELECT s_suppkey + 5000 + copy * 100000 AS id,
+        SELECT s_suppkey + 5000 AS id,
                CASE WHEN s_suppkey % 4 = 0 THEN concat('  ', upper(s_name), ' ')
                    WHEN s_suppkey % 13 = 0 THEN ' ' ELSE s_name END AS name,
-               s_suppkey + copy * 100000 AS ordinal
-        FROM $supplier CROSS JOIN (SELECT CAST(0 AS BIGINT) AS copy UNION ALL SELECT CAST(1 AS BIGINT)) AS copies
-        WHERE s_suppkey % 9 <> 0 AND (copy = 0 OR s_suppkey % 10 = 2)""",
+               s_suppkey AS ordinal
+        FROM $supplier WHERE s_suppkey % 9 <> 0
+        UNION ALL
+        SELECT s_suppkey + 1000005000, s_name, s_suppkey + 1000000000
+        FROM $supplier WHERE s_suppkey % 9 <> 0 AND s_suppkey % 10 = 2""",
     # Configurations and profiles, as JSON text.
     "expected_configs": """
         SELECT concat('DEV_DB.', n_name, '.', c_name) AS target_uid, c_custkey,
