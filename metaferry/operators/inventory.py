@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from metaferry.functions.rename import Renames, rename_words, renames_used
 from metaferry.functions.text import has_text, or_blank, sort_number, split_list, strip
+from metaferry.operators.joins import absent, hot_join
 from metaferry.operators.ranking import first_per_key, last_per_key
 
 # Asset types that take part in a migration without carrying a tag.
@@ -97,7 +98,7 @@ def match_assets(source: DataFrame, target: DataFrame, renames: Renames | None,
         "tags",
         F.col("asset_type").alias("source_asset_type"),
     )
-    return wanted.join(known, "_uid", "left").select(
+    return hot_join(wanted, known, "_uid", "left").select(
         "source_id",
         "source_uid",
         "target_id",
@@ -115,7 +116,7 @@ def merge_assets(source: DataFrame, target: DataFrame, renames: Renames | None,
 def unmatched_views(source: DataFrame, mapping: DataFrame) -> DataFrame:
     """Source SQL views that did not make it into the mapping."""
     views = source.filter(F.col("asset_type") == "SQL_VIEW")
-    return views.join(mapping.select("source_uid"), "source_uid", "left_anti").select(*source.columns)
+    return absent(views, mapping, "source_uid")
 
 
 def mapping_coverage(source: DataFrame, target: DataFrame, renames: Renames | None) -> DataFrame:

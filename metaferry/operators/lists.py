@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metaferry.operators.joins import hot_join
+
 PART_SIZE = 10_000
 
 
@@ -27,7 +29,7 @@ def with_list_part(df: DataFrame, key: str, *element: str, part_size: int = PART
     """Add ``list_part``: 0, or for large keys a part by hash of the element."""
     part = F.pmod(F.xxhash64(*element), F.col("_parts"))
     return (
-        df.join(large_keys(df, key, part_size), key, "left")
+        hot_join(df, large_keys(df, key, part_size), key, "left")
         .withColumn("list_part", F.coalesce(part, F.lit(0)).cast("int"))
         .drop("_parts")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.text import has_text, normalised_name, or_blank, whole_number
+from metaferry.operators.joins import absent, hot_join, present
 from metaferry.operators.ranking import last_per_key
 
 
@@ -48,7 +49,7 @@ def channel_types(channels: Column) -> Column:
 
 def used_groups(groups: DataFrame, use: DataFrame) -> DataFrame:
     """Groups that at least one rule refers to."""
-    return groups.join(use.select(F.col("group_id").alias("id")), "id", "left_semi")
+    return present(groups, use.select(F.col("group_id").alias("id")), "id")
 
 
 def group_rows(groups: DataFrame) -> DataFrame:
@@ -64,14 +65,14 @@ def missing_groups(use: DataFrame, groups: DataFrame) -> DataFrame:
 
     One row per use rather than one list per group: a group may be used by very many rules.
     """
-    lost = use.join(groups.select(F.col("id").alias("group_id")), "group_id", "left_anti")
+    lost = absent(use, groups.select(F.col("id").alias("group_id")), "group_id")
     counted = lost.groupBy("group_id").agg(F.count(F.lit(1)).alias("referenced_by"))
-    return lost.join(counted, "group_id").select("group_id", "referenced_by", "rule_id", "rule_name")
+    return hot_join(lost, counted, "group_id").select("group_id", "referenced_by", "rule_id", "rule_name")
 
 
 def missing_group_ids(use: DataFrame, groups: DataFrame) -> DataFrame:
     """Distinct ids that rules use and no group has."""
-    return use.select("group_id").distinct().join(groups.select(F.col("id").alias("group_id")), "group_id", "left_anti")
+    return absent(use.select("group_id").distinct(), groups.select(F.col("id").alias("group_id")), "group_id")
 
 
 def group_usage_counts(use: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def compare_groups(source: DataFrame, target: DataFrame) -> DataFrame:
     names = target.select(normalised_name(F.col("name")).alias("_key")).distinct().withColumn("_present", F.lit(True))
     present = F.coalesce("_present", F.lit(False))
     keyed = group_rows(source).withColumn("_key", normalised_name(F.col("notification_name")))
-    return keyed.join(names, "_key", "left").select(
+    return hot_join(keyed, names, "_key", "left").select(
         "notification_id",
         "notification_name",
         "notification_type",
@@ -106,7 +107,7 @@ def map_groups(source: DataFrame, target: DataFrame, ordinal: str = "ordinal") -
     ).drop(ordinal)
     keyed = source.withColumn("_key", normalised_name(F.col("name")))
     mapped = F.col("_target").isNotNull()
-    return keyed.join(known, "_key", "left").select(
+    return hot_join(keyed, known, "_key", "left").select(
         F.col("id").alias("source_notification_id"),
         or_blank(F.col("name")).alias("source_notification_name"),
         channel_types(F.col("channels")).alias("source_notification_type"),

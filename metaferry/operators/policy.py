@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.text import first_in_list, has_text, or_blank, slug, sort_number, split_list, strip
+from metaferry.operators.joins import absent, hot_join, present
 from metaferry.operators.lists import PART_SIZE, large_keys, with_list_part
 from metaferry.operators.ranking import batches
 
@@ -103,10 +104,9 @@ def policies_on_target(policies: DataFrame, backing: DataFrame, known_ids: DataF
     Both tests are semi joins on narrow id columns.
     """
     usable = usable_backing(backing)
-    hits = usable.join(known_ids.select("table_asset_id"), "table_asset_id", "left_semi")
-    covered = hits.select(F.col("policy_id").alias("id")).distinct()
-    bare = policies.join(usable.select(F.col("policy_id").alias("id")).distinct(), "id", "left_anti")
-    return policies.join(covered, "id", "left_semi").unionByName(bare)
+    covered = present(usable, known_ids, "table_asset_id").select(F.col("policy_id").alias("id"))
+    bare = absent(policies, usable.select(F.col("policy_id").alias("id")), "id")
+    return present(policies, covered, "id").unionByName(bare)
 
 
 def policies_on_target_or_view(
@@ -118,11 +118,9 @@ def policies_on_target_or_view(
     """
     views = view_assets.select(F.col("source_id").alias("table_asset_id"), F.col("source_uid").alias("source_asset_uid"))
     ids = known_ids.select("table_asset_id")
-    kept = policies_on_target(policies, backing, ids.unionByName(views.select("table_asset_id")).distinct())
+    kept = policies_on_target(policies, backing, ids.unionByName(views.select("table_asset_id")))
     view_hits = (
-        usable_backing(backing)
-        .join(ids, "table_asset_id", "left_anti")
-        .join(views, "table_asset_id")
+        hot_join(absent(usable_backing(backing), ids, "table_asset_id"), views, "table_asset_id")
         .join(policies.select(F.col("id").alias("policy_id"), F.col("name").alias("policy_name")), "policy_id")
         .select(F.col("table_asset_id").alias("asset_id"), "source_asset_uid", "policy_id", "policy_name")
     )
@@ -177,7 +175,7 @@ def policy_list(
         .withColumn("ids", F.transform("_assets", lambda e: e["table_asset_id"].cast("string")))
         .withColumn("types", F.transform("_assets", lambda e: or_blank(e["asset_type"])))
     )
-    split = usable.join(large_keys(usable, "policy_id", part_size), "policy_id", "left_semi")
+    split = present(usable, large_keys(usable, "policy_id", part_size), "policy_id")
     whole = (
         backing_details(split, assets, assemblies)
         .groupBy(F.col("policy_id").alias("id"))

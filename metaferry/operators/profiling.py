@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.text import is_digits, strip
+from metaferry.operators.joins import absent
 
 # Profiling states as the catalog spells them.
 SUCCEEDED = ("SUCCESS",)
@@ -25,7 +26,7 @@ def never_profiled(asset_ids: DataFrame, id_map: DataFrame, profile_requests: Da
     Ids that are not mapped are left out. ``profile_requests`` has ``target_id``.
     """
     mapped = asset_ids.distinct().join(id_map, "source_id")
-    open_assets = mapped.join(profile_requests.select("target_id"), "target_id", "left_anti")
+    open_assets = absent(mapped, profile_requests, "target_id")
     return open_assets.select(
         F.col("target_id").cast("long").alias("assetId"), F.col("target_uid").alias("assetUid")
     ).distinct()

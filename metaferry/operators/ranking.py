@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metaferry.operators.joins import absent, hot_join
+
 # A slice holds at most 2**20 ordinals, a block at most 2**20 slices.
 _SLICE_BITS = 20
 _BLOCK_BITS = 40
@@ -117,7 +119,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def candidates(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     """Rows whose key is duplicated, numbered from 1 within the key, with the number of copies."""
-    counted = df.join(duplicate_keys(df, key), key)
+    counted = hot_join(df, duplicate_keys(df, key), key)
     return positions(counted, key, ordinal).withColumn("option", F.col("position") + 1).drop("position")
 
 
@@ -133,14 +135,14 @@ def resolve_duplicates(
     if default not in ("first", "last", "error"):
         raise ValueError(f"unknown default: {default}")
     duplicated = duplicate_keys(df, key)
-    single = df.join(duplicated, key, "left_anti").select(*df.columns)
+    single = absent(df, duplicated, key)
     numbered = candidates(df, key, ordinal)
     if choices is None:
         open_rows, chosen = numbered, None
     else:
         wanted = choices.select(key, F.col("option").cast("long").alias("option"))
         chosen = numbered.join(wanted, [key, "option"], "left_semi").select(*df.columns)
-        open_rows = numbered.join(wanted, key, "left_anti")
+        open_rows = absent(numbered, wanted, key)
     undecided = open_rows.select(*df.columns, "option", "copies")
     if default == "error":
         kept = single

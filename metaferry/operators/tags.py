@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from metaferry.functions.rename import Renames, rename_words_in_turn
 from metaferry.functions.text import has_text, or_blank, split_list, strip
 from metaferry.operators.inventory import first_target
+from metaferry.operators.joins import hot_join
 
 
 def tag_assets(tags: DataFrame, links: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def transfer_tag_assets(enriched: DataFrame, target: DataFrame, renames: Renames
     The first target row of a uid counts; rows without one stay, with blanks.
     """
     renamed = enriched.withColumn("target_uid", rename_words_in_turn(F.col("asset_uid"), renames))
-    return renamed.join(first_target(target, ordinal), "target_uid", "left").select(
+    return hot_join(renamed, first_target(target, ordinal), "target_uid", "left").select(
         F.col("tag_id").alias("source_Tag_ID"),
         F.col("tag_name").alias("Source_Tag_Name"),
         F.col("asset_id").alias("source_Asset_ID"),
@@ -89,7 +90,7 @@ def tag_import_plan(rows: DataFrame, target: DataFrame, ordinal: str = "ordinal"
     """One row per target asset and tag; assets unknown in the target are marked."""
     known = first_target(target, ordinal).select("target_uid", F.col("target_asset_id").alias("_known"))
     exploded = rows.select("target_asset_id", "target_uid", "source_uid", F.explode("tags").alias("tag"))
-    planned = exploded.join(known, "target_uid", "left").select(
+    planned = hot_join(exploded, known, "target_uid", "left").select(
         F.coalesce("target_asset_id", "_known").alias("target_asset_id"), "target_uid", "source_uid", "tag"
     )
     return planned.withColumn("status", F.when(F.col("target_asset_id").isNull(), "asset_not_found").otherwise("ready"))
