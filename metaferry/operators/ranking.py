@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metaferry.operators.joins import absent, hot_join
+from metaferry.operators.joins import hot_join
 
 # A slice holds at most 2**20 ordinals, a block at most 2**20 slices.
 _SLICE_BITS = 20
@@ -69,17 +69,20 @@ def latest_version(df: DataFrame, key: str, version: str, position: str) -> Data
     return last_per_key(df, [key], rank)
 
 
-def positions(df: DataFrame, group: str, ordinal: str, name: str = "position") -> DataFrame:
+def positions(
+    df: DataFrame, group: str, ordinal: str, name: str = "position", total: str | None = None
+) -> DataFrame:
     """Zero-based position of every row within its group, in ordinal order.
 
-    The ordinal must be a unique whole number. It is cut into slices of 2**20
-    values, so a window never sorts more than 2**20 rows however large the
-    group is. What precedes a slice is summed from slice counts, and slices in
-    turn from blocks of slices, so those windows are bounded as well.
+    With ``total`` the number of rows of the group is added under that name.
+
+    The ordinal must be a whole number, unique within the group. It is cut into
+    slices of 2**20 values, so a window never sorts more than 2**20 rows however
+    large the group is. What precedes a slice is summed from slice counts, and
+    slices in turn from blocks of slices, so those windows are bounded as well.
     """
     block, piece = F.shiftright(ordinal, _BLOCK_BITS), F.shiftright(ordinal, _SLICE_BITS)
     sliced = df.withColumn("_block", block).withColumn("_slice", piece)
-
     per_slice = sliced.groupBy(group, "_block", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     per_block = per_slice.groupBy(group, "_block").agg(F.sum("_n").alias("_n"))
 
@@ -88,7 +91,10 @@ def positions(df: DataFrame, group: str, ordinal: str, name: str = "position") -
         return F.coalesce(F.sum("_n").over(window), F.lit(0))
 
     blocks = per_block.select(
-        F.col(group).alias("_bg"), F.col("_block").alias("_bb"), preceding("_block", group).alias("_before_block")
+        F.col(group).alias("_bg"),
+        F.col("_block").alias("_bb"),
+        preceding("_block", group).alias("_before_block"),
+        F.sum("_n").over(Window.partitionBy(group)).alias("_total"),
     )
     slices = per_slice.select(
         F.col(group).alias("_sg"),
@@ -96,14 +102,15 @@ def positions(df: DataFrame, group: str, ordinal: str, name: str = "position") -
         F.col("_slice").alias("_ss"),
         preceding("_slice", group, "_block").alias("_before_slice"),
     )
-    offsets = slices.join(
-        blocks, F.col("_sg").eqNullSafe(F.col("_bg")) & (F.col("_sb") == F.col("_bb"))
-    ).select("_sg", "_ss", (F.col("_before_block") + F.col("_before_slice")).alias("_offset"))
-
+    same_block = F.col("_sg").eqNullSafe(F.col("_bg")) & (F.col("_sb") == F.col("_bb"))
+    offsets = slices.join(blocks, same_block).select(
+        "_sg", "_ss", (F.col("_before_block") + F.col("_before_slice")).alias("_offset"), "_total"
+    )
     within_slice = Window.partitionBy(group, "_slice").orderBy(ordinal)
     ranked = sliced.withColumn("_rank", F.row_number().over(within_slice))
     joined = ranked.join(offsets, F.col(group).eqNullSafe(F.col("_sg")) & (F.col("_slice") == F.col("_ss")))
-    return joined.select(*df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("long").alias(name))
+    extra = [F.col("_total").alias(total)] if total else []
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("long").alias(name), *extra)
 
 
 def batches(df: DataFrame, group: str, ordinal: str, size: Column) -> DataFrame:
@@ -117,10 +124,15 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
+def numbered(df: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """All rows, numbered from 1 within their key (``option``), with the number of ``copies``."""
+    placed = positions(df, key, ordinal, "option", "copies")
+    return placed.withColumn("option", F.col("option") + 1)
+
+
 def candidates(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     """Rows whose key is duplicated, numbered from 1 within the key, with the number of copies."""
-    counted = hot_join(df, duplicate_keys(df, key), key)
-    return positions(counted, key, ordinal).withColumn("option", F.col("position") + 1).drop("position")
+    return numbered(df, key, ordinal).filter(F.col("copies") > 1)
 
 
 def resolve_duplicates(
@@ -128,28 +140,21 @@ def resolve_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """Keep one row per key: ``(kept, undecided)``.
 
-    ``choices(key, option)`` names the option to keep; a null option drops the
-    key. Keys without a choice follow ``default``: ``first`` or ``last`` row,
-    or ``error``, which keeps none and returns all their rows as undecided.
+    ``choices(key, option)`` names the option to keep, at most once per key; a
+    null option drops the key. Keys without a choice follow ``default``:
+    ``first`` or ``last`` row, or ``error``, which keeps none and returns all
+    their rows as undecided. Keys with a single row are always kept.
     """
     if default not in ("first", "last", "error"):
         raise ValueError(f"unknown default: {default}")
-    duplicated = duplicate_keys(df, key)
-    single = absent(df, duplicated, key)
-    numbered = candidates(df, key, ordinal)
+    rows = numbered(df, key, ordinal)
     if choices is None:
-        open_rows, chosen = numbered, None
-    else:
-        wanted = choices.select(key, F.col("option").cast("long").alias("option"))
-        chosen = numbered.join(wanted, [key, "option"], "left_semi").select(*df.columns)
-        open_rows = absent(numbered, wanted, key)
-    undecided = open_rows.select(*df.columns, "option", "copies")
-    if default == "error":
-        kept = single
+        rows = rows.withColumn("_chosen", F.lit(None).cast("long")).withColumn("_decided", F.lit(False))
     else:
-        pick = F.col("option") == (F.lit(1) if default == "first" else F.col("copies"))
-        kept = single.unionByName(open_rows.filter(pick).select(*df.columns))
-        undecided = undecided.limit(0)
-    if chosen is not None:
-        kept = chosen.unionByName(kept)
-    return kept, undecided
+        wanted = choices.select(key, F.col("option").cast("long").alias("_chosen"), F.lit(True).alias("_decided"))
+        rows = hot_join(rows, wanted, key, "left").withColumn("_decided", F.coalesce("_decided", F.lit(False)))
+    single, decided = F.col("copies") == 1, F.col("_decided")
+    by_default = {"first": F.col("option") == 1, "last": F.col("option") == F.col("copies"), "error": F.lit(False)}
+    keep = F.when(single, True).when(decided, F.col("option") == F.col("_chosen")).otherwise(by_default[default])
+    undecided = ~single & ~decided & F.lit(default == "error")
+    return rows.filter(keep).select(*df.columns), rows.filter(undecided).select(*df.columns, "option", "copies")

@@ -14,12 +14,12 @@ RENAMES = [("PROD_DB", "DEV_DB"), ("NATION_1", "COUNTRY_1"), ("DEV_DB", "TEST_DB
 _RENAMED = (
     "regexp_replace(regexp_replace({0}, '\\bPROD_DB\\b', 'DEV_DB', 'g'), '\\bNATION_1\\b', 'COUNTRY_1', 'g')"
 )
-_TARGETS = """
-    latest AS (SELECT source_uid AS uid, max(source_id) AS target_id FROM target_inventory GROUP BY source_uid),
+MERGED = """
+    latest AS (SELECT source_uid AS uid, max(source_id) AS target_id FROM $target_inventory GROUP BY source_uid),
     merged AS (
         SELECT CAST(s.source_id AS VARCHAR) AS source_id, s.source_uid, CAST(t.target_id AS VARCHAR) AS target_id,
                t.uid AS target_uid, s.tags, s.asset_type AS source_asset_type
-        FROM source_inventory s JOIN latest t
+        FROM $source_inventory s JOIN latest t
           ON replace(replace(s.source_uid, 'PROD_DB.', 'DEV_DB.'), '.NATION_1.', '.COUNTRY_1.') = t.uid)"""
 
 
@@ -27,15 +27,15 @@ def asset_map(i: Inputs):
     return inventory.merge_assets(i.source_inventory, i.target_inventory, RENAMES)
 
 
-@query("transform_and_merge", f"WITH x AS (SELECT * FROM $source_inventory), y AS (SELECT * FROM $target_inventory), {_TARGETS} SELECT * FROM merged")
+@query("transform_and_merge", f"WITH {MERGED} SELECT * FROM merged")
 def _(i: Inputs):
     return asset_map(i)
 
 
 @query(
     "unmatched_sql_views",
-    f"""WITH x AS (SELECT * FROM $source_inventory), y AS (SELECT * FROM $target_inventory), {_TARGETS}
-    SELECT source_uid, source_id, target_uid, tags, asset_type FROM source_inventory
+    f"""WITH {MERGED}
+    SELECT source_uid, source_id, target_uid, tags, asset_type FROM $source_inventory
     WHERE asset_type = 'SQL_VIEW' AND source_uid NOT IN (SELECT source_uid FROM merged)""",
 )
 def _(i: Inputs):
@@ -45,7 +45,7 @@ def _(i: Inputs):
 
 @query(
     "mapping_coverage",
-    f"""WITH x AS (SELECT * FROM $source_inventory), y AS (SELECT * FROM $target_inventory), {_TARGETS}
+    f"""WITH {MERGED}
     SELECT count(*) AS source_rows,
            CAST(sum(CASE WHEN source_uid LIKE 'PROD_DB.NATION_1.%' THEN 2 ELSE 1 END) AS BIGINT) AS renames_applied,
            (SELECT count(*) FROM merged) AS matched_rows,
@@ -114,7 +114,7 @@ def _(i: Inputs):
 
 @query(
     "migrated_assets",
-    f"""WITH x AS (SELECT * FROM $source_inventory), y AS (SELECT * FROM $target_inventory), {_TARGETS}
+    f"""WITH {MERGED}
     SELECT source_id, source_uid, target_id, target_uid, trim(tags) AS tags FROM merged
     WHERE trim(tags) <> '' OR lower(source_asset_type) IN ('table', 'sql_view', 'view', 'file', 'kafka_topic')""",
 )
@@ -237,29 +237,23 @@ def _(i: Inputs):
     return ranking.candidates(_orders(i), "asset_id", "ordinal")
 
 
-def _choices(i: Inputs):
-    # Every third key keeps its second row, every seventh is dropped.
-    keys = i.customer.filter("c_custkey % 3 = 0 OR c_custkey % 7 = 0")
-    return keys.selectExpr("c_custkey AS asset_id", "CASE WHEN c_custkey % 7 <> 0 THEN 2 END AS option")
-
-
 @query(
     "resolved_duplicates",
-    f"""WITH {_CANDIDATES} SELECT asset_id, ordinal, label FROM numbered
-    WHERE copies = 1 OR (asset_id % 7 = 0 AND false) OR (asset_id % 7 <> 0 AND asset_id % 3 = 0 AND option = 2)
-       OR (asset_id % 7 <> 0 AND asset_id % 3 <> 0 AND option = copies)""",
+    f"""WITH {_CANDIDATES} SELECT n.asset_id, ordinal, label
+    FROM numbered n LEFT JOIN $duplicate_choices c ON n.asset_id = c.asset_id
+    WHERE copies = 1 OR n.option = c.option OR (c.asset_id IS NULL AND n.option = copies)""",
 )
 def _(i: Inputs):
-    return ranking.resolve_duplicates(_orders(i), "asset_id", "ordinal", _choices(i), "last")[0]
+    return ranking.resolve_duplicates(_orders(i), "asset_id", "ordinal", i.duplicate_choices, "last")[0]
 
 
 @query(
     "undecided_duplicates",
     f"""WITH {_CANDIDATES} SELECT asset_id, ordinal, label, option, copies FROM numbered
-    WHERE copies > 1 AND asset_id % 7 <> 0 AND asset_id % 3 <> 0""",
+    WHERE copies > 1 AND asset_id NOT IN (SELECT asset_id FROM $duplicate_choices)""",
 )
 def _(i: Inputs):
-    return ranking.resolve_duplicates(_orders(i), "asset_id", "ordinal", _choices(i), "error")[1]
+    return ranking.resolve_duplicates(_orders(i), "asset_id", "ordinal", i.duplicate_choices, "error")[1]
 
 
 @query(
@@ -280,14 +274,14 @@ def _(i: Inputs):
 
 @query(
     "child_maps",
-    """WITH m AS (SELECT c_custkey AS id FROM $customer),
-    kids AS (SELECT id, unnest(range(1, id % 4 + 1)) AS k FROM m WHERE id % 6 <> 0)
+    """WITH m AS (SELECT c_custkey AS id, c_mktsegment = 'FURNITURE' AS none FROM $customer),
+    kids AS (SELECT id, unnest(range(1, id % 4 + 1)) AS k FROM m WHERE NOT none)
     SELECT CAST(m.id AS VARCHAR) AS source_id, CAST(m.id + 7 AS VARCHAR) AS target_id,
            coalesce((SELECT string_agg(concat(k + id * 10, '=PROD.', k), ',' ORDER BY k) FROM kids WHERE kids.id = m.id),
-               CASE WHEN m.id % 6 <> 0 THEN '' END) AS source_children,
+               CASE WHEN NOT none THEN '' END) AS source_children,
            coalesce((SELECT string_agg(concat(k + (id - 7) * 10, '=DEV.', k), ',' ORDER BY k)
                      FROM (SELECT id + 7 AS id, k FROM kids) AS t WHERE t.id = m.id + 7),
-               CASE WHEN m.id % 6 <> 0 THEN '' END) AS target_children
+               CASE WHEN NOT none THEN '' END) AS target_children
     FROM m""",
 )
 def _(i: Inputs):
@@ -299,7 +293,8 @@ def _(i: Inputs):
             numbers,
             lambda k: F.struct((k + key * 10).alias("asset_id"), F.concat(F.lit(prefix), k.cast("string")).alias("uid")),
         )
-        return i.customer.filter("c_custkey % 6 <> 0").select((key + shift).alias("asset_id"), listed.alias("child_assets"))
+        known = i.customer.filter("c_mktsegment <> 'FURNITURE'")
+        return known.select((key + shift).alias("asset_id"), listed.alias("child_assets"))
 
     mapping = i.customer.select(key.cast("string").alias("source_id"), (key + 7).cast("string").alias("target_id"))
     both = inventory.child_maps(mapping, children("PROD.", 0), children("DEV.", 7))
@@ -313,16 +308,19 @@ def _(i: Inputs):
 
 @query(
     "asset_lookup",
-    """SELECT source_uid, CASE WHEN source_id % 10 IN (0, 1, 2) THEN '' ELSE CAST(source_id AS VARCHAR) END AS asset_id,
-           CASE source_id % 10 WHEN 0 THEN 'no data field' WHEN 1 THEN 'empty data' WHEN 2 THEN 'no id' END AS reason,
-           CASE WHEN source_id % 10 IN (0, 1, 2) THEN 'failed' ELSE 'ok' END AS status
+    """SELECT source_uid, CASE WHEN asset_type IN ('FILE', 'VIEW', 'COLUMN', 'TABLE') THEN ''
+               ELSE CAST(source_id AS VARCHAR) END AS asset_id,
+           CASE asset_type WHEN 'FILE' THEN 'no data field' WHEN 'COLUMN' THEN 'empty data' WHEN 'TABLE' THEN 'no id' END
+               AS reason,
+           CASE WHEN asset_type IN ('FILE', 'COLUMN', 'TABLE') THEN 'failed' ELSE 'ok' END AS status
     FROM $source_inventory""",
 )
 def _(i: Inputs):
-    kind = F.col("source_id") % 10
-    ids = F.array(F.struct(F.when(kind != 2, F.col("source_id")).alias("id")))
+    kind = F.col("asset_type")
+    ids = F.array(F.struct(F.when(kind != "TABLE", F.col("source_id")).alias("id")))
     none = F.filter(ids, lambda _: F.lit(False))
-    responses = i.source_inventory.filter(kind != 0).select("source_uid", F.when(kind == 1, none).otherwise(ids).alias("data"))
+    data = F.when(kind == "COLUMN", none).otherwise(ids).alias("data")
+    responses = i.source_inventory.filter(kind != "FILE").select("source_uid", data)
     found = inventory.lookup_asset_ids(i.source_inventory.select("source_uid"), responses, "source_uid")
     return found.withColumn("asset_id", text.or_blank(F.col("asset_id")))
 
@@ -330,13 +328,13 @@ def _(i: Inputs):
 @query(
     "profile_export",
     """WITH m AS (SELECT target_uid FROM $profiles),
-    s AS (SELECT target_uid, profile_json FROM $profiles WHERE c_custkey % 8 <> 1)
+    s AS (SELECT target_uid, profile_json FROM $stored_profiles)
     SELECT m.target_uid, s.profile_json, CASE WHEN s.profile_json IS NULL THEN 'failed' ELSE 'ok' END AS status,
            CASE WHEN s.profile_json IS NULL THEN 'no profile' END AS reason
     FROM m LEFT JOIN s ON m.target_uid = s.target_uid ORDER BY lower(m.target_uid)""",
 )
 def _(i: Inputs):
-    stored = i.profiles.filter("c_custkey % 8 <> 1").select("target_uid", "profile_json")
+    stored = i.stored_profiles.select("target_uid", "profile_json")
     exported = inventory.attach_snapshot(i.profiles.select("target_uid"), stored, "target_uid", "profile_json", "no profile")
     return exported.orderBy(F.lower("target_uid"))
 
@@ -460,8 +458,8 @@ def _(i: Inputs):
     return tags.tag_rows(i.source_inventory.withColumn("error", error)).withColumn("tags", F.array_join("tags", ":"))
 
 
-_PLAN = f"""WITH x AS (SELECT * FROM $source_inventory), y AS (SELECT * FROM $target_inventory), {_TARGETS},
-    firsts AS (SELECT source_uid AS uid, CAST(min(source_id) AS VARCHAR) AS id FROM target_inventory GROUP BY source_uid),
+_PLAN = f"""WITH {MERGED},
+    firsts AS (SELECT source_uid AS uid, CAST(min(source_id) AS VARCHAR) AS id FROM $target_inventory GROUP BY source_uid),
     exploded AS (SELECT target_uid, source_uid, trim(unnest(string_split(tags, ':'))) AS tag FROM merged)"""
 
 

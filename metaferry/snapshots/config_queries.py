@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from metaferry.functions import text
 from metaferry.operators import config, inventory, notify, profiling, verify
+from metaferry.snapshots.asset_queries import MERGED, asset_map
 from metaferry.snapshots.registry import Inputs, query
 
 _CLASS = """CASE c_custkey % 29 WHEN 3 THEN 'unparsable' WHEN 4 THEN 'null_config' WHEN 5 THEN 'missing_field'
@@ -113,14 +114,14 @@ def _(i: Inputs):
 
 @query(
     "anomaly_monitor_columns",
-    """WITH a AS (SELECT id, o_custkey, id % 3 AS k FROM $policies WHERE id % 5 <> 4),
+    f"""WITH {MERGED}, a AS (SELECT id, o_custkey, id % 3 AS k FROM $policies WHERE id % 5 <> 4),
     ids AS (SELECT id, 1 AS pos, o_custkey AS c FROM a WHERE k >= 1 UNION ALL SELECT id, 2, id % 200 FROM a WHERE k >= 1
             UNION ALL SELECT id, 3, o_custkey + 1 FROM a WHERE k = 2)
-    SELECT concat('t', id) AS target_uid, string_agg(c + 1000000000, ',' ORDER BY pos) AS columns
-    FROM ids WHERE c IN (SELECT c_custkey FROM $customer WHERE c_custkey % 3 <> 0) GROUP BY id""",
+    SELECT concat('t', id) AS target_uid, string_agg(merged.target_id, ',' ORDER BY pos) AS columns
+    FROM ids JOIN merged ON CAST(c AS VARCHAR) = source_id GROUP BY id""",
 )
 def _(i: Inputs):
-    found = config.monitor_columns(_anomalies(i), _column_map(i))
+    found = config.monitor_columns(_anomalies(i), asset_map(i))
     return found.select("target_uid", F.array_join(F.col("monitor_columns").cast("array<string>"), ",").alias("columns"))
 
 
@@ -133,27 +134,21 @@ def _anomalies(i: Inputs):
     return i.policies.selectExpr("concat('t', id) AS target_uid", f"{document} AS anomaly_json")
 
 
-def _column_map(i: Inputs):
-    return i.customer.filter("c_custkey % 3 <> 0").selectExpr(
-        "CAST(c_custkey AS STRING) AS source_id", "CAST(c_custkey + 1000000000 AS STRING) AS target_id"
-    )
-
-
 @query(
     "anomaly_import_plan",
-    """WITH a AS (SELECT id, o_custkey, id % 3 AS k FROM $policies WHERE id % 5 <> 4),
+    f"""WITH {MERGED}, a AS (SELECT id, o_custkey, id % 3 AS k FROM $policies WHERE id % 5 <> 4),
     ids AS (SELECT id, 1 AS pos, o_custkey AS c FROM a WHERE k >= 1 UNION ALL SELECT id, 2, id % 200 FROM a WHERE k >= 1
             UNION ALL SELECT id, 3, o_custkey + 1 FROM a WHERE k = 2),
-    m AS (SELECT id, string_agg(c + 1000000000, ',' ORDER BY pos) AS columns
-          FROM ids WHERE c IN (SELECT c_custkey FROM $customer WHERE c_custkey % 3 <> 0) GROUP BY id)
-    SELECT concat('t', a.id) AS target_uid, concat('{"items":[{"monitorColumns":[', coalesce(columns, ''),
-        '],"name":"i1"},{"monitorColumns":[', coalesce(columns, ''), ']}],"rule":{"id":', a.id, '}}') AS payload
+    m AS (SELECT id, string_agg(merged.target_id, ',' ORDER BY pos) AS columns
+          FROM ids JOIN merged ON CAST(c AS VARCHAR) = source_id GROUP BY id)
+    SELECT concat('t', a.id) AS target_uid, concat('{{"items":[{{"monitorColumns":[', coalesce(columns, ''),
+        '],"name":"i1"}},{{"monitorColumns":[', coalesce(columns, ''), ']}}],"rule":{{"id":', a.id, '}}}}') AS payload
     FROM a LEFT JOIN m ON a.id = m.id""",
 )
 def _(i: Inputs):
     document = """concat('{"rule":{"id":', id, '},"details":{"items":[{"name":"i1","monitorColumns":[1]},{}]}}')"""
     rules = i.policies.selectExpr("concat('t', id) AS target_uid", f"{document} AS rule_json")
-    plan = config.anomaly_import_plan(_anomalies(i), _column_map(i), rules)
+    plan = config.anomaly_import_plan(_anomalies(i), asset_map(i), rules)
     return plan.select("target_uid", F.to_json(F.parse_json("payload")).alias("payload"))
 
 
@@ -338,15 +333,15 @@ def _(i: Inputs):
 @query(
     "segment_import_plan",
     """SELECT concat('t', id) AS target_uid, coalesce(CASE WHEN id % 6 = 2 THEN 'Invalid JSON' WHEN id % 6 = 1 THEN 'No segments array'
-            WHEN id % 4 = 0 THEN 'No asset found' END, '') AS reason,
-        CASE WHEN id % 6 IN (1, 2) OR id % 4 = 0 THEN '' WHEN id % 6 = 0 THEN '[]'
+            WHEN status = 'DISABLED' THEN 'No asset found' END, '') AS reason,
+        CASE WHEN id % 6 IN (1, 2) OR status = 'DISABLED' THEN '' WHEN id % 6 = 0 THEN '[]'
             WHEN id % 6 = 3 THEN concat('[{"id":null,"name":"s', id, '","conditions":[{"id":null,"columnId":', o_custkey,
                 ',"condition":"EQ","value":"v"},{"id":null,"columnId":"c","condition":"CUSTOM","value":""}]}]')
             ELSE concat('[{"id":null,"name":"a', id, '","conditions":[]},{"id":null,"name":"","conditions":[]}]') END AS payload
     FROM $policies""",
 )
 def _(i: Inputs):
-    ids = i.policies.filter("id % 4 <> 0").selectExpr("concat('t', id) AS target_uid", "id AS asset_id")
+    ids = i.policies.filter("status <> 'DISABLED'").selectExpr("concat('t', id) AS target_uid", "id AS asset_id")
     plan = config.segment_import_plan(_segment_documents(i), ids)
     return plan.select("target_uid", *[text.or_blank(F.col(c)).alias(c) for c in ("reason", "payload")])
 
@@ -500,17 +495,18 @@ def _(i: Inputs):
 
 _PROFILES = """WITH v AS (
     SELECT p.target_uid, c_custkey AS k, t.asset_id,
-        CASE WHEN t.asset_id IS NULL THEN 'asset_not_found' WHEN k % 8 = 1 THEN 'profile_not_found'
+        CASE WHEN t.asset_id IS NULL THEN 'asset_not_found' WHEN s.asset_id IS NULL THEN 'profile_not_found'
              WHEN k % 31 = 3 THEN 'error' ELSE 'success' END AS status,
         status = 'success' AND k % 31 <> 4 AND k % 4 <> 0 AS noted,
         status = 'success' AND k % 31 <> 4 AND k % 3 <> 0 AS timed,
         status = 'success' AND (k % 31 = 4 OR k % 2 = 0) AS active,
         CASE WHEN noted THEN concat(k, ', ', k * 7) ELSE 'None' END AS ids
-    FROM $profiles p LEFT JOIN $target_ids t ON p.target_uid = t.target_uid)"""
+    FROM $profiles p LEFT JOIN $target_ids t ON p.target_uid = t.target_uid
+         LEFT JOIN $stored_profiles s ON t.asset_id = s.asset_id)"""
 
 
 def _checked_profiles(i: Inputs):
-    stored = i.profiles.filter("c_custkey % 8 <> 1").select("asset_id", "profile_json")
+    stored = i.stored_profiles.select("asset_id", "profile_json")
     return verify.verify_profiles(i.profiles.select("target_uid"), i.target_ids, stored)
 
 
@@ -579,18 +575,17 @@ def _(i: Inputs):
 
 @query(
     "never_profiled",
-    """WITH n AS (SELECT DISTINCT o_custkey AS id FROM $policies WHERE type IN ('DATA_QUALITY', 'EQUALITY'))
-    SELECT c_custkey + 1000000000 AS "assetId", concat('uid_', c_custkey) AS "assetUid" FROM $customer
-    WHERE c_custkey % 10 <> 0 AND c_custkey IN (SELECT id FROM n)
-      AND c_custkey NOT IN (SELECT user_id FROM $events WHERE event_type = 'view')""",
+    f"""WITH {MERGED}, n AS (SELECT DISTINCT o_custkey AS id FROM $policies WHERE type IN ('DATA_QUALITY', 'EQUALITY'))
+    SELECT CAST(target_id AS BIGINT) AS "assetId", target_uid AS "assetUid" FROM merged
+    WHERE CAST(source_id AS BIGINT) IN (SELECT id FROM n)
+      AND CAST(target_id AS BIGINT) NOT IN (SELECT user_id + 1000000000 FROM $events WHERE event_type = 'view')""",
 )
 def _(i: Inputs):
-    wanted = profiling.needs_profiling(i.policies, "DATA_QUALITY, EQUALITY").select(F.col("o_custkey").alias("source_id"))
-    id_map = i.customer.filter("c_custkey % 10 <> 0").selectExpr(
-        "c_custkey AS source_id", "c_custkey + 1000000000 AS target_id", "concat('uid_', c_custkey) AS target_uid"
+    wanted = profiling.needs_profiling(i.policies, "DATA_QUALITY, EQUALITY").select(
+        F.col("o_custkey").cast("string").alias("source_id")
     )
-    requests = i.events.filter("event_type = 'view'").selectExpr("user_id + 1000000000 AS target_id")
-    return profiling.never_profiled(wanted, id_map, requests)
+    requests = i.events.filter("event_type = 'view'").selectExpr("CAST(user_id + 1000000000 AS STRING) AS target_id")
+    return profiling.never_profiled(wanted, asset_map(i).select("source_id", "target_id", "target_uid"), requests)
 
 
 @query(

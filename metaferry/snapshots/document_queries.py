@@ -200,13 +200,14 @@ def _(i: Inputs):
 @query(
     "bundle_reconciliation",
     """SELECT concat('bundle_', o_custkey) AS bundle, count(*) AS members_in,
-        count(*) FILTER (o_orderkey % 50 <> 7) AS members_out,
-        CASE WHEN count(*) = count(*) FILTER (o_orderkey % 50 <> 7) THEN 'ok' ELSE 'count_mismatch' END AS status
+        count(*) FILTER (o_orderkey % 97 <> 5) AS members_out,
+        CASE WHEN count(*) = count(*) FILTER (o_orderkey % 97 <> 5) THEN 'ok' ELSE 'count_mismatch' END AS status
     FROM $orders GROUP BY o_custkey""",
 )
 def _(i: Inputs):
-    before = _policy_documents(i).select("bundle", "member", "o_orderkey")
-    return bundles.reconcile_bundles(before, before.filter("o_orderkey % 50 <> 7"))
+    before = _policy_documents(i)
+    after = documents.rewrite_documents(before, [("PROD_DB", "DEV_DB")])
+    return bundles.reconcile_bundles(before, after.filter(F.col("status") != "error"))
 
 
 @query(
@@ -216,8 +217,7 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     rows = bundles.objects_of(_policy_documents(i).select("o_orderkey", "text"), "struct<name: string>")
-    parsed = rows.filter("o_orderkey % 97 <> 5")
-    return parsed.select("o_orderkey", F.coalesce("name", F.lit("-")).alias("name"))
+    return rows.select("o_orderkey", F.coalesce("name", F.lit("-")).alias("name"))
 
 
 _REFS = """refs AS (

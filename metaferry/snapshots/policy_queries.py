@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from metaferry.functions import text
 from metaferry.operators import imports, inventory, policy
-from metaferry.snapshots.asset_queries import RENAMES
+from metaferry.snapshots.asset_queries import MERGED, RENAMES, asset_map
 from metaferry.snapshots.registry import Inputs, query
 
 _KIND = """CASE WHEN NOT is_segmented THEN 'non_segmented' WHEN engine_type = 'SPARK' THEN 'segmented_spark'
@@ -59,18 +59,15 @@ def _(i: Inputs):
     return inventory.with_status(i.policies, "ENABLED,ACTIVE").select("id", "status")
 
 
-_KNOWN = """known AS (SELECT source_id FROM $source_inventory WHERE source_id % 10 <> 0 AND source_id % 2 = 0)"""
+_KNOWN = f"""{MERGED}, known AS (SELECT CAST(source_id AS BIGINT) AS source_id FROM merged)"""
 
 
 def _known(i: Inputs):
-    rows = i.source_inventory.filter("source_id % 10 <> 0 AND source_id % 2 = 0")
-    return rows.select(F.col("source_id").alias("table_asset_id"))
+    return asset_map(i).select(F.col("source_id").cast("long").alias("table_asset_id"))
 
 
 def _views(i: Inputs):
-    return i.source_inventory.filter("source_id % 10 <> 0 AND source_id % 2 <> 0 AND asset_type = 'SQL_VIEW'").select(
-        "source_id", "source_uid"
-    )
+    return inventory.unmatched_views(i.source_inventory, asset_map(i)).select("source_id", "source_uid")
 
 
 @query(
@@ -85,7 +82,7 @@ def _(i: Inputs):
 
 
 _VIEWS = """views AS (SELECT source_id, source_uid FROM $source_inventory
-    WHERE source_id % 10 <> 0 AND source_id % 2 <> 0 AND asset_type = 'SQL_VIEW')"""
+    WHERE asset_type = 'SQL_VIEW' AND source_id NOT IN (SELECT source_id FROM known))"""
 
 
 @query(
@@ -103,7 +100,7 @@ def _(i: Inputs):
 
 @query(
     "policies_using_views",
-    f"""WITH {_VIEWS} SELECT v.source_id AS asset_id, v.source_uid AS source_asset_uid, p.id AS policy_id,
+    f"""WITH {_KNOWN}, {_VIEWS} SELECT v.source_id AS asset_id, v.source_uid AS source_asset_uid, p.id AS policy_id,
            p.name AS policy_name
     FROM $backing b JOIN views v ON b.table_asset_id = v.source_id JOIN $policies p ON b.policy_id = p.id""",
 )

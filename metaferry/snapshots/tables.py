@@ -17,7 +17,7 @@ TABLES = (
 ).split()
 
 SNAPSHOTS = {
-    # Asset inventories. The target lacks every tenth asset and lists every fiftieth twice.
+    # Asset inventories. Accounts with a low balance did not reach the target, those with a high one are listed twice.
     "source_inventory": """
         SELECT concat('PROD_DB.', n_name, '.', c_name) AS source_uid, c_custkey AS source_id,
                concat('PROD_DB.', n_name, '.', c_name) AS target_uid,
@@ -32,11 +32,11 @@ SNAPSHOTS = {
         SELECT concat('DEV_DB.', CASE n_name WHEN 'NATION_1' THEN 'COUNTRY_1' ELSE n_name END, '.', c_name)
                    AS source_uid,
                c_custkey + 1000000000 AS source_id, 'TABLE' AS asset_type, c_custkey + 1000000000 AS ordinal
-        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0
+        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 1000
         UNION ALL
         SELECT concat('DEV_DB.', CASE n_name WHEN 'NATION_1' THEN 'COUNTRY_1' ELSE n_name END, '.', c_name),
                c_custkey + 2000000000, 'VIEW', c_custkey + 2000000000
-        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_custkey % 50 = 1""",
+        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000""",
     "assemblies": """
         SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, r_name AS source_type
         FROM $nation JOIN $region ON n_regionkey = r_regionkey""",
@@ -79,10 +79,10 @@ SNAPSHOTS = {
                CASE WHEN s_suppkey % 4 = 0 THEN concat('  ', upper(s_name), ' ')
                    WHEN s_suppkey % 13 = 0 THEN ' ' ELSE s_name END AS name,
                s_suppkey AS ordinal
-        FROM $supplier WHERE s_suppkey % 9 <> 0
+        FROM $supplier WHERE s_acctbal >= 1000
         UNION ALL
         SELECT s_suppkey + 1000005000, s_name, s_suppkey + 1000000000
-        FROM $supplier WHERE s_suppkey % 9 <> 0 AND s_suppkey % 10 = 2""",
+        FROM $supplier WHERE s_acctbal > 8000""",
     # Configurations and profiles, as JSON text.
     "expected_configs": """
         SELECT concat('DEV_DB.', n_name, '.', c_name) AS target_uid, c_custkey,
@@ -111,10 +111,10 @@ SNAPSHOTS = {
                    ',"sparkResourceConfig":', CASE WHEN c_custkey % 6 = 0 THEN '{}' ELSE '{"cores":2}' END,
                    ',"markerConfiguration":', CASE WHEN c_custkey % 4 = 0 THEN '""' ELSE '"m"' END,
                    '}}') AS actual_json
-        FROM $customer WHERE c_custkey % 23 <> 2""",
+        FROM $customer WHERE c_acctbal < 9500""",
     "target_ids": """
         SELECT concat('DEV_DB.', n_name, '.', c_name) AS target_uid, c_custkey + 1000000000 AS asset_id
-        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0""",
+        FROM $customer JOIN $nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 1000""",
     "profiles": """
         SELECT concat('DEV_DB.', n_name, '.', c_name) AS target_uid, c_custkey,
                c_custkey + 1000000000 AS asset_id, c_custkey AS id1, c_custkey * 7 AS id2,
@@ -128,12 +128,18 @@ SNAPSHOTS = {
                              ELSE concat('[', c_custkey, ',', c_custkey * 7, ']') END,
                         '}}}') END AS profile_json
         FROM $customer JOIN $nation ON c_nationkey = n_nationkey""",
+    "stored_profiles": """
+        SELECT target_uid, asset_id, profile_json FROM $profiles JOIN $customer USING (c_custkey)
+        WHERE c_mktsegment <> 'MACHINERY'""",
+    "duplicate_choices": """
+        SELECT c_custkey AS asset_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 2 END AS option
+        FROM $customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
     # SQL policies are web pages: their host names have the form of table references.
     "source_sql": """
         SELECT concat('pol_', page_id % 40) AS policy, html AS sql FROM $pages""",
     "sink_sql": """
         SELECT concat('pol_', page_id % 40) AS policy, replace(html, 'blog.', 'news.') AS sql
-        FROM $pages WHERE page_id % 4 <> 0""",
+        FROM $pages WHERE url LIKE 'https%'""",
     # Status and request logs are events.
     "status_log": """
         SELECT user_id AS asset_id,

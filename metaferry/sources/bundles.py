@@ -128,9 +128,9 @@ def usable_bundles(members: DataFrame) -> DataFrame:
 
 
 def objects_of(documents: DataFrame, schema: str, text: str = "text") -> DataFrame:
-    """Objects of documents that are one object or a list of objects."""
+    """Objects of documents that are one object or a list of objects; texts that are not JSON have none."""
     others = [c for c in documents.columns if c != text]
-    return documents.select(*others, F.explode(F.from_json(text, f"array<{schema}>")).alias("_o")).select(
+    return documents.filter(F.try_parse_json(text).isNotNull()).select(*others, F.explode(F.from_json(text, f"array<{schema}>")).alias("_o")).select(
         *others, "_o.*"
     )
 

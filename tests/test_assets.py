@@ -14,21 +14,21 @@ SOURCE = "source_uid string, source_id string, target_uid string, tags string, a
 def test_transform_and_merge(spark, rows):
     source = spark.createDataFrame(
         [
-            ("asset-1", "1", "Snowflake", "tag1:tag2", "TABLE"),
-            ("asset-2", "2", "SNOWFLAKE_SAMPLE_DATA", "tag3", "TABLE"),
+            ("asset-1", "1", "Lake", "tag1:tag2", "TABLE"),
+            ("asset-2", "2", "LAKE_SAMPLE_DATA", "tag3", "TABLE"),
             ("asset-3", "3", "OTHER_DATA", "tag4", "SQL_VIEW"),
         ],
         SOURCE,
     )
     target = spark.createDataFrame(
-        [("acme_test", "100", 1), ("acme_test", "101", 2), ("KRISH", "102", 3), ("KRISH", "99", 0)],
+        [("lake_test", "100", 1), ("lake_test", "101", 2), ("CAMPUS", "102", 3), ("CAMPUS", "99", 0)],
         "source_uid string, source_id string, ordinal long",
     )
-    renames = {"Snowflake": "acme_test", "SNOWFLAKE_SAMPLE_DATA": "KRISH"}
+    renames = {"Lake": "lake_test", "LAKE_SAMPLE_DATA": "CAMPUS"}
     job = jobs.transform_and_merge(source, target, renames)
     assert rows(job.merged) == [
-        ("1", "asset-1", "101", "acme_test", "tag1:tag2", "TABLE"),
-        ("2", "asset-2", "102", "KRISH", "tag3", "TABLE"),
+        ("1", "asset-1", "101", "lake_test", "tag1:tag2", "TABLE"),
+        ("2", "asset-2", "102", "CAMPUS", "tag3", "TABLE"),
     ]
     assert rows(job.unmatched_views, "source_uid") == [("asset-3",)]
     assert rows(job.coverage) == [(3, 2, 2, 1, 66.666667)]
