@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from metaferry.operators.joins import hot_join
@@ -86,21 +86,24 @@ def positions(
     per_slice = sliced.groupBy(group, "_block", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     per_block = per_slice.groupBy(group, "_block").agg(F.sum("_n").alias("_n"))
 
-    def preceding(order: str, *within: str) -> Column:
-        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+    by_block = Window.partitionBy(group).orderBy("_block")
+    by_slice = Window.partitionBy(group, "_block").orderBy("_slice")
 
+    def earlier(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     blocks = per_block.select(
         F.col(group).alias("_bg"),
         F.col("_block").alias("_bb"),
-        preceding("_block", group).alias("_before_block"),
-        F.sum("_n").over(Window.partitionBy(group)).alias("_total"),
+        earlier(by_block).alias("_before_block"),
+        F.sum("_n").over(whole).alias("_total"),
     )
     slices = per_slice.select(
         F.col(group).alias("_sg"),
         F.col("_block").alias("_sb"),
         F.col("_slice").alias("_ss"),
-        preceding("_slice", group, "_block").alias("_before_slice"),
+        earlier(by_slice).alias("_before_slice"),
     )
     same_block = F.col("_sg").eqNullSafe(F.col("_bg")) & (F.col("_sb") == F.col("_bb"))
     offsets = slices.join(blocks, same_block).select(

@@ -59,15 +59,10 @@ _FIELDS = tuple(
 )
 
 
-def settings(document: Column) -> Column:
-    """The known fields of a configuration document as variants; the rest is never parsed."""
-    fields = ", ".join(f"{name}: variant" for name in _FIELDS)
-    return F.from_json(document, f"struct<assetConfiguration: struct<{fields}>>")["assetConfiguration"]
-
-
-def setting_texts(fields: Column) -> Column:
-    """Variants of ``settings`` as canonical JSON texts, which all comparisons work on."""
-    return F.struct(*[json_text(fields[name]).alias(name) for name in _FIELDS])
+def setting_texts(document: Column) -> Column:
+    """The known fields of a parsed configuration (variant) as canonical JSON texts, which all comparisons work on."""
+    texts = [F.try_variant_get(document, f"$.assetConfiguration.{name}", "variant") for name in _FIELDS]
+    return F.struct(*[json_text(text).alias(name) for text, name in zip(texts, _FIELDS)])
 
 
 def config_flags(fields: Column) -> list[Column]:
@@ -79,12 +74,8 @@ def config_values(fields: Column) -> list[Column]:
 
 
 def config_status(document: Column) -> Column:
-    """``Config Changed`` if any expected setting holds a value other than null or an empty text."""
-    values = F.map_values(
-        F.from_json(document, "struct<assetConfiguration: variant>")["assetConfiguration"].try_cast(
-            "map<string,variant>"
-        )
-    )
+    """``Config Changed`` if any setting of a parsed configuration holds a value other than null or an empty text."""
+    values = F.map_values(F.try_variant_get(document, "$.assetConfiguration", "map<string,variant>"))
     custom = F.exists(values, lambda v: F.coalesce(json_text(v), F.lit('""')) != '""')
     return F.when(F.coalesce(custom, F.lit(False)), "Config Changed").otherwise("Default Config Present")
 
@@ -113,17 +104,17 @@ def verify_configs(expected: DataFrame, target_ids: DataFrame, actual: DataFrame
     """
     joined = expected.join(target_ids, "target_uid", "left").join(actual, "asset_id", "left")
     checked = (
-        joined.select(
+        joined.withColumn("_expected", F.try_parse_json("config_json"))
+        .withColumn("_actual", F.try_parse_json("actual_json"))
+        .select(
             "target_uid",
             "asset_id",
             F.col("actual_json").isNotNull().alias("_found"),
-            F.try_parse_json("config_json").isNull().alias("_broken"),
-            config_status(F.col("config_json")).alias("_status"),
-            settings(F.col("config_json")).alias("_want"),
-            settings(F.col("actual_json")).alias("_have"),
+            F.col("_expected").isNull().alias("_broken"),
+            config_status(F.col("_expected")).alias("_status"),
+            setting_texts(F.col("_expected")).alias("_want"),
+            setting_texts(F.col("_actual")).alias("_have"),
         )
-        .withColumn("_want", setting_texts(F.col("_want")))
-        .withColumn("_have", setting_texts(F.col("_have")))
         .withColumn("_diff", mismatches(F.col("_want"), F.col("_have")))
     )
     compared = F.col("_found") & ~F.col("_broken")

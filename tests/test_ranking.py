@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from metaferry.operators import inventory, lists, ranking
+from metaferry.operators import inventory, lists, notify, ranking
 
 
 @pytest.fixture(scope="module")
@@ -147,12 +147,24 @@ def test_hot_uid_is_split_in_merge(spark, small_skew_limits):
     assert "skew=true" in final_plan(merged)
 
 
-def test_hot_key_is_split_among_candidates(spark, small_skew_limits):
+def test_hot_key_among_candidates(spark):
+    # No join by key is left to split: rows meet their offsets by key and slice, see above.
     number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20000)
     df = spark.range(0, 60000, 1, 8).select(number.alias("k"), F.col("id").alias("o"), F.lit("x" * 20).alias("v"))
-    numbered = ranking.candidates(df, "k", "o")
-    hot = numbered.filter("k = 0")
+    hot = ranking.candidates(df, "k", "o").filter("k = 0")
     # 20000 multiples of three and the two other multiples of 20000.
     assert sorted(r.option for r in hot.collect()) == list(range(1, 20003))
-    numbered.collect()
-    assert "skew=true" in final_plan(numbered)
+
+
+def test_hot_group_is_split_among_missing_groups(spark, small_skew_limits):
+    # A third of all uses name the same missing group, which was grouped and joined by id before.
+    group = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    use = spark.range(0, 60000, 1, 8).select(
+        group.alias("group_id"), F.col("id").alias("rule_id"), F.lit("rule").alias("rule_name")
+    )
+    groups = spark.range(0, 60000, 7, 8)
+    lost = notify.missing_groups(use, groups)
+    got = lost.groupBy("referenced_by").count().collect()
+    assert {(r.referenced_by, r["count"]) for r in got if r.referenced_by > 1} == {(20000, 20000)}
+    lost.collect()
+    assert final_plan(lost).count("skew=true") >= 2
