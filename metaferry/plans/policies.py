@@ -12,6 +12,7 @@ from metaferry.functions.rename import Renames
 from metaferry.operators import documents, imports, policy, sqlrefs, tags
 from metaferry.operators.inventory import with_status
 from metaferry.sources import bundles
+from metaferry.sources.staging import staged
 
 
 class PolicyInventory(NamedTuple):
@@ -92,13 +93,21 @@ _POLICY = (
 )
 
 
-def bundle_rewrite(members: DataFrame, renames: Renames, only_members: str | None = None) -> BundleRewrite:
+def bundle_rewrite(
+    members: DataFrame, renames: Renames, only_members: str | None = None, staging: bool = False
+) -> BundleRewrite:
     """Rewrite the JSON members of bundles and collect what they mention.
 
     ``only_members`` limits uid extraction to members whose name starts with it.
+    With ``staging`` unpacked and rewritten members are written once each and all
+    results are computed from those tables; otherwise nothing runs yet.
     """
+    if staging:
+        members = staged(members)
     texts = members.filter(F.col("text").isNotNull())
     rewritten = documents.rewrite_documents(members, renames, compact=True)
+    if staging:
+        rewritten = staged(rewritten)
     parsed = bundles.objects_of(texts.select("bundle", "member", "text"), _POLICY).select(
         "bundle",
         "member",

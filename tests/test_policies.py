@@ -168,9 +168,11 @@ def test_read_bundles(spark, bundle_dir, rows):
     assert rows(bundles.read_documents(spark, bundle_dir), "text") == [('{"uid": "PROD_DB.loose"}',)]
 
 
-def test_bundle_rewrite_job(spark, bundle_dir, rows, tmp_path):
+@pytest.mark.parametrize("staging", [False, True])
+def test_bundle_rewrite_job(spark, bundle_dir, rows, tmp_path, monkeypatch, staging):
+    monkeypatch.setattr("metaferry.sources.staging.staging_folder", lambda _: str(tmp_path / "staging"))
     members = bundles.read_bundles(spark, bundle_dir).filter("error IS NULL")
-    job = jobs.bundle_rewrite(members, {"PROD_DB": "DEV_DB"})
+    job = jobs.bundle_rewrite(members, {"PROD_DB": "DEV_DB"}, staging=staging)
     texts = {r.member: r for r in job.members.collect()}
     assert json.loads(texts["data_quality_policy_definitions.json"].text)[0]["backingAssets"][1]["uid"] == "DEV_DB.b"
     assert texts["latin.json"].text == '{"note":"café DEV_DB"}'
