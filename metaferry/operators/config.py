@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from metaferry.functions.jsondoc import as_object, field, json_problem, json_text, set_field
 from metaferry.functions.text import has_text, strip
+from metaferry.functions.truth import is_set, plain
 
 # Settings of an apply request that a caller may override.
 APPLY_DEFAULTS = (
@@ -54,9 +55,9 @@ def config_rows(df: DataFrame) -> DataFrame:
 
 
 def config_problems(df: DataFrame, key: str, document: str) -> DataFrame:
-    """Rows whose key or document is unusable, with the problem."""
-    problem = F.when(~has_text(F.col(key)), "blank_key").otherwise(json_problem(F.col(document)))
-    return df.select(key, problem.alias("problem")).filter(F.col("problem").isNotNull())
+    """One row per problem: blank keys and documents that are blank, no JSON, no object or empty."""
+    problems = F.array(F.when(~has_text(F.col(key)), "blank_key"), json_problem(F.col(document)))
+    return df.select(key, F.explode(problems).alias("problem")).filter(F.col("problem").isNotNull())
 
 
 def _object_or_null(value: Column) -> Column:
@@ -65,10 +66,9 @@ def _object_or_null(value: Column) -> Column:
 
 def config_class(document: Column) -> Column:
     """``with_config``, ``null_config``, ``missing_field``, ``invalid_format`` or ``unparsable``."""
-    fields = as_object(document)
-    value = field(fields, "assetConfiguration")
+    value = field(as_object(document), "assetConfiguration")
     return (
-        F.when(fields.isNull(), "unparsable")
+        F.when(F.try_parse_json(document).isNull(), "unparsable")
         .when(value.isNull(), "missing_field")
         .when(json_text(value).isNull(), "null_config")
         .when(_object_or_null(value).isNull(), "invalid_format")
@@ -77,20 +77,14 @@ def config_class(document: Column) -> Column:
 
 
 def config_census(configs: DataFrame, document: str = "config_json") -> DataFrame:
-    """One row: documents by class."""
-    kinds = configs.select(config_class(F.col(document)).alias("kind"))
-    names = ("with_config", "null_config", "missing_field", "invalid_format", "unparsable")
-    return kinds.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("kind") == n).alias(n) for n in names])
-
-
-def skip_reason(document: Column) -> Column:
-    """Why a configuration is not imported; null if it is."""
-    kind = config_class(document)
-    return (
-        F.when(kind == "missing_field", "No assetConfiguration field in config")
-        .when(kind == "null_config", "assetConfiguration is null (default config)")
-        .when(kind == "invalid_format", "Invalid assetConfiguration format")
-        .when(kind == "unparsable", "Invalid JSON")
+    """One row: documents with a configuration of any form, with null, without the field, without valid JSON."""
+    kind = F.col("kind")
+    return configs.select(config_class(F.col(document)).alias("kind")).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(kind.isin("with_config", "invalid_format")).alias("with_config"),
+        F.count_if(kind == "null_config").alias("null_config"),
+        F.count_if(kind == "missing_field").alias("missing_field"),
+        F.count_if(kind == "unparsable").alias("unparsable"),
     )
 
 
@@ -108,20 +102,43 @@ def with_asset_id(document: Column, asset_id: Column) -> Column:
 
 
 def config_import_plan(configs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """Payload, or the reason for leaving a row out, for every configuration.
+    """Payload, or status and reason, for every configuration.
 
-    ``target_ids(target_uid, asset_id)`` has one row per uid.
+    Status is ``importable``, ``skipped`` (there is nothing to import) or
+    ``failed``. ``target_ids(target_uid, asset_id)`` has one row per uid.
     """
-    joined = configs.join(target_ids, "target_uid", "left")
-    reason = F.when(F.col("asset_id").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid")).otherwise(
-        skip_reason(F.col("config_json"))
-    )
+    joined = configs.join(target_ids, "target_uid", "left").withColumn("_kind", config_class(F.col("config_json")))
+    unknown, kind = F.col("asset_id").isNull(), F.col("_kind")
     status = (
-        F.when(F.col("asset_id").isNull(), "failed").when(F.col("reason").isNotNull(), "skipped").otherwise("importable")
+        F.when(unknown | kind.isin("unparsable", "invalid_format"), "failed")
+        .when(kind == "with_config", "importable")
+        .otherwise("skipped")
+    )
+    reason = (
+        F.when(unknown, "Asset not found in target")
+        .when(kind.isin("unparsable", "invalid_format"), "Exception occurred")
+        .when(kind == "missing_field", "No assetConfiguration field in config")
+        .when(kind == "null_config", "assetConfiguration is null (default config)")
     )
-    planned = joined.withColumn("reason", reason).withColumn("status", status)
-    payload = F.when(F.col("status") == "importable", with_asset_id(F.col("config_json"), F.col("asset_id")))
-    return planned.select("target_uid", "asset_id", "status", "reason", payload.alias("payload"))
+    error = (
+        F.when(unknown, F.concat(F.lit("No asset found for UID: "), "target_uid"))
+        .when(kind == "unparsable", "Invalid JSON in config_json")
+        .when(kind == "invalid_format", "assetConfiguration is not an object")
+    )
+    payload = F.when(~unknown & (kind == "with_config"), with_asset_id(F.col("config_json"), F.col("asset_id")))
+    return joined.select(
+        "target_uid",
+        "asset_id",
+        status.alias("status"),
+        reason.alias("reason"),
+        error.alias("error"),
+        payload.alias("payload"),
+    )
+
+
+def skip_counts(plan: DataFrame) -> DataFrame:
+    """Rows per reason among those that were skipped."""
+    return reason_counts(plan.filter(F.col("status") == "skipped"))
 
 
 def reason_counts(df: DataFrame, column: str = "reason") -> DataFrame:
@@ -219,22 +236,73 @@ def profile_import_plan(configs: DataFrame, target_ids: DataFrame, mapping: Data
     With a notification mapping the group ids are mapped to the target.
     """
     joined = configs.join(target_ids, "target_uid", "left")
+    document = F.col("profile_json")
     if mapping is not None:
         joined = joined.join(map_notification_ids(configs, mapping), "target_uid", "left")
-        has_ids = notification_ids(F.col("profile_json")).isNotNull()
-        document = F.when(has_ids, with_notification_ids(F.col("profile_json"), F.col("mapped_ids"))).otherwise(
-            F.col("profile_json")
-        )
-    else:
-        document = F.col("profile_json")
-    reason = F.when(F.try_parse_json("profile_json").isNull(), "Invalid JSON").when(
-        F.col("asset_id").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid")
+        # An empty mapping means that none was made, and leaves the ids as they are.
+        mapped = (mapping.agg(F.count(F.lit(1)).alias("n")).scalar() > 0) & notification_ids(document).isNotNull()
+        document = F.when(mapped, with_notification_ids(document, F.col("mapped_ids"))).otherwise(document)
+    reason = F.when(F.col("asset_id").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid")).when(
+        F.try_parse_json("profile_json").isNull(), F.concat(F.lit("Invalid JSON in profile_json for UID "), "target_uid")
     )
-    planned = joined.withColumn("reason", reason).withColumn(
-        "status", F.when(F.col("reason").isNull(), "importable").otherwise("failed")
+    return joined.select(
+        "target_uid",
+        "asset_id",
+        F.when(reason.isNull(), "importable").otherwise("failed").alias("status"),
+        reason.alias("reason"),
+        F.when(reason.isNull(), document).alias("payload"),
     )
-    return planned.select(
-        "target_uid", "asset_id", "status", "reason", F.when(F.col("status") == "importable", document).alias("payload")
+
+
+def profile_options(rows: DataFrame, source_uid: str | None = None) -> DataFrame:
+    """What there is to choose from among duplicated profiles: notifications, schedule, state, source.
+
+    ``rows`` are numbered candidates with ``target_uid``, ``profile_json`` and
+    ``option``. The source is the given column, else ``sourceUid`` of the
+    profile, else the number of the option.
+    """
+    parsed = F.try_parse_json("profile_json")
+
+    def part(path: str) -> Column:
+        return json_text(F.try_variant_get(parsed, "$." + path, "variant"))
+
+    settings = "profileSettingsConfigs."
+    given = F.nullif(strip(F.col(source_uid)), F.lit("")) if source_uid else F.lit(None).cast("string")
+    return rows.select(
+        "target_uid",
+        "option",
+        is_set(part(settings + "profileNotificationChannels.configuredNotificationGroupIds")).alias("has_notifications"),
+        is_set(part(settings + "schedule")).alias("has_schedule"),
+        is_set(part(settings + "enabled")).alias("is_enabled"),
+        F.coalesce(
+            F.nullif(given, F.lit("Unknown")),
+            F.try_variant_get(parsed, "$.sourceUid", "string"),
+            F.concat(F.lit("Config #"), "option", F.lit(" (no source UID)")),
+        ).alias("source"),
+    )
+
+
+def config_options(rows: DataFrame) -> DataFrame:
+    """What there is to choose from among duplicated configurations.
+
+    ``rows`` are numbered candidates with ``target_uid``, ``config_json``, ``source_uid`` and ``option``.
+    """
+    parsed = F.try_parse_json("config_json")
+
+    def part(name: str) -> Column:
+        return json_text(F.try_variant_get(parsed, f"$.assetConfiguration.{name}", "variant"))
+
+    known = has_text(F.col("source_uid")) & (F.col("source_uid") != "Unknown")
+    return rows.select(
+        "target_uid",
+        "option",
+        F.when(known, F.concat(F.lit("Source UID: "), "source_uid"))
+        .otherwise("Source UID: Not available (from legacy export)")
+        .alias("source"),
+        F.coalesce(plain(part("resourceStrategyType")), F.lit("N/A")).alias("resource_strategy"),
+        is_set(part("autoRetryEnabled")).alias("auto_retry_enabled"),
+        is_set(part("isUserMarkedReference")).alias("is_user_marked_reference"),
+        parsed.isNull().alias("invalid_json"),
     )
 
 

@@ -204,6 +204,12 @@ def failed_pages(pages: DataFrame, body: str, element: str) -> DataFrame:
     )
 
 
+def failed_rule_pages(pages: DataFrame, body: str) -> DataFrame:
+    """One row: pages read and pages without a rule list."""
+    listed = F.try_variant_get(F.try_parse_json(F.col(body)), "$.rules", "variant").isNotNull()
+    return pages.agg(F.count(F.lit(1)).alias("pages"), F.count_if(~listed).alias("failed_pages"))
+
+
 def page_rules(pages: DataFrame, body: str, rule: str) -> DataFrame:
     """Rules of page snapshots; an element is either the rule or an object that wraps it."""
     name, fields = "rules", rule
@@ -214,6 +220,11 @@ def page_rules(pages: DataFrame, body: str, rule: str) -> DataFrame:
     return exploded.select(F.coalesce(F.col("_r.rule"), bare).alias("rule")).select("rule.*")
 
 
+def preview(df: DataFrame, rows: int, *order: str | Column) -> DataFrame:
+    """The first few rows in a given order, for display."""
+    return df.orderBy(*order).limit(rows)
+
+
 def with_status(df: DataFrame, statuses: str, column: str = "status") -> DataFrame:
     """Keep rows in the listed statuses; ``ALL`` keeps everything."""
     if statuses.strip().upper() == "ALL":

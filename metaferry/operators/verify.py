@@ -109,7 +109,9 @@ def verify_configs(expected: DataFrame, target_ids: DataFrame, actual: DataFrame
         .select(
             "target_uid",
             "asset_id",
-            F.col("actual_json").isNotNull().alias("_found"),
+            F.coalesce(F.map_contains_key(F.col("_actual").try_cast("map<string,variant>"), "assetConfiguration"), F.lit(False)).alias(
+                "_found"
+            ),
             F.col("_expected").isNull().alias("_broken"),
             config_status(F.col("_expected")).alias("_status"),
             setting_texts(F.col("_expected")).alias("_want"),
@@ -128,8 +130,8 @@ def verify_configs(expected: DataFrame, target_ids: DataFrame, actual: DataFrame
     labels = F.array_join(F.transform("_diff", lambda d: d["label"]), ", ")
     result = checked.withColumn("status", status)
     error = (
-        F.when(F.col("status") == "asset_not_found", F.concat(F.lit("Asset not found for UID: "), "target_uid"))
-        .when(F.col("status") == "config_not_found", F.concat(F.lit("Configuration not found for asset ID: "), "asset_id"))
+        F.when(F.col("status") == "asset_not_found", F.concat(F.lit("No asset found for UID: "), "target_uid"))
+        .when(F.col("status") == "config_not_found", F.concat(F.lit("No configuration found for asset ID: "), "asset_id"))
         .when(F.col("status") == "error", F.lit("Invalid expected config JSON"))
         .when(F.col("status") == "mismatch", F.concat(F.lit("Configuration mismatch: "), labels))
     )
@@ -195,7 +197,7 @@ def verify_profiles(imported: DataFrame, target_ids: DataFrame, profiles: DataFr
     ids = parsed["profileNotificationChannels"]["configuredNotificationGroupIds"]
     status = (
         F.when(F.col("asset_id").isNull(), "asset_not_found")
-        .when(F.col("profile_json").isNull(), "profile_not_found")
+        .when(F.trim(F.coalesce("profile_json", F.lit("null"))).isin("null", "{}", "[]"), "profile_not_found")
         .when(F.try_parse_json("profile_json").isNull(), "error")
         .otherwise("success")
     )

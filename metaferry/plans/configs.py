@@ -56,7 +56,7 @@ def config_import(
     """Payloads for configurations ``(target_uid, config_json, ordinal)`` after resolving duplicates."""
     kept, undecided = resolve_duplicates(rows, "target_uid", "ordinal", choices, default)
     plan = config.config_import_plan(kept.select("target_uid", "config_json"), target_ids)
-    return ImportPlan(plan, undecided, config.reason_counts(plan))
+    return ImportPlan(plan, undecided, config.skip_counts(plan))
 
 
 def profile_import(

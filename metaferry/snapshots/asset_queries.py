@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from metaferry.functions import rename, text
 from metaferry.operators import inventory, ranking, tags
+from metaferry.plans import assets as jobs
 from metaferry.snapshots.registry import Inputs, query
 
 # Renames between the two environments; the last pair must not act on the result of the first.
@@ -542,3 +543,28 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     return tags.tag_coverage(_rule_tags(i))
+
+
+@query("failed_rule_pages", "SELECT count(*) AS pages, count(*) FILTER (o_orderstatus = 'P') AS failed_pages FROM $orders")
+def _(i: Inputs):
+    body = F.when(F.col("o_orderstatus") == "P", F.lit('{"error":1}')).otherwise(F.lit('{"rules":[{"id":1}]}'))
+    return inventory.failed_rule_pages(i.orders.select(body.alias("body")), "body")
+
+
+@query("inventory_preview", "SELECT source_uid, source_id FROM $source_inventory ORDER BY source_uid LIMIT 5")
+def _(i: Inputs):
+    return inventory.preview(i.source_inventory.select("source_uid", "source_id"), 5, "source_uid")
+
+
+@query(
+    "asset_inventory",
+    _PAGED
+    + """, rows AS (SELECT o_orderkey AS id, concat('a', o_custkey) AS uid FROM o WHERE kind < 4
+        UNION ALL SELECT 1, '' FROM o WHERE kind = 2),
+    ids AS (SELECT DISTINCT id FROM rows)
+    SELECT ids.id AS source_id, CASE WHEN ids.id = 1 THEN (SELECT concat('a', o_custkey) FROM $orders WHERE o_orderkey = 1)
+        ELSE (SELECT uid FROM rows WHERE rows.id = ids.id) END AS source_uid FROM ids WHERE ids.id <> 1
+    UNION ALL SELECT 1, concat('a', o_custkey) FROM $orders WHERE o_orderkey = 1""",
+)
+def _(i: Inputs):
+    return jobs.asset_inventory(_pages(i)).assets.select("source_id", "source_uid")

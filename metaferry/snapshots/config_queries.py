@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from metaferry.functions import text
-from metaferry.operators import config, inventory, notify, profiling, verify
+from metaferry.operators import config, inventory, notify, profiling, ranking, verify
+from metaferry.plans import configs as jobs
 from metaferry.snapshots.asset_queries import MERGED, asset_map
 from metaferry.snapshots.registry import Inputs, query
 
@@ -18,7 +19,7 @@ _CLASS = """CASE c_custkey % 29 WHEN 3 THEN 'unparsable' WHEN 4 THEN 'null_confi
     f"""WITH c AS (SELECT {_CLASS} AS kind FROM $expected_configs)
     SELECT count(*) AS total, count(*) FILTER (kind = 'with_config') AS with_config,
            count(*) FILTER (kind = 'null_config') AS null_config, count(*) FILTER (kind = 'missing_field') AS missing_field,
-           CAST(0 AS BIGINT) AS invalid_format, count(*) FILTER (kind = 'unparsable') AS unparsable FROM c""",
+           count(*) FILTER (kind = 'unparsable') AS unparsable FROM c""",
 )
 def _(i: Inputs):
     return config.config_census(i.expected_configs)
@@ -42,9 +43,9 @@ def _(i: Inputs):
 
 @query(
     "config_problems",
-    """SELECT CASE WHEN c_custkey % 37 = 1 THEN '' ELSE target_uid END AS target_uid,
-           CASE WHEN c_custkey % 37 = 1 THEN 'blank_key' ELSE 'invalid_json' END AS problem
-    FROM $expected_configs WHERE c_custkey % 37 = 1 OR c_custkey % 29 = 3""",
+    """SELECT '' AS target_uid, 'blank_key' AS problem FROM $expected_configs WHERE c_custkey % 37 = 1
+    UNION ALL SELECT CASE WHEN c_custkey % 37 = 1 THEN '' ELSE target_uid END, 'invalid_json'
+    FROM $expected_configs WHERE c_custkey % 29 = 3""",
 )
 def _(i: Inputs):
     key = F.when(F.col("c_custkey") % 37 == 1, "").otherwise(F.col("target_uid"))
@@ -53,18 +54,19 @@ def _(i: Inputs):
 
 _PLAN = f"""WITH p AS (
     SELECT e.target_uid, e.c_custkey AS k, t.asset_id, e.config_json,
-           CASE WHEN t.asset_id IS NULL THEN concat('No asset found for UID: ', e.target_uid)
+           CASE WHEN t.asset_id IS NULL THEN 'Asset not found in target'
                 WHEN {_CLASS} = 'missing_field' THEN 'No assetConfiguration field in config'
                 WHEN {_CLASS} = 'null_config' THEN 'assetConfiguration is null (default config)'
-                WHEN {_CLASS} = 'unparsable' THEN 'Invalid JSON' END AS reason
+                WHEN {_CLASS} = 'unparsable' THEN 'Exception occurred' END AS reason,
+           CASE WHEN t.asset_id IS NULL OR {_CLASS} = 'unparsable' THEN 'failed' WHEN reason IS NOT NULL THEN 'skipped'
+                ELSE 'importable' END AS status
     FROM $expected_configs e LEFT JOIN $target_ids t ON e.target_uid = t.target_uid)"""
 
 
 @query(
     "config_import_plan",
     _PLAN
-    + """ SELECT target_uid, CASE WHEN asset_id IS NULL THEN 'failed' WHEN reason IS NOT NULL THEN 'skipped'
-            ELSE 'importable' END AS status, coalesce(reason, '') AS reason,
+    + """ SELECT target_uid, status, coalesce(reason, '') AS reason,
         CASE WHEN reason IS NULL THEN CAST(asset_id AS VARCHAR) ELSE '' END AS top_id,
         CASE WHEN reason IS NULL THEN CAST(asset_id AS VARCHAR) ELSE '' END AS freshness_id,
         CASE WHEN reason IS NULL THEN json_extract_string(config_json, '$.assetConfiguration.extra[0]') ELSE '' END AS extra,
@@ -90,10 +92,10 @@ def _(i: Inputs):
 
 @query(
     "config_skip_reasons",
-    _PLAN + " SELECT reason, count(*) AS n FROM p WHERE reason IS NOT NULL GROUP BY reason",
+    _PLAN + " SELECT reason, count(*) AS n FROM p WHERE status = 'skipped' GROUP BY reason",
 )
 def _(i: Inputs):
-    return config.reason_counts(config.config_import_plan(i.expected_configs, i.target_ids))
+    return config.skip_counts(config.config_import_plan(i.expected_configs, i.target_ids))
 
 
 @query(
@@ -294,8 +296,8 @@ def _(i: Inputs):
 @query(
     "profile_import_plan",
     f"""WITH {_PROFILE_IDS} SELECT p.target_uid,
-        CASE WHEN c_custkey % 31 = 3 THEN 'Invalid JSON' WHEN t.asset_id IS NULL THEN concat('No asset found for UID: ', p.target_uid)
-             ELSE '' END AS reason,
+        CASE WHEN t.asset_id IS NULL THEN concat('No asset found for UID: ', p.target_uid)
+             WHEN c_custkey % 31 = 3 THEN concat('Invalid JSON in profile_json for UID ', p.target_uid) ELSE '' END AS reason,
         CASE WHEN c_custkey % 31 = 3 OR t.asset_id IS NULL THEN 'failed' ELSE 'importable' END AS status,
         CASE WHEN c_custkey % 31 = 3 OR t.asset_id IS NULL THEN '' WHEN c_custkey % 31 = 4 THEN 'null'
              ELSE concat('[', coalesce(mapped_ids, ''), ']') END AS ids,
@@ -420,8 +422,8 @@ def _(i: Inputs):
         CASE WHEN status IN ('success', 'mismatch') THEN lower(c_mktsegment) ELSE 'N/A' END AS "Resource_Strategy",
         'No' AS "Auto_Retry_Enabled", 'No' AS "Is_User_Marked_Reference", 'No' AS "Is_Reference_Check_Valid",
         'No' AS "Has_Reference_Check_Config",
-        CASE status WHEN 'asset_not_found' THEN concat('Asset not found for UID: ', target_uid)
-            WHEN 'config_not_found' THEN concat('Configuration not found for asset ID: ', asset_id)
+        CASE status WHEN 'asset_not_found' THEN concat('No asset found for UID: ', target_uid)
+            WHEN 'config_not_found' THEN concat('No configuration found for asset ID: ', asset_id)
             WHEN 'error' THEN 'Invalid expected config JSON' WHEN 'mismatch' THEN concat('Configuration mismatch: ', labels)
             ELSE '' END AS "Error_Message",
         CASE status WHEN 'success' THEN 'All configurations match' WHEN 'mismatch' THEN labels ELSE '' END AS "Verification_Details"
@@ -444,8 +446,8 @@ def _(i: Inputs):
     "config_failure_counts",
     _VERIFY
     + """ SELECT CASE status WHEN 'error' THEN 'Invalid expected config JSON' WHEN 'mismatch' THEN concat('Configuration mismatch: ', labels)
-            WHEN 'asset_not_found' THEN concat('Asset not found for UID: ', target_uid)
-            ELSE concat('Configuration not found for asset ID: ', asset_id) END AS reason, count(*) AS n
+            WHEN 'asset_not_found' THEN concat('No asset found for UID: ', target_uid)
+            ELSE concat('No configuration found for asset ID: ', asset_id) END AS reason, count(*) AS n
     FROM s WHERE status <> 'success' GROUP BY 1""",
 )
 def _(i: Inputs):
@@ -595,3 +597,86 @@ def _(i: Inputs):
 def _(i: Inputs):
     raw = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("-"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string"))
     return profiling.numeric_assets(i.orders.select(raw.alias("assetId"))).select(F.col("assetId").cast("long").alias("assetId"))
+
+
+_TWICE = """twice AS (
+    SELECT c_custkey AS k, concat('u', c_nationkey, '_', c_custkey % 50) AS target_uid, c_mktsegment, c_acctbal FROM $customer),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY target_uid ORDER BY k) AS option,
+        count(*) OVER (PARTITION BY target_uid) AS copies FROM twice)"""
+
+
+@query(
+    "profile_options",
+    f"""WITH {_TWICE} SELECT target_uid, option, k % 2 = 0 AS has_notifications, k % 3 = 0 AS has_schedule,
+        k % 5 = 0 AS is_enabled, CASE WHEN c_acctbal > 5000 THEN concat('src', k) WHEN k % 7 = 0 THEN concat('json', k)
+            ELSE concat('Config #', option, ' (no source UID)') END AS source
+    FROM numbered WHERE copies > 1""",
+)
+def _(i: Inputs):
+    document = """concat('{"profileSettingsConfigs":{"enabled":', c_custkey % 5 = 0, ',"schedule":"',
+        CASE WHEN c_custkey % 3 = 0 THEN 'daily' ELSE '' END, '","profileNotificationChannels":{"configuredNotificationGroupIds":[',
+        CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '' END, ']}}', CASE WHEN c_custkey % 7 = 0 THEN
+        concat(',"sourceUid":"json', c_custkey, '"') ELSE '' END, '}')"""
+    rows = i.customer.selectExpr(
+        "concat('u', c_nationkey, '_', c_custkey % 50) AS target_uid",
+        f"{document} AS profile_json",
+        "CASE WHEN c_acctbal > 5000 THEN concat(' src', c_custkey) WHEN c_acctbal > 2500 THEN 'Unknown' ELSE '' END AS given",
+        "c_custkey AS ordinal",
+    )
+    return config.profile_options(ranking.candidates(rows, "target_uid", "ordinal"), "given")
+
+
+@query(
+    "config_options",
+    f"""WITH {_TWICE} SELECT target_uid, option, CASE WHEN c_acctbal > 5000 THEN concat('Source UID: src', k)
+            ELSE 'Source UID: Not available (from legacy export)' END AS source,
+        CASE WHEN k % 29 = 3 OR k % 4 = 0 THEN 'N/A' ELSE lower(c_mktsegment) END AS resource_strategy,
+        k % 29 <> 3 AND k % 3 = 0 AS auto_retry_enabled, k % 29 <> 3 AND k % 5 = 0 AS is_user_marked_reference,
+        k % 29 = 3 AS invalid_json
+    FROM numbered WHERE copies > 1""",
+)
+def _(i: Inputs):
+    document = """CASE WHEN c_custkey % 29 = 3 THEN '{' ELSE concat('{"assetConfiguration":{"autoRetryEnabled":',
+        CASE WHEN c_custkey % 3 = 0 THEN '1' ELSE 'null' END, ',"isUserMarkedReference":', c_custkey % 5 = 0,
+        CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat(',"resourceStrategyType":"', lower(c_mktsegment), '"') END, '}}') END"""
+    rows = i.customer.selectExpr(
+        "concat('u', c_nationkey, '_', c_custkey % 50) AS target_uid",
+        f"{document} AS config_json",
+        "CASE WHEN c_acctbal > 5000 THEN concat('src', c_custkey) WHEN c_acctbal > 2500 THEN 'Unknown' ELSE ' ' END AS source_uid",
+        "c_custkey AS ordinal",
+    )
+    return config.config_options(ranking.candidates(rows, "target_uid", "ordinal"))
+
+
+@query(
+    "segment_export",
+    """SELECT target_uid, concat('t', id) AS source_uid, 'a' AS kind FROM (
+        SELECT id, concat('x', id) AS target_uid FROM $policies WHERE id % 6 >= 3 AND type <> 'EQUALITY')""",
+)
+def _(i: Inputs):
+    pairs = i.policies.selectExpr("concat('t', id) AS source_uid", "concat('x', id) AS target_uid")
+    ids = F.array(F.struct(F.when(F.col("type") != "EQUALITY", F.col("id")).alias("id")))
+    responses = i.policies.select(F.concat(F.lit("t"), "id").alias("source_uid"), ids.alias("data"))
+    stored = _segment_documents(i).select(
+        F.regexp_extract("target_uid", r"(\d+)", 1).cast("long").alias("asset_id"), "segments_json"
+    )
+    rows = jobs.segment_export(pairs, responses, stored).rows
+    return rows.select("target_uid", F.replace("target_uid", F.lit("x"), F.lit("t")).alias("source_uid"), F.lit("a").alias("kind"))
+
+
+@query(
+    "config_export",
+    f"""WITH {MERGED} SELECT m.target_uid, m.source_uid, e.config_json, concat('{{"a":', m.source_id, '}}')
+        AS asset_profile_anomaly_config_json, '{{}}' AS source_children_json, '{{}}' AS target_children_json
+    FROM merged m JOIN $expected_configs e ON m.source_id = CAST(e.c_custkey AS VARCHAR)""",
+)
+def _(i: Inputs):
+    key = F.col("c_custkey").cast("string").alias("source_id")
+    configs = i.expected_configs.select(key, "config_json")
+    anomalies = i.customer.select(key, F.concat(F.lit('{"a":'), "c_custkey", F.lit("}")).alias("anomaly_json"))
+    listed = F.array(F.struct(F.lit(1).alias("asset_id"), F.lit("x").alias("uid")))
+    none = F.filter(listed, lambda _: F.lit(False)).alias("child_assets")
+    sources = i.customer.select(F.col("c_custkey").alias("asset_id"), none)
+    targets = asset_map(i).select(F.col("target_id").alias("asset_id"), none)
+    mapping = asset_map(i).select("source_id", "source_uid", "target_id", "target_uid")
+    return jobs.config_export(mapping, configs, anomalies, sources, targets).rows

@@ -36,6 +36,7 @@ def test_asset_id_is_set_and_the_rest_kept(spark):
         ('{"a":1}', "missing_field"),
         ('{"assetConfiguration":[1]}', "invalid_format"),
         ("{", "unparsable"),
+        ("[1]", "missing_field"),
     ],
 )
 def test_config_class(spark, document, kind):
@@ -59,9 +60,7 @@ def test_config_import_job(spark, rows):
         ("u2", "skipped", None),
         ("u3", "failed", None),
     ]
-    assert rows(job.reasons) == [
-        ("No asset found for UID: u3", 1), ("assetConfiguration is null (default config)", 1)
-    ]
+    assert rows(job.reasons) == [("assetConfiguration is null (default config)", 1)]
     undecided = jobs.config_import(df, ids, default="error")
     assert rows(undecided.undecided, "target_uid", "option") == [("u1", 1), ("u1", 2)]
     assert rows(undecided.plan, "target_uid") == [("u2",), ("u3",)]
@@ -80,7 +79,9 @@ def test_profile_ids_are_mapped_in_order(spark, rows):
     channels = json.loads(plan["u1"].payload)["profileSettingsConfigs"]["profileNotificationChannels"]
     assert channels == {"x": 1, "configuredNotificationGroupIds": [30, 20, 30]}
     assert plan["u2"].payload == '{"a":1}'
-    assert (plan["u3"].status, plan["u3"].reason) == ("failed", "Invalid JSON")
+    assert (plan["u3"].status, plan["u3"].reason) == ("failed", "Invalid JSON in profile_json for UID u3")
+    unmapped = {r.target_uid: r for r in jobs.profile_import(df, ids, mapping.limit(0)).plan.collect()}
+    assert unmapped["u1"].payload == document
     mapped = config.map_notification_ids(df.filter("target_uid = 'u1'"), mapping)
     assert rows(mapped) == [("u1", [30, 20, 30], [1])]
 
@@ -164,7 +165,8 @@ def test_verify_statuses_and_reports(spark, rows):
     actual = spark.createDataFrame(
         [
             (1, '{"assetConfiguration":{"timeZone":"UTC","sparkResourceConfig":{"a":1},"resourceStrategyType":null}}'),
-            (3, "{}"),
+            (3, '{"assetConfiguration":null}'),
+            (2, '{"other":1}'),
             (4, '{"assetConfiguration":{"timeZone":"","autoRetryEnabled":true}}'),
         ],
         "asset_id long, actual_json string",
@@ -188,16 +190,17 @@ def test_verify_statuses_and_reports(spark, rows):
 
 
 def test_verify_profiles(spark, rows):
-    imported = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "target_uid string")
-    ids = spark.createDataFrame([("a", 1), ("b", 2), ("d", 4)], "target_uid string, asset_id long")
+    imported = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",)], "target_uid string")
+    ids = spark.createDataFrame([("a", 1), ("b", 2), ("d", 4), ("e", 5)], "target_uid string, asset_id long")
     full = {"profileSettingsConfigs": {"enabled": True, "schedule": "x", "profileNotificationChannels": {"configuredNotificationGroupIds": [5, 6]}}}
-    profiles = spark.createDataFrame([(1, json.dumps(full)), (4, "{}")], "asset_id long, profile_json string")
+    profiles = spark.createDataFrame([(1, json.dumps(full)), (4, "{}"), (5, '{"x":1}')], "asset_id long, profile_json string")
     job = jobs.verify_profiles(imported, ids, profiles)
     assert rows(job.report, "Target_UID", "Verification_Details") == [
         ("a", "Asset ID: 1 | Notifications: Yes | Schedule: Yes | Enabled: Yes | Notification IDs: 5, 6"),
         ("b", "Error: Profile configuration not found for asset ID: 2"),
         ("c", "Error: Asset not found for UID: c"),
-        ("d", "Asset ID: 4 | Notifications: No | Schedule: No | Enabled: No"),
+        ("d", "Error: Profile configuration not found for asset ID: 4"),
+        ("e", "Asset ID: 5 | Notifications: No | Schedule: No | Enabled: No"),
     ]
 
 
