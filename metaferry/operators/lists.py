@@ -10,26 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.operators.joins import hot_join
-
-PART_SIZE = 10_000
+PART_SIZE = 100_000
 
 
 def large_keys(df: DataFrame, key: str, part_size: int = PART_SIZE) -> DataFrame:
     """Keys with over ``part_size`` rows and the number of parts they are spread over.
 
-    At most one key in ``part_size`` rows is that large, so the result is small,
-    and most often empty, in which case Spark drops joins with it at run time.
+    At most one key in ``part_size`` rows is that large, so the result is small
+    next to the data (ten million keys in a trillion rows at the very most) and
+    mostly empty. That bound is what allows it to be broadcast.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > part_size)
-    return counted.select(key, F.ceil(F.col("_rows") / part_size).alias("_parts"))
+    return F.broadcast(counted.select(key, F.ceil(F.col("_rows") / part_size).alias("_parts")))
 
 
 def with_list_part(df: DataFrame, key: str, *element: str, part_size: int = PART_SIZE) -> DataFrame:
     """Add ``list_part``: 0, or for large keys a part by hash of the element."""
     part = F.pmod(F.xxhash64(*element), F.col("_parts"))
     return (
-        hot_join(df, large_keys(df, key, part_size), key, "left")
+        df.join(large_keys(df, key, part_size), key, "left")
         .withColumn("list_part", F.coalesce(part, F.lit(0)).cast("int"))
         .drop("_parts")
     )

@@ -65,9 +65,9 @@ def missing_groups(use: DataFrame, groups: DataFrame) -> DataFrame:
 
     One row per use rather than one list per group: a group may be used by very many rules.
     """
-    lost = absent(use, groups.select(F.col("id").alias("group_id")), "group_id")
-    counted = lost.groupBy("group_id").agg(F.count(F.lit(1)).alias("referenced_by"))
-    return hot_join(lost, counted, "group_id").select("group_id", "referenced_by", "rule_id", "rule_name")
+    counted = use.groupBy("group_id").agg(F.count(F.lit(1)).alias("referenced_by"))
+    lost = absent(counted, groups.select(F.col("id").alias("group_id")), "group_id")
+    return hot_join(use, lost, "group_id").select("group_id", "referenced_by", "rule_id", "rule_name")
 
 
 def missing_group_ids(use: DataFrame, groups: DataFrame) -> DataFrame:

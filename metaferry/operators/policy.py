@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.text import first_in_list, has_text, or_blank, slug, sort_number, split_list, strip
-from metaferry.operators.joins import absent, hot_join, present
+from metaferry.operators.joins import absent, hot_join
 from metaferry.operators.lists import PART_SIZE, large_keys, with_list_part
 from metaferry.operators.ranking import batches
 
@@ -101,12 +101,17 @@ def references_view(policy_list: DataFrame) -> DataFrame:
 def policies_on_target(policies: DataFrame, backing: DataFrame, known_ids: DataFrame) -> DataFrame:
     """Policies without table assets, or with at least one asset among ``known_ids(table_asset_id)``.
 
-    Both tests are semi joins on narrow id columns.
+    The backing assets are read once, as ids, and come down to one flag per policy before they meet the policies.
     """
-    usable = usable_backing(backing)
-    covered = present(usable, known_ids, "table_asset_id").select(F.col("policy_id").alias("id"))
-    bare = absent(policies, usable.select(F.col("policy_id").alias("id")), "id")
-    return present(policies, covered, "id").unionByName(bare)
+    known = known_ids.select("table_asset_id").distinct().withColumn("_known", F.lit(True))
+    assets = usable_backing(backing).select("policy_id", "table_asset_id")
+    found = F.coalesce("_known", F.lit(False))
+    covered = (
+        hot_join(assets, known, "table_asset_id", "left")
+        .groupBy(F.col("policy_id").alias("id"))
+        .agg(F.max(found).alias("_covered"))
+    )
+    return policies.join(covered, "id", "left").filter(F.coalesce("_covered", F.lit(True))).select(*policies.columns)
 
 
 def policies_on_target_or_view(
@@ -175,7 +180,7 @@ def policy_list(
         .withColumn("ids", F.transform("_assets", lambda e: e["table_asset_id"].cast("string")))
         .withColumn("types", F.transform("_assets", lambda e: or_blank(e["asset_type"])))
     )
-    split = present(usable, large_keys(usable, "policy_id", part_size), "policy_id")
+    split = usable.join(large_keys(usable, "policy_id", part_size), "policy_id", "left_semi")
     whole = (
         backing_details(split, assets, assemblies)
         .groupBy(F.col("policy_id").alias("id"))

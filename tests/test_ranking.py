@@ -157,7 +157,7 @@ def test_hot_key_among_candidates(spark):
 
 
 def test_hot_group_is_split_among_missing_groups(spark, small_skew_limits):
-    # A third of all uses name the same missing group, which was grouped and joined by id before.
+    # A third of all uses name the same missing group; the other side was grouped and joined by id before.
     group = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
     use = spark.range(0, 60000, 1, 8).select(
         group.alias("group_id"), F.col("id").alias("rule_id"), F.lit("rule").alias("rule_name")
@@ -167,4 +167,4 @@ def test_hot_group_is_split_among_missing_groups(spark, small_skew_limits):
     got = lost.groupBy("referenced_by").count().collect()
     assert {(r.referenced_by, r["count"]) for r in got if r.referenced_by > 1} == {(20000, 20000)}
     lost.collect()
-    assert final_plan(lost).count("skew=true") >= 2
+    assert "skew=true" in final_plan(lost)
