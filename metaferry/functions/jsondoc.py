@@ -8,11 +8,10 @@ document comes back byte for byte except for the values that changed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from metaferry.functions.binding import bind
 from metaferry.functions.rename import Renames, as_pairs, mentions_any, rename_words
 from metaferry.functions.text import strip
 
@@ -21,11 +20,6 @@ _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:\s*)?|[^"]++'
 _AFTER_KEY = ": \t\r\n"
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def tokens(document: Column) -> Column:
     return F.regexp_extract_all(document, F.lit(_TOKEN), F.lit(0))
 

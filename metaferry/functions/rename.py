@@ -3,7 +3,9 @@
 A rename list is ordered. In the *atomic* form every source word is first
 swapped for a placeholder and all placeholders then become targets, so that one
 rename never feeds another and earlier pairs win where two overlap. Both steps
-are plain ``regexp_replace`` / ``replace`` calls that stay in generated code.
+are plain ``regexp_replace`` / ``replace`` calls that stay in generated code. A
+long rename list would make that expression too deep, so it is folded at run
+time over an array of pairs instead.
 """
 
 from __future__ import annotations
@@ -15,8 +17,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metaferry.functions.binding import bind
+
 Renames = Mapping[str, str] | Sequence[tuple[str, str]]
 
+# Lists beyond this length are folded at run time.
+_LONG = 40
+
 # A word character is a letter or number of any script, or an underscore.
 _WORD = r"\p{L}\p{N}_"
 
@@ -56,14 +63,38 @@ def rename_words(value: Column, renames: Renames | None) -> Column:
     pairs = as_pairs(renames)
     if not pairs:
         return value
-    marked = _mark(value, pairs)
-    for number, (_, target) in enumerate(pairs):
-        marked = F.replace(marked, F.lit(_placeholder(number)), F.lit(target))
+    if len(pairs) > _LONG:
+        renamed = F.reduce(_table(pairs), _mark(value, pairs), lambda text, p: F.replace(text, p["mark"], p["target"]))
+    else:
+        renamed = _mark(value, pairs)
+        for number, (_, target) in enumerate(pairs):
+            renamed = F.replace(renamed, F.lit(_placeholder(number)), F.lit(target))
     # Most values hold none of the words: a plain substring test spares them the regexes.
-    return F.when(mentions_any(value, pairs), marked).otherwise(value)
+    return F.when(mentions_any(value, pairs), renamed).otherwise(value)
+
+
+def _table(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Pairs as a constant array of structs."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(source).alias("source"),
+                F.lit(whole_word(source)).alias("pattern"),
+                F.lit(_placeholder(number)).alias("mark"),
+                F.lit(target).alias("target"),
+            )
+            for number, (source, target) in enumerate(pairs)
+        ]
+    )
 
 
 def _mark(value: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    if len(pairs) > _LONG:
+        return F.reduce(
+            _table(pairs),
+            value,
+            lambda text, p: F.when(F.contains(text, p["source"]), F.regexp_replace(text, p["pattern"], p["mark"])).otherwise(text),
+        )
     for number, (source, _) in enumerate(pairs):
         value = F.regexp_replace(value, whole_word(source), _placeholder(number))
     return value
@@ -74,13 +105,17 @@ def renames_used(value: Column, renames: Renames | None) -> Column:
     pairs = as_pairs(renames)
     if not pairs:
         return F.lit(0)
-    marked = _mark(value, pairs)
-    hits = [marked.contains(_placeholder(number)).cast("int") for number in range(len(pairs))]
-    return F.when(mentions_any(value, pairs), reduce(lambda a, b: a + b, hits)).otherwise(0)
+    marks = F.array(*[F.lit(_placeholder(number)) for number in range(len(pairs))])
+    used = bind(_mark(value, pairs), lambda marked: F.size(F.filter(marks, lambda mark: F.contains(marked, mark))))
+    return F.when(mentions_any(value, pairs), used).otherwise(0)
 
 
 def mentions_any(value: Column, renames: Renames) -> Column:
-    return reduce(lambda a, b: a | b, [value.contains(source) for source, _ in as_pairs(renames)])
+    """True when a value holds one of the source words, as a word or not."""
+    sources = [source for source, _ in as_pairs(renames)]
+    if len(sources) > _LONG:
+        return F.exists(F.array(*[F.lit(s) for s in sources]), lambda source: F.contains(value, source))
+    return reduce(lambda a, b: a | b, [value.contains(source) for source in sources])
 
 
 def rename_words_in_turn(value: Column, renames: Renames | None) -> Column:

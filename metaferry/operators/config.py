@@ -322,8 +322,8 @@ def with_segments(df: DataFrame, document: str = "segments_json") -> DataFrame:
     return df.filter(F.coalesce(F.size(segments(F.col(document))) > 0, F.lit(False)))
 
 
-def segment_payload(document: Column) -> Column:
-    """Segments as they are created in the target: ids cleared, defaults filled in."""
+def segment_payload(parsed: Column) -> Column:
+    """JSON text of ``segments(document)`` as they are created in the target: ids cleared, defaults filled in."""
     no_id = F.lit(None).cast("long").alias("id")
 
     def text(value: str) -> Column:
@@ -345,24 +345,26 @@ def segment_payload(document: Column) -> Column:
             F.transform(given, condition).alias("conditions"),
         )
 
-    return F.to_json(F.transform(segments(document), segment), {"ignoreNullFields": "false"})
+    return F.to_json(F.transform(parsed, segment), {"ignoreNullFields": "false"})
 
 
 def segment_import_plan(rows: DataFrame, target_ids: DataFrame) -> DataFrame:
     """Payload, or the reason of failure, for every segment document."""
     joined = usable_rows(rows, "target_uid", "segments_json").join(target_ids, "target_uid", "left")
-    found = segments(F.col("segments_json"))
+    found = F.col("_segments")
     reason = (
         F.when(F.try_parse_json("segments_json").isNull(), "Invalid JSON")
         .when(found.isNull(), "No segments array")
         .when(F.col("asset_id").isNull(), "No asset found")
     )
-    return joined.select(
+    parsed = joined.withColumn("_segments", segments(F.col("segments_json"))).withColumn("reason", reason)
+    ready = F.col("reason").isNull()
+    return parsed.select(
         "target_uid",
         "asset_id",
-        reason.alias("reason"),
-        F.when(reason.isNull(), F.size(found)).alias("segments"),
-        F.when(reason.isNull(), segment_payload(F.col("segments_json"))).alias("payload"),
+        "reason",
+        F.when(ready, F.size(found)).alias("segments"),
+        F.when(ready, segment_payload(found)).alias("payload"),
     )
 
 

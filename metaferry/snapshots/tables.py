@@ -58,9 +58,9 @@ SNAPSHOTS = {
                o_custkey, o_orderkey AS ordinal
         FROM $orders""",
     "backing": """
-        SELECT DISTINCT l_orderkey AS policy_id, l_linenumber AS position, l_partkey AS table_asset_id,
-               concat('PROD_DB.ASSET_', l_partkey) AS uid
-        FROM $lineitem""",
+        SELECT policy_id, position, table_asset_id, concat('PROD_DB.ASSET_', table_asset_id) AS uid
+        FROM (SELECT DISTINCT l_orderkey AS policy_id, l_linenumber AS position, l_partkey AS table_asset_id
+              FROM $lineitem) AS lines""",
     "versions": """
         SELECT l_orderkey AS policy_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS rule_version,
                l_partkey * 10000000000 + l_suppkey * 100000

@@ -92,6 +92,13 @@ def test_columns_and_target_uid(spark, rows):
     assert rows(rename.rename_target_uid(df, pairs)) == [("PROD_DB.a", "id1", "DEV_DB.table1", "PROD_DB:x", 7)]
 
 
+def test_long_lists(spark):
+    pairs = [(f"w{n}", f"w{n + 1}") for n in range(400)] + [("a.b", "$1"), ("é", "w3")]
+    values = ["w1 w399 xw5 w5x w12", "a.b.w7 é", "none", " ".join(f"w{n}" for n in range(400))]
+    assert run(spark, values, rename.rename_words(F.col("v"), pairs)) == [expected(v, pairs) for v in values]
+    assert run(spark, values, rename.renames_used(F.col("v"), pairs)) == [3, 3, 0, 400]
+
+
 def test_renames_used_counts_pairs(spark):
     pairs = [("A", "B"), ("B", "C"), ("Q", "R")]
     assert run(spark, ["A.B", "A", "x"], rename.renames_used(F.col("v"), pairs)) == [2, 1, 0]
