@@ -53,14 +53,18 @@ _CHUNK_BYTES = 8 << 20
 
 def _archive_rows(bundle: str, content: bytes) -> Iterator[tuple]:
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            members = [m for m in archive.namelist() if not m.endswith("/")]
-            if not members:
-                yield bundle, None, None, "empty archive"
-            for member in members:
-                yield bundle, member, archive.read(member), None
-    except zipfile.BadZipFile as problem:
+        archive = zipfile.ZipFile(io.BytesIO(content))
+    except (zipfile.BadZipFile, ValueError, NotImplementedError) as problem:
         yield bundle, None, None, f"bad archive: {problem}"
+        return
+    members = [m for m in archive.namelist() if not m.endswith("/")]
+    if not members:
+        yield bundle, None, None, "empty archive"
+    for member in members:
+        try:
+            yield bundle, member, archive.read(member), None
+        except Exception as problem:  # noqa: BLE001  damaged, encrypted or unknown packing: one error row
+            yield bundle, member, None, f"unreadable member: {problem}"
 
 
 def _open_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

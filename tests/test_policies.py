@@ -149,6 +149,13 @@ def bundle_dir(tmp_path_factory):
     with zipfile.ZipFile(folder / "empty.zip", "w"):
         pass
     (folder / "bad.zip").write_bytes(b"PK not a zip")
+    damaged = folder / "damaged.zip"
+    with zipfile.ZipFile(damaged, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.json", "x" * 1000)
+        z.writestr("b.json", "{}")
+    raw = bytearray(damaged.read_bytes())
+    raw[36:44] = b"\xff" * 8
+    damaged.write_bytes(bytes(raw))
     (folder / "loose.json").write_text('{"uid": "PROD_DB.loose"}')
     return str(folder)
 
@@ -157,6 +164,8 @@ def test_read_bundles(spark, bundle_dir, rows):
     members = bundles.read_bundles(spark, bundle_dir)
     assert rows(members, "bundle", "member", "kind", F.col("error").isNotNull()) == [
         ("bad.zip", None, "Other/Unknown", True),
+        ("damaged.zip", "a.json", "Other/Unknown", True),
+        ("damaged.zip", "b.json", "Other/Unknown", False),
         ("empty.zip", None, "Other/Unknown", True),
         ("one.ZIP", "broken.json", "Other/Unknown", False),
         ("one.ZIP", "data_quality_policy_definitions.json", "Data Quality Policy Definitions", False),
@@ -171,7 +180,7 @@ def test_read_bundles(spark, bundle_dir, rows):
 @pytest.mark.parametrize("staging", [False, True])
 def test_bundle_rewrite_job(spark, bundle_dir, rows, tmp_path, monkeypatch, staging):
     monkeypatch.setattr("metaferry.sources.staging.staging_folder", lambda _: str(tmp_path / "staging"))
-    members = bundles.read_bundles(spark, bundle_dir).filter("error IS NULL")
+    members = bundles.read_bundles(spark, bundle_dir).filter("bundle = 'one.ZIP'")
     job = jobs.bundle_rewrite(members, {"PROD_DB": "DEV_DB"}, staging=staging)
     texts = {r.member: r for r in job.members.collect()}
     assert json.loads(texts["data_quality_policy_definitions.json"].text)[0]["backingAssets"][1]["uid"] == "DEV_DB.b"
