@@ -279,10 +279,10 @@ def _(i: Inputs):
     kids AS (SELECT id, unnest(range(1, id % 4 + 1)) AS k FROM m WHERE NOT none)
     SELECT CAST(m.id AS VARCHAR) AS source_id, CAST(m.id + 7 AS VARCHAR) AS target_id,
            coalesce((SELECT string_agg(concat(k + id * 10, '=PROD.', k), ',' ORDER BY k) FROM kids WHERE kids.id = m.id),
-               CASE WHEN NOT none THEN '' END) AS source_children,
+               CASE WHEN none THEN '-' ELSE '' END) AS source_children,
            coalesce((SELECT string_agg(concat(k + (id - 7) * 10, '=DEV.', k), ',' ORDER BY k)
                      FROM (SELECT id + 7 AS id, k FROM kids) AS t WHERE t.id = m.id + 7),
-               CASE WHEN NOT none THEN '' END) AS target_children
+               CASE WHEN none THEN '-' ELSE '' END) AS target_children
     FROM m""",
 )
 def _(i: Inputs):
@@ -304,15 +304,15 @@ def _(i: Inputs):
         entries = F.array_sort(F.map_entries(name))
         return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias(name)
 
-    return both.select("source_id", "target_id", flat("source_children"), flat("target_children"))
+    return both.select("source_id", "target_id", flat("source_children"), flat("target_children")).fillna("-")
 
 
 @query(
     "asset_lookup",
     """SELECT source_uid, CASE WHEN asset_type IN ('FILE', 'VIEW', 'COLUMN', 'TABLE') THEN ''
                ELSE CAST(source_id AS VARCHAR) END AS asset_id,
-           CASE asset_type WHEN 'FILE' THEN 'no data field' WHEN 'COLUMN' THEN 'empty data' WHEN 'TABLE' THEN 'no id' END
-               AS reason,
+           CASE asset_type WHEN 'FILE' THEN 'no data field' WHEN 'COLUMN' THEN 'empty data' WHEN 'TABLE' THEN 'no id'
+               ELSE '' END AS reason,
            CASE WHEN asset_type IN ('FILE', 'COLUMN', 'TABLE') THEN 'failed' ELSE 'ok' END AS status
     FROM $source_inventory""",
 )
@@ -323,21 +323,22 @@ def _(i: Inputs):
     data = F.when(kind == "COLUMN", none).otherwise(ids).alias("data")
     responses = i.source_inventory.filter(kind != "FILE").select("source_uid", data)
     found = inventory.lookup_asset_ids(i.source_inventory.select("source_uid"), responses, "source_uid")
-    return found.withColumn("asset_id", text.or_blank(F.col("asset_id")))
+    return found.withColumn("asset_id", text.or_blank(F.col("asset_id"))).fillna("")
 
 
 @query(
     "profile_export",
     """WITH m AS (SELECT target_uid FROM $profiles),
     s AS (SELECT target_uid, profile_json FROM $stored_profiles)
-    SELECT m.target_uid, s.profile_json, CASE WHEN s.profile_json IS NULL THEN 'failed' ELSE 'ok' END AS status,
-           CASE WHEN s.profile_json IS NULL THEN 'no profile' END AS reason
+    SELECT m.target_uid, coalesce(s.profile_json, '') AS profile_json,
+           CASE WHEN s.profile_json IS NULL THEN 'failed' ELSE 'ok' END AS status,
+           CASE WHEN s.profile_json IS NULL THEN 'no profile' ELSE '' END AS reason
     FROM m LEFT JOIN s ON m.target_uid = s.target_uid ORDER BY lower(m.target_uid)""",
 )
 def _(i: Inputs):
     stored = i.stored_profiles.select("target_uid", "profile_json")
     exported = inventory.attach_snapshot(i.profiles.select("target_uid"), stored, "target_uid", "profile_json", "no profile")
-    return exported.orderBy(F.lower("target_uid"))
+    return exported.orderBy(F.lower("target_uid")).fillna("")
 
 
 _PAGED = """WITH o AS (SELECT *, o_orderkey % 6 AS kind FROM $orders)"""
@@ -362,11 +363,11 @@ _ELEMENT = "struct<assetId: bigint, assetUid: string>"
     _PAGED
     + """ SELECT o_orderkey AS page, 0 AS position, o_orderkey AS asset_id, concat('a', o_custkey) AS asset_uid
     FROM o WHERE kind < 4
-    UNION ALL SELECT o_orderkey, 1, 1, NULL FROM o WHERE kind = 2""",
+    UNION ALL SELECT o_orderkey, 1, 1, '' FROM o WHERE kind = 2""",
 )
 def _(i: Inputs):
     found = inventory.page_assets(_pages(i), "body", _ELEMENT)
-    return found.select("page", "position", F.col("asset.assetId").alias("asset_id"), F.col("asset.assetUid").alias("asset_uid"))
+    return found.select("page", "position", F.col("asset.assetId").alias("asset_id"), text.or_blank(F.col("asset.assetUid")).alias("asset_uid"))
 
 
 @query(
@@ -450,13 +451,14 @@ def _(i: Inputs):
 
 @query(
     "tag_rows_import_ready",
-    """SELECT CAST(NULL AS VARCHAR) AS target_asset_id, target_uid, source_uid, CAST(source_id AS VARCHAR) AS source_id,
+    """SELECT '' AS target_asset_id, target_uid, source_uid, CAST(source_id AS VARCHAR) AS source_id,
            concat(split_part(tags, ':', 1), ':', trim(split_part(tags, ':', 2))) AS tags
     FROM $source_inventory WHERE source_id % 4 <> 0 AND tags <> ''""",
 )
 def _(i: Inputs):
     error = F.when(F.col("source_id") % 4 == 0, "failed").otherwise(" ")
-    return tags.tag_rows(i.source_inventory.withColumn("error", error)).withColumn("tags", F.array_join("tags", ":"))
+    ready = tags.tag_rows(i.source_inventory.withColumn("error", error))
+    return ready.withColumn("tags", F.array_join("tags", ":")).fillna("")
 
 
 _PLAN = f"""WITH {MERGED},
