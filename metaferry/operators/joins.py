@@ -19,9 +19,20 @@ def hot_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how:
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     mark = "_key_hash"
-    marked_left = left.withColumn(mark, F.xxhash64(*keys))
-    marked_right = right.withColumn(mark, F.xxhash64(*keys))
-    return marked_left.join(marked_right, [*keys, mark], how).drop(mark)
+    kinds = [_common_type(left, right, key) for key in keys]
+    hashed = F.xxhash64(*[F.col(key).cast(kind) for key, kind in zip(keys, kinds)])
+    for key, kind in zip(keys, kinds):
+        if dict(right.dtypes)[key] != dict(left.dtypes)[key]:
+            right = right.withColumn(key, F.col(key).cast(kind).try_cast(dict(left.dtypes)[key]))
+    return left.withColumn(mark, hashed).join(right.withColumn(mark, hashed), [*keys, mark], how).drop(mark)
+
+
+def _common_type(left: DataFrame, right: DataFrame, key: str) -> str:
+    """Type in which keys of both sides are hashed: equal values must have equal hashes."""
+    kinds = {dict(left.dtypes)[key], dict(right.dtypes)[key]}
+    if len(kinds) == 1:
+        return kinds.pop()
+    return "bigint" if kinds <= {"tinyint", "smallint", "int", "bigint"} else "string"
 
 
 def present(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

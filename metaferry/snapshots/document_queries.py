@@ -197,6 +197,14 @@ def _(i: Inputs):
     return bundles.usable_bundles(_members(i))
 
 
+@query("decoded_text", "SELECT doc_id, text FROM $documents")
+def _(i: Inputs):
+    # Latin-1 bytes wherever the text can be written in them, else UTF-8.
+    fits = F.col("text").rlike(r"\A[\x00-\xff]*+\z")
+    content = F.when(fits, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    return i.documents.filter(F.col("text").isNotNull()).select("doc_id", bundles.text_of(content).alias("text"))
+
+
 @query(
     "bundle_reconciliation",
     """SELECT concat('bundle_', o_custkey) AS bundle, count(*) AS members_in,
