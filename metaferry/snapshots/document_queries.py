@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from metaferry.functions import jsondoc, rename
 from metaferry.operators import documents, sqlrefs
 from metaferry.snapshots.registry import Inputs, query
-from metaferry.sources import bundles
+from metaferry.sources import bundles, sinks, tables
 
 # Frequent words of the text tables, with a cascade and a pair that must not touch its neighbours.
 WORD_RENAMES = [("the", "THE_T"), ("and", "the"), ("de", "DE.T"), ("le", "$1")]
@@ -197,6 +197,14 @@ def _(i: Inputs):
     return bundles.usable_bundles(_members(i))
 
 
+@query("csv_round_trip", "SELECT doc_id, text, lang FROM $documents")
+def _(i: Inputs):
+    # Each row as a line of a quoted file, read back with the options of the reader.
+    line = F.to_csv(F.struct(F.col("doc_id").cast("string"), "text", "lang"), sinks.QUOTED_OPTIONS)
+    back = F.from_csv(line, "doc_id string, text string, lang string", tables.READ_OPTIONS)
+    return i.documents.select(back.alias("r")).select(F.col("r.doc_id").cast("long").alias("doc_id"), "r.text", "r.lang")
+
+
 @query("decoded_text", "SELECT doc_id, text FROM $documents")
 def _(i: Inputs):
     # Latin-1 bytes wherever the text can be written in them, else UTF-8.

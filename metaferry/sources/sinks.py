@@ -23,6 +23,10 @@ TRANSFERRED_TAG_COLUMNS = (
 )
 
 
+QUOTED_OPTIONS = {"quoteAll": "true", "escape": '"', "emptyValue": ""}
+PLAIN_OPTIONS = {"escape": '"', "emptyValue": ""}
+
+
 def as_text(df: DataFrame, columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
     """All columns as text, blanks for nulls, in a fixed order."""
     return df.select(*[or_blank(F.col(c)).alias(c) for c in (columns or df.columns)])
@@ -30,15 +34,12 @@ def as_text(df: DataFrame, columns: list[str] | tuple[str, ...] | None = None) -
 
 def write_quoted_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with header and every field quoted."""
-    writer = as_text(df).write.mode(mode).option("header", "true")
-    writer.option("quoteAll", "true").option("escape", '"').option("emptyValue", "").csv(path)
+    as_text(df).write.mode(mode).option("header", "true").options(**QUOTED_OPTIONS).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: tuple[str, ...] | None = None, mode: str = "errorifexists") -> None:
     """CSV with header, fields quoted where they need it."""
-    as_text(df, columns).write.mode(mode).option("header", "true").option("escape", '"').option("emptyValue", "").csv(
-        path
-    )
+    as_text(df, columns).write.mode(mode).option("header", "true").options(**PLAIN_OPTIONS).csv(path)
 
 
 def tag_list(bridge: DataFrame) -> DataFrame:

@@ -14,12 +14,13 @@ from metaferry.operators.tags import tag_rows
 # Column layout of an asset mapping file.
 MAPPING_COLUMNS = ("source_id", "source_uid", "target_id", "target_uid", "tags", "source_asset_type")
 
-_CSV = {"multiLine": "true", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "mode": "PERMISSIVE"}
+# How catalog files are quoted; fields of any size, with line breaks.
+READ_OPTIONS = {"multiLine": "true", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "mode": "PERMISSIVE"}
 
 
 def read_headed(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
     """A CSV file with header. With ``columns`` the header is skipped and columns go by position."""
-    reader = spark.read.options(**_CSV).option("header", "true")
+    reader = spark.read.options(**READ_OPTIONS).option("header", "true")
     if columns is not None:
         reader = reader.schema(", ".join(f"`{name}` string" for name in columns))
     return reader.csv(path)
@@ -60,7 +61,7 @@ def read_config_rows(spark: SparkSession, path: str) -> DataFrame:
 
     Looks at the first line of the file while the plan is built.
     """
-    bare = spark.read.options(**_CSV).option("header", "false")
+    bare = spark.read.options(**READ_OPTIONS).option("header", "false")
     first = bare.csv(path).head(1)
     if not first:
         raise ValueError(f"empty file: {path}")
@@ -75,6 +76,6 @@ def read_policy_list(spark: SparkSession, path: str, columns: Sequence[str]) ->
     """Policy list rows as wide as the header, in file order; other rows are dropped."""
     corrupt = "_corrupt"
     schema = ", ".join(f"`{c}` string" for c in [*columns, corrupt])
-    reader = spark.read.options(**_CSV).option("header", "true").option("columnNameOfCorruptRecord", corrupt)
+    reader = spark.read.options(**READ_OPTIONS).option("header", "true").option("columnNameOfCorruptRecord", corrupt)
     rows = with_ordinal(reader.schema(schema).csv(path))
     return rows.filter(rows[corrupt].isNull()).drop(corrupt)
