@@ -572,7 +572,9 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     latest = profiling.latest_status(i.status_log)
-    return latest.select("asset_id", "status", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), "state")
+    # Read as UTC whatever the session's time zone.
+    utc = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    return latest.select("asset_id", "status", F.unix_micros(utc).alias("micros"), "state")
 
 
 @query(
