@@ -112,9 +112,19 @@ def find_uids(document: Column) -> Column:
     return F.when(possible, F.array_distinct(found))
 
 
+def parsed(document: Column) -> Column:
+    """The text as a variant, null unless it is one JSON value and nothing else.
+
+    Spark's parser stops after the first value; inside brackets whatever follows
+    shows as an error or as a second element.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), document, F.lit("]"))).try_cast("array<variant>")
+    return bind(wrapped, lambda values: F.when(F.size(values) == 1, F.get(values, F.lit(0))))
+
+
 def as_object(document: Column) -> Column:
     """Top-level fields as ``map<string, variant>``; null unless the text is a JSON object."""
-    return F.try_parse_json(document).try_cast("map<string,variant>")
+    return parsed(document).try_cast("map<string,variant>")
 
 
 def set_field(fields: Column, name: str, value: Column) -> Column:
@@ -134,10 +144,13 @@ def json_text(value: Column) -> Column:
 
 def json_problem(document: Column) -> Column:
     """Why a text cannot serve as a JSON object, null if it can."""
-    parsed = F.try_parse_json(document)
-    return (
-        F.when(strip(F.coalesce(document, F.lit(""))) == "", F.lit("blank"))
-        .when(parsed.isNull(), F.lit("invalid_json"))
-        .when(~F.schema_of_variant(parsed).startswith("OBJECT"), F.lit("not_an_object"))
-        .when(F.size(parsed.try_cast("map<string,variant>")) == 0, F.lit("empty_object"))
-    )
+
+    def problem(value: Column) -> Column:
+        return (
+            F.when(value.isNull(), F.lit("invalid_json"))
+            .when(~F.schema_of_variant(value).startswith("OBJECT"), F.lit("not_an_object"))
+            .when(F.size(value.try_cast("map<string,variant>")) == 0, F.lit("empty_object"))
+        )
+
+    blank = strip(F.coalesce(document, F.lit(""))) == ""
+    return F.when(blank, F.lit("blank")).otherwise(bind(parsed(document), problem))

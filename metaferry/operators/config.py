@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import as_object, field, json_problem, json_text, set_field
+from metaferry.functions.jsondoc import as_object, field, json_problem, json_text, parsed, set_field
 from metaferry.functions.text import has_text, strip
 from metaferry.functions.truth import is_set, plain
 
@@ -68,7 +68,7 @@ def config_class(document: Column) -> Column:
     """``with_config``, ``null_config``, ``missing_field``, ``invalid_format`` or ``unparsable``."""
     value = field(as_object(document), "assetConfiguration")
     return (
-        F.when(F.try_parse_json(document).isNull(), "unparsable")
+        F.when(parsed(document).isNull(), "unparsable")
         .when(value.isNull(), "missing_field")
         .when(json_text(value).isNull(), "null_config")
         .when(_object_or_null(value).isNull(), "invalid_format")
@@ -198,8 +198,8 @@ _PROFILE = (
 
 def notification_ids(document: Column) -> Column:
     """Notification group ids of a profile configuration, null if there is no list."""
-    parsed = F.from_json(document, _PROFILE)
-    return parsed["profileSettingsConfigs"]["profileNotificationChannels"]["configuredNotificationGroupIds"]
+    profile = F.from_json(document, _PROFILE)
+    return profile["profileSettingsConfigs"]["profileNotificationChannels"]["configuredNotificationGroupIds"]
 
 
 def map_notification_ids(configs: DataFrame, mapping: DataFrame, key: str = "target_uid") -> DataFrame:
@@ -243,7 +243,7 @@ def profile_import_plan(configs: DataFrame, target_ids: DataFrame, mapping: Data
         mapped = (mapping.agg(F.count(F.lit(1)).alias("n")).scalar() > 0) & notification_ids(document).isNotNull()
         document = F.when(mapped, with_notification_ids(document, F.col("mapped_ids"))).otherwise(document)
     reason = F.when(F.col("asset_id").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid")).when(
-        F.try_parse_json("profile_json").isNull(), F.concat(F.lit("Invalid JSON in profile_json for UID "), "target_uid")
+        parsed(F.col("profile_json")).isNull(), F.concat(F.lit("Invalid JSON in profile_json for UID "), "target_uid")
     )
     return joined.select(
         "target_uid",
@@ -261,10 +261,10 @@ def profile_options(rows: DataFrame, source_uid: str | None = None) -> DataFrame
     ``option``. The source is the given column, else ``sourceUid`` of the
     profile, else the number of the option.
     """
-    parsed = F.try_parse_json("profile_json")
+    document = parsed(F.col("profile_json"))
 
     def part(path: str) -> Column:
-        return json_text(F.try_variant_get(parsed, "$." + path, "variant"))
+        return json_text(F.try_variant_get(document, "$." + path, "variant"))
 
     settings = "profileSettingsConfigs."
     given = F.nullif(strip(F.col(source_uid)), F.lit("")) if source_uid else F.lit(None).cast("string")
@@ -276,7 +276,7 @@ def profile_options(rows: DataFrame, source_uid: str | None = None) -> DataFrame
         is_set(part(settings + "enabled")).alias("is_enabled"),
         F.coalesce(
             F.nullif(given, F.lit("Unknown")),
-            F.try_variant_get(parsed, "$.sourceUid", "string"),
+            F.try_variant_get(document, "$.sourceUid", "string"),
             F.concat(F.lit("Config #"), "option", F.lit(" (no source UID)")),
         ).alias("source"),
     )
@@ -287,10 +287,10 @@ def config_options(rows: DataFrame) -> DataFrame:
 
     ``rows`` are numbered candidates with ``target_uid``, ``config_json``, ``source_uid`` and ``option``.
     """
-    parsed = F.try_parse_json("config_json")
+    document = parsed(F.col("config_json"))
 
     def part(name: str) -> Column:
-        return json_text(F.try_variant_get(parsed, f"$.assetConfiguration.{name}", "variant"))
+        return json_text(F.try_variant_get(document, f"$.assetConfiguration.{name}", "variant"))
 
     known = has_text(F.col("source_uid")) & (F.col("source_uid") != "Unknown")
     return rows.select(
@@ -302,7 +302,7 @@ def config_options(rows: DataFrame) -> DataFrame:
         F.coalesce(plain(part("resourceStrategyType")), F.lit("N/A")).alias("resource_strategy"),
         is_set(part("autoRetryEnabled")).alias("auto_retry_enabled"),
         is_set(part("isUserMarkedReference")).alias("is_user_marked_reference"),
-        parsed.isNull().alias("invalid_json"),
+        document.isNull().alias("invalid_json"),
     )
 
 
@@ -313,8 +313,8 @@ _SEGMENT_DOC = f"struct<assetSegments: struct<segments: {_SEGMENTS}>, segments:
 
 def segments(document: Column) -> Column:
     """Segments of a segment document in either layout; null or empty means none."""
-    parsed = F.from_json(document, _SEGMENT_DOC)
-    return F.coalesce(parsed["assetSegments"]["segments"], parsed["segments"])
+    given = F.from_json(document, _SEGMENT_DOC)
+    return F.coalesce(given["assetSegments"]["segments"], given["segments"])
 
 
 def with_segments(df: DataFrame, document: str = "segments_json") -> DataFrame:
@@ -322,7 +322,7 @@ def with_segments(df: DataFrame, document: str = "segments_json") -> DataFrame:
     return df.filter(F.coalesce(F.size(segments(F.col(document))) > 0, F.lit(False)))
 
 
-def segment_payload(parsed: Column) -> Column:
+def segment_payload(found: Column) -> Column:
     """JSON text of ``segments(document)`` as they are created in the target: ids cleared, defaults filled in."""
     no_id = F.lit(None).cast("long").alias("id")
 
@@ -345,7 +345,7 @@ def segment_payload(parsed: Column) -> Column:
             F.transform(given, condition).alias("conditions"),
         )
 
-    return F.to_json(F.transform(parsed, segment), {"ignoreNullFields": "false"})
+    return F.to_json(F.transform(found, segment), {"ignoreNullFields": "false"})
 
 
 def segment_import_plan(rows: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -353,13 +353,13 @@ def segment_import_plan(rows: DataFrame, target_ids: DataFrame) -> DataFrame:
     joined = usable_rows(rows, "target_uid", "segments_json").join(target_ids, "target_uid", "left")
     found = F.col("_segments")
     reason = (
-        F.when(F.try_parse_json("segments_json").isNull(), "Invalid JSON")
+        F.when(parsed(F.col("segments_json")).isNull(), "Invalid JSON")
         .when(found.isNull(), "No segments array")
         .when(F.col("asset_id").isNull(), "No asset found")
     )
-    parsed = joined.withColumn("_segments", segments(F.col("segments_json"))).withColumn("reason", reason)
+    rows = joined.withColumn("_segments", segments(F.col("segments_json"))).withColumn("reason", reason)
     ready = F.col("reason").isNull()
-    return parsed.select(
+    return rows.select(
         "target_uid",
         "asset_id",
         "reason",

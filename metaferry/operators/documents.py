@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import find_uids, rewrite_strings
+from metaferry.functions.jsondoc import find_uids, parsed, rewrite_strings
 from metaferry.functions.rename import Renames, rename_words
 
 
@@ -16,7 +16,7 @@ def rewrite_documents(documents: DataFrame, renames: Renames, text: str = "text"
     without text (other bundle members) pass through.
     """
     document = F.col(text)
-    valid = F.try_parse_json(document).isNotNull()
+    valid = parsed(document).isNotNull()
     edited = F.when(valid, rewrite_strings(document, renames, compact))
     status = F.when(document.isNull(), "copied").when(valid, "rewritten").otherwise("error")
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import json_text
+from metaferry.functions.jsondoc import json_text, parsed
 from metaferry.functions.truth import is_set, plain, same_value, shown
 
 # Compared configuration fields with their short and long report labels.
@@ -104,8 +104,8 @@ def verify_configs(expected: DataFrame, target_ids: DataFrame, actual: DataFrame
     """
     joined = expected.join(target_ids, "target_uid", "left").join(actual, "asset_id", "left")
     checked = (
-        joined.withColumn("_expected", F.try_parse_json("config_json"))
-        .withColumn("_actual", F.try_parse_json("actual_json"))
+        joined.withColumn("_expected", parsed(F.col("config_json")))
+        .withColumn("_actual", parsed(F.col("actual_json")))
         .select(
             "target_uid",
             "asset_id",
@@ -193,12 +193,12 @@ def verify_profiles(imported: DataFrame, target_ids: DataFrame, profiles: DataFr
     ``imported(target_uid)``, ``target_ids(target_uid, asset_id)``, ``profiles(asset_id, profile_json)``.
     """
     joined = imported.join(target_ids, "target_uid", "left").join(profiles, "asset_id", "left")
-    parsed = F.from_json("profile_json", _PROFILE)["profileSettingsConfigs"]
-    ids = parsed["profileNotificationChannels"]["configuredNotificationGroupIds"]
+    profile = F.from_json("profile_json", _PROFILE)["profileSettingsConfigs"]
+    ids = profile["profileNotificationChannels"]["configuredNotificationGroupIds"]
     status = (
         F.when(F.col("asset_id").isNull(), "asset_not_found")
         .when(F.trim(F.coalesce("profile_json", F.lit("null"))).isin("null", "{}", "[]"), "profile_not_found")
-        .when(F.try_parse_json("profile_json").isNull(), "error")
+        .when(parsed(F.col("profile_json")).isNull(), "error")
         .otherwise("success")
     )
     error = (
@@ -213,8 +213,8 @@ def verify_profiles(imported: DataFrame, target_ids: DataFrame, profiles: DataFr
         status.alias("status"),
         error.alias("error"),
         (passed & F.coalesce(F.size(ids) > 0, F.lit(False))).alias("has_notifications"),
-        (passed & is_set(json_text(parsed["schedule"]))).alias("has_schedule"),
-        (passed & is_set(json_text(parsed["enabled"]))).alias("is_enabled"),
+        (passed & is_set(json_text(profile["schedule"]))).alias("has_schedule"),
+        (passed & is_set(json_text(profile["enabled"]))).alias("is_enabled"),
         F.when(passed, F.coalesce(ids, F.array().cast("array<string>"))).alias("notification_ids"),
     )
 

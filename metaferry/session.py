@@ -12,6 +12,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even if that costs one more shuffle behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # JSON objects with a repeated key are valid; the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

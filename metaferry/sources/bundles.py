@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metaferry.functions.jsondoc import parsed
+
 # Kinds of bundle members by a part of their name, first match counts.
 MEMBER_KINDS = (
     ("data_quality_policy_definitions", "Data Quality Policy Definitions"),
@@ -134,7 +136,7 @@ def usable_bundles(members: DataFrame) -> DataFrame:
 def objects_of(documents: DataFrame, schema: str, text: str = "text") -> DataFrame:
     """Objects of documents that are one object or a list of objects; texts that are not JSON have none."""
     others = [c for c in documents.columns if c != text]
-    return documents.filter(F.try_parse_json(text).isNotNull()).select(*others, F.explode(F.from_json(text, f"array<{schema}>")).alias("_o")).select(
+    return documents.filter(parsed(F.col(text)).isNotNull()).select(*others, F.explode(F.from_json(text, f"array<{schema}>")).alias("_o")).select(
         *others, "_o.*"
     )
 

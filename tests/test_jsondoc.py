@@ -8,6 +8,7 @@ import random
 from pyspark.sql import functions as F
 
 from metaferry.functions import jsondoc, truth
+from metaferry.operators.documents import rewrite_documents
 from tests.test_rename import expected
 
 PAIRS = [("PROD_DB", "DEV_DB"), ("tab", "x\"y\\z\n"), ("é", "E")]
@@ -121,3 +122,18 @@ def test_truth_and_equality(spark):
     )
     for a, b, same in pairs.collect():
         assert same == (values[a] == values[b]), (values[a], values[b])
+
+
+def test_repeated_keys_are_valid_json(spark):
+    text = '{"uid":"PROD_DB","uid":"PROD_DB.x"}'
+    df = spark.createDataFrame([(text, "m")], "text string, member string")
+    row = rewrite_documents(df, PAIRS).first()
+    assert (row.text, row.status, row.changes) == ('{"uid":"DEV_DB","uid":"DEV_DB.x"}', "rewritten", 2)
+
+
+def test_texts_that_are_not_json_stay(spark, rows):
+    texts = ['{"a":"PROD_DB"} x', '{"a":"PROD_DB"', "PROD_DB", '["PROD_DB",]', ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    done = rewrite_documents(df, PAIRS)
+    assert sorted(r.text for r in done.collect()) == sorted(texts)
+    assert {r.status for r in done.collect()} == {"error"}
