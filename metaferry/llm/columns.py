@@ -35,7 +35,3 @@ def lines_with_words(text: Column) -> Column:
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
     return F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")
 
-
-def characters_left(text: Column, dropped: str) -> Column:
-    """Code points of a text without certain characters."""
-    return F.length(F.translate(F.coalesce(text, F.lit("")), dropped, "")).cast("bigint")

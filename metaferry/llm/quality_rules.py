@@ -22,9 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.llm.columns import BLANKS, bound, characters_left, lines_with_words, words
+from metaferry.llm.columns import bound, lines_with_words, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = r"[#*$%&|<>]"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -56,21 +56,30 @@ CURRENT = "2026-1"
 def _repeated_window_words(tokens: Column, width: int = 3) -> Column:
     """Words that lie in a window of ``width`` words found twice or more.
 
-    Windows are sorted with their position, so equal ones are neighbours. A
-    repeated window covers ``width`` words, less what the next one covers too.
+    A window's hash and position are one number, so windows that may be equal
+    are neighbours once the numbers are sorted. Only those are then compared as
+    text. A repeated window covers ``width`` words, less what the next one
+    covers too.
     """
     starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (width - 1), F.lit(0)))
 
-    def window(first: Column, place: Column) -> Column:
-        rest = [F.get(tokens, place + k) for k in range(1, width)]
-        return F.struct(F.concat_ws(" ", first, *rest).alias("w"), place.alias("p"))
+    def rest(place: Column) -> list[Column]:
+        return [F.get(tokens, place + k) for k in range(1, width)]
 
-    def repeated(ordered: Column) -> Column:
-        def beside(entry: Column, rank: Column) -> Column:
-            before, after = F.get(ordered, rank - 1), F.get(ordered, rank + 1)
-            return (entry["w"].eqNullSafe(before["w"])) | (entry["w"].eqNullSafe(after["w"]))
+    def numbered(first: Column, place: Column) -> Column:
+        return F.shiftleft(F.xxhash64(first, *rest(place)), 32).bitwiseOR(place.cast("bigint"))
 
-        return F.sort_array(F.transform(F.filter(ordered, beside), lambda entry: entry["p"]))
+    def alike(ordered: Column, of: Callable[[Column], Column]) -> Column:
+        """The entries that have an equal neighbour."""
+        return F.filter(
+            ordered,
+            lambda entry, rank: of(entry).eqNullSafe(of(F.get(ordered, rank - 1)))
+            | of(entry).eqNullSafe(of(F.get(ordered, rank + 1))),
+        )
+
+    def window(number: Column) -> Column:
+        place = number.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+        return F.struct(F.concat_ws(" ", F.get(tokens, place), *rest(place)).alias("w"), place.alias("p"))
 
     def covered(places: Column) -> Column:
         step = F.transform(
@@ -78,33 +87,42 @@ def _repeated_window_words(tokens: Column, width: int = 3) -> Column:
         )
         return F.aggregate(step, F.lit(0).cast("bigint"), lambda total, one: total + one)
 
-    return bound(F.sort_array(F.transform(starts, window)), lambda ordered: bound(repeated(ordered), covered))
+    numbers = F.sort_array(F.transform(starts, numbered))
+    candidates = bound(numbers, lambda ordered: alike(ordered, lambda number: F.shiftright(number, 32)))
+    equal = bound(F.sort_array(F.transform(candidates, window)), lambda ordered: alike(ordered, lambda e: e["w"]))
+    return bound(F.sort_array(F.transform(equal, lambda entry: entry["p"])), covered)
 
 
 def measurements(text: Column) -> Column:
     """All measurements of a text as one struct."""
-    tokens = bound(
-        words(text),
-        lambda found: F.struct(
-            F.size(found).cast("bigint").alias("n_words"), _repeated_window_words(found).alias("n_repeat_words")
-        ),
-    )
-    lines = bound(
-        lines_with_words(text),
-        lambda found: F.struct(
+
+    def of_words(found: Column) -> Column:
+        return F.struct(
+            F.size(found).cast("bigint").alias("n_words"),
+            F.length(F.array_join(found, "")).cast("bigint").alias("word_chars"),
+            _repeated_window_words(found).alias("n_repeat_words"),
+        )
+
+    def of_lines(found: Column) -> Column:
+        return F.struct(
             F.size(found).cast("bigint").alias("n_lines"),
             (F.size(found) - F.size(F.array_distinct(found))).cast("bigint").alias("n_dup_lines"),
-        ),
+        )
+
+    parts = F.struct(
+        bound(words(text), of_words).alias("w"),
+        bound(lines_with_words(text), of_lines).alias("l"),
+        (F.size(F.split(F.coalesce(text, F.lit("")), SYMBOL)) - 1).cast("bigint").alias("n_symbols"),
     )
     return bound(
-        F.struct(tokens.alias("tokens"), lines.alias("lines")),
-        lambda found: F.struct(
-            found["tokens"]["n_words"].alias("n_words"),
-            characters_left(text, BLANKS).alias("word_chars"),
-            (F.length(F.coalesce(text, F.lit(""))) - characters_left(text, SYMBOLS)).cast("bigint").alias("n_symbols"),
-            found["lines"]["n_lines"].alias("n_lines"),
-            found["lines"]["n_dup_lines"].alias("n_dup_lines"),
-            found["tokens"]["n_repeat_words"].alias("n_repeat_words"),
+        parts,
+        lambda p: F.struct(
+            p["w"]["n_words"].alias("n_words"),
+            p["w"]["word_chars"].alias("word_chars"),
+            p["n_symbols"].alias("n_symbols"),
+            p["l"]["n_lines"].alias("n_lines"),
+            p["l"]["n_dup_lines"].alias("n_dup_lines"),
+            p["w"]["n_repeat_words"].alias("n_repeat_words"),
         ),
     )
 
