@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from metaferry.operators import inventory
+from metaferry.snapshots import all_queries
 from metaferry.snapshots.tables import snapshot
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries.QUERIES))
 def test_no_pairs_no_python_no_whole_group_windows(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
