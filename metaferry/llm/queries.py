@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaferry.llm import quality_rules
+from metaferry.llm import line_dedup, mixing, near_dedup, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,91 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query(
+    rf"""
+    WITH sizes AS (SELECT doc_id, source, CAST(len({WORDS_SQL}) AS BIGINT) AS size,
+                          md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_documents,
+                      row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM sizes GROUP BY source),
+    weighted AS (SELECT *, [5, 2, 1][(sid - 1) % 3 + 1] AS weight FROM totals),
+    levels AS (SELECT *, row_number() OVER o AS place,
+                      CAST(sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER b, 0) AS BIGINT) AS rest,
+                      CAST(sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS BIGINT) AS weights
+               FROM weighted
+               WINDOW o AS (ORDER BY source_size / weight, sid),
+                      b AS (ORDER BY source_size / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    filled AS (SELECT *, 3 * source_size / weight < rest / weights AS is_full FROM levels),
+    opened AS (SELECT rest AS r, weights AS w FROM filled WHERE NOT is_full ORDER BY place LIMIT 1),
+    targets AS (SELECT sid, source, source_size, n_documents,
+                       CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE)
+                            ELSE least(r / w * weight, CAST(3 * source_size AS DOUBLE)) END AS target
+                FROM filled, opened),
+    blocks AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(greatest(1, round(source_size / greatest(1,
+                             ceil((SELECT sum(source_size) FROM targets)
+                                  / greatest((SELECT sum(n_documents) FROM targets), 131072)))))
+                             AS BIGINT) ELSE 0 END AS n_blocks FROM targets),
+    based AS (SELECT *, CASE WHEN n_blocks > 0 THEN source_size // n_blocks ELSE 0 END AS base,
+                     CASE WHEN n_blocks > 0 THEN target / source_size * n_blocks ELSE 0.0 END AS slots FROM blocks),
+    sized AS (SELECT *, source_size - n_blocks * base AS larger FROM based),
+    bounds AS (SELECT *, CAST(floor(sum(slots) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING)
+                                    / (SELECT sum(slots) FROM (SELECT slots FROM sized ORDER BY sid)) * 2147483648) AS BIGINT)
+                             AS upper_point FROM sized WHERE slots > 0),
+    owners AS (SELECT *, coalesce(lag(upper_point) OVER (ORDER BY sid), 0) AS lower_point FROM bounds),
+    slots AS (SELECT slot, (slot % 2147483648 * 1327217885) % 2147483648 AS point
+              FROM (SELECT unnest(range(CAST((SELECT round(sum(slots)) FROM (SELECT slots FROM sized ORDER BY sid))
+                                             AS BIGINT))) AS slot) AS s),
+    ranked AS (SELECT sid, n_blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS k
+               FROM slots JOIN owners ON point >= lower_point AND point < upper_point),
+    times AS (SELECT sid, k % n_blocks AS block, count(*) AS times FROM ranked WHERE k < 3 * n_blocks GROUP BY 1, 2),
+    placed AS (SELECT doc_id, size, t.*, sum(size) OVER (PARTITION BY sid ORDER BY h, doc_id, size
+                                                         ROWS UNBOUNDED PRECEDING) - size AS first_word
+               FROM sizes s JOIN sized t ON s.source IS NOT DISTINCT FROM t.source),
+    starts AS (SELECT t.sid, block, times, block * base + least(block, larger) AS b0,
+                      (block + 1) * base + least(block + 1, larger) AS b1
+               FROM times JOIN sized t USING (sid)),
+    taken AS (SELECT p.doc_id, p.sid, p.first_word, sum((least(first_word + size, b1) - greatest(first_word, b0)) * times) AS n
+              FROM placed p JOIN starts b ON p.sid = b.sid AND b0 < first_word + size AND b1 > first_word AND size > 0
+              GROUP BY ALL)
+    SELECT p.doc_id, size, source_size, target, CAST(coalesce(n, 0) AS BIGINT) AS taken
+    FROM placed p LEFT JOIN taken t ON p.doc_id = t.doc_id AND p.sid = t.sid AND p.first_word = t.first_word AND size > 0"""
+)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    r"""
+    WITH found AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                          generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
+    totals AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    counts AS (SELECT source, line, count(DISTINCT doc_id) AS n_pages FROM found
+               WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY source, line),
+    cut AS (SELECT c.source, line FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+            WHERE n_pages >= 5 AND 100 * n_pages > 5 * n),
+    marked AS (SELECT f.*, c.line IS NOT NULL AS is_cut FROM found f
+               LEFT JOIN cut c ON f.source IS NOT DISTINCT FROM c.source AND f.line = c.line),
+    texts AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT is_cut), '') AS t,
+                     count(*) FILTER (is_cut) AS n_cut,
+                     count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_lines
+              FROM marked GROUP BY doc_id)
+    SELECT doc_id, n_lines, n_cut, CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS text_sha256 FROM texts"""
+)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return line_dedup.with_cut_lines(docs).select("doc_id", *line_dedup.cut_columns()).select(
+        "doc_id",
+        "n_lines",
+        "n_cut",
+        F.length("cut_text").cast("bigint").alias("n_chars"),
+        F.sha2("cut_text", 256).alias("text_sha256"),
+    )
+
+
+@query()
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 @query(
     rf"""
     WITH d AS (SELECT doc_id, text, {WORDS_SQL} AS w FROM documents),
