@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaferry.llm import line_dedup, mixing, near_dedup, quality_rules
+from metaferry.llm import bpe, line_dedup, mixing, near_dedup, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality_rules.passes(bits, "base")).alias("base_failed"),
         quality_rules.passes(bits, quality_rules.CURRENT).alias("kept"),
     )
+
+
+@query()
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text"))).drop("text")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
