@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaferry.llm import bpe, line_dedup, mixing, near_dedup, quality_rules
+from metaferry.llm import (
+    bpe,
+    hamming_search,
+    importance,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_rules,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -167,3 +177,34 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return importance.resampled(documents(spark, sf_dir), labels)
+
+
+@query(
+    """
+    WITH codes AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings),
+    pairs AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbour_id,
+                     CAST(len(list_filter(list_zip(q.bits, v.bits), lambda p: p[1] <> p[2])) AS INTEGER) AS distance
+              FROM codes q JOIN codes v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank
+               FROM pairs)
+    SELECT * FROM ranked WHERE rank <= 10"""
+)
+def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hamming_search.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(documents(spark, sf_dir))
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
