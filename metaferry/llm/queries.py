@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metaferry.llm import (
+    block_labeller,
     bpe,
     hamming_search,
     importance,
@@ -208,3 +209,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
+
+
+@query()
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return block_labeller.main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
