@@ -57,7 +57,7 @@ _MAIN_PLACES = (
 _OUTER = (("div", ".page"), ("div", ".wrapper"), ("div", ".container"), ("section",), ("div",), ("div", ".row"), ("table",))
 _REST_PLACES = tuple(
     (element, name) if name.startswith(".") else (name,) for name in sorted(REST) for element in ("div", "section", "ul")
-)
+) + tuple((name,) for name in sorted(REST) if not name.startswith(".")) * 5
 _LIST, _CELL = (("ul",), ("li",)), (("table",), ("tr",), ("td",))
 _MAIN_LEAVES = ((("p",),), (("p",),), (("p",),), (("h1",),), (("h2",),), (("h3",),), _LIST, (("ol",), ("li",)), _CELL, (("blockquote",),), (("blockquote",), ("p",)), (("pre",),), (("div",),), ())
 _REST_LEAVES = ((("p",),), (("p",),), _LIST, _LIST, (("div",),), (("h3",),), (("h4",),), _CELL, ())
