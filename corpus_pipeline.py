@@ -35,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, the number of them, and whether decoding gives the same tokens back."""
-    coded = bpe.decode(bpe.encode(docs))
+    coded = bpe.encode(docs, decoded="decoded")
     return coded.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
         "decoded_sha256", F.sha2("decoded", 256)
     ).drop("decoded")

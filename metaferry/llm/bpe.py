@@ -1,15 +1,15 @@
 """BPE encoding with a pair occurrence index, and decoding.
 
-A task encodes its documents batch by batch. All distinct words of a batch lie
+A task encodes its documents in parts of about ``SLICE_CHARS`` bytes. All distinct words of a part lie
 in one array of symbols, linked to their neighbours. An index maps every pair
-that can be merged, by its rank, to all its positions in the batch. The lowest
+that can be merged, by its rank, to all its positions in the part. The lowest
 active rank is taken, all its positions are merged at once, and only the index
 entries of the neighbours are updated; entries that a merge made stale are
 recognised when their turn comes. Every word is so merged in the same order as
-on its own, but each rank costs one step per batch, not one per word.
+on its own, but each rank costs one step per part, not one per word.
 
 Words, and the pieces between white space that they come from, are encoded once
-per batch. Memory is bounded by a batch of documents; nothing is shuffled.
+per part. Memory is bounded by a part or a single text; nothing is shuffled.
 
 The vocabulary is a file in the format of the tokenizers library, read on every
 executor from ``path``. What such a file can ask for and this operator supports:
@@ -30,12 +30,15 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+SLICE_CHARS = 3_000_000
 # The split pattern of the vocabulary files, and what it takes as white space.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = regex.compile(WORDS.replace(r"\s", r"\p{White_Space}"))
@@ -228,32 +231,54 @@ def encode_batch(texts: list[str | None], vocab: Vocabulary) -> tuple[np.ndarray
     return ids.astype(np.int32), begins[chosen_starts][np.array(ends)]
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text as array<int>."""
+def decode_ids(ids: np.ndarray, vocab: Vocabulary) -> str:
+    """The tokens of ids joined by spaces, as the vocabulary has no decoder."""
+    return " ".join([vocab.tokens[k] for k in ids.tolist()])
+
+
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``SLICE_CHARS`` bytes of a text column, of one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy()
+    part = sizes.cumsum() // SLICE_CHARS
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(bounds, bounds[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def encode(
+    docs: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """``docs`` with the ids of each text as array<int>, and on request with what these ids decode to."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in batches:
+        for batch in chain.from_iterable(slices(batch, text) for batch in batches):
             found, begins = encode_batch(batch.column(batch.schema.get_field_index(text)).to_pylist(), vocab)
             column = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(found, pa.int32()))
-            yield _with_column(batch, ids, column)
+            batch = _with_column(batch, ids, column)
+            if decoded:
+                texts = [decode_ids(found[start:end], vocab) for start, end in zip(begins, begins[1:])]
+                batch = _with_column(batch, decoded, pa.array(texts, pa.string()))
+            yield batch
 
-    return docs.mapInArrow(run, _schema_with(docs, ids, "array<int>"))
+    schema = _schema_with(docs.dtypes, ids, "array<int>")
+    return docs.mapInArrow(run, _ddl(_schema_with(schema, decoded, "string") if decoded else schema))
 
 
 def decode(docs: DataFrame, ids: str = "ids", path: str | None = None, text: str = "decoded") -> DataFrame:
-    """``docs`` with the tokens of an id array joined by spaces, as the vocabulary has no decoder."""
+    """``docs`` with the text of an id array; empty for a null array."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary(path).tokens
+        vocab = vocabulary(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            texts = [" ".join([tokens[k] for k in row.values.to_numpy()]) if row.is_valid else "" for row in column]
+            texts = [decode_ids(row.values.to_numpy(), vocab) if row.is_valid else "" for row in column]
             yield _with_column(batch, text, pa.array(texts, pa.string()))
 
-    return docs.mapInArrow(run, _schema_with(docs, text, "string"))
+    return docs.mapInArrow(run, _ddl(_schema_with(docs.dtypes, text, "string")))
 
 
 def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
@@ -262,5 +287,9 @@ def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def _schema_with(docs: DataFrame, name: str, kind: str) -> str:
-    return ", ".join([f"`{column}` {of}" for column, of in docs.dtypes if column != name] + [f"`{name}` {kind}"])
+def _schema_with(columns: list[tuple[str, str]], name: str, kind: str) -> list[tuple[str, str]]:
+    return [(column, of) for column, of in columns if column != name] + [(name, kind)]
+
+
+def _ddl(columns: list[tuple[str, str]]) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in columns)

@@ -5,11 +5,12 @@
 2. A tree of the forest is one order of the signature. All classes are sorted by
    each order (a range sort, so a group that holds a third of all rows is spread
    over many tasks). Neighbours in the order have the longest common prefixes.
-   Two classes are candidates if they share ``LEAST_DEPTH`` values and one of
-   them directly follows the other, or is the first of its region: of all that
-   share the least prefix, or the longest prefix shared with the one before. So
-   the depth adapts to the region, and a class has at most three candidates per
-   tree, whatever the size of its region.
+   Two classes are candidates if they share ``LEAST_DEPTH`` values and one
+   follows the other within ``BEHIND`` rows, or is among the ``FIRST`` of a
+   region: of all that share a prefix of some length. So the depth adapts to the region: where
+   many share a short prefix, there are candidates for each longer one. A class
+   has a bounded number of candidates per tree, whatever the size of its region.
+   Joins of which both sides grow with the input ask for a shuffle, at every size.
 3. Candidates whose signatures differ too much are dropped (at a similarity of
    0.75 the estimate is 4.5 standard deviations above the bound). The others are
    confirmed on the full sets of the full texts: first the best candidate of
@@ -18,8 +19,8 @@
    every round; each round is checkpointed.
 
 Classes that are linked but never neighbours in any tree are lost; with
-``TREES`` trees of depth ``LEAST_DEPTH`` that is 0.75^3 against 24 chances for
-a pair at the bound. The README has the recall measured against brute force.
+``TREES`` trees a pair at the bound shares no ``LEAST_DEPTH`` values in any of
+them with a probability of (1 - 0.75^3)^18, less than 1 in 10,000. The README has the recall measured against brute force.
 
 Defined results: a text without words has an empty set and is linked with
 nothing. Rows that share an id are one document: what one is linked with, the
@@ -29,8 +30,10 @@ kept. Other columns may have any name. An empty table gives an empty one.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +47,20 @@ from metaferry.operators.joins import hot_join
 from metaferry.sources.staging import staged
 
 PERCENT = 75
-TREES, LEAST_DEPTH, DEPTH = 24, 3, 12
-VALUES = TREES * LEAST_DEPTH
+TREES, STRIDE, LEAST_DEPTH, DEPTH = 18, 4, 3, 12
+BEHIND, FIRST = 4, 3
+VALUES = TREES * STRIDE
 LEAST_ESTIMATE = 0.52
 _FACTORS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 _BLOCK = 1 << 14
 _KEPT = "_near_dedup_kept"
 
 
+def _shuffled(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """A join whose sides both grow with the input: neither is ever sent to all tasks."""
+    return hot_join(left.hint("merge"), right.hint("merge"), key, how)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest values of a set under ``VALUES`` hash functions, 16 bits of each."""
     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
@@ -90,7 +99,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def _order(tree: int) -> list[int]:
     """The places of a signature in one tree's order: its own values first, then those of the next trees."""
-    start = tree * LEAST_DEPTH
+    start = tree * STRIDE
     return [(start + k) % VALUES for k in range(DEPTH)]
 
 
@@ -115,7 +124,9 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates (a, b) among the sorted rows of one task, and its first and last row as borders (tree, path, id)."""
-    leaders: list = []  # of each depth from LEAST_DEPTH: the first id with the current prefix
+    # Of each depth from LEAST_DEPTH: the first ids with the current prefix.
+    leaders: list[list] = [[] for _ in range(DEPTH - LEAST_DEPTH + 1)]
+    previous: deque = deque(maxlen=BEHIND)  # the rows before, as far as they share the least prefix
     last_key, last = None, None
     for batch in batches:
         n = batch.num_rows
@@ -130,17 +141,20 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, borders = [], [], []
         if last_key is None:
             borders.append((int(trees[0]), paths[0], ids[0]))
-        previous = last[2] if last else None
         for own, depth in zip(ids, shared):
             if depth < LEAST_DEPTH:
-                leaders = [own] * (DEPTH - LEAST_DEPTH + 1)
+                previous.clear()
+                known = 0
             else:
                 known = depth - LEAST_DEPTH + 1
-                partners = {previous, leaders[0], leaders[known - 1]} - {own}
+                partners = {*previous, *chain.from_iterable(leaders[:known])} - {own}
                 left.extend(partners)
                 right.extend([own] * len(partners))
-                leaders[known:] = [own] * (len(leaders) - known)
-            previous = own
+                for first in leaders[:known]:
+                    if len(first) < FIRST:
+                        first.append(own)
+            leaders[known:] = [[own] for _ in range(len(leaders) - known)]
+            previous.append(own)
         last_key, last = keys[-1], (int(trees[-1]), paths[-1], ids[-1])
         yield _pairs(left, right, borders, batch.schema.field(2).type)
     if last:
@@ -200,8 +214,8 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b, estimate) of the pairs whose signatures agree well enough."""
     kind = dict(classes.dtypes)["id"]
     signed = classes.select("id", "signature")
-    both = hot_join(pairs, signed.select(F.col("id").alias("a"), F.col("signature").alias("left")), "a")
-    both = hot_join(both, signed.select(F.col("id").alias("b"), F.col("signature").alias("right")), "b")
+    both = _shuffled(pairs, signed.select(F.col("id").alias("a"), F.col("signature").alias("left")), "a")
+    both = _shuffled(both, signed.select(F.col("id").alias("b"), F.col("signature").alias("right")), "b")
     return both.select("a", "b", "left", "right").mapInArrow(_agreement, f"a {kind}, b {kind}, estimate double")
 
 
@@ -229,8 +243,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     Rows carry two whole texts, so tasks get them in small batches.
     """
     kind = dict(texts.dtypes)["id"]
-    both = hot_join(pairs.select("a", "b"), texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-    both = hot_join(both, texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
+    both = _shuffled(pairs.select("a", "b"), texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
+    both = _shuffled(both, texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     with small_batches(texts.sparkSession):
         return staged(both.select("a", "b", "left", "right").mapInArrow(_confirmed, f"a {kind}, b {kind}"))
 
@@ -251,7 +265,7 @@ def links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str =
     pairs = staged(likely(candidates(classes), classes))
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = hot_join(texts, needed, "id", "left_semi").withColumn("_hash", F.xxhash64("text"))
+    texts = _shuffled(texts, needed, "id", "left_semi").withColumn("_hash", F.xxhash64("text"))
     texts = staged(texts.dropDuplicates(["id", "_hash"]).drop("_hash"))
     # A class is first tried with its likeliest candidate, so that most of a group is joined by few comparisons.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))

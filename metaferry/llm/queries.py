@@ -171,7 +171,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text"))).drop("text")
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
