@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.llm.html_blocks import Block, blocks
+from metaferry.llm.parts import parts
 
 SAMPLE_PAGES, PAGE_CHARS = 120, 50_000
 LAYOUTS, LONGEST = 8, 30
@@ -336,7 +337,7 @@ def extract(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = Vectors()
-        for batch in batches:
+        for batch in parts(batches, html):
             found = [blocks(value.as_py()) for value in batch.column(len(keep))]
             everything = [block for page in found for block in page]
             inputs = [

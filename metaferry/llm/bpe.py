@@ -1,6 +1,6 @@
 """BPE encoding with a pair occurrence index, and decoding.
 
-A task encodes its documents in parts of about ``SLICE_CHARS`` bytes. All distinct words of a part lie
+A task encodes its documents in parts of about ``PART_BYTES`` bytes. All distinct words of a part lie
 in one array of symbols, linked to their neighbours. An index maps every pair
 that can be merged, by its rank, to all its positions in the part. The lowest
 active rank is taken, all its positions are merged at once, and only the index
@@ -30,15 +30,14 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-SLICE_CHARS = 3_000_000
+from metaferry.llm.parts import parts
+
 # The split pattern of the vocabulary files, and what it takes as white space.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = regex.compile(WORDS.replace(r"\s", r"\p{White_Space}"))
@@ -203,8 +202,8 @@ def encode_batch(texts: list[str | None], vocab: Vocabulary) -> tuple[np.ndarray
     used: list[int] = []
     ends = [0]
     for text in texts:
-        parts = vocab.special_pattern.split(text) if text and "<|" in text else [text or ""]
-        for k, part in enumerate(parts):
+        stretches = vocab.special_pattern.split(text) if text and "<|" in text else [text or ""]
+        for k, part in enumerate(stretches):
             found = [part] if k % 2 else _between_gaps(part)
             if k % 2 == 0 and vocab.special.keys() & set(found):
                 raise AssertionError("a special token was not recognised")
@@ -236,16 +235,6 @@ def decode_ids(ids: np.ndarray, vocab: Vocabulary) -> str:
     return " ".join([vocab.tokens[k] for k in ids.tolist()])
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of about ``SLICE_CHARS`` bytes of a text column, of one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy()
-    part = sizes.cumsum() // SLICE_CHARS
-    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for start, end in zip(bounds, bounds[1:]):
-        if end > start:
-            yield batch.slice(start, end - start)
-
-
 def encode(
     docs: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", decoded: str | None = None
 ) -> DataFrame:
@@ -254,7 +243,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in chain.from_iterable(slices(batch, text) for batch in batches):
+        for batch in parts(batches, text):
             found, begins = encode_batch(batch.column(batch.schema.get_field_index(text)).to_pylist(), vocab)
             column = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(found, pa.int32()))
             batch = _with_column(batch, ids, column)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metaferry.llm.parts import parts
 from metaferry.llm.shingles import mixed, word_hashes
 from metaferry.sources.staging import staged
 
@@ -48,7 +49,7 @@ def features(text: str | None) -> np.ndarray:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals = np.zeros((2, BUCKETS), np.int64)
-    for batch in batches:
+    for batch in parts(batches, 0):
         for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
             found = np.bincount(features(text.as_py()), minlength=BUCKETS) if text.is_valid else 0
             totals[0] += found
@@ -91,7 +92,7 @@ def weights(docs: DataFrame, ratios: np.ndarray, key: str = "doc_id", text: str
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             found = [features(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [

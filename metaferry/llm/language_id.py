@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from metaferry.llm.parts import parts
+
 SAMPLE_ROWS, ROW_CHARS, SAMPLE_CHARS = 100, 4000, 30_000
 PIECE, LANES, LETTERS = 1024, 4096, 62
 UNDETERMINED = "und"
@@ -114,8 +116,8 @@ class Languages:
         self.names = sorted(texts, key=lambda name: name.encode())
         letter, lower = _letters()
         seen: Counter = Counter()
-        for parts in texts.values():
-            codes = lower[_codes("".join(parts))]
+        for of_one in texts.values():
+            codes = lower[_codes("".join(of_one))]
             seen.update(dict(zip(*np.unique(codes[letter[codes]], return_counts=True))))
         self.classes = np.where(letter, _OTHER, _GAP).astype(np.uint8)
         for place, (code, _) in enumerate(sorted(seen.items(), key=lambda item: (-item[1], item[0]))[:LETTERS]):
@@ -188,7 +190,7 @@ def predict(docs: DataFrame, texts: dict[str, list[str]], key: str = "doc_id", t
             _LEARNED.clear()
             _LEARNED[mark] = Languages(texts)
         known = _LEARNED[mark]
-        for batch in batches:
+        for batch in parts(batches, 1):
             found = [known.symbols(value.as_py() or "") for value in batch.column(1)]
             phrases = known.phrases(found) if known.names else np.zeros((len(found), 0))
             names, scores = [], []

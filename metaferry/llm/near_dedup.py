@@ -42,6 +42,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metaferry.llm.components import components
+from metaferry.llm.parts import parts
 from metaferry.llm.shingles import mixed, shingle_set, word_hashes
 from metaferry.operators.joins import hot_join
 from metaferry.sources.staging import staged
@@ -72,7 +73,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches, 1):
         sizes, prints, signatures = [], [], []
         for text in batch.column(1):
             found = shingle_set(word_hashes(text.as_py()))
@@ -180,9 +181,9 @@ def candidates(classes: DataFrame) -> DataFrame:
     """Distinct pairs (a, b), a < b, of classes (id, signature) that are neighbours in a tree. Runs a job."""
     kind = dict(classes.dtypes)["id"]
     rows = classes.select("id", "signature").mapInArrow(_tree_rows, f"tree int, path binary, id {kind}")
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = staged(
-        rows.repartitionByRange(parts, "tree", "path", "id")
+        rows.repartitionByRange(tasks, "tree", "path", "id")
         .sortWithinPartitions("tree", "path", "id")
         .mapInArrow(_neighbours, f"a {kind}, b {kind}, tree int, path binary, id {kind}")
     )
@@ -270,9 +271,9 @@ def links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str =
     # A class is first tried with its likeliest candidate, so that most of a group is joined by few comparisons.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
     first = confirmed(best, texts)
-    parts = components(first)
-    known_a = parts.select(F.col("id").alias("a"), F.col("component").alias("in_a"))
-    known_b = parts.select(F.col("id").alias("b"), F.col("component").alias("in_b"))
+    joined = components(first)
+    known_a = joined.select(F.col("id").alias("a"), F.col("component").alias("in_a"))
+    known_b = joined.select(F.col("id").alias("b"), F.col("component").alias("in_b"))
     rest = hot_join(hot_join(pairs, known_a, "a", "left"), known_b, "b", "left").filter(
         F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
     )
@@ -294,9 +295,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # An id with several texts belongs to several classes.
     several = members.groupBy("id").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     own = hot_join(members, several.select("id", "low"), "id").select(F.col("low").alias("a"), F.col("label").alias("b"))
-    parts = components(links(docs, classes, key, text).unionByName(own))
+    joined = components(links(docs, classes, key, text).unionByName(own))
     label = members.groupBy("id").agg(F.min("label").alias("label"))
-    found = hot_join(label, parts.select(F.col("id").alias("label"), "component"), "label", "left").select(
+    found = hot_join(label, joined.select(F.col("id").alias("label"), "component"), "label", "left").select(
         "id", F.coalesce("component", "label").alias("component")
     )
     component = F.coalesce("component", "id")

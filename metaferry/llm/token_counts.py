@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metaferry.llm.parts import parts
+
 WORD_MARK = "▁"
 REMEMBERED = 1 << 20
 _UNKNOWN = 1 << 32  # unknown words are counted above the pieces
@@ -120,7 +122,7 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = automaton(path)
-        for batch in batches:
+        for batch in parts(batches, 1):
             n_words, sums = [], []
             for value in batch.column(1):
                 words = (value.as_py() or "").encode().split()
