@@ -112,6 +112,23 @@ def find_uids(document: Column) -> Column:
     return F.when(possible, F.array_distinct(found))
 
 
+# No limit on the length of a value or on nesting; a field behind the document shows that it ended where it should.
+_UNLIMITED = {"maxStringLen": str(2**31 - 1), "maxNestingDepth": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
+_END = "_end_of_the_document_"
+
+
+def is_json(document: Column) -> Column:
+    """Whether a text is one JSON value and nothing else, of any size; null for a null text.
+
+    The value is not built, so the limits of variants don't count, nor does
+    whether the session allows repeated keys.
+    """
+    framed = F.concat(F.lit('{"value":'), document, F.lit(f',"{_END}":1}}'))
+    found = F.from_json(framed, f"struct<value: string, {_END}: int>", _UNLIMITED)
+    blank = strip(document) == ""
+    return F.when(document.isNotNull(), F.coalesce(~blank & (found[_END] == 1), F.lit(False)))
+
+
 def parsed(document: Column) -> Column:
     """The text as a variant, null unless it is one JSON value and nothing else.
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # JSON texts of values that count as not set.
 _UNSET = ["false", "0", "0.0", "-0", "-0.0", '""', "[]", "{}"]
 
+# Whole numbers are compared exactly, others as doubles.
+_WHOLE = r"^-?[0-9]{1,38}$"
+
 
 def is_set(text: Column) -> Column:
     """True for a set value; never null."""
@@ -21,7 +24,11 @@ def is_set(text: Column) -> Column:
 
 def same_value(left: Column, right: Column) -> Column:
     """Null-safe equality; 1, 1.0 and true are the same value."""
-    return left.eqNullSafe(right) | F.coalesce(_number(left) == _number(right), F.lit(False))
+    whole = left.rlike(_WHOLE) & right.rlike(_WHOLE)
+    equal = F.when(whole, left.try_cast("decimal(38,0)") == right.try_cast("decimal(38,0)")).otherwise(
+        _number(left) == _number(right)
+    )
+    return left.eqNullSafe(right) | F.coalesce(equal, F.lit(False))
 
 
 def _number(text: Column) -> Column:

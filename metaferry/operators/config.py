@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from metaferry.functions.jsondoc import as_object, field, json_problem, json_text, parsed, set_field
 from metaferry.functions.text import has_text, strip
 from metaferry.functions.truth import is_set, plain
+from metaferry.operators.ranking import last_per_key
 
 # Settings of an apply request that a caller may override.
 APPLY_DEFAULTS = (
@@ -149,6 +150,13 @@ def anomaly_importable(document: Column) -> Column:
     return ~strip(F.coalesce(document, F.lit(""))).isin("", "{}", "null")
 
 
+def one_target(mapping: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """One ``target_id`` per ``source_id``: that of the last row, or the largest where rows have no order."""
+    if ordinal in mapping.columns:
+        return last_per_key(mapping.select("source_id", "target_id", ordinal), ["source_id"], ordinal).drop(ordinal)
+    return mapping.groupBy("source_id").agg(F.max("target_id").alias("target_id"))
+
+
 def monitor_columns(anomalies: DataFrame, id_map: DataFrame) -> DataFrame:
     """Monitored columns of all items of an anomaly configuration as target ids, in item order.
 
@@ -164,7 +172,7 @@ def monitor_columns(anomalies: DataFrame, id_map: DataFrame) -> DataFrame:
     )
     wanted = anomalies.filter(anomaly_importable(F.col("anomaly_json")))
     exploded = wanted.select("target_uid", F.posexplode(columns).alias("position", "source_id"))
-    mapped = exploded.join(id_map.select("source_id", "target_id"), "source_id").groupBy("target_uid")
+    mapped = exploded.join(one_target(id_map), "source_id").groupBy("target_uid")
     return mapped.agg(F.array_sort(F.collect_list(F.struct("position", "target_id"))).alias("_ids")).select(
         "target_uid", F.transform("_ids", lambda e: e["target_id"].cast("long")).alias("monitor_columns")
     )
@@ -192,14 +200,15 @@ def anomaly_import_plan(anomalies: DataFrame, id_map: DataFrame, target_rules: D
 
 _PROFILE = (
     "struct<profileSettingsConfigs: struct<profileNotificationChannels: "
-    "struct<configuredNotificationGroupIds: array<bigint>>>>"
+    "struct<configuredNotificationGroupIds: array<string>>>>"
 )
 
 
 def notification_ids(document: Column) -> Column:
-    """Notification group ids of a profile configuration, null if there is no list."""
+    """Notification group ids of a profile configuration, null if there is no list; entries that are no number are null."""
     profile = F.from_json(document, _PROFILE)
-    return profile["profileSettingsConfigs"]["profileNotificationChannels"]["configuredNotificationGroupIds"]
+    listed = profile["profileSettingsConfigs"]["profileNotificationChannels"]["configuredNotificationGroupIds"]
+    return F.transform(listed, lambda entry: entry.try_cast("bigint"))
 
 
 def map_notification_ids(configs: DataFrame, mapping: DataFrame, key: str = "target_uid") -> DataFrame:
@@ -211,7 +220,7 @@ def map_notification_ids(configs: DataFrame, mapping: DataFrame, key: str = "tar
         key, F.posexplode_outer(notification_ids(F.col("profile_json"))).alias("position", "source_id")
     )
     ids = F.array_sort(F.collect_list(F.struct("position", "source_id", "target_id")))
-    grouped = exploded.join(mapping, "source_id", "left").groupBy(key).agg(ids.alias("_ids"))
+    grouped = exploded.join(one_target(mapping), "source_id", "left").groupBy(key).agg(ids.alias("_ids"))
     present = F.filter("_ids", lambda e: e["source_id"].isNotNull())
     return grouped.select(
         key,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import find_uids, parsed, rewrite_strings
+from metaferry.functions.jsondoc import find_uids, is_json, rewrite_strings
 from metaferry.functions.rename import Renames, rename_words
 
 
@@ -16,7 +16,7 @@ def rewrite_documents(documents: DataFrame, renames: Renames, text: str = "text"
     without text (other bundle members) pass through.
     """
     document = F.col(text)
-    valid = parsed(document).isNotNull()
+    valid = is_json(document)
     edited = F.when(valid, rewrite_strings(document, renames, compact))
     status = F.when(document.isNull(), "copied").when(valid, "rewritten").otherwise("error")
     return (
@@ -29,13 +29,14 @@ def rewrite_documents(documents: DataFrame, renames: Renames, text: str = "text"
 
 
 def document_uids(documents: DataFrame, text: str = "text", only_members: str | None = None) -> DataFrame:
-    """Distinct uids mentioned anywhere in the documents.
+    """Distinct uids mentioned anywhere in the documents; texts that are not JSON mention none.
 
     ``only_members`` limits the scan to members whose name starts with it.
     """
     if only_members is not None:
         documents = documents.filter(F.col("member").startswith(only_members))
-    return documents.select(F.explode(find_uids(F.col(text))).alias("uid")).distinct()
+    document = F.col(text)
+    return documents.select(F.explode(F.when(is_json(document), find_uids(document))).alias("uid")).distinct()
 
 
 def uid_table(uids: DataFrame, renames: Renames) -> DataFrame:

@@ -34,12 +34,12 @@ def import_statistics(uploads: DataFrame) -> DataFrame:
     ``response`` is the JSON text of the upload response, ``applied`` whether
     the apply request worked; counters are summed over applied files only.
     """
-    schema = "struct<" + ", ".join(f"{name}: bigint" for name in COUNTERS) + ">"
+    schema = "struct<" + ", ".join(f"{name}: double" for name in COUNTERS) + ">"
     parsed = uploads.withColumn("_r", F.from_json("response", schema))
     uploaded = F.coalesce(F.col("uuid") != "", F.lit(False))
     done = uploaded & F.coalesce(F.col("applied"), F.lit(False))
     return parsed.agg(
-        *[F.coalesce(F.sum(F.when(done, F.col(f"_r.{name}"))), F.lit(0)).alias(name) for name in COUNTERS],
+        *[F.coalesce(F.sum(F.when(done, F.col(f"_r.{name}"))).cast("bigint"), F.lit(0)).alias(name) for name in COUNTERS],
         F.count_if(done).alias("files_processed"),
         F.count_if(~done).alias("files_failed"),
         F.count_if(uploaded).alias("upload_configs_successful"),

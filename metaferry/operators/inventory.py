@@ -176,7 +176,11 @@ def child_maps(mapping: DataFrame, source_children: DataFrame, target_children:
     """
 
     def as_map(children: DataFrame, key: str, name: str) -> DataFrame:
-        entries = F.transform("child_assets", lambda c: F.struct(c["asset_id"], c["uid"]))
+        # The last entry of an id counts, entries without an id none.
+        known = F.filter("child_assets", lambda c: c["asset_id"].isNotNull())
+        ids = F.transform(known, lambda c: c["asset_id"])
+        last = F.filter(known, lambda c, k: ~F.array_contains(F.slice(ids, k + 2, F.size(ids)), c["asset_id"]))
+        entries = F.transform(last, lambda c: F.struct(c["asset_id"], c["uid"]))
         return children.select(F.col("asset_id").cast("string").alias(key), F.map_from_entries(entries).alias(name))
 
     return mapping.join(as_map(source_children, "source_id", "source_children"), "source_id", "left").join(

@@ -18,21 +18,27 @@ def hot_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how:
     shuffle of both sides, which makes the split possible in every case.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    mark = "_key_hash"
+    mark, compared = "_key_hash", [f"_key_{k}" for k in range(len(keys))]
     kinds = [_common_type(left, right, key) for key in keys]
-    hashed = F.xxhash64(*[F.col(key).cast(kind) for key, kind in zip(keys, kinds)])
-    for key, kind in zip(keys, kinds):
-        if dict(right.dtypes)[key] != dict(left.dtypes)[key]:
-            right = right.withColumn(key, F.col(key).cast(kind).try_cast(dict(left.dtypes)[key]))
-    return left.withColumn(mark, hashed).join(right.withColumn(mark, hashed), [*keys, mark], how).drop(mark)
+    if all(dict(left.dtypes)[key] == dict(right.dtypes)[key] for key in keys):
+        hashed = F.xxhash64(*keys)
+        return left.withColumn(mark, hashed).join(right.withColumn(mark, hashed), [*keys, mark], how).drop(mark)
+    # Keys of unlike type are compared and hashed in one type; the left side's own values stay.
+    typed = {name: F.col(key).try_cast(kind) for name, key, kind in zip(compared, keys, kinds)}
+    right = right.withColumns(typed).drop(*keys).withColumn(mark, F.xxhash64(*compared))
+    joined = left.withColumns(typed).withColumn(mark, F.xxhash64(*compared)).join(right, [*compared, mark], how)
+    others = [name for name in joined.columns if name not in {*keys, *compared, mark}]
+    return joined.select(*keys, *others)
 
 
 def _common_type(left: DataFrame, right: DataFrame, key: str) -> str:
-    """Type in which keys of both sides are hashed: equal values must have equal hashes."""
-    kinds = {dict(left.dtypes)[key], dict(right.dtypes)[key]}
-    if len(kinds) == 1:
-        return kinds.pop()
-    return "bigint" if kinds <= {"tinyint", "smallint", "int", "bigint"} else "string"
+    """Type in which keys of both sides are compared: that of a union, or the numeric one against text."""
+    one, other = dict(left.dtypes)[key], dict(right.dtypes)[key]
+    if one == other or other == "string":
+        return one
+    if one == "string":
+        return other
+    return left.select(key).limit(0).union(right.select(key).limit(0)).dtypes[0][1]
 
 
 def present(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

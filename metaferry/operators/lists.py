@@ -17,11 +17,10 @@ def large_keys(df: DataFrame, key: str, part_size: int = PART_SIZE) -> DataFrame
     """Keys with over ``part_size`` rows and the number of parts they are spread over.
 
     At most one key in ``part_size`` rows is that large, so the result is small
-    next to the data (ten million keys in a trillion rows at the very most) and
-    mostly empty. That bound is what allows it to be broadcast.
+    next to the data and mostly empty; Spark decides by its size how to join it.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > part_size)
-    return F.broadcast(counted.select(key, F.ceil(F.col("_rows") / part_size).alias("_parts")))
+    return counted.select(key, F.ceil(F.col("_rows") / part_size).alias("_parts"))
 
 
 def with_list_part(df: DataFrame, key: str, *element: str, part_size: int = PART_SIZE) -> DataFrame:

@@ -123,10 +123,12 @@ def order_mapping(mapping: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     return mapping.orderBy((F.col("mapping_status") != "Mapped").cast("int"), ordinal)
 
 
-def usable_mapping(mapping: DataFrame) -> DataFrame:
-    """Id pairs of mapped groups whose ids are both whole numbers."""
+def usable_mapping(mapping: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """Id pairs of mapped groups whose ids are both whole numbers; the last row of a source id counts."""
     pairs = mapping.filter(F.col("mapping_status") == "Mapped").select(
         whole_number(F.col("source_notification_id")).alias("source_id"),
         whole_number(F.col("target_notification_id")).alias("target_id"),
+        F.col(ordinal),
     )
+    pairs = last_per_key(pairs, ["source_id"], ordinal).drop(ordinal)
     return pairs.filter(F.col("source_id").isNotNull() & F.col("target_id").isNotNull())

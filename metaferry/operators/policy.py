@@ -217,7 +217,8 @@ def shares(df: DataFrame, value: Column, name: str = "value") -> DataFrame:
     """Count and percentage of each value, of all counted rows."""
     counts = df.select(value.alias(name)).filter(F.col(name).isNotNull())
     per_value = counts.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.count(F.lit(1)).alias("total")).scalar()
+    # The same exchange as the counts themselves, so the rows are read once.
+    total = per_value.agg(F.sum("n").alias("total")).scalar()
     return per_value.withColumn("share", F.round(F.lit(100.0) * F.col("n") / total, 6))
 
 

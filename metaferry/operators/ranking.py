@@ -81,7 +81,9 @@ def positions(
     large the group is. What precedes a slice is summed from slice counts, and
     slices in turn from blocks of slices, so those windows are bounded as well.
     """
-    block, piece = F.shiftright(ordinal, _BLOCK_BITS), F.shiftright(ordinal, _SLICE_BITS)
+    # A shift of a narrower number would count modulo its width.
+    number = F.col(ordinal).cast("bigint")
+    block, piece = F.shiftright(number, _BLOCK_BITS), F.shiftright(number, _SLICE_BITS)
     sliced = df.withColumn("_block", block).withColumn("_slice", piece)
     per_slice = sliced.groupBy(group, "_block", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     per_block = per_slice.groupBy(group, "_block").agg(F.sum("_n").alias("_n"))

@@ -34,8 +34,8 @@ def asset_inventory(
         F.col("asset.assemblyId").alias("assembly_id"),
         F.col("asset.assetTypeId").alias("asset_type_id"),
         F.col("asset.assetType").alias("asset_type"),
-        # Page number and position make an ordinal without any global numbering.
-        (F.col("page") * F.lit(1 << 20) + F.col("position")).alias("ordinal"),
+        # Page number and position, an array index of 31 bits, make an ordinal without any global numbering.
+        (F.col("page") * F.lit(1 << 31) + F.col("position")).alias("ordinal"),
     )
     first, later = split_first(inventory.filter_inventory(rows, asset_types, assembly_ids), "source_id", "ordinal")
     return Inventory(

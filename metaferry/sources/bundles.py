@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import parsed
+from metaferry.functions.jsondoc import is_json
 
 # Kinds of bundle members by a part of their name, first match counts.
 MEMBER_KINDS = (
@@ -49,6 +50,8 @@ def is_policy_member(member: Column) -> Column:
     return member.startswith("data_quality_policy") & member.endswith(".json")
 
 
+# What one task may hold of an archive; Spark reads no file beyond 2 GB as one value.
+LARGEST_ARCHIVE = 2_000_000_000
 # Members are handed on in groups of about this many bytes.
 _CHUNK_BYTES = 8 << 20
 
@@ -101,15 +104,33 @@ def open_bundles(archives: DataFrame) -> DataFrame:
     )
 
 
+def below(root: str, path: Column) -> Column:
+    """A file's path relative to the folder that was read; files of the same name stay apart."""
+    plain = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
+    return F.regexp_replace(path, f"^(?:[a-z0-9]+:)?/*{re.escape(plain.lstrip('/'))}/+", "")
+
+
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Members of all ZIP archives below a folder, whatever the case of their suffix."""
+    """Members of all ZIP archives below a folder, whatever the case of their suffix.
+
+    ``bundle`` is the path below the folder. An archive is opened in one task, so
+    one of over ``LARGEST_ARCHIVE`` bytes is not read and gives an error row.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[zZ][iI][pP]")
         .load(path)
     )
-    return open_bundles(files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("bundle"), "content"))
+    bundle = below(path, F.col("path")).alias("bundle")
+    small = open_bundles(files.filter(F.col("length") <= LARGEST_ARCHIVE).select(bundle, "content"))
+    return small.unionByName(
+        files.filter(F.col("length") > LARGEST_ARCHIVE).select(
+            bundle,
+            *[F.lit(None).cast(kind).alias(name) for name, kind in small.dtypes if name not in ("bundle", "error")],
+            F.format_string("archive of %d bytes is too large", "length").alias("error"),
+        )
+    )
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -136,7 +157,7 @@ def usable_bundles(members: DataFrame) -> DataFrame:
 def objects_of(documents: DataFrame, schema: str, text: str = "text") -> DataFrame:
     """Objects of documents that are one object or a list of objects; texts that are not JSON have none."""
     others = [c for c in documents.columns if c != text]
-    return documents.filter(parsed(F.col(text)).isNotNull()).select(*others, F.explode(F.from_json(text, f"array<{schema}>")).alias("_o")).select(
+    return documents.filter(is_json(F.col(text))).select(*others, F.explode(F.from_json(text, f"array<{schema}>")).alias("_o")).select(
         *others, "_o.*"
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="metaferry-")
+    """The cluster's shared folder. Where none is set a local session gets its own, and a cluster an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="metaferry-")
 
 
 def staged(df: DataFrame, folder: str | None = None) -> DataFrame:

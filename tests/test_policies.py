@@ -166,13 +166,13 @@ def test_read_bundles(spark, bundle_dir, rows):
         ("bad.zip", None, "Other/Unknown", True),
         ("damaged.zip", "a.json", "Other/Unknown", True),
         ("damaged.zip", "b.json", "Other/Unknown", False),
+        ("deep/one.ZIP", "broken.json", "Other/Unknown", False),
+        ("deep/one.ZIP", "data_quality_policy_definitions.json", "Data Quality Policy Definitions", False),
+        ("deep/one.ZIP", "latin.json", "Other/Unknown", False),
+        ("deep/one.ZIP", "readme.txt", "Other/Unknown", False),
         ("empty.zip", None, "Other/Unknown", True),
-        ("one.ZIP", "broken.json", "Other/Unknown", False),
-        ("one.ZIP", "data_quality_policy_definitions.json", "Data Quality Policy Definitions", False),
-        ("one.ZIP", "latin.json", "Other/Unknown", False),
-        ("one.ZIP", "readme.txt", "Other/Unknown", False),
     ]
-    assert rows(bundles.usable_bundles(members)) == [("one.ZIP", 4)]
+    assert rows(bundles.usable_bundles(members)) == [("deep/one.ZIP", 4)]
     assert rows(members.filter("member = 'latin.json'"), "text") == [('{"note":"café PROD_DB"}',)]
     assert rows(bundles.read_documents(spark, bundle_dir), "text") == [('{"uid": "PROD_DB.loose"}',)]
 
@@ -180,7 +180,7 @@ def test_read_bundles(spark, bundle_dir, rows):
 @pytest.mark.parametrize("staging", [False, True])
 def test_bundle_rewrite_job(spark, bundle_dir, rows, tmp_path, monkeypatch, staging):
     monkeypatch.setattr("metaferry.sources.staging.staging_folder", lambda _: str(tmp_path / "staging"))
-    members = bundles.read_bundles(spark, bundle_dir).filter("bundle = 'one.ZIP'")
+    members = bundles.read_bundles(spark, bundle_dir).filter("bundle = 'deep/one.ZIP'")
     job = jobs.bundle_rewrite(members, {"PROD_DB": "DEV_DB"}, staging=staging)
     texts = {r.member: r for r in job.members.collect()}
     assert json.loads(texts["data_quality_policy_definitions.json"].text)[0]["backingAssets"][1]["uid"] == "DEV_DB.b"
@@ -191,10 +191,10 @@ def test_bundle_rewrite_job(spark, bundle_dir, rows, tmp_path, monkeypatch, stag
     assert [r.source_env[-1] for r in job.all_uids.collect()] == ["a", "b", "c", "d"]
     assert rows(job.policy_statistics.filter("member LIKE 'data_quality%'")) == [("data_quality_policy_definitions.json", 4, 1, 1, 1)]
     assert rows(job.changes) == [(4, 2, 1, 1, 2, 5)]
-    assert rows(job.reconciliation) == [("one.ZIP", 4, 3, "count_mismatch")]
+    assert rows(job.reconciliation) == [("deep/one.ZIP", 4, 3, "count_mismatch")]
     out = str(tmp_path / "out")
     sinks.write_members(job.members, out)
-    assert rows(spark.read.parquet(out).groupBy("bundle").count()) == [("one-import-ready", 4)]
+    assert rows(spark.read.parquet(out).groupBy("bundle").count()) == [("deep/one-import-ready", 4)]
 
 
 def test_custom_sql_diff(spark, rows):
