@@ -118,8 +118,11 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float:
     """The k-th largest number of a column: ranges are counted and narrowed. Runs a few jobs."""
     low, high = values.agg(F.min(column), F.max(column)).first()
     # The least and the greatest value always fall into different ranges.
-    while low < high and (width := (high - low) / _BINS) > 0:
+    while low < high:
+        width = (high - low) / _BINS
         place = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(_BINS - 1))
+        if not width:  # so narrow that it holds no more values than a range is cut into
+            place = F.col(column)
         bins = (
             values.filter(F.col(column).between(low, high))
             .groupBy(place.alias("bin"))
