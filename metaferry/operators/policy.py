@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from metaferry.functions.text import first_in_list, has_text, or_blank, slug, sort_number, split_list, strip
 from metaferry.operators.joins import absent, hot_join
-from metaferry.operators.lists import PART_SIZE, large_keys, with_list_part
 from metaferry.operators.ranking import batches
 
 # Policies per export batch by policy type, 50 where not listed.
@@ -153,42 +152,36 @@ def backing_details(backing: DataFrame, assets: DataFrame, assemblies: DataFrame
 _SOURCE_SETS = (("assembly_ids", "assembly_id"), ("assembly_names", "assembly_name"), ("source_types", "source_type"))
 
 
-def _source_sets(prefix: str) -> list[Column]:
+def _source_sets() -> list[Column]:
     """Sorted distinct data source values of a group."""
-    return [
-        F.array_sort(F.collect_set(F.col(column).cast("string"))).alias(prefix + name) for name, column in _SOURCE_SETS
-    ]
+    return [F.array_sort(F.collect_set(F.col(column).cast("string"))).alias(name) for name, column in _SOURCE_SETS]
 
 
-def policy_list(
-    policies: DataFrame, backing: DataFrame, assets: DataFrame, assemblies: DataFrame, part_size: int = PART_SIZE
-) -> DataFrame:
-    """The policy list: one row per policy with its asset and data source lists as text.
+def policy_assets(backing: DataFrame, assets: DataFrame) -> DataFrame:
+    """One row per policy and backing asset: policy id, position in the document, asset id and type.
+
+    This is the form for policies of any size; ``policy_list`` holds the same as text cells.
+    """
+    known = assets.select(F.col("id").alias("table_asset_id"), "asset_type")
+    rows = hot_join(usable_backing(backing).select("policy_id", "position", "table_asset_id"), known, "table_asset_id", "left")
+    return rows.select("policy_id", "position", "table_asset_id", "asset_type")
+
 
-    The lists that keep every asset, in document order, are spread over several
-    rows (``list_part``) where a policy has very many. The lists of distinct
-    data sources always describe the whole policy: for such a policy they are
-    combined separately, which touches nothing when there is none.
+def policy_list(policies: DataFrame, backing: DataFrame, assets: DataFrame, assemblies: DataFrame) -> DataFrame:
+    """The policy list file: one row per policy with its asset and data source lists as text.
+
+    A cell holds all assets of one policy, in document order, so these must fit
+    into one value (Spark's limit is 2 GB). The backing assets are read once.
     """
-    usable = usable_backing(backing)
-    parts = with_list_part(usable, "policy_id", "position", "table_asset_id", part_size=part_size)
     ordered = F.array_sort(F.collect_list(F.struct("position", "table_asset_id", "asset_type")))
     listed = (
-        backing_details(parts, assets, assemblies)
-        .groupBy(F.col("policy_id").alias("id"), "list_part")
-        .agg(ordered.alias("_assets"), *_source_sets("part_"))
+        backing_details(backing, assets, assemblies)
+        .groupBy(F.col("policy_id").alias("id"))
+        .agg(ordered.alias("_assets"), *_source_sets())
         .withColumn("ids", F.transform("_assets", lambda e: e["table_asset_id"].cast("string")))
         .withColumn("types", F.transform("_assets", lambda e: or_blank(e["asset_type"])))
     )
-    split = usable.join(large_keys(usable, "policy_id", part_size), "policy_id", "left_semi")
-    whole = (
-        backing_details(split, assets, assemblies)
-        .groupBy(F.col("policy_id").alias("id"))
-        .agg(*_source_sets("all_"))
-    )
-    joined = policies.join(listed, "id", "left").join(whole, "id", "left")
-    for name, _ in _SOURCE_SETS:
-        joined = joined.withColumn(name, F.coalesce(f"all_{name}", f"part_{name}"))
+    joined = policies.join(listed, "id", "left")
 
     def text(name: str) -> Column:
         return or_blank(F.array_join(name, ","))
@@ -204,7 +197,6 @@ def policy_list(
         or_blank(F.col("sub_type")).alias("subType"),
         or_blank(F.col("name")).alias("policyName"),
         text("types").alias("tableAssetIdsTypes"),
-        F.coalesce("list_part", F.lit(0)).alias("list_part"),
     )
 
 
@@ -254,8 +246,6 @@ def export_category(export_type: str | None) -> Column:
 
 def categorised(policies: DataFrame, export_type: str | None = None, only: str | None = None) -> DataFrame:
     """Policies that have an id and a category, optionally of one category only."""
-    if "list_part" in policies.columns:
-        policies = policies.filter(F.col("list_part") == 0)
     rows = policies.filter(has_text(F.col("id"))).withColumn("category", export_category(export_type))
     return rows.filter(F.col("category").isNotNull() if not only else F.col("category") == only)
 

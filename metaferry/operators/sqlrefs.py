@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaferry.functions.text import strip
-from metaferry.operators.lists import with_list_part
+from metaferry.operators.joins import hot_join
 
 # Fixed value: a reference of the form database.schema.table.
 TABLE_REFERENCE = r"([A-Za-z0-9_]+)\.([A-Za-z0-9_]+)\.([A-Za-z0-9_]+)"
@@ -48,25 +48,38 @@ def policy_references(policy_sql_rows: DataFrame) -> DataFrame:
 
 
 def reference_mapping(source: DataFrame, sink: DataFrame) -> DataFrame:
-    """Every reference of either side with what it corresponds to on the other.
+    """One row per policy and reference of either side, with what it has on the other.
 
-    Source references meet sink references of the same policy with the same
-    ``schema.table``, whatever the database. The sink side is first reduced to
-    one list per policy and ``schema.table``, so no pairs are formed.
+    Source and sink references correspond if they have the same policy and
+    ``schema_table``, whatever the database. That key stands in every row, so
+    the references that correspond to one are the rows of its key; no list and
+    no pair is formed, and the result is as long as the input.
     """
-    left = source.withColumn("schema_table", schema_table(F.col("reference")))
-    right = (
-        sink.withColumn("schema_table", schema_table(F.col("reference")))
-        .groupBy("policy", "schema_table")
-        .agg(F.array_sort(F.collect_set("reference")).alias("sink_tables"))
+
+    def side(rows: DataFrame, is_source: bool) -> DataFrame:
+        return rows.select(
+            "policy",
+            schema_table(F.col("reference")).alias("schema_table"),
+            "reference",
+            F.lit(is_source).alias("in_source"),
+            F.lit(not is_source).alias("in_sink"),
+        )
+
+    both = side(source, True).unionByName(side(sink, False))
+    rows = both.groupBy("policy", "schema_table", "reference").agg(
+        F.max("in_source").alias("in_source"), F.max("in_sink").alias("in_sink")
+    )
+    keys = both.groupBy("policy", "schema_table").agg(
+        F.max("in_source").alias("_any_source"), F.max("in_sink").alias("_any_sink")
     )
-    joined = left.join(right, ["policy", "schema_table"], "left")
-    return joined.select(
+    return hot_join(rows, keys, ["policy", "schema_table"]).select(
         "policy",
         "schema_table",
-        F.col("reference").alias("source_table"),
-        F.coalesce(F.array_join("sink_tables", ", "), F.lit("No match")).alias("matched_tables"),
-        F.coalesce(F.array_contains("sink_tables", F.col("reference")), F.lit(False)).alias("unchanged"),
+        "reference",
+        "in_source",
+        "in_sink",
+        (F.col("_any_source") & F.col("_any_sink")).alias("matched"),
+        (F.col("in_source") & F.col("in_sink")).alias("unchanged"),
     )
 
 
@@ -80,35 +93,12 @@ def unchanged_references(source: DataFrame, sink: DataFrame) -> DataFrame:
 
 
 def reference_report(source: DataFrame, sink: DataFrame) -> DataFrame:
-    """One row per policy with its references, their mapping and the unchanged ones, as sorted text.
-
-    Policies with very many references are spread over several rows (``list_part``).
-    """
-    mapped = reference_mapping(source, sink).select(
-        "policy",
-        "schema_table",
-        F.col("source_table").alias("source"),
-        F.lit(None).cast("string").alias("sink"),
-        F.concat("source_table", F.lit(" -> "), "matched_tables").alias("mapping"),
-        F.when(F.col("unchanged"), F.col("source_table")).alias("unchanged"),
-    )
-    none = F.lit(None).cast("string")
-    sinks = sink.select(
-        "policy",
-        schema_table(F.col("reference")).alias("schema_table"),
-        none.alias("source"),
-        F.col("reference").alias("sink"),
-        none.alias("mapping"),
-        none.alias("unchanged"),
-    )
-    parts = with_list_part(mapped.unionByName(sinks), "policy", "schema_table")
-
-    def listed(name: str, separator: str) -> Column:
-        return F.array_join(F.array_sort(F.collect_list(name)), separator)
-
-    return parts.groupBy("policy", "list_part").agg(
-        listed("source", ", ").alias("source_tables"),
-        listed("sink", ", ").alias("sink_tables"),
-        listed("mapping", " | ").alias("source_to_sink_mapping"),
-        listed("unchanged", ", ").alias("unchanged_tables"),
+    """One row per policy: references on each side, those that correspond to one of the other side, unchanged ones."""
+    mapped = reference_mapping(source, sink)
+    return mapped.groupBy("policy").agg(
+        F.count_if("in_source").alias("source_tables"),
+        F.count_if("in_sink").alias("sink_tables"),
+        F.count_if(F.col("in_source") & F.col("matched")).alias("source_tables_matched"),
+        F.count_if(F.col("in_source") & ~F.col("matched")).alias("source_tables_without_match"),
+        F.count_if("unchanged").alias("unchanged_tables"),
     )

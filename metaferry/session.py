@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Run-time re-planning: skewed join partitions are split, small ones merged. The
-# size of a broadcast side is left to Spark to check (see lists.large_keys for the exception).
+# size of a broadcast side is left to Spark to check.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

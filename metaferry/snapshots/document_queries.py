@@ -243,14 +243,11 @@ _REFS = """refs AS (
     UNION SELECT DISTINCT 'sink', policy,
            unnest(regexp_extract_all(sql, '([A-Za-z0-9_]+)\\.([A-Za-z0-9_]+)\\.([A-Za-z0-9_]+)')) FROM $sink_sql),
     keyed AS (SELECT *, concat(split_part(reference, '.', 2), '.', split_part(reference, '.', 3)) AS schema_table FROM refs),
-    sinks AS (SELECT policy, schema_table, string_agg(reference, ', ' ORDER BY reference) AS tables FROM keyed
-              WHERE side = 'sink' GROUP BY 1, 2),
-    mapped AS (SELECT k.policy, k.schema_table, k.reference AS source_table,
-                   coalesce(s.tables, 'No match') AS matched_tables,
-                   EXISTS (SELECT 1 FROM refs r WHERE r.side = 'sink' AND r.policy = k.policy
-                           AND r.reference = k.reference) AS unchanged
-               FROM keyed k LEFT JOIN sinks s ON k.policy = s.policy AND k.schema_table = s.schema_table
-               WHERE k.side = 'source')"""
+    sided AS (SELECT policy, schema_table, reference, bool_or(side = 'source') AS in_source,
+                  bool_or(side = 'sink') AS in_sink FROM keyed GROUP BY ALL),
+    mapped AS (SELECT *, bool_or(in_source) OVER k AND bool_or(in_sink) OVER k AS matched,
+                  in_source AND in_sink AS unchanged
+               FROM sided WINDOW k AS (PARTITION BY policy, schema_table))"""
 
 
 def _sql_documents(rows):
@@ -295,18 +292,11 @@ def _(i: Inputs):
 
 @query(
     "sql_reference_report",
-    f"""WITH {_REFS}, p AS (SELECT DISTINCT policy FROM refs)
-    SELECT policy, 0 AS list_part,
-        coalesce((SELECT string_agg(reference, ', ' ORDER BY reference) FROM refs r WHERE r.policy = p.policy
-                  AND side = 'source'), '') AS source_tables,
-        coalesce((SELECT string_agg(reference, ', ' ORDER BY reference) FROM refs r WHERE r.policy = p.policy
-                  AND side = 'sink'), '') AS sink_tables,
-        coalesce((SELECT string_agg(concat(source_table, ' -> ', matched_tables), ' | '
-                      ORDER BY concat(source_table, ' -> ', matched_tables)) FROM mapped m WHERE m.policy = p.policy), '')
-            AS source_to_sink_mapping,
-        coalesce((SELECT string_agg(source_table, ', ' ORDER BY source_table) FROM mapped m WHERE m.policy = p.policy
-                  AND unchanged), '') AS unchanged_tables
-    FROM p""",
+    f"""WITH {_REFS} SELECT policy, count(*) FILTER (in_source) AS source_tables, count(*) FILTER (in_sink) AS sink_tables,
+        count(*) FILTER (in_source AND matched) AS source_tables_matched,
+        count(*) FILTER (in_source AND NOT matched) AS source_tables_without_match,
+        count(*) FILTER (unchanged) AS unchanged_tables
+    FROM mapped GROUP BY policy""",
 )
 def _(i: Inputs):
     return sqlrefs.reference_report(*_sides(i))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from metaferry.functions import text
-from metaferry.operators import imports, inventory, policy
+from metaferry.operators import imports, inventory, policy, ranking
 from metaferry.snapshots.asset_queries import MERGED, RENAMES, asset_map
 from metaferry.snapshots.registry import Inputs, query
 
@@ -133,11 +133,29 @@ def policy_rows(i: Inputs):
     return policy.policy_list(i.policies, i.backing, i.assets, i.assemblies)
 
 
-@query("policy_inventory", f"WITH {_LIST} SELECT *, 0 AS list_part FROM policy_rows ORDER BY id")
+@query("policy_inventory", f"WITH {_LIST} SELECT * FROM policy_rows ORDER BY id")
 def _(i: Inputs):
     return policy.order_by_id(policy_rows(i))
 
 
+@query(
+    "policy_assets",
+    f"""WITH {_DETAILS} SELECT policy_id, position, table_asset_id, coalesce(asset_type, '-') AS asset_type FROM details""",
+)
+def _(i: Inputs):
+    return policy.policy_assets(i.backing, i.assets).withColumn("asset_type", F.coalesce("asset_type", F.lit("-")))
+
+
+@query(
+    "positions_in_group_int",
+    """SELECT o_orderkey, o_orderstatus AS status,
+           row_number() OVER (PARTITION BY o_orderstatus ORDER BY CAST(o_orderkey AS INTEGER)) - 1 AS position FROM $orders""",
+)
+def _(i: Inputs):
+    rows = i.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderkey").cast("int").alias("o"))
+    return ranking.positions(rows, "status", "o").select("o_orderkey", "status", "position")
+
+
 @query(
     "view_policies",
     f"""WITH {_LIST} SELECT id, "policyName" FROM policy_rows

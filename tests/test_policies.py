@@ -40,10 +40,10 @@ def inputs(spark):
 
 LIST = [
     (1, "DATA_QUALITY", "SPARK", "102,101,102", "201,202", "Assembly 1,Assembly 2", "MySQL,PostgreSQL", "SQL", "p1",
-     "SQL_VIEW,TABLE,SQL_VIEW", 0),
-    (2, "", "JDBC_SQL", "103", "", "", "", "", "p2", "VIEW", 0),
-    (3, "EQUALITY", "SPARK", "999", "", "", "", "", "p3", "", 0),
-    (4, "EQUALITY", "OTHER", "", "", "", "", "", "p4", "", 0),
+     "SQL_VIEW,TABLE,SQL_VIEW"),
+    (2, "", "JDBC_SQL", "103", "", "", "", "", "p2", "VIEW"),
+    (3, "EQUALITY", "SPARK", "999", "", "", "", "", "p3", ""),
+    (4, "EQUALITY", "OTHER", "", "", "", "", "", "p4", ""),
 ]
 
 
@@ -52,10 +52,10 @@ def test_policy_list(inputs):
     assert policy.policy_list(*inputs).columns[:10] == list(policy.POLICY_LIST_COLUMNS)
 
 
-def test_long_lists_are_spread_and_whole(inputs):
-    rows = policy.policy_list(*inputs, part_size=2).filter("id = 1").collect()
-    assert sorted(i for r in rows for i in r.tableAssetIds.split(",") if i) == ["101", "102", "102"]
-    assert {r.assemblyIds for r in rows} == {"201,202"}
+def test_policy_assets(inputs, rows):
+    _, backing, assets, _ = inputs
+    found = rows(policy.policy_assets(backing, assets).filter("policy_id = 1"), "position", "table_asset_id", "asset_type")
+    assert [(asset, kind) for _, asset, kind in found] == [(102, "SQL_VIEW"), (101, "TABLE"), (102, "SQL_VIEW")]
 
 
 def test_inventory_job(spark, inputs, rows):
@@ -216,12 +216,26 @@ def test_custom_sql_diff(spark, rows):
         {"name": "p4", "customSqlConfig": [{"sqlExpression": "k.k.k"}]},
     )
     job = jobs.custom_sql_diff(source, sink)
-    assert rows(job.report, "policy", "source_tables", "sink_tables", "source_to_sink_mapping", "unchanged_tables") == [
-        ("7", "n.n.n", "", "n.n.n -> No match", ""),
-        ("p1", "a.b.c, db.s.t, db.s.u", "db.s.u, new.s.t, old.s.t",
-         "a.b.c -> No match | db.s.t -> new.s.t, old.s.t | db.s.u -> db.s.u", "db.s.u"),
-        ("p2", "x.y.z", "", "x.y.z -> No match", ""),
-        ("p4", "", "k.k.k", "", ""),
+    assert rows(job.mapping, "policy", "reference", "in_source", "in_sink", "matched", "unchanged") == [
+        ("7", "n.n.n", True, False, False, False),
+        ("p1", "a.b.c", True, False, False, False),
+        ("p1", "db.s.t", True, False, True, False),
+        ("p1", "db.s.u", True, True, True, True),
+        ("p1", "new.s.t", False, True, True, False),
+        ("p1", "old.s.t", False, True, True, False),
+        ("p2", "x.y.z", True, False, False, False),
+        ("p4", "k.k.k", False, True, False, False),
+    ]
+    report = ["policy", "source_tables", "sink_tables", "source_tables_matched", "source_tables_without_match", "unchanged_tables"]
+    assert rows(job.report, *report) == [
+        ("7", 1, 0, 0, 1, 0), ("p1", 3, 3, 2, 1, 1), ("p2", 1, 0, 0, 1, 0), ("p4", 0, 1, 0, 0, 0)
     ]
     assert rows(job.unchanged) == [("p1", "db.s.u")]
     assert rows(spark.createDataFrame([("a.b.c",)], "r string").select(sqlrefs.schema_table(F.col("r")))) == [("b.c",)]
+
+
+def test_sql_diff_is_linear_in_one_large_key(spark):
+    """100,000 references of one schema.table on both sides give as many rows, not their product."""
+    names = spark.range(100_000).select(F.lit("p").alias("policy"), F.concat(F.lit("d"), "id", F.lit(".s.t")).alias("reference"))
+    mapped = sqlrefs.reference_mapping(names, names.withColumn("reference", F.concat(F.lit("x"), "reference")))
+    assert mapped.agg(F.count("*"), F.count_if("matched"), F.count_if("unchanged")).first() == (200_000, 200_000, 0)

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from metaferry.operators import inventory, lists, notify, ranking
+from metaferry.operators import inventory, notify, ranking
 
 
 @pytest.fixture(scope="module")
@@ -97,16 +97,6 @@ def test_candidates_number_the_options(spark, rows):
     ]
 
 
-def test_list_parts_cover_every_row_once(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    parts = lists.with_list_part(df, "k", "id", part_size=100).groupBy("k", "list_part").agg(F.collect_list("id").alias("ids"))
-    got = parts.collect()
-    assert sorted(i for r in got for i in r.ids) == list(range(1000))
-    hot = [r for r in got if r.k == "hot"]
-    assert len(hot) == 9 and max(len(r.ids) for r in hot) < 200
-    assert all(r.list_part == 0 for r in got if r.k != "hot")
-
-
 @pytest.fixture
 def small_skew_limits(spark):
     """Run-time skew limits scaled down to test data, and no broadcast joins."""
