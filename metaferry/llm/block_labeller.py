@@ -22,6 +22,7 @@ from rearranged placeholder text alone; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -324,9 +325,11 @@ def trained(pages: Sequence[str | None], seed: int = 1) -> Labeller:
 
 def sample(pages: DataFrame, key: str = "page_id", html: str = "html") -> list[str]:
     """The pages to learn from. Runs a job; its result is bounded by the sample's parameters."""
-    usable = pages.filter(F.length(html).between(1, PAGE_CHARS))
-    order = (F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.md5(html))
-    return [row[0] for row in usable.orderBy(*order).select(html).limit(SAMPLE_PAGES).collect()]
+    order = F.pmod(F.xxhash64(F.col(key).cast("string"), F.length(html)), F.lit(1 << 30))
+    # Few more pages than wanted are compared, so that not every task sends as many.
+    share = min(1.0, 3 * SAMPLE_PAGES / max(1, pages.count()))
+    usable = pages.filter(order < math.ceil(share * (1 << 30))).filter(F.length(html).between(1, PAGE_CHARS))
+    return [row[0] for row in usable.orderBy(order, F.md5(html)).select(html).limit(SAMPLE_PAGES).collect()]
 
 
 def extract(

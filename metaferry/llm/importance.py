@@ -142,11 +142,14 @@ def resampled(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality", seed: int = 1
 ) -> DataFrame:
     """(key, n_features, log_weight, priority, kept) of every row. Runs jobs."""
+    known, n_good = labels.agg(F.count(quality), F.sum(F.when(F.col(quality) == 1, 1).otherwise(0))).first()
     good = labels.filter((F.col(quality) == 1) & F.col(key).isNotNull()).select(F.col(key).alias("id")).distinct()
-    target = good.orderBy(F.xxhash64(F.lit(seed), F.col("id").cast("string")), "id").limit(TARGET_ROWS)
+    order = F.xxhash64(F.lit(seed), F.col("id").cast("string"))
+    # Few more rows than wanted are compared, so that not every task sends as many.
+    near = good.filter(F.pmod(order, F.lit(1 << 20)) < math.ceil(min(1.0, 1.2 * TARGET_ROWS / max(1, n_good or 0)) * (1 << 20)))
+    target = near.orderBy(F.pmod(order, F.lit(1 << 20)), order, "id").limit(TARGET_ROWS)
     ratios = log_ratios(docs, target, key, text)
     scored = staged(weights(docs, ratios, key, text).withColumn("priority", F.col("log_weight") + gumbel(key, seed)))
-    known, n_good = labels.agg(F.count(quality), F.sum(F.when(F.col(quality) == 1, 1).otherwise(0))).first()
     n = scored.count()
     k = math.ceil(n * n_good / known) if known else n
     least = kth_largest(scored, "priority", k) if k else math.inf
