@@ -52,8 +52,8 @@ def enriched_tags(enriched: DataFrame) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Rewritten documents as text, one folder per bundle."""
-    documents.select("bundle", F.col("text").alias("value")).write.mode(mode).partitionBy("bundle").text(path)
+    """Rewritten documents (member, text) as a table, one folder per bundle."""
+    documents.select("bundle", "member", "text").write.mode(mode).partitionBy("bundle").parquet(path)
 
 
 def import_ready(members: DataFrame) -> DataFrame:

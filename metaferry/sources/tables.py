@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metaferry.operators.config import config_rows
 from metaferry.operators.inventory import clean_pairs, clean_single, migrated_assets
@@ -18,17 +19,48 @@ MAPPING_COLUMNS = ("source_id", "source_uid", "target_id", "target_uid", "tags",
 READ_OPTIONS = {"multiLine": "true", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "mode": "PERMISSIVE"}
 
 
-def read_headed(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """A CSV file with header. With ``columns`` the header is skipped and columns go by position."""
+def read_headed(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, recursive: bool = False
+) -> DataFrame:
+    """CSV files with header. With ``columns`` the header is skipped and columns go by position.
+
+    ``recursive`` takes all ``.csv`` files below a folder. As fields may hold line
+    breaks, every file is one task, whatever its size.
+    """
     reader = spark.read.options(**READ_OPTIONS).option("header", "true")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
     if columns is not None:
         reader = reader.schema(", ".join(f"`{name}` string" for name in columns))
     return reader.csv(path)
 
 
-def read_ordered(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """As ``read_headed``, with an ``ordinal`` that follows the order of rows in the file."""
-    return with_ordinal(read_headed(spark, path, columns))
+# A row's number within its task has 33 bits.
+_ROW_BITS = 33
+
+
+def _plain(path: Column) -> Column:
+    """A path with one slash behind its scheme; Spark writes one or three."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def read_ordered(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, recursive: bool = False
+) -> DataFrame:
+    """As ``read_headed``, with an ``ordinal`` that follows the path of the file, then the rows in it.
+
+    Only the names of the files are sorted, by the driver, which has listed them
+    anyway. A file is never split, so the row number within its task grows with it.
+    """
+    rows = read_headed(spark, path, columns, recursive)
+    names = rows.columns
+    ranks = spark.createDataFrame(
+        [(name, rank) for rank, name in enumerate(sorted(rows.inputFiles()))], "_path string, _rank bigint"
+    ).withColumn("_path", _plain(F.col("_path")))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbered = rows.select("*", _plain(F.col("_metadata.file_path")).alias("_path"), row.alias("_row"))
+    ordinal = F.shiftleft("_rank", _ROW_BITS).bitwiseOR(F.col("_row")).alias("ordinal")
+    return numbered.join(ranks, "_path").select(*names, ordinal)
 
 
 def read_pairs(spark: SparkSession, path: str, names: Sequence[str] = ("source_env", "target_env")) -> DataFrame:

@@ -88,10 +88,10 @@ def test_tag_sinks(spark, tmp_path, rows):
 
 
 def test_documents_sink(spark, tmp_path, rows):
-    df = spark.createDataFrame([("b1", '{"a":"é"}'), ("b2", "[1]")], "bundle string, text string")
+    df = spark.createDataFrame([("b1", "m1", '{"a":"é"}'), ("b1", "m2", "1\n"), ("b2", "m1", "[1]")], "bundle string, member string, text string")
     path = str(tmp_path / "docs")
     sinks.write_documents(df, path)
-    assert rows(spark.read.text(path), "bundle", "value") == [("b1", '{"a":"é"}'), ("b2", "[1]")]
+    assert rows(spark.read.parquet(path), "bundle", "member", "text") == rows(df)
 
 
 def test_status_stream_equals_batch(spark, tmp_path, rows):
@@ -110,3 +110,13 @@ def test_status_stream_equals_batch(spark, tmp_path, rows):
 def test_headless_values_stay_text(spark, tmp_path, rows):
     path = write(tmp_path, "n.csv", "id,x\n007,1.50\n")
     assert rows(tables.read_headed(spark, path).select(F.concat("id", "x"))) == [("0071.50",)]
+
+
+def test_order_over_a_folder_follows_the_paths(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a b.csv").write_text("x\nfirst\n")
+    (tmp_path / "b.csv").write_text("x\n" + "".join(f"b{k}\n" for k in range(3000)))
+    (tmp_path / "sub" / "c.CSV").write_text("x\nlast\n")
+    (tmp_path / "note.txt").write_text("x\nno\n")
+    found = [row.x for row in tables.read_ordered(spark, str(tmp_path), recursive=True).orderBy("ordinal").collect()]
+    assert found == ["first", *[f"b{k}" for k in range(3000)], "last"]
