@@ -114,11 +114,13 @@ def schedule(sources: DataFrame) -> DataFrame:
     Runs a job that counts the slots.
     """
     grid = 1 << GRID_BITS
-    running = W.orderBy("sid").rowsBetween(W.unboundedPreceding, 0)
-    upper = F.floor(F.sum("slots").over(running) / F.sum("slots").over(W.partitionBy()) * grid)
+    # The total is the last running sum, so that it doesn't depend on the order of adding.
+    running = F.sum("slots").over(W.orderBy("sid").rowsBetween(W.unboundedPreceding, 0))
+    summed = sources.filter(F.col("slots") > 0).withColumn("_running", running)
+    n_slots = summed.agg(F.round(F.max("_running")).cast("bigint").alias("n")).first()["n"] or 0
+    upper = F.floor(F.col("_running") / F.max("_running").over(W.partitionBy()) * grid)
     owners = (
-        sources.filter(F.col("slots") > 0)
-        .withColumn("_upper", upper.cast("bigint"))
+        summed.withColumn("_upper", upper.cast("bigint"))
         .withColumn("_lower", F.coalesce(F.lag("_upper").over(W.orderBy("sid")), F.lit(0).cast("bigint")))
         .filter(F.col("_upper") > F.col("_lower"))
     )
@@ -127,7 +129,6 @@ def schedule(sources: DataFrame) -> DataFrame:
         "sid", "n_blocks", "_lower", "_upper",
         F.explode(F.sequence(cell(F.col("_lower")), cell(F.col("_upper") - 1))).alias("cell"),
     )
-    n_slots = sources.agg(F.round(F.sum("slots")).cast("bigint").alias("n")).first()["n"] or 0
     point = (F.col("slot").bitwiseAND(F.lit(grid - 1)) * F.lit(GOLDEN)).bitwiseAND(F.lit(grid - 1))
     placed = (
         sources.sparkSession.range(n_slots)
