@@ -66,7 +66,7 @@ def _by_segment(codes: DataFrame, code: str, parts: list[tuple[int, int]]) -> Da
 
 
 def _probes(queries: DataFrame, parts: list[tuple[int, int]], radius: int) -> DataFrame:
-    """(query, segment, value): the queries' segments with exactly ``radius`` bits turned, the bits in rising order."""
+    """(query, bound, segment, value): the queries' segments with exactly ``radius`` bits turned, the bits in rising order."""
     found = _by_segment(queries, "query", parts).withColumn("bit", F.lit(-1))
     for _ in range(radius):
         found = (
@@ -74,7 +74,7 @@ def _probes(queries: DataFrame, parts: list[tuple[int, int]], radius: int) -> Da
             .withColumn("bit", F.explode(F.sequence(F.col("bit") + 1, F.col("width") - 1)))
             .withColumn("value", F.expr("value ^ shiftleft(1L, bit)"))
         )
-    return found.select("query", "segment", "value")
+    return found.select("query", "bound", "segment", "value")
 
 
 def search(
@@ -97,13 +97,16 @@ def search(
 
     # The segment that takes a pair: the first of those in which it differs least.
     order = F.array_min(F.array(*[F.struct(apart(*part).alias("d"), F.lit(n).alias("s")) for n, part in enumerate(parts)]))
-    open_queries = asked.select("query").distinct()
+    # bound: the distance beyond which a code is of no use to the query any more.
+    open_queries = asked.select("query", F.lit(BITS).alias("bound")).distinct()
     nearest = None
     for radius in range(max(width for _, width in parts) + 1):
         pairs = (
             hot_join(_probes(open_queries, parts, radius), index, ["segment", "value"])
             .filter((order["d"] == radius) & (order["s"] == F.col("segment")))
-            .select("query", "code", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int").alias("distance"))
+            .withColumn("distance", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int"))
+            .filter(F.col("distance") <= F.col("bound"))
+            .select("query", "code", "distance")
         )
         if nearest is not None:
             pairs = pairs.unionByName(nearest)
@@ -114,12 +117,12 @@ def search(
         last = F.rank().over(W.partitionBy("query").orderBy("distance"))
         nearest = staged(pairs.withColumn("_rank", last).filter(F.col("_rank") <= k + 1).drop("_rank"))
         covered = len(parts) * (radius + 1)
-        done = (
-            nearest.withColumn("_rank", rank)
-            .filter((F.col("_rank") == k + 1) & (F.col("distance") < covered))
-            .select("query")
+        bounds = nearest.withColumn("_rank", rank).filter(F.col("_rank") == k + 1).select("query", "distance")
+        open_queries = staged(
+            open_queries.join(bounds, "query", "left")
+            .select("query", F.coalesce("distance", "bound").alias("bound"))
+            .filter(F.col("bound") >= covered)
         )
-        open_queries = staged(open_queries.join(done, "query", "left_anti"))
         if not open_queries.take(1):
             break
     with_ids = hot_join(nearest, kept, "code").select("query", "id", "distance")
