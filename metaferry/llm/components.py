@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metaferry.operators.joins import hot_join
@@ -14,24 +15,22 @@ def _turned(links: DataFrame) -> DataFrame:
 
 
 def _stars(links: DataFrame) -> DataFrame:
-    """Links every node's larger neighbours with its smallest neighbour or itself."""
+    """Links every node's larger neighbours with its smallest neighbour or itself; a pair may come repeatedly."""
     both = links.unionByName(_turned(links))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return (
-        hot_join(both.filter("b > a"), least, "a")
-        .select(F.col("m").alias("a"), "b")
-        .filter("a < b")
-        .distinct()
-    )
+    # A node may have a large part of all others as larger neighbours.
+    return hot_join(both.filter("b > a"), least, "a").select(F.col("m").alias("a"), "b").filter("a < b")
 
 
 def _hooks(links: DataFrame) -> DataFrame:
-    """Links every node and its smaller neighbours with the smallest of these."""
-    least = links.groupBy("b").agg(F.min("a").alias("m"))
-    joined = hot_join(links, least, "b").select("a", "b", "m")
-    up = joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
-    own = joined.select(F.col("m").alias("a"), "b")
-    return up.unionByName(own).filter("a < b").distinct()
+    """Links every node and its smaller neighbours with the smallest of these.
+
+    After ``_stars`` a node has at most one smaller neighbour per link it had.
+    """
+    joined = links.withColumn("m", F.min("a").over(W.partitionBy("b")))
+    up = F.struct(F.col("m").alias("a"), F.col("a").alias("b"))
+    own = F.struct(F.col("m").alias("a"), F.col("b").alias("b"))
+    return joined.select(F.inline(F.array(up, own))).filter("a < b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,14 +7,18 @@
    over many tasks). Neighbours in the order have the longest common prefixes.
    Two classes are candidates if they share ``LEAST_DEPTH`` values and one
    follows the other within ``BEHIND`` rows, or is among the ``FIRST`` of a
-   region: of all that share a prefix of some length. So the depth adapts to the region: where
-   many share a short prefix, there are candidates for each longer one. A class
-   has a bounded number of candidates per tree, whatever the size of its region.
-   Joins of which both sides grow with the input ask for a shuffle, at every size.
-3. Candidates whose signatures differ too much are dropped (at a similarity of
-   0.75 the estimate is 4.5 standard deviations above the bound). The others are
-   confirmed on the full sets of the full texts: first the best candidate of
-   every class, then all pairs that still lie in different components.
+   region: of all that share a prefix of some length. So the depth adapts to the
+   region: where many share a short prefix, there are candidates for each longer
+   one. A class has a bounded number of candidates per tree, whatever the size of
+   its region.
+3. Candidates whose signatures differ too much are dropped, first by two bits of
+   each value, then by all (at a similarity of 0.75 the estimate is 4.5 standard
+   deviations above the bound). The others are
+   confirmed on the full sets of the full texts. This is done twice: a small
+   forest (``QUICK``) and the best candidate of each class join most of every
+   group; the whole forest then gives only pairs that still lie in different
+   components, and all of these are compared. Joins of which both sides grow with
+   the input ask for a shuffle, at every size.
 4. Links are joined to components by star contraction, which halves paths in
    every round; each round is checkpointed.
 
@@ -49,7 +53,9 @@ from metaferry.sources.staging import staged
 
 PERCENT = 75
 TREES, STRIDE, LEAST_DEPTH, DEPTH = 18, 4, 3, 12
-BEHIND, FIRST = 4, 3
+FIRST, BEHIND = 4, 6
+# Trees, FIRST and BEHIND of the small forest.
+QUICK = (4, 1, 1)
 VALUES = TREES * STRIDE
 LEAST_ESTIMATE = 0.52
 _FACTORS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -104,88 +110,126 @@ def _order(tree: int) -> list[int]:
     return [(start + k) % VALUES for k in range(DEPTH)]
 
 
-def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    orders = np.array([_order(tree) for tree in range(TREES)])
+def _tree_rows(batches: Iterator[pa.RecordBatch], trees: int) -> Iterator[pa.RecordBatch]:
+    orders = np.array([_order(tree) for tree in range(trees)])
+    width = DEPTH * 2
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        values = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(n, VALUES)
+        values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u2").reshape(n, VALUES)
         paths = values[:, orders].tobytes()
-        width = DEPTH * 2
+        owner = pa.array(np.repeat(np.arange(n), trees))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)),
+                pa.array(_brief(values), pa.binary()).take(owner),
+                pa.array(np.tile(np.arange(trees, dtype=np.int32), n)),
                 pa.array([paths[k : k + width] for k in range(0, len(paths), width)], pa.binary()),
-                batch.column(0).take(pa.array(np.repeat(np.arange(n), TREES))),
+                batch.column(0).take(owner),
+                batch.column(1).take(owner),
             ],
-            ["tree", "path", "id"],
+            ["brief", "tree", "path", "id", "part"],
         )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates (a, b) among the sorted rows of one task, and its first and last row as borders (tree, path, id)."""
-    # Of each depth from LEAST_DEPTH: the first ids with the current prefix.
-    leaders: list[list] = [[] for _ in range(DEPTH - LEAST_DEPTH + 1)]
-    previous: deque = deque(maxlen=BEHIND)  # the rows before, as far as they share the least prefix
+def _brief(values: np.ndarray) -> list[bytes]:
+    """Two bits of each value of signatures, packed."""
+    bits = np.stack([values >> 1 & 1, values & 1], axis=2).astype(np.uint8).reshape(len(values), -1)
+    return [row.tobytes() for row in np.packbits(bits, axis=1)]
+
+
+_LOW_BITS = int("01" * VALUES, 2)
+# Values that may differ in two bits. At a similarity of 0.75 3/16 do on average; the limit is 4.6 standard deviations away.
+_MOST_APART = int(0.4 * VALUES)
+
+
+def _far_apart(one: int, other: int) -> bool:
+    differing = one ^ other
+    return ((differing | differing >> 1) & _LOW_BITS).bit_count() > _MOST_APART
+
+
+class _Sorted:
+    """Finds candidates among the sorted rows of one task.
+
+    Rows are (id, part, brief signature); pairs within a part are of no use.
+    """
+
+    def __init__(self, first: int, behind: int):
+        self.first = first
+        # Of each depth from LEAST_DEPTH: the first rows with the current prefix.
+        self.leaders: list[list] = [[] for _ in range(DEPTH - LEAST_DEPTH + 1)]
+        # The rows before, as far as they share the least prefix.
+        self.previous: deque = deque(maxlen=behind)
+
+    def partners(self, row: tuple, depth: int) -> set:
+        """Candidates of the next row, which shares a prefix of ``depth`` values with the one before."""
+        found: set = set()
+        known = max(0, depth - LEAST_DEPTH + 1)
+        if known:
+            rows = {*self.previous, *chain.from_iterable(self.leaders[:known])}
+            found = {other for other, part, brief in rows if part != row[1] and not _far_apart(brief, row[2])}
+            for leaders in self.leaders[:known]:
+                if len(leaders) < self.first:
+                    leaders.append(row)
+        else:
+            self.previous.clear()
+        self.leaders[known:] = [[row] for _ in range(len(self.leaders) - known)]
+        self.previous.append(row)
+        return found
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], first: int, behind: int) -> Iterator[pa.RecordBatch]:
+    """Candidates (a, b) among the sorted rows of one task, and its first and last row as borders (tree, path, id, part)."""
+    order = _Sorted(first, behind)
     last_key, last = None, None
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        ids, paths = batch.column(2).to_pylist(), batch.column(1).to_pylist()
-        trees = np.asarray(batch.column(0), np.int64)
+        paths, ids, parts_of = (batch.column(k).to_pylist() for k in (2, 3, 4))
+        briefs = [int.from_bytes(brief) for brief in batch.column(0).to_pylist()]
+        trees = np.asarray(batch.column(1), np.int64)
         values = np.frombuffer(b"".join(paths), ">u2").reshape(n, DEPTH)
         keys = np.concatenate([trees[:, None], values.astype(np.int64)], axis=1)
         before = np.concatenate([keys[:1] - 1 if last_key is None else last_key[None], keys[:-1]])
         shared = ((keys == before).cumprod(axis=1).sum(axis=1) - 1).tolist()  # -1: another tree
-        left, right, borders = [], [], []
-        if last_key is None:
-            borders.append((int(trees[0]), paths[0], ids[0]))
-        for own, depth in zip(ids, shared):
-            if depth < LEAST_DEPTH:
-                previous.clear()
-                known = 0
-            else:
-                known = depth - LEAST_DEPTH + 1
-                partners = {*previous, *chain.from_iterable(leaders[:known])} - {own}
-                left.extend(partners)
-                right.extend([own] * len(partners))
-                for first in leaders[:known]:
-                    if len(first) < FIRST:
-                        first.append(own)
-            leaders[known:] = [[own] for _ in range(len(leaders) - known)]
-            previous.append(own)
-        last_key, last = keys[-1], (int(trees[-1]), paths[-1], ids[-1])
-        yield _pairs(left, right, borders, batch.schema.field(2).type)
+        left, right = [], []
+        borders = [(int(trees[0]), paths[0], ids[0], parts_of[0])] if last_key is None else []
+        for own, part, brief, depth in zip(ids, parts_of, briefs, shared):
+            partners = order.partners((own, part, brief), depth)
+            left.extend(partners)
+            right.extend([own] * len(partners))
+        last_key, last = keys[-1], (int(trees[-1]), paths[-1], ids[-1], parts_of[-1])
+        yield _pairs(left, right, borders, batch.schema.field(3).type)
     if last:
-        yield _pairs([], [], [last], batch.schema.field(2).type)
+        yield _pairs([], [], [last], batch.schema.field(3).type)
 
 
 def _pairs(left: list, right: list, borders: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     blank = [None] * len(borders)
     edge = lambda k: [None] * len(left) + [border[k] for border in borders]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(left + blank, kind),
-            pa.array(right + blank, kind),
-            pa.array(edge(0), pa.int32()),
-            pa.array(edge(1), pa.binary()),
-            pa.array(edge(2), kind),
-        ],
-        ["a", "b", "tree", "path", "id"],
-    )
+    kinds = {"a": kind, "b": kind, "tree": pa.int32(), "path": pa.binary(), "id": kind, "part": kind}
+    columns = [left + blank, right + blank, *map(edge, range(4))]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
+
 
+def candidates(classes: DataFrame, trees: int = TREES, first: int = FIRST, behind: int = BEHIND) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of classes (id, part, signature) that are near each other in a tree, but not of one part.
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of classes (id, signature) that are neighbours in a tree. Runs a job."""
+    Runs a job.
+    """
     kind = dict(classes.dtypes)["id"]
-    rows = classes.select("id", "signature").mapInArrow(_tree_rows, f"tree int, path binary, id {kind}")
+    rows = classes.select("id", "part", "signature").mapInArrow(
+        lambda batches: _tree_rows(batches, trees), f"brief binary, tree int, path binary, id {kind}, part {kind}"
+    )
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = staged(
         rows.repartitionByRange(tasks, "tree", "path", "id")
         .sortWithinPartitions("tree", "path", "id")
-        .mapInArrow(_neighbours, f"a {kind}, b {kind}, tree int, path binary, id {kind}")
+        .mapInArrow(
+            lambda batches: _neighbours(batches, first, behind),
+            f"a {kind}, b {kind}, tree int, path binary, id {kind}, part {kind}",
+        )
     )
     # Two rows per task; the last of one task and the first of the next are neighbours as well.
     order = W.orderBy("tree", "path", "id")
@@ -193,8 +237,9 @@ def candidates(classes: DataFrame) -> DataFrame:
     across = (
         found.filter(F.col("tree").isNotNull())
         .withColumn("prefix", prefix)
-        .withColumn("before", F.lag(F.struct("tree", "prefix", "id")).over(order))
+        .withColumn("before", F.lag(F.struct("tree", "prefix", "id", "part")).over(order))
         .filter((F.col("before.tree") == F.col("tree")) & (F.col("before.prefix") == F.col("prefix")))
+        .filter(F.col("before.part") != F.col("part"))
         .select(F.col("before.id").alias("a"), F.col("id").alias("b"))
     )
     pairs = found.filter(F.col("a").isNotNull()).select("a", "b").unionByName(across)
@@ -263,23 +308,23 @@ def small_batches(spark: SparkSession, rows: int = 256):
 
 def links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Confirmed links (a, b) that join all similar classes (id, signature) into components. Runs jobs."""
-    pairs = staged(likely(candidates(classes), classes))
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = _shuffled(texts, needed, "id", "left_semi").withColumn("_hash", F.xxhash64("text"))
-    texts = staged(texts.dropDuplicates(["id", "_hash"]).drop("_hash"))
-    # A class is first tried with its likeliest candidate, so that most of a group is joined by few comparisons.
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
-    first = confirmed(best, texts)
-    joined = components(first)
-    known_a = joined.select(F.col("id").alias("a"), F.col("component").alias("in_a"))
-    known_b = joined.select(F.col("id").alias("b"), F.col("component").alias("in_b"))
-    rest = hot_join(hot_join(pairs, known_a, "a", "left"), known_b, "b", "left").filter(
-        F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
-    )
-    tried = best.select("a", "b")
-    rest = rest.select("a", "b").join(tried, ["a", "b"], "left_anti")
-    return first.unionByName(confirmed(rest, texts))
+    # A small forest, and of its candidates the likeliest of each class, join most of every group.
+    some = likely(candidates(classes.withColumn("part", F.col("id")), *QUICK), classes)
+    best = staged(some.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")))
+    first = confirmed(best, _texts_of(best, texts))
+    # The whole forest looks for what is still apart.
+    joined = components(first).withColumnRenamed("component", "part")
+    labelled = _shuffled(classes, joined, "id", "left").select("id", F.coalesce("part", "id").alias("part"), "signature")
+    rest = staged(likely(candidates(labelled), classes).select("a", "b"))
+    return first.unionByName(confirmed(rest, _texts_of(rest, texts)))
+
+
+def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts of all ids in pairs; an id may have several. Runs a job."""
+    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    found = _shuffled(texts, needed, "id", "left_semi").withColumn("_hash", F.xxhash64("text"))
+    return staged(found.dropDuplicates(["id", "_hash"]).drop("_hash"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
