@@ -96,14 +96,15 @@ def search(
         return F.bit_count(_segment(F.col("query").bitwiseXOR(F.col("code")), shift, width))
 
     # The segment that takes a pair: the first of those in which it differs least.
-    order = F.array_min(F.array(*[F.struct(apart(*part).alias("d"), F.lit(n).alias("s")) for n, part in enumerate(parts)]))
+    taker = F.least(*[apart(*part) * BITS + n for n, part in enumerate(parts)])
     # bound: the distance beyond which a code is of no use to the query any more.
     open_queries = asked.select("query", F.lit(BITS).alias("bound")).distinct()
     nearest = None
     for radius in range(max(width for _, width in parts) + 1):
         pairs = (
-            hot_join(_probes(open_queries, parts, radius), index, ["segment", "value"])
-            .filter((order["d"] == radius) & (order["s"] == F.col("segment")))
+            # Both sides grow with the input, and Spark cannot foresee how many rows the turned bits make.
+            hot_join(_probes(open_queries, parts, radius).hint("merge"), index.hint("merge"), ["segment", "value"])
+            .filter(taker == F.col("segment") + radius * BITS)
             .withColumn("distance", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int"))
             .filter(F.col("distance") <= F.col("bound"))
             .select("query", "code", "distance")
