@@ -12,7 +12,7 @@
    one. A class has a bounded number of candidates per tree, whatever the size of
    its region.
 3. Candidates whose signatures differ too much are dropped, first by two bits of
-   each value, then by all (at a similarity of 0.75 the estimate is 4.5 standard
+   each value, then by all (at a similarity of 0.75 the estimate is 3.9 standard
    deviations above the bound). The others are
    confirmed on the full sets of the full texts. This is done twice: a small
    forest (``QUICK``) and the best candidate of each class join most of every
@@ -53,11 +53,11 @@ from metaferry.sources.staging import staged
 
 PERCENT = 75
 TREES, STRIDE, LEAST_DEPTH, DEPTH = 18, 4, 3, 12
-FIRST, BEHIND = 4, 6
+FIRST, BEHIND = 3, 4
 # Trees, FIRST and BEHIND of the small forest.
 QUICK = (4, 1, 1)
 VALUES = TREES * STRIDE
-LEAST_ESTIMATE = 0.52
+LEAST_ESTIMATE = 0.55
 _FACTORS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 _BLOCK = 1 << 14
 _KEPT = "_near_dedup_kept"
@@ -139,8 +139,8 @@ def _brief(values: np.ndarray) -> list[bytes]:
 
 
 _LOW_BITS = int("01" * VALUES, 2)
-# Values that may differ in two bits. At a similarity of 0.75 3/16 do on average; the limit is 4.6 standard deviations away.
-_MOST_APART = int(0.4 * VALUES)
+# Values that may differ in two bits. At a similarity of 0.75 3/16 do on average; the limit is 3.8 standard deviations away.
+_MOST_APART = int(0.37 * VALUES)
 
 
 def _far_apart(one: int, other: int) -> bool:
