@@ -2,29 +2,28 @@
 
 1. Every text becomes its set of word shingles; equal sets are one class, so
    copies are gone before anything is compared. The class carries the smallest id.
-2. A tree of the forest is one order of the signature. All classes are sorted by
-   each order (a range sort, so a group that holds a third of all rows is spread
-   over many tasks). Neighbours in the order have the longest common prefixes.
-   Two classes are candidates if they share ``LEAST_DEPTH`` values and one
-   follows the other within ``BEHIND`` rows, or is among the ``FIRST`` of a
-   region: of all that share a prefix of some length. So the depth adapts to the
-   region: where many share a short prefix, there are candidates for each longer
-   one. A class has a bounded number of candidates per tree, whatever the size of
-   its region.
-3. Candidates whose signatures differ too much are dropped, first by two bits of
-   each value, then by all (at a similarity of 0.75 the estimate is 3.9 standard
-   deviations above the bound). The others are
-   confirmed on the full sets of the full texts. This is done twice: a small
-   forest (``QUICK``) and the best candidate of each class join most of every
-   group; the whole forest then gives only pairs that still lie in different
-   components, and all of these are compared. Joins of which both sides grow with
-   the input ask for a shuffle, at every size.
+2. A tree of the forest looks at ``LEAST_DEPTH`` values of the signature; classes
+   that share them are a region of the tree. All pairs of a region are compared
+   by two bits of each value of their signatures (at a similarity of 0.75 the
+   limit is 3.8 standard deviations away). What is not far apart is joined to
+   families, by star contraction. A family is wider than a group of near
+   copies: a similarity of about 0.5 is enough.
+3. Within a family all pairs of full sets of the full texts are compared, by the
+   numbers of common shingles. Pairs that are similar enough are the links.
 4. Links are joined to components by star contraction, which halves paths in
    every round; each round is checkpointed.
 
-Classes that are linked but never neighbours in any tree are lost; with
-``TREES`` trees a pair at the bound shares no ``LEAST_DEPTH`` values in any of
-them with a probability of (1 - 0.75^3)^18, less than 1 in 10,000. The README has the recall measured against brute force.
+Regions and families of any size are compared as a whole: one that is larger than
+a block is parted by a hash of the id, and each pair of its blocks is a group of
+rows of its own, so no task has to hold more than two blocks. Only what joins
+the rows of a group is passed on, at most one pair per row, never the similar
+pairs. The rows of a region or family of n classes are copied n / ``BLOCK_ROWS``
+times; work within it grows with the square of n, in numpy.
+
+Links are lost only if a chain of families does not join their ends: with
+``TREES`` trees a pair at the bound shares no region in any of them with a
+probability of (1 - 0.75^3)^18, less than 1 in 10,000, whatever the size of its
+group. The README has the recall measured against brute force.
 
 Defined results: a text without words has an empty set and is linked with
 nothing. Rows that share an id are one document: what one is linked with, the
@@ -34,10 +33,8 @@ kept. Other columns may have any name. An empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +49,10 @@ from metaferry.operators.joins import hot_join
 from metaferry.sources.staging import staged
 
 PERCENT = 75
-TREES, STRIDE, LEAST_DEPTH, DEPTH = 18, 4, 3, 12
-FIRST, BEHIND = 3, 4
-# Trees, FIRST and BEHIND of the small forest.
-QUICK = (4, 1, 1)
+TREES, STRIDE, LEAST_DEPTH = 18, 4, 3
+# A block of a large region or family: rows, and bytes of text.
+BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 23
 VALUES = TREES * STRIDE
-LEAST_ESTIMATE = 0.55
 _FACTORS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 _BLOCK = 1 << 14
 _KEPT = "_near_dedup_kept"
@@ -104,32 +99,25 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-def _order(tree: int) -> list[int]:
-    """The places of a signature in one tree's order: its own values first, then those of the next trees."""
-    start = tree * STRIDE
-    return [(start + k) % VALUES for k in range(DEPTH)]
+def _regions(values: np.ndarray) -> np.ndarray:
+    """The region of each tree that signatures (rows) lie in: the tree's number and its first values."""
+    found = np.repeat(np.arange(TREES, dtype=np.int64)[None], len(values), axis=0)
+    for k in range(LEAST_DEPTH):
+        found = found << 16 | values[:, k::STRIDE].astype(np.int64)
+    return found
 
 
-def _tree_rows(batches: Iterator[pa.RecordBatch], trees: int) -> Iterator[pa.RecordBatch]:
-    orders = np.array([_order(tree) for tree in range(trees)])
-    width = DEPTH * 2
+def _tree_rows(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u2").reshape(n, VALUES)
-        paths = values[:, orders].tobytes()
-        owner = pa.array(np.repeat(np.arange(n), trees))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(_brief(values), pa.binary()).take(owner),
-                pa.array(np.tile(np.arange(trees, dtype=np.int32), n)),
-                pa.array([paths[k : k + width] for k in range(0, len(paths), width)], pa.binary()),
-                batch.column(0).take(owner),
-                batch.column(1).take(owner),
-            ],
-            ["brief", "tree", "path", "id", "part"],
-        )
+        values = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(n, VALUES)
+        columns = [pa.array(_regions(values).ravel())]
+        if whole:
+            owner = pa.array(np.repeat(np.arange(n), TREES))
+            columns += [batch.column(0).take(owner), pa.array(_brief(values), pa.binary()).take(owner)]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "id", "brief"][: len(columns)])
 
 
 def _brief(values: np.ndarray) -> list[bytes]:
@@ -148,151 +136,156 @@ def _far_apart(one: int, other: int) -> bool:
     return ((differing | differing >> 1) & _LOW_BITS).bit_count() > _MOST_APART
 
 
-class _Sorted:
-    """Finds candidates among the sorted rows of one task.
-
-    Rows are (id, part, brief signature); pairs within a part are of no use.
-    """
-
-    def __init__(self, first: int, behind: int):
-        self.first = first
-        # Of each depth from LEAST_DEPTH: the first rows with the current prefix.
-        self.leaders: list[list] = [[] for _ in range(DEPTH - LEAST_DEPTH + 1)]
-        # The rows before, as far as they share the least prefix.
-        self.previous: deque = deque(maxlen=behind)
-
-    def partners(self, row: tuple, depth: int) -> set:
-        """Candidates of the next row, which shares a prefix of ``depth`` values with the one before."""
-        found: set = set()
-        known = max(0, depth - LEAST_DEPTH + 1)
-        if known:
-            rows = {*self.previous, *chain.from_iterable(self.leaders[:known])}
-            found = {other for other, part, brief in rows if part != row[1] and not _far_apart(brief, row[2])}
-            for leaders in self.leaders[:known]:
-                if len(leaders) < self.first:
-                    leaders.append(row)
-        else:
-            self.previous.clear()
-        self.leaders[known:] = [[row] for _ in range(len(self.leaders) - known)]
-        self.previous.append(row)
-        return found
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch], first: int, behind: int) -> Iterator[pa.RecordBatch]:
-    """Candidates (a, b) among the sorted rows of one task, and its first and last row as borders (tree, path, id, part)."""
-    order = _Sorted(first, behind)
-    last_key, last = None, None
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        paths, ids, parts_of = (batch.column(k).to_pylist() for k in (2, 3, 4))
-        briefs = [int.from_bytes(brief) for brief in batch.column(0).to_pylist()]
-        trees = np.asarray(batch.column(1), np.int64)
-        values = np.frombuffer(b"".join(paths), ">u2").reshape(n, DEPTH)
-        keys = np.concatenate([trees[:, None], values.astype(np.int64)], axis=1)
-        before = np.concatenate([keys[:1] - 1 if last_key is None else last_key[None], keys[:-1]])
-        shared = ((keys == before).cumprod(axis=1).sum(axis=1) - 1).tolist()  # -1: another tree
-        left, right = [], []
-        borders = [(int(trees[0]), paths[0], ids[0], parts_of[0])] if last_key is None else []
-        for own, part, brief, depth in zip(ids, parts_of, briefs, shared):
-            partners = order.partners((own, part, brief), depth)
-            left.extend(partners)
-            right.extend([own] * len(partners))
-        last_key, last = keys[-1], (int(trees[-1]), paths[-1], ids[-1], parts_of[-1])
-        yield _pairs(left, right, borders, batch.schema.field(3).type)
-    if last:
-        yield _pairs([], [], [last], batch.schema.field(3).type)
-
-
-def _pairs(left: list, right: list, borders: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    blank = [None] * len(borders)
-    edge = lambda k: [None] * len(left) + [border[k] for border in borders]
-    kinds = {"a": kind, "b": kind, "tree": pa.int32(), "path": pa.binary(), "id": kind, "part": kind}
-    columns = [left + blank, right + blank, *map(edge, range(4))]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
-
-
-def candidates(classes: DataFrame, trees: int = TREES, first: int = FIRST, behind: int = BEHIND) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of classes (id, part, signature) that are near each other in a tree, but not of one part.
+def _cells(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``rows`` (place, id, ...) by cell: every two rows of a place meet in at least one cell.
 
-    Runs a job.
+    ``crowded`` has (place, blocks) of the places with several blocks.
     """
-    kind = dict(classes.dtypes)["id"]
-    rows = classes.select("id", "part", "signature").mapInArrow(
-        lambda batches: _tree_rows(batches, trees), f"brief binary, tree int, path binary, id {kind}, part {kind}"
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda other: other != F.col("_block"))
+    block_pairs = F.transform(
+        others, lambda other: F.least("_block", other) * F.col("blocks") + F.greatest("_block", other)
     )
-    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = staged(
-        rows.repartitionByRange(tasks, "tree", "path", "id")
-        .sortWithinPartitions("tree", "path", "id")
-        .mapInArrow(
-            lambda batches: _neighbours(batches, first, behind),
-            f"a {kind}, b {kind}, tree int, path binary, id {kind}, part {kind}",
-        )
+    cells = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(block_pairs)
+    dealt = (
+        hot_join(rows, crowded, "place", "left")
+        .withColumn("_block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        .withColumn("cell", F.explode(cells))
     )
-    # Two rows per task; the last of one task and the first of the next are neighbours as well.
-    order = W.orderBy("tree", "path", "id")
-    prefix = F.substring("path", 1, 2 * LEAST_DEPTH)
-    across = (
-        found.filter(F.col("tree").isNotNull())
-        .withColumn("prefix", prefix)
-        .withColumn("before", F.lag(F.struct("tree", "prefix", "id", "part")).over(order))
-        .filter((F.col("before.tree") == F.col("tree")) & (F.col("before.prefix") == F.col("prefix")))
-        .filter(F.col("before.part") != F.col("part"))
-        .select(F.col("before.id").alias("a"), F.col("id").alias("b"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = [name for name in rows.columns if name != "place"]
+    return (
+        dealt.select("place", "cell", *values).repartition(tasks, "place", "cell").sortWithinPartitions("place", "cell")
     )
-    pairs = found.filter(F.col("a").isNotNull()).select("a", "b").unionByName(across)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
-def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = batch.num_rows
-        left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), ">u2").reshape(n, VALUES) for k in (2, 3))
-        share = (left == right).mean(axis=1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], ["a", "b", "estimate"]).filter(
-            pa.array(share >= LEAST_ESTIMATE)
-        )
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Tables of whole groups, rows that agree in the first two columns, and where in them the groups of several rows are."""
+    held: list[pa.RecordBatch] = []
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        keys = np.stack([table.column(k).to_numpy() for k in (0, 1)])
+        return np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
 
+    def several(starts: list[int], end: int) -> list[tuple[int, int]]:
+        return [(one, other) for one, other in zip([0, *starts], [*starts, end]) if other - one > 1]
 
-def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, estimate) of the pairs whose signatures agree well enough."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch])
+        starts = bounds(table).tolist()
+        if starts:
+            yield table.slice(0, starts[-1]), several(starts[:-1], starts[-1])
+        held = table.slice(starts[-1] if starts else 0).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, several([], table.num_rows)
+
+
+def _joined(n: int, near: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """For n rows the first row of each one's component; ``near`` gives the links of some rows (down) with others."""
+    first = np.arange(n)
+    rest = np.arange(n)
+    while len(rest):
+        front, start, rest = rest[:1], rest[0], rest[1:]
+        while len(front) and len(rest):
+            hit = near(front, rest).any(axis=0)
+            front, rest = rest[hit], rest[~hit]
+            first[front] = start
+    return first
+
+
+def _near_briefs(briefs: list[bytes]) -> np.ndarray:
+    """For each brief signature the first one of its component under not being far apart."""
+    if len(briefs) <= 12:
+        numbers = [int.from_bytes(brief) for brief in briefs]
+        return _joined(
+            len(briefs), lambda some, others: np.array([[not _far_apart(numbers[a], numbers[b]) for b in others] for a in some])
+        )
+    bits = np.unpackbits(np.frombuffer(b"".join(briefs), np.uint8).reshape(len(briefs), -1), axis=1)
+    symbols = bits[:, ::2] * 2 + bits[:, 1::2]
+    marks = (symbols[:, :, None] == np.arange(4)).reshape(len(briefs), -1).astype(np.float32)
+    return _joined(len(briefs), lambda some, others: marks[some] @ marks[others].T >= VALUES - _MOST_APART)
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """The number of common members of every two sets."""
+    n = len(sets)
+    members = np.concatenate(sets)
+    order = np.argsort(members, kind="stable")
+    owner = np.repeat(np.arange(n), [len(each) for each in sets])[order]
+    members = members[order]
+    starts = np.flatnonzero(np.concatenate([[True], members[1:] != members[:-1]]))
+    held_by = np.diff(starts, append=len(members))
+    found = np.zeros(n * n, np.float32)
+    # Members of few sets count pair by pair, the others as columns of a matrix.
+    for times in np.unique(held_by[(held_by > 1) & (held_by <= 32)]):
+        owners = owner[starts[held_by == times][:, None] + np.arange(times)]
+        for gap in range(1, times):
+            np.add.at(found, owners[:, :-gap] * n + owners[:, gap:], 1)
+    found = found.reshape(n, n)
+    found += found.T.copy()
+    frequent = np.flatnonzero(held_by > 32)
+    for begin in range(0, len(frequent), 512):
+        chosen = frequent[begin : begin + 512]
+        column = np.repeat(np.arange(len(chosen)), held_by[chosen])
+        place = np.concatenate([np.arange(starts[k], starts[k] + held_by[k]) for k in chosen])
+        holds = np.zeros((n, len(chosen)), np.float32)
+        holds[owner[place], column] = 1
+        found += holds @ holds.T
+    return found
+
+
+def _similar_texts(texts: list[str]) -> np.ndarray:
+    """For each text the first one of its component under similarity of the full sets."""
+    sets = [shingle_set(word_hashes(text)) for text in texts]
+    sizes = np.array([len(each) for each in sets], np.int64)
+    common = _common(sets).astype(np.int64)
+    linked = (100 * common >= PERCENT * (sizes[:, None] + sizes[None] - common)) & (common > 0)
+    return _joined(len(texts), lambda some, others: linked[np.ix_(some, others)])
+
+
+def _links_of(batches: Iterator[pa.RecordBatch], first_of: Callable[[list], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join the rows (place, cell, id, value) of each group as ``first_of`` their values does."""
+    for table, groups in _groups(batches):
+        ids = table.column(2).combine_chunks()
+        values = table.column(3).combine_chunks()
+        left, right = [], []
+        for start, end in groups:
+            first = first_of(values.slice(start, end - start).to_pylist())
+            other = np.flatnonzero(first != np.arange(end - start))
+            left.append(start + first[other])
+            right.append(start + other)
+        if left:
+            one, two = (ids.take(pa.array(np.concatenate(side))) for side in (left, right))
+            yield pa.RecordBatch.from_arrays([one, two], ["a", "b"])
+
+
+def families(classes: DataFrame) -> DataFrame:
+    """(id, component) of all classes (id, signature) that are near others; what may be similar is in one component. Runs jobs."""
     kind = dict(classes.dtypes)["id"]
     signed = classes.select("id", "signature")
-    both = _shuffled(pairs, signed.select(F.col("id").alias("a"), F.col("signature").alias("left")), "a")
-    both = _shuffled(both, signed.select(F.col("id").alias("b"), F.col("signature").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(_agreement, f"a {kind}, b {kind}, estimate double")
+    regions = signed.mapInArrow(lambda batches: _tree_rows(batches, False), "place bigint")
+    blocks = F.ceil(F.count("*") / BLOCK_ROWS)
+    crowded = staged(regions.groupBy("place").agg(blocks.alias("blocks")).filter("blocks > 1"))
+    rows = signed.mapInArrow(lambda batches: _tree_rows(batches, True), f"place bigint, id {kind}, brief binary")
+    return components(
+        _cells(rows, crowded).mapInArrow(lambda batches: _links_of(batches, _near_briefs), f"a {kind}, b {kind}")
+    )
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict = {}
-    for batch in batches:
-        keep = []
-        for row in range(batch.num_rows):
-            sets = []
-            for column in (2, 3):
-                text = batch.column(column)[row].as_py()
-                if text not in known:
-                    if len(known) > 50:
-                        known.clear()
-                    known[text] = shingle_set(word_hashes(text))
-                sets.append(known[text])
-            common = len(np.intersect1d(*sets, assume_unique=True))
-            keep.append(100 * common >= PERCENT * (len(sets[0]) + len(sets[1]) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; ``texts`` is (id, text). Runs a job.
-
-    Rows carry two whole texts, so tasks get them in small batches.
+def confirmed(texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join all similar ``texts`` (place, id, text) of each place. Runs jobs.
+
+    Rows carry whole texts, so tasks get them in small batches.
     """
     kind = dict(texts.dtypes)["id"]
-    both = _shuffled(pairs.select("a", "b"), texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-    both = _shuffled(both, texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(F.length("text")) / BLOCK_BYTES))
+    crowded = staged(texts.groupBy("place").agg(blocks.alias("blocks")).filter("blocks > 1"))
     with small_batches(texts.sparkSession):
-        return staged(both.select("a", "b", "left", "right").mapInArrow(_confirmed, f"a {kind}, b {kind}"))
+        return staged(
+            _cells(texts, crowded).mapInArrow(lambda batches: _links_of(batches, _similar_texts), f"a {kind}, b {kind}")
+        )
 
 
 @contextmanager
@@ -307,24 +300,12 @@ def small_batches(spark: SparkSession, rows: int = 256):
 
 
 def links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Confirmed links (a, b) that join all similar classes (id, signature) into components. Runs jobs."""
+    """Links (a, b) that join all similar classes (id, signature) into components. Runs jobs."""
     texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # A small forest, and of its candidates the likeliest of each class, join most of every group.
-    some = likely(candidates(classes.withColumn("part", F.col("id")), *QUICK), classes)
-    best = staged(some.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")))
-    first = confirmed(best, _texts_of(best, texts))
-    # The whole forest looks for what is still apart.
-    joined = components(first).withColumnRenamed("component", "part")
-    labelled = _shuffled(classes, joined, "id", "left").select("id", F.coalesce("part", "id").alias("part"), "signature")
-    rest = staged(likely(candidates(labelled), classes).select("a", "b"))
-    return first.unionByName(confirmed(rest, _texts_of(rest, texts)))
-
-
-def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts of all ids in pairs; an id may have several. Runs a job."""
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    found = _shuffled(texts, needed, "id", "left_semi").withColumn("_hash", F.xxhash64("text"))
-    return staged(found.dropDuplicates(["id", "_hash"]).drop("_hash"))
+    # Families whose hashes are equal are compared together.
+    near = families(classes).select("id", F.xxhash64("component").alias("place"))
+    found = _shuffled(texts, near, "id").withColumn("_hash", F.xxhash64("text"))
+    return confirmed(staged(found.dropDuplicates(["id", "_hash"]).select("place", "id", "text")))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -93,3 +93,23 @@ def test_chain_of_links(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 99), (5, 5), (200, 201), (201, 202)], "a long, b long")
     found = {row.id: row.component for row in components.components(links).collect()}
     assert found == {**{k: 0 for k in range(61)}, 99: 99, 100: 99, 200: 200, 201: 200, 202: 200}
+
+
+def crowd(base_id, leaves, seed=11):
+    """Leaves that are 0.76 to 0.82 like one base and less than 0.75 like each other."""
+    dice = random.Random(seed)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(base_id, " ".join(base))]
+    for k in range(leaves):
+        copy = list(base)
+        for at in dice.sample(range(10, 190, 20), 4):
+            copy[at] = f"n{k}x{at}"
+        rows.append((k + 10, " ".join(copy)))
+    return rows
+
+
+def test_every_member_of_a_crowd_meets_its_base(spark):
+    for base_id in (1, 100_000):
+        rows = crowd(base_id, 3000)
+        found = {row.component_id for row in near_dedup.near_duplicates(table(spark, rows)).collect()}
+        assert found == {min(base_id, 10)}
