@@ -113,3 +113,15 @@ def test_every_member_of_a_crowd_meets_its_base(spark):
         rows = crowd(base_id, 3000)
         found = {row.component_id for row in near_dedup.near_duplicates(table(spark, rows)).collect()}
         assert found == {min(base_id, 10)}
+
+
+def test_one_link_joins_two_large_components(spark):
+    base = [f"b{k}" for k in range(200)]
+    other = [f"o{k}" if k in (20, 60, 100, 140, 180) else word for k, word in enumerate(base)]
+    rows = [(1, " ".join(base)), (2, " ".join(other))]
+    for k in range(3000):
+        copy = list((base, other)[k % 2])
+        copy[(10, 40, 80, 120, 160)[k // 2 % 5]] = f"n{k}"
+        rows.append((k + 10, " ".join(copy)))
+    found = {row.component_id for row in near_dedup.near_duplicates(table(spark, rows)).collect()}
+    assert found == {1}
