@@ -208,7 +208,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(documents(spark, sf_dir))
+    return token_counts.token_counts(documents(spark, sf_dir), lone_mark=True)
 
 
 @query()

@@ -9,6 +9,10 @@ out and nothing is read twice.
 
 A word with a character that no piece covers counts as one unknown piece.
 
+With ``lone_mark`` the word mark alone, if the vocabulary has it, begins words that
+begin with no longer entry: 1999 is the mark and four digits. Without it, the
+default, such a word is unknown. The query ``op10_token_counts`` counts with it.
+
 The vocabulary is a sentencepiece model, read on every executor: its pieces that
 start with the word mark begin words, the others continue them; control, unknown
 and byte entries are left out. Words are runs of other characters than ASCII
@@ -46,7 +50,7 @@ def default_path() -> str:
 class Automaton:
     """Counts the greedy pieces of a word."""
 
-    def __init__(self, beginning: Iterable[str], continuing: Iterable[str]):
+    def __init__(self, beginning: Iterable[str], continuing: Iterable[str], lone_mark: bool = False):
         self.next: list[dict[str, int]] = [{}, {}]  # node 0 begins words, node 1 continues them
         entry = [False, False]
         for root, pieces in ((0, beginning), (1, continuing)):
@@ -61,6 +65,8 @@ class Automaton:
                 entry[node] = bool(piece)
         self.link: list[int] = [-1] * len(self.next)
         self.popped = [0] * len(self.next)
+        if lone_mark:
+            self.link[0], self.popped[0] = 1, 1
         waiting = deque([0, 1])
         while waiting:
             parent = waiting.popleft()
@@ -106,22 +112,24 @@ class Automaton:
 
 
 @functools.lru_cache(2)
-def automaton(path: str) -> Automaton:
+def automaton(path: str, lone_mark: bool = False) -> Automaton:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     odd = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
     pieces = [model.id_to_piece(k) for k in range(model.get_piece_size()) if not any(test(k) for test in odd)]
     marked = [piece[1:] for piece in pieces if piece.startswith(WORD_MARK)]
-    return Automaton(marked, [piece for piece in pieces if WORD_MARK not in piece])
+    return Automaton(marked, [piece for piece in pieces if WORD_MARK not in piece], lone_mark and WORD_MARK in pieces)
 
 
-def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def token_counts(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, lone_mark: bool = False
+) -> DataFrame:
     """(key, n_words, n_pieces, n_unknown) per row; an unknown word is one of the pieces."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = automaton(path)
+        pieces = automaton(path, lone_mark)
         for batch in parts(batches, 1):
             n_words, sums = [], []
             for value in batch.column(1):

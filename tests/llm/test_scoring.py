@@ -200,3 +200,27 @@ def test_search_over_nothing_and_other_lengths(spark):
     assert hamming_search.search(empty, empty).count() == 0
     odd = spark.createDataFrame([(0, [1.0] * 70), (1, [1.0, None]), (2, [-1.0])], "vec_id long, embedding array<double>")
     assert hamming_search.search(odd, odd).count() == 6
+
+
+def greedy_marked(word, pieces):
+    """Pieces of a marked word by the longest entry first, None if one is missing."""
+    word, at, n = "▁" + word, 0, 0
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        if end is None:
+            return None
+        at, n = end, n + 1
+    return n
+
+
+def test_words_that_begin_with_the_mark_alone(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=token_counts.default_path())
+    pieces = {model.id_to_piece(k) for k in range(3 + 256, model.get_piece_size())}
+    words = "1999 2024-05-01 7th 中文 αβγ the zażółć x1 \u0e01\u0e02 -- 日本語 \x85a".split(" ")
+    built = token_counts.automaton(token_counts.default_path(), True)
+    assert greedy_marked("1999", pieces) == 5
+    for word in words:
+        wanted = greedy_marked(word, pieces)
+        assert built.count(word) == (token_counts._UNKNOWN + 1 if wanted is None else wanted), word
+    rows = token_counts.token_counts(docs_of(spark, ["1999 中文"]), lone_mark=True).collect()
+    assert [(row.n_words, row.n_pieces, row.n_unknown) for row in rows] == [(2, 8, 0)]
