@@ -25,11 +25,15 @@ ENDS = {
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
 _NO_P = (frozenset(["p"]), frozenset(["td", "th", "button"]))
-_HIDDEN = "head|iframe|math|noscript|object|script|style|svg|template|title"
+# Elements whose content is hidden. Whatever else may stand in a head has no content.
+_HIDDEN = frozenset("iframe math noscript object script style svg template title".split())
+_HIDDEN_ENDS = {name: re.compile(rf"(?i)</{name}(?=[\s/>])[^>]*+>") for name in _HIDDEN}
 _MARKUP = re.compile(
-    rf"(?is)<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|<({_HIDDEN})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
-    r"""|<(/?)([a-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-z][^>]*+>"""
+    r"""(?is)<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"""
+    r"""|<(/?)([a-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-z][^\s/>]*+)[^>]*+>"""
 )
+# A slash at the end of a value without quotes is part of the value.
+_OPEN_VALUE = re.compile(r"""=\s*[^\s"'>/][^\s"'>]*/$""")
 _ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _NAME = re.compile(r"[a-z]+")
 
@@ -54,8 +58,11 @@ def _element(name: str, attributes: str) -> tuple[str, ...]:
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order, with references decoded and white space as single spaces.
 
-    Comments, the head and elements that show no text are left out. Open
-    elements end where HTML lets them end without a tag.
+    Comments and elements that show no text are left out. Open elements end
+    where HTML lets them end without a tag; the head ends before the first text
+    or element that cannot stand in it, so nothing but its hidden elements is
+    left out. Of a hidden element without an end tag only the tag is left out; a
+    self-closed svg or math element is empty.
     """
     page = page or ""
     found: list[Block] = []
@@ -63,6 +70,7 @@ def blocks(page: str | None) -> list[Block]:
     parts: list[str] = []
     in_link, linked = False, 0
     at = 0
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -82,30 +90,39 @@ def blocks(page: str | None) -> list[Block]:
             if stack[k][0] in border:
                 return
 
-    for tag in _MARKUP.finditer(page):
+    while tag := _MARKUP.search(page, at):
         if at < tag.start():
             piece = page[at : tag.start()]
             parts.append(piece)
             linked += len(piece) * in_link
         at = tag.end()
-        name = tag[3]
-        if not name:
+        name = (tag[2] or tag[5] or "").lower()
+        if name in _HIDDEN:
+            attributes = tag[3] or ""
+            empty = name in ("svg", "math") and attributes.endswith("/") and not _OPEN_VALUE.search(attributes)
+            if not (tag[1] or tag[4] or empty or name in unclosed):
+                closing = _HIDDEN_ENDS[name].search(page, at)
+                if closing:
+                    at = closing.end()
+                else:
+                    unclosed.add(name)
+            continue
+        if not tag[2]:
             continue
-        name = name.lower()
         if name == "a":
-            in_link = not tag[2]
+            in_link = not tag[1]
         elif name == "br":
             parts.append(" ")
         elif name in BLOCK_ELEMENTS:
             flush()
-            if tag[2]:
+            if tag[1]:
                 end(frozenset([name]), frozenset())
                 continue
             end(*_NO_P)
             if name in ENDS:
                 end(*ENDS[name])
             if name != "hr":
-                stack.append(_element(name, tag[4]))
+                stack.append(_element(name, tag[3]))
     parts.append(page[at:])
     flush()
     return found

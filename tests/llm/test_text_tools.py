@@ -149,3 +149,15 @@ def test_pipeline(spark):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     for row in by_name["encoding"][1].limit(50).collect():
         assert row.ids == library.encode(row.text, add_special_tokens=False).ids
+
+
+def test_pages_without_end_tags():
+    texts = lambda page: [block.text for block in html_blocks.blocks(page)]
+    assert texts("<html><head><title>T</title><meta charset=x><body><p>a<p>b") == ["a", "b"]
+    assert texts("<head><title>T</title><style>p{}</style><p>a</p><p>b") == ["a", "b"]
+    assert texts("<p>a <svg/> b</p><p>c <math x='1'/>d") == ["a b", "c d"]
+    assert texts("<p>a<svg><text>no</text></svg> b</p>") == ["a b"]
+    assert texts("<p>a<svg class=x/>no</svg>b") == ["ab"]
+    assert texts("<p>a<noscript>b</p><p>c<iframe src=x>d") == ["ab", "cd"]
+    assert texts("<p>a<script>var x='<p>'</script>b<SCRIPT SRC=y></SCRIPT >c<script x=\"y>no</script>d") == ["abcd"]
+    assert len(texts("<p>x<svg>" * 20_000)) == 20_000
