@@ -10,6 +10,9 @@ order of a hash, those of at most ``ROW_CHARS`` characters first, until they hol
 ``SAMPLE_CHARS`` characters. Only this sample passes the driver; every Python
 worker builds the automata from it. Scoring covers every whole text.
 
+Every letter of a sample has a symbol of its own, whatever its script; a letter
+that no sample holds matches nothing.
+
 Texts are compared in lower case, with every run of other characters than
 letters as one gap, and in pieces of ``PIECE`` characters that are parsed side
 by side in numpy; a phrase ends at the end of a piece.
@@ -37,9 +40,11 @@ from pyspark.sql import functions as F
 from metaferry.llm.parts import parts
 
 SAMPLE_ROWS, ROW_CHARS, SAMPLE_CHARS = 100, 4000, 30_000
-PIECE, LANES, LETTERS = 1024, 4096, 62
+PIECE, LANES = 1024, 4096
 UNDETERMINED = "und"
-_GAP, _OTHER, _NONE = 0, 1, 255
+_GAP, _OTHER = 0, 1
+# Up to so many symbols of a language its transitions are one full table.
+TABLE_WIDTH = 128
 
 
 def sample(docs: DataFrame, key: str, text: str, lang: str, learn: Column) -> dict[str, list[str]]:
@@ -78,8 +83,31 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _automaton(symbols: list[int], width: int) -> np.ndarray:
-    """The transitions of the suffix automaton of a sequence as a table states x width; -1 where there is none."""
+class _Transitions:
+    """Where states go by symbols less than ``width``, as a table or, for many symbols, as a sorted list; -1 is nowhere."""
+
+    def __init__(self, following: list[dict[int, int]], width: int):
+        self.width = width
+        self.table = None
+        if width <= TABLE_WIDTH:
+            table = np.full((len(following), width), -1, np.int32)
+            for state, arcs in enumerate(following):
+                table[state, list(arcs)] = list(arcs.values())
+            self.table = table.ravel()
+            return
+        arcs = sorted((state * width + symbol, to) for state, found in enumerate(following) for symbol, to in found.items())
+        self.keys, self.targets = np.array([key for key, _ in arcs]), np.array([to for _, to in arcs], np.int32)
+
+    def after(self, states: np.ndarray | int, symbols: np.ndarray) -> np.ndarray:
+        places = np.asarray(states, np.int64) * self.width + symbols
+        if self.table is not None:
+            return self.table[places]
+        found = np.minimum(np.searchsorted(self.keys, places), len(self.keys) - 1)
+        return np.where(self.keys[found] == places, self.targets[found], np.int32(-1))
+
+
+def _automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """The transitions of each state of the suffix automaton of a sequence."""
     following: list[dict[int, int]] = [{}]
     length, link, last = [0], [-1], 0
     for symbol in symbols:
@@ -105,10 +133,7 @@ def _automaton(symbols: list[int], width: int) -> np.ndarray:
                     at = link[at]
                 link[target] = link[own] = copy
         last = own
-    table = np.full((len(length), width), -1, np.int32)
-    for state, arcs in enumerate(following):
-        table[state, list(arcs)] = list(arcs.values())
-    return table
+    return following
 
 
 class Languages:
@@ -119,17 +144,22 @@ class Languages:
         for of_one in texts.values():
             codes = lower[_codes("".join(of_one))]
             seen.update(dict(zip(*np.unique(codes[letter[codes]], return_counts=True))))
-        self.classes = np.where(letter, _OTHER, _GAP).astype(np.uint8)
-        for place, (code, _) in enumerate(sorted(seen.items(), key=lambda item: (-item[1], item[0]))[:LETTERS]):
-            self.classes[lower == code] = place + 2
-        self.width = LETTERS + 2
-        # The pieces of a language's text are parted by gaps; other letters match nothing.
+        # Symbols are numbered from the most frequent letter.
+        ranked = sorted(seen.items(), key=lambda item: (-item[1], item[0]))
+        number = np.zeros(0x110000, np.int32)
+        number[[code for code, _ in ranked]] = np.arange(2, len(ranked) + 2)
+        known = number[lower]
+        self.classes = np.where(letter, np.where(known > 0, known, _OTHER), _GAP).astype(np.uint8 if len(ranked) < 254 else np.int32)
+        # Each automaton has columns for the symbols of its own language alone; the pieces of its text are parted by
+        # gaps, and column _OTHER, of all other letters, matches nothing.
         self.tables = []
         for name in self.names:
-            symbols = [symbol for text in texts[name] for symbol in [_GAP, *self.symbols(text).tolist()]]
-            table = _automaton(symbols, self.width)
-            table[:, _OTHER] = -1
-            self.tables.append(table.ravel())
+            symbols = np.concatenate([each for text in texts[name] for each in ([_GAP], self.symbols(text))]).astype(np.int64)
+            own = np.union1d([_GAP, _OTHER], symbols)
+            columns = np.full(len(ranked) + 2, _OTHER, np.int32)
+            columns[own] = np.arange(len(own))
+            following = _automaton(columns[symbols].tolist())
+            self.tables.append((_Transitions(following, len(own)), columns))
 
     def symbols(self, text: str) -> np.ndarray:
         """Classes of characters, with runs of gaps as one; empty if there is no letter."""
@@ -152,26 +182,26 @@ class Languages:
         for start in range(0, len(order), LANES):
             chosen = order[start : start + LANES]
             lengths = np.array([len(pieces[k]) for k in chosen])
-            grid = np.full((lengths[0], len(chosen)), _NONE, np.uint8)
+            grid = np.zeros((lengths[0], len(chosen)), self.classes.dtype)
             for lane, k in enumerate(chosen):
                 grid[: lengths[lane], lane] = pieces[k]
             owners = np.array([owner[k] for k in chosen])
             active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-            for lang, table in enumerate(self.tables):
-                np.add.at(total[:, lang], owners, self._parse(grid, active, table))
+            for lang, (transitions, columns) in enumerate(self.tables):
+                np.add.at(total[:, lang], owners, self._parse(columns[grid], active, transitions))
         return total
 
-    def _parse(self, grid: np.ndarray, active: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def _parse(self, grid: np.ndarray, active: np.ndarray, transitions: _Transitions) -> np.ndarray:
         """Phrases of each lane, a column of the grid; lanes are sorted, the longest first."""
         state = np.zeros(grid.shape[1], np.int32)
         count = np.zeros(grid.shape[1], np.int64)
         for row, n in zip(grid, active.tolist()):
             symbols = row[:n]
-            reached = table[state[:n] * self.width + symbols]
+            reached = transitions.after(state[:n], symbols)
             broken = np.flatnonzero(reached < 0)
             if len(broken):
                 # The phrase ends before this character, which begins the next one or is one of its own.
-                again = table[symbols[broken]]
+                again = transitions.after(0, symbols[broken])
                 count[broken] += (state[broken] > 0).astype(np.int64) + (again < 0)
                 reached[broken] = np.maximum(again, 0)
             state[:n] = reached

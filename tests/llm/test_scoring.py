@@ -202,6 +202,35 @@ def test_search_over_nothing_and_other_lengths(spark):
     assert hamming_search.search(odd, odd).count() == 6
 
 
+def test_letters_of_many_scripts_are_told_apart():
+    dice = random.Random(9)
+    alphabets = {
+        "el": range(0x3B1, 0x3CA),
+        "en": range(0x61, 0x7B),
+        "ko": range(0xAC00, 0xAC00 + 900),
+        "ru": range(0x430, 0x450),
+        "uk": [*range(0x450, 0x460), *range(0x430, 0x440)],
+        "zh": range(0x4E00, 0x4E00 + 900),
+    }
+    words = {
+        name: ["".join(chr(dice.choice(codes)) for _ in range(dice.randrange(2, 6))) for _ in range(300)]
+        for name, codes in alphabets.items()
+    }
+    texts = {name: [" ".join(dice.choices(words[name], k=2000))] for name in words}
+    known = language_id.Languages(texts)
+    asked = {name: known.symbols(" ".join(dice.choices(words[name], k=40))) for name in words}
+    phrases = known.phrases(list(asked.values()))
+    assert [known.names[best] for best in phrases.argmin(axis=1)] == list(asked)
+    for own, symbols, row in zip(range(len(asked)), asked.values(), phrases):
+        assert row[own] < 0.7 * min(count for lang, count in enumerate(row) if lang != own)
+    # A list of transitions and a table say the same.
+    following = language_id._automaton([0, 2, 3, 2, 2, 0, 3])
+    states, symbols = np.divmod(np.arange(len(following) * 4), 4)
+    table, listed = language_id._Transitions(following, 4), language_id._Transitions(following, 4)
+    wide = language_id._Transitions(following, language_id.TABLE_WIDTH + 1)
+    assert table.after(states, symbols).tolist() == wide.after(states, symbols).tolist() == listed.after(states, symbols).tolist()
+
+
 def greedy_marked(word, pieces):
     """Pieces of a marked word by the longest entry first, None if one is missing."""
     word, at, n = "▁" + word, 0, 0
