@@ -12,17 +12,15 @@ from metaferry.functions import rename
 
 
 def expected(value: str, pairs) -> str:
-    """One scan over the spans that the words take, an earlier pair first."""
-    spans = {}
+    """Spans of the value that words take, an earlier pair first; a taken span counts as letters."""
+    free, spans = value, []
     for source, target in dict(pairs).items():
-        word, at = re.compile(rf"\b{re.escape(source)}\b"), 0
-        while source != target and (found := word.search(value, at)):
-            free = all(found.end() <= start or end <= found.start() for start, (end, _) in spans.items())
-            if free:
-                spans[found.start()] = found.end(), target
-            at = found.end() if free else found.start() + 1
+        found = [m.span() for m in re.finditer(rf"\b{re.escape(source)}\b", free)] if source != target else []
+        spans += [(start, end, target) for start, end in found]
+        for start, end in found:
+            free = free[:start] + "\ua66e" * (end - start) + free[end:]
     parts, at = [], 0
-    for start, (end, target) in sorted(spans.items()):
+    for start, end, target in sorted(spans):
         parts += [value[at:start], target]
         at = end
     return "".join([*parts, value[at:]])
