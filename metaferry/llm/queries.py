@@ -13,6 +13,7 @@ from metaferry.llm import (
     hamming_search,
     importance,
     language_id,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
@@ -215,3 +216,32 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return block_labeller.main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+# Terms as in metaferry.llm.lexical_search.TERM.
+TERMS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), '" + lexical_search.CAPITALS + "', '" + lexical_search.SMALL + "'), '"
+    + lexical_search.TERM + "')"
+)
+
+
+@query(
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {TERMS_SQL} AS w FROM documents),
+    totals AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+    items AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+    found AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) AS t
+              WHERE term IN (SELECT term FROM items) GROUP BY rid, term),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * CAST(n_docs AS DOUBLE) + 2) / (2 * CAST(df AS DOUBLE) + 1))) AS BIGINT) AS w
+                FROM (SELECT term, count(*) AS df FROM found GROUP BY term) AS f, totals),
+    lengths AS (SELECT rid, doc_id, 100 - 90 + (90 * len(w) * n_docs) // n_terms AS m FROM d, totals WHERE len(w) > 0),
+    scores AS (SELECT item_id, doc_id, rid, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+               FROM found JOIN weights USING (term) JOIN lengths USING (rid) JOIN items USING (term)
+               GROUP BY item_id, doc_id, rid),
+    ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                      doc_id, score FROM scores WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 10"""
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.search(documents(spark, sf_dir), items)
