@@ -18,6 +18,7 @@ from metaferry.llm import (
     mixing,
     near_dedup,
     quality_rules,
+    substring_dedup,
     token_counts,
 )
 
@@ -245,3 +246,22 @@ TERMS_SQL = (
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return lexical_search.search(documents(spark, sf_dir), items)
+
+
+@query(
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS_SQL} AS w FROM documents),
+    windows AS (SELECT rid, p, list_slice(w, p, p + 34) AS words
+                FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35) AS x),
+    known AS (SELECT rid, p, count(*) OVER (PARTITION BY sha256(array_to_string(words, ' '))) AS n FROM windows),
+    covered AS (SELECT DISTINCT rid, p + k AS q FROM known, range(35) AS r(k) WHERE n > 1),
+    gone AS (SELECT rid, list(q) AS q FROM covered GROUP BY rid),
+    kept AS (SELECT rid, array_to_string(list(word ORDER BY place), ' ') AS t
+             FROM (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d) AS x
+             WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.rid = x.rid AND c.q = x.place) GROUP BY rid)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(q), 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)"""
+)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(documents(spark, sf_dir))

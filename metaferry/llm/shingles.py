@@ -37,9 +37,10 @@ def _pieces(data: bytes) -> Iterator[bytes]:
     yield data[start:]
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One 64-bit hash per word of a text with A-Z in lower case."""
-    found = [_hashes(piece) for piece in _pieces((text or "").encode().lower())]
+def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
+    """One 64-bit hash per word of a text, with A-Z in lower case or as it is."""
+    data = (text or "").encode()
+    found = [_hashes(piece) for piece in _pieces(data.lower() if lower else data)]
     return found[0] if len(found) == 1 else np.concatenate(found)
 
 
