@@ -19,6 +19,7 @@ from metaferry.llm import (
     near_dedup,
     quality_rules,
     substring_dedup,
+    token_alignment,
     token_counts,
 )
 
@@ -265,3 +266,8 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_repeats(documents(spark, sf_dir))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(documents(spark, sf_dir))
