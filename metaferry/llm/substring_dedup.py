@@ -9,16 +9,16 @@ at two places or more, and only such windows are worth a row of their own:
    smallest hash in the window. Equal windows have equal anchors, so what happens
    to a window is decided among the runs of its anchor, and no window stands twice
    in a run. A run is one row for about 13 edges.
-2. Anchors that occur once are done: their windows occur once. If all runs of an
-   anchor are equal, its edges form a path without branches, and all of them are
-   repeated. Where they differ, the path branches.
-3. Runs without branches are joined with the source of their anchor, the place
-   that comes first, and compacted: as long as a text's runs go on along the same
+2. Anchors that occur once are done: their windows occur once. Runs of the same
+   words are one path of edges; where an anchor has several runs, its path branches.
+3. Runs that occur twice or more are joined with their source, the place that
+   comes first, and compacted: as long as a text's runs go on along the same
    stretch of one source, they are one path, a (place, source place, length) row.
 4. The words at both coordinates of a path are read and digested; a path whose
-   digests agree is a repeated span. Windows of branching runs are counted one by
-   one, by a digest of their words; of these only the ones that occur once are
-   sent back to their text.
+   digests agree is a repeated span. Windows of a run that occurs once, beside a
+   branch, are counted one by one, by a digest of their words, together with one
+   source of every other run of their anchor; of these only the ones that occur
+   once are sent back to their text.
 5. A text is read once more together with its spans and loses the words that they
    cover.
 
@@ -58,7 +58,7 @@ _BASE = 0xD6E8FEB86659FD93
 _UNBASE = np.uint64(pow(_BASE, -1, 1 << 64))
 _ID = ["h1", "h2"]
 # Kinds of stretches that a text is read with.
-_PATH, _BRANCHED, _LONE = 0, 1, 2
+_PATH, _BRANCHED, _LONE, _WITNESS = 0, 1, 2, 3
 
 
 def _id(text: Column) -> list[Column]:
@@ -109,34 +109,41 @@ def runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def _cut(docs: DataFrame, text: str, places: bool) -> DataFrame:
-    """Runs of all texts: (anchor, key), or (h1, h2, first, last, anchor)."""
+    """Runs of all texts: their anchors alone, or (h1, h2, first, last, anchor, key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, 0):
             found = [runs(word_hashes(value.as_py(), lower=False)) for value in batch.column(0)]
             anchor, key, first, last = (np.concatenate([each[k] for each in found]) for k in range(4))
             if not places:
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(key)], ["anchor", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor)], ["anchor"])
                 continue
             owner = pa.array(np.repeat(np.arange(len(found)), [len(each[0]) for each in found]))
             ids = [batch.column(k).take(owner) for k in (1, 2)]
-            columns = [*ids, pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(anchor)]
-            yield pa.RecordBatch.from_arrays(columns, [*_ID, "first", "last", "anchor"])
+            columns = [*ids, pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(anchor), pa.array(key)]
+            yield pa.RecordBatch.from_arrays(columns, [*_ID, "first", "last", "anchor", "key"])
 
     # Fewer characters hold fewer words than a window.
     long = docs.select(F.col(text).alias("text")).filter(F.length("text") >= 2 * WINDOW - 1)
     if places:
         return long.select("text", *_id(F.col("text"))).mapInArrow(
-            run, "h1 bigint, h2 bigint, first int, last int, anchor bigint"
+            run, "h1 bigint, h2 bigint, first int, last int, anchor bigint, key bigint"
         )
-    return long.mapInArrow(run, "anchor bigint, key bigint")
+    return long.mapInArrow(run, "anchor bigint")
 
 
-def paths(marks: DataFrame) -> DataFrame:
-    """(h1, h2, first, last, s1, s2, source_first): unbranched runs compacted along their sources, all as windows."""
-    plain = marks.filter(~F.col("branched"))
-    source = plain.groupBy("anchor").agg(F.min(F.struct("h1", "h2", "first")).alias("source"))
-    linked = hot_join(plain, source, "anchor").select(
+def sources(marks: DataFrame) -> DataFrame:
+    """(anchor, key, n, source, beside) of all runs: how often, where first, and whether the anchor has a run that occurs once."""
+    runs_of = marks.groupBy("anchor", "key").agg(
+        F.sum("copies").alias("n"), F.min(F.struct("h1", "h2", "first", "last")).alias("source")
+    )
+    least = runs_of.groupBy("anchor").agg((F.min("n") == 1).alias("beside"))
+    return hot_join(runs_of, least, "anchor")
+
+
+def paths(linked: DataFrame) -> DataFrame:
+    """(h1, h2, first, last, s1, s2, source_first): repeated runs compacted along their sources, all as windows."""
+    shifted = linked.select(
         *_ID, "first", "last", F.col("source.h1").alias("s1"), F.col("source.h2").alias("s2"),
         (F.col("first") - F.col("source.first")).alias("shift"),
     )
@@ -144,7 +151,7 @@ def paths(marks: DataFrame) -> DataFrame:
     goes_on = F.lit(True)
     for now, before in [("first", F.lag("last").over(by_place) + 1), *((k, F.lag(k).over(by_place)) for k in ("s1", "s2", "shift"))]:
         goes_on = goes_on & F.col(now).eqNullSafe(before)
-    numbered = linked.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_path", F.sum("_new").over(by_place))
+    numbered = shifted.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_path", F.sum("_new").over(by_place))
     return numbered.groupBy(*_ID, "_path", "s1", "s2", "shift").agg(
         F.min("first").alias("first"), F.max("last").alias("last")
     ).select(*_ID, "first", "last", "s1", "s2", (F.col("first") - F.col("shift")).alias("source_first"))
@@ -163,22 +170,23 @@ def _digest(joined: bytes, starts: np.ndarray, first: int, last: int) -> bytes:
 
 
 def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, kind, first, last, digest) of the paths of texts and of each window of their branched runs."""
+    """(h1, h2, copies, kind, first, last, digest) of the paths of texts and of each window of their other runs."""
     for batch in parts(batches, 2):
-        owner, columns = [], [[], [], [], []]
+        owner, copies, columns = [], [], [[], [], [], []]
         for row, (text, notes) in enumerate(zip(batch.column(2), batch.column(3))):
             joined, starts = _words(text.as_py())
             for kind, first, last in ((note["kind"], note["first"], note["last"]) for note in notes.as_py()):
                 stretches = [(first, last)] if kind == _PATH else [(at, at) for at in range(first, last + 1)]
                 owner += [row] * len(stretches)
+                copies += [2 if kind == _WITNESS else 1] * len(stretches)
                 columns[0] += [kind] * len(stretches)
                 columns[1] += [one for one, _ in stretches]
                 columns[2] += [other for _, other in stretches]
                 columns[3] += [_digest(joined, starts, *stretch) for stretch in stretches]
-        ids = [batch.column(k).take(pa.array(owner, pa.int64())) for k in (0, 1, 4)]
+        ids = [batch.column(k).take(pa.array(owner, pa.int64())) for k in (0, 1)]
         kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
-            [*ids, *(pa.array(values, kind) for values, kind in zip(columns, kinds))],
+            [*ids, pa.array(copies, pa.int64()), *(pa.array(values, kind) for values, kind in zip(columns, kinds))],
             [*_ID, "copies", "kind", "first", "last", "digest"],
         )
 
@@ -224,9 +232,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _noted(texts: DataFrame, notes: DataFrame) -> DataFrame:
-    """(h1, h2, text, notes, copies) of the distinct texts that have notes (h1, h2, kind, first, last)."""
+    """(h1, h2, text, notes) of the distinct texts that have notes (h1, h2, kind, first, last)."""
     listed = notes.groupBy(*_ID).agg(F.collect_list(F.struct("kind", "first", "last")).alias("notes"))
-    return texts.hint("merge").join(listed.hint("merge"), _ID).select(*_ID, "text", "notes", "copies")
+    return texts.hint("merge").join(listed.hint("merge"), _ID).select(*_ID, "text", "notes")
 
 
 def _stretch(kind: int, first: str = "first", last: str = "last") -> list[Column]:
@@ -234,39 +242,42 @@ def _stretch(kind: int, first: str = "first", last: str = "last") -> list[Column
 
 
 def repeated(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(h1, h2, text, copies) of the texts that hold anything that may repeat, and their notes of what does. Runs jobs."""
-    anchors = _cut(docs, text, False).groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")
-    )
-    known = staged(anchors.filter("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("branched")))
-    marks = staged(hot_join(_cut(docs, text, True), known, "anchor").select(*_ID, "first", "last", "anchor", "branched").distinct())
-    found = staged(paths(marks))
-    branched = marks.filter("branched").select(*_ID, *_stretch(_BRANCHED))
+    """(h1, h2, text) of the texts that hold anything that may repeat, and their notes of what does. Runs jobs."""
+    anchors = _cut(docs, text, False).groupBy("anchor").agg(F.count("*").alias("n"))
+    known = staged(anchors.filter("n > 1").select("anchor"))
+    found = hot_join(_cut(docs, text, True), known, "anchor")
+    marks = staged(found.groupBy(*_ID, "first", "last", "anchor", "key").agg(F.count("*").alias("copies")))
+    linked = staged(hot_join(marks, sources(marks), ["anchor", "key"]))
+    path = staged(paths(linked.filter("n > 1")))
+    branched = linked.filter("n = 1").select(*_ID, *_stretch(_BRANCHED))
+    witnesses = linked.filter(
+        (F.col("n") > 1) & F.col("beside") & (F.struct(*_ID, "first", "last") == F.col("source"))
+    ).select(*_ID, *_stretch(_WITNESS))
     source_last = (F.col("source_first") + F.col("last") - F.col("first")).alias("source_last")
-    at_source = found.withColumn("source_last", source_last).select(
+    at_source = path.withColumn("source_last", source_last).select(
         F.col("s1").alias("h1"), F.col("s2").alias("h2"), *_stretch(_PATH, "source_first", "source_last")
     )
-    to_read = found.select(*_ID, *_stretch(_PATH)).unionByName(at_source).distinct().unionByName(branched)
+    to_read = path.select(*_ID, *_stretch(_PATH)).unionByName(at_source).distinct().unionByName(branched).unionByName(witnesses)
     long = docs.select(F.col(text).alias("text")).filter(F.length("text") >= 2 * WINDOW - 1)
-    distinct = long.groupBy(*_id(F.col("text"))).agg(F.count("*").alias("copies"), F.any_value("text").alias("text"))
+    distinct = long.groupBy(*_id(F.col("text"))).agg(F.any_value("text").alias("text"))
     texts = staged(_noted(distinct, to_read))
-    probes = staged(texts.select(*_ID, "text", "notes", "copies").mapInArrow(
+    probes = staged(texts.select(*_ID, "text", "notes").mapInArrow(
         _probes, "h1 bigint, h2 bigint, copies bigint, kind int, first int, last int, digest binary"
     ))
     read = probes.filter(F.col("kind") == _PATH).select(*_ID, "first", "last", "digest")
     source = read.select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), F.col("first").alias("source_first"),
                          F.col("last").alias("source_last"), F.col("digest").alias("source_digest"))
-    spans = hot_join(hot_join(found.withColumn("source_last", source_last), read, [*_ID, "first", "last"]), source,
+    spans = hot_join(hot_join(path.withColumn("source_last", source_last), read, [*_ID, "first", "last"]), source,
                      ["s1", "s2", "source_first", "source_last"]).filter("digest = source_digest")
     alone = (
-        probes.filter(F.col("kind") == _BRANCHED)
+        probes.filter(F.col("kind") != _PATH)
         .groupBy("digest")
         .agg(F.sum("copies").alias("n"), F.min(F.struct(*_ID, "first", "last")).alias("at"))
         .filter("n = 1")
         .select("at.*")
     )
     notes = spans.select(*_ID, *_stretch(_PATH)).unionByName(branched).unionByName(alone.select(*_ID, *_stretch(_LONE)))
-    return texts.select(*_ID, "text", "copies"), notes
+    return texts.select(*_ID, "text"), notes
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

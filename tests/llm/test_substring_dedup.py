@@ -92,14 +92,14 @@ def test_runs_cover_all_windows_once():
     assert spans.of(np.array([0, 7]), np.array([100, 50])).tolist() == spans.of(np.array([3000, 3007]), np.array([3100, 3050])).tolist()
 
 
-def test_unbranched_runs_are_compacted(spark):
+def test_repeated_runs_are_compacted(spark):
     text = " ".join(f"w{k}" for k in range(500))
     marks = spark.createDataFrame(
-        [(i, i, *run) for i in (1, 2) for run in [(0, 9, 70, False), (10, 30, 71, False), (31, 60, 72, False)]],
-        "h1 long, h2 long, first int, last int, anchor long, branched boolean",
+        [(i, i, *run, 1) for i in (1, 2) for run in [(0, 9, 70, 5), (10, 30, 71, 6), (31, 60, 72, 7)]],
+        "h1 long, h2 long, first int, last int, anchor long, key long, copies long",
     )
-    found = sorted(map(tuple, substring_dedup.paths(marks).collect()))
+    linked = marks.join(substring_dedup.sources(marks), ["anchor", "key"])
+    found = sorted(map(tuple, substring_dedup.paths(linked).collect()))
     assert found == [(1, 1, 0, 60, 1, 1, 0), (2, 2, 0, 60, 1, 1, 0)]
     texts, notes = substring_dedup.repeated(table(spark, [(1, text), (2, text + " tail"), (3, "w1 w2")]))
-    kinds = [(row.kind, row.first, row.last) for row in notes.collect() if row.kind == 0]
-    assert len(kinds) <= 4 and texts.count() == 2
+    assert [row.kind for row in notes.collect()].count(0) <= 4 and texts.count() == 2
