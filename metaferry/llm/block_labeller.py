@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -39,6 +40,7 @@ LAYOUTS, LONGEST = 8, 30
 PATH_CELLS, WORD_CELLS, EXTRA = 768, 32, 6
 WIDTH = PATH_CELLS + WORD_CELLS + EXTRA
 _SLICE = 2048
+LEAST_EXAMPLES = 5
 HIDDEN, EPOCHS, RATE, GROUP = 12, 20, 0.02, 64
 
 # Names in a path that mark what is not main text, and what is.
@@ -55,8 +57,13 @@ MAIN = frozenset(
 _MAIN_PLACES = (
     ("article",), ("main",), ("div", ".content"), ("div", ".article", ".body"), ("div", ".post"), ("section", ".entry"),
     ("div", ".main"), ("div", ".story", ".text"), ("main", ".content"), ("article", ".post"), ("td", ".content"), ("div", ".text"),
+    ("div", ".body", ".content"), ("div", ".page", ".content"), ("div", ".article"), ("div", ".entry", ".content"),
+)
+# Elements around both kinds; some have a name that elsewhere marks main text.
+_OUTER = (
+    ("div", ".page"), ("div", ".wrapper"), ("div", ".container"), ("section",), ("div",), ("div", ".row"), ("table",),
+    ("div", ".content"), ("div", ".main"), ("div", ".site"), ("div", ".body"),
 )
-_OUTER = (("div", ".page"), ("div", ".wrapper"), ("div", ".container"), ("section",), ("div",), ("div", ".row"), ("table",))
 _REST_PLACES = tuple(
     (element, name) if name.startswith(".") else (name,) for name in sorted(REST) for element in ("div", "section", "ul")
 ) + tuple((name,) for name in sorted(REST) if not name.startswith(".")) * 5
@@ -79,9 +86,10 @@ def _cells(name: str) -> tuple[int, int]:
 
 
 class Vectors:
-    """Turns blocks into rows of numbers."""
+    """Turns blocks into rows of numbers. Names in paths beyond ``known`` ones, if given, say nothing."""
 
-    def __init__(self) -> None:
+    def __init__(self, known: frozenset[str] | None = None) -> None:
+        self.known = known
         self.paths: dict[tuple, np.ndarray] = {}
         self.words: dict[str, int] = {}
 
@@ -108,7 +116,8 @@ class Vectors:
         if path not in self.paths:
             if len(self.paths) > 50_000:
                 self.paths.clear()
-            names = {name for element in path for name in element} | {"leaf:" + path[-1][0] if path else "leaf"}
+            names = {name for element in path for name in element if self.known is None or name in self.known}
+            names.add("leaf:" + path[-1][0] if path else "leaf")
             self.paths[path] = np.array(sorted({cell for name in names for cell in _cells(name)}), np.int64)
         return self.paths[path]
 
@@ -132,6 +141,7 @@ class Labeller:
 
     def __init__(self, seed: int = 1):
         random = np.random.default_rng(seed)
+        self.known: frozenset[str] | None = None
         self.weights = {}
         for side in "fb":
             self.weights[f"x{side}"] = random.normal(0, 0.08, (WIDTH, 4 * HIDDEN)).astype(np.float32)
@@ -315,8 +325,11 @@ def trained(pages: Sequence[str | None], seed: int = 1) -> Labeller:
     if not examples:
         examples = [_rearranged(["main text"] * 5, ["x"], random) for _ in range(GROUP)]
     examples = [example for example in examples if example[0]]
-    vectors = Vectors()
+    # A name that few examples have would only collide with others.
+    held = Counter(name for found, _ in examples for name in {name for block in found for element in block.path for name in element})
     labeller = Labeller(seed)
+    labeller.known = frozenset(name for name, count in held.items() if count >= LEAST_EXAMPLES)
+    vectors = Vectors(labeller.known)
     labeller.train(
         [vectors.of(found) for found, _ in examples], [np.array(labels, np.float32) for _, labels in examples], seed
     )
@@ -339,7 +352,7 @@ def extract(
     kinds = dict(pages.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = Vectors()
+        vectors = Vectors(labeller.known)
         for batch in parts(batches, html):
             found = [blocks(value.as_py()) for value in batch.column(len(keep))]
             everything = [block for page in found for block in page]

@@ -27,6 +27,7 @@ ENDS = {
 _NO_P = (frozenset(["p"]), frozenset(["td", "th", "button"]))
 # Elements whose content is hidden. Whatever else may stand in a head has no content.
 _HIDDEN = frozenset("iframe math noscript object script style svg template title".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN_ENDS = {name: re.compile(rf"(?i)</{name}(?=[\s/>])[^>]*+>") for name in _HIDDEN}
 _MARKUP = re.compile(
     r"""(?is)<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -36,6 +37,12 @@ _MARKUP = re.compile(
 _OPEN_VALUE = re.compile(r"""=\s*[^\s"'>/][^\s"'>]*/$""")
 _ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _NAME = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Words at the beginning or end of a class that tells a state of the page, not what the element is.
+_STATE = re.compile(r"(?:has|no|with|without|is|show|hide|js|theme|layout)[-_]|.*[-_](?:on|off|open|closed|active|enabled|disabled)$")
+# An element that the page does not show.
+_UNSEEN = re.compile(r"""(?i)\shidden(?=[\s=/]|$)|\saria-hidden\s*=\s*["']?true|\sstyle\s*=\s*(?:"[^"]*|'[^']*|\S*)display\s*:\s*none""")
+_UNSEEN_MARK = "?unseen"
 
 
 @dataclass(slots=True)
@@ -47,18 +54,28 @@ class Block:
 
 @functools.lru_cache(20_000)
 def _element(name: str, attributes: str) -> tuple[str, ...]:
+    """The element's name and the words of its class, id and role.
+
+    Those of html and body say something about the page, not about a block.
+    """
+    unseen = (_UNSEEN_MARK,) if _UNSEEN.search(" " + attributes) else ()
+    if name in ("html", "body"):
+        return (name, *unseen)
     words = [
         word
         for found in _ATTRIBUTE.finditer(attributes)
-        for word in _NAME.findall(html.unescape(found[2] or found[3] or found[4] or "").lower())
+        for part in html.unescape(found[2] or found[3] or found[4] or "").split()
+        if not _STATE.match(part.lower())
+        for word in _NAME.findall(_HUMP.sub("-", part).lower())
     ]
-    return (name, *("." + word for word in words))
+    return (name, *unseen, *("." + word for word in words))
 
 
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order, with references decoded and white space as single spaces.
 
-    Comments and elements that show no text are left out. Open elements end
+    Comments and elements that show no text are left out, and so are those hidden
+    by an attribute (``hidden``, ``aria-hidden``, ``display:none``). Open elements end
     where HTML lets them end without a tag; the head ends before the first text
     or element that cannot stand in it, so nothing but its hidden elements is
     left out. Of a hidden element without an end tag only the tag is left out; a
@@ -77,7 +94,7 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             raw = "".join(parts)
             text = " ".join(html.unescape(raw).split())
-            if text:
+            if text and not any(_UNSEEN_MARK in element for element in stack):
                 found.append(Block(tuple(stack), text, min(1.0, linked / len(raw))))
             parts.clear()
         linked = 0
@@ -109,6 +126,11 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if not tag[2]:
             continue
+        if not tag[1] and name not in BLOCK_ELEMENTS and name not in _VOID and _UNSEEN.search(tag[3]):
+            closing = re.compile(rf"(?i)</{re.escape(name)}(?=[\s/>])[^>]*+>").search(page, at)
+            if closing:
+                at = closing.end()
+            continue
         if name == "a":
             in_link = not tag[1]
         elif name == "br":

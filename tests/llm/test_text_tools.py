@@ -123,7 +123,7 @@ def test_other_layouts(spark):
         '<p>More of it.</p><div class="comments"><p>I like it, said a reader.</p></div></div><footer>c</footer></body>'
     )
     found = html_blocks.blocks(page)
-    chances = labeller.chances([labeller.inputs(block_labeller.Vectors().of(found))])[0]
+    chances = labeller.chances([labeller.inputs(block_labeller.Vectors(labeller.known).of(found))])[0]
     assert [block.text for block, chance in zip(found, chances) if chance > 0.5] == ["Title", "Some main text, indeed.", "More of it."]
 
 
@@ -151,6 +151,36 @@ def test_pipeline(spark):
         assert row.ids == library.encode(row.text, add_special_tokens=False).ids
 
 
+def test_state_classes_and_hidden_elements():
+    found = html_blocks.blocks(
+        '<html class=x><body class="has-sidebar"><div class="no-sidebar widget-on leftBar"><p hidden>a</p><p style="color:red; display: none">b</p>'
+        '<div aria-hidden="true"><p>c</p>d</div><span hidden>e</span><p>f <i style="display:none">g</i>h</p><p title="hidden">i</p></div>'
+    )
+    assert [block.text for block in found] == ["f h", "i"]
+    assert found[0].path[:3] == (("html",), ("body",), ("div", ".left", ".bar"))
+
+
+def test_names_around_the_text_decide_nothing():
+    labeller = block_labeller.trained(_pages("0.01"))
+    prose = "<p>The ship left in the morning, and nobody saw it again until late summer.</p>" * 4
+    pages = [
+        f'<body class="has-sidebar"><article class="post"><h1>Title</h1>{prose}</article><footer>End</footer></body>',
+        f'<body class="widget-on"><nav>Home</nav><main>{prose}</main></body>',
+        f'<body><div id="content"><div id="bodyContent" class="mw-body-content">{prose}</div></div><div class="sidebar">Links</div></body>',
+    ]
+    for page in pages:
+        found = html_blocks.blocks(page)
+        chances = labeller.chances([labeller.inputs(block_labeller.Vectors(labeller.known).of(found))])[0]
+        main = [block.text for block, chance in zip(found, chances) if chance > 0.5]
+        assert sum(text.startswith("The ship") for text in main) == 4 and not {"End", "Home", "Links"} & set(main)
+
+
+def _pages(size):
+    import pandas as pd
+
+    return pd.read_parquet(f"{SF.replace('0.001', size)}/pages.parquet")["html"].tolist()[: block_labeller.SAMPLE_PAGES]
+
+
 def test_pages_without_end_tags():
     texts = lambda page: [block.text for block in html_blocks.blocks(page)]
     assert texts("<html><head><title>T</title><meta charset=x><body><p>a<p>b") == ["a", "b"]
