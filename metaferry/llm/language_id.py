@@ -52,14 +52,16 @@ def sample(docs: DataFrame, key: str, text: str, lang: str, learn: Column) -> di
     order = (F.length(text) > ROW_CHARS, F.md5(F.col(key).cast("string")), F.col(key))
     usable = docs.filter(learn & F.col(lang).isNotNull() & (F.length(text) > 0))
     first = (
-        usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), *[c.alias(f"o{k}") for k, c in enumerate(order)])
+        usable.select(F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), *[c.alias(f"o{k}") for k, c in enumerate(order)])
         .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("o0", "o1", "o2", "text")))
         .filter(F.col("rank") <= SAMPLE_ROWS)
     )
     before = F.sum(F.length("text")).over(W.partitionBy("lang").orderBy("rank").rowsBetween(W.unboundedPreceding, -1))
     chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < SAMPLE_CHARS)
     found: dict[str, list[str]] = {}
-    for row in chosen.orderBy("lang", "rank").select("lang", "text").collect():
+    # The last text of a language is cut where the sample is full.
+    cut = F.substring("text", F.lit(1), F.lit(SAMPLE_CHARS) - F.col("before").cast("int")).alias("text")
+    for row in chosen.orderBy("lang", "rank").select("lang", cut).collect():
         found.setdefault(row.lang, []).append(row.text)
     return found
 
