@@ -1,9 +1,11 @@
-"""MinHash near-dedup with an LSH forest.
+"""MinHash near-dedup with trees of signature prefixes.
 
 1. Every text becomes its set of word shingles; equal sets are one class, so
    copies are gone before anything is compared. The class carries the smallest id.
-2. A tree of the forest looks at ``LEAST_DEPTH`` values of the signature; classes
-   that share them are a region of the tree. All pairs of a region are compared
+2. A tree looks at ``LEAST_DEPTH`` values of the signature in an order of its own;
+   classes that share this prefix are a region of the tree. A region is not cut
+   deeper: where depth followed the crowd, and only neighbours in the sorted order
+   were candidates, members of large groups lost the only text they are linked with. All pairs of a region are compared
    by two bits of each value of their signatures (at a similarity of 0.75 the
    limit is 3.8 standard deviations away). What is not far apart is joined to
    families, by star contraction. A family is wider than a group of near
@@ -316,7 +318,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     signed = member.select("id", "print", "signature").join(
         labels.select(F.col("label").alias("id"), "print"), ["id", "print"], "left_semi"
     )
-    classes = staged(signed.dropDuplicates(["id"]).select("id", "signature"))
+    # An id may stand for several sets, each with a signature of its own.
+    classes = staged(signed.dropDuplicates(["id", "print"]).select("id", "signature"))
     members = staged(hot_join(member.select("id", "print"), labels, "print").select("id", "label").distinct())
     # An id with several texts belongs to several classes.
     several = members.groupBy("id").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")

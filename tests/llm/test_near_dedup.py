@@ -74,6 +74,13 @@ def test_repeated_and_null_ids(spark):
     assert sorted((row.doc_id or 0) for row in kept.collect()) == [0, 1]
 
 
+def test_one_id_with_two_texts_that_have_near_copies(spark):
+    one, two = (" ".join(f"{letter}{k}" for k in range(60)) for letter in "ab")
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (4, "something else stands here now")]
+    found = near_dedup.near_duplicates(table(spark, rows)).collect()
+    assert {(row.doc_id, row.component_id) for row in found} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_empty_table(spark):
     empty = table(spark, []) if False else table(spark, [(1, "a")]).limit(0)
     assert near_dedup.near_duplicates(empty).count() == 0
