@@ -105,7 +105,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts AS (SELECT source, line, count(DISTINCT doc_id) AS n_pages FROM found
                WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY source, line),
     cut AS (SELECT c.source, line FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
-            WHERE n_pages >= 5 AND 100 * n_pages > 5 * n),
+            WHERE n_pages >= 3 AND 100 * n_pages > n),
     marked AS (SELECT f.*, c.line IS NOT NULL AS is_cut FROM found f
                LEFT JOIN cut c ON f.source IS NOT DISTINCT FROM c.source AND f.line = c.line),
     texts AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT is_cut), '') AS t,
