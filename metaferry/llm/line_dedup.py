@@ -28,7 +28,8 @@ from metaferry.llm.columns import BLANKS, bound, lines_with_words
 from metaferry.operators.joins import hot_join
 from metaferry.sources.staging import staged
 
-# Repeated lines of given sources stand on 0.5 to 13 % of their pages, other lines on a few pages at most.
+# Measured: of the lines of a source 1,026 stand on two pages of sf0.1 and up to 0.5 % of its pages, 526 on up to 1 %,
+# 319 on more (36 different lines, at most 13.2 %); of check_s 10,347, 437 and 294 (27 lines, at most 13.4 %).
 PERCENT, MIN_PAGES = 1, 3
 _SITE, _CUT = "_line_dedup_site", "_line_dedup_cut"
 
