@@ -48,13 +48,9 @@ def _encode(text: Column) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
-def _compact(token: Column) -> Column:
-    """Drop white space between tokens; string values are left as they are."""
-    return (
-        F.when(~token.startswith('"'), F.translate(token, " \t\r\n", ""))
-        .when(token.endswith('"'), token)
-        .otherwise(F.concat(_quoted_key(token), F.lit(":")))
-    )
+def compacted(document: Column) -> Column:
+    """The text without white space outside strings."""
+    return F.regexp_replace(document, "(" + _TOKEN.split("(?:\\s")[0] + r")|[ \t\r\n]++", "$1")
 
 
 def rewrite_strings(document: Column, renames: Renames | None, compact: bool = False) -> Column:
@@ -64,8 +60,10 @@ def rewrite_strings(document: Column, renames: Renames | None, compact: bool = F
     With ``compact`` the white space outside strings is removed as well.
     """
     pairs = as_pairs(renames)
+    if compact:
+        document = compacted(document)
     untouched = F.struct(document.alias("text"), F.lit(0).alias("changes"))
-    if not pairs and not compact:
+    if not pairs:
         return untouched
 
     def edit(token: Column) -> Column:
@@ -86,16 +84,30 @@ def rewrite_strings(document: Column, renames: Renames | None, compact: bool = F
         changes = F.size(F.filter(differs, lambda d: d))
         return F.struct(F.array_join(after, "").alias("text"), changes.alias("changes"))
 
-    cut = F.transform(tokens(document), _compact) if compact else tokens(document)
-    if not pairs:
-        return F.struct(F.array_join(cut, "").alias("text"), F.lit(0).alias("changes"))
-    rewritten = bind(cut, lambda before: bind(edited(before), lambda after: result(before, after)))
-    return rewritten if compact else F.when(affected(document), rewritten).otherwise(untouched)
+    rewritten = bind(tokens(document), lambda before: bind(edited(before), lambda after: result(before, after)))
+    return F.when(affected(document), rewritten).otherwise(untouched)
+
+
+# A key that is wanted with its string value, or any other string, so that a match never begins inside one.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_UID_PAIR = r'"(?:(?=[^"\\]*(?i:uid))|(?=backingAssetId"))[^"\\]*+"\s*+:\s*+(' + _STRING + ")|" + _STRING
+# Whatever may be a key with an escape in it.
+_ESCAPED_KEY = r'\\.[^"\\]*+"\s*+:'
 
 
 def find_uids(document: Column) -> Column:
     """Distinct non-blank string values, at any depth, under a key that holds
     ``uid`` in any case or equals ``backingAssetId``."""
+    listed = F.regexp_extract_all(document, F.lit(_UID_PAIR), F.lit(1))
+    values = F.transform(F.array_distinct(F.filter(listed, lambda v: v != "")), lambda v: strip(_decode(v)))
+    plain = F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (v != "")))
+    # A document without the letters can still hide them behind escapes.
+    possible = F.lower(document).contains("uid") | document.contains("backingAssetId")
+    return F.when(document.rlike(_ESCAPED_KEY), _uids_of_tokens(document)).when(possible, plain)
+
+
+def _uids_of_tokens(document: Column) -> Column:
+    """As ``find_uids``, with every key decoded."""
 
     def value_of(all_tokens: Column, position: Column) -> Column:
         following = F.get(all_tokens, position + 1)
@@ -106,10 +118,7 @@ def find_uids(document: Column) -> Column:
     def scan(all_tokens: Column) -> Column:
         return F.transform(all_tokens, lambda token, at: F.when(_is_key(token), value_of(all_tokens, at)))
 
-    found = F.filter(bind(tokens(document), scan), lambda v: v.isNotNull() & (v != ""))
-    # A key can hide behind escapes, so escaped documents are always looked at.
-    possible = F.lower(document).contains("uid") | document.contains("backingAssetId") | document.contains("\\")
-    return F.when(possible, F.array_distinct(found))
+    return F.array_distinct(F.filter(bind(tokens(document), scan), lambda v: v.isNotNull() & (v != "")))
 
 
 # No limit on the length of a value or on nesting; a field behind the document shows that it ended where it should.
@@ -160,11 +169,15 @@ def json_text(value: Column) -> Column:
 
 
 def json_problem(document: Column) -> Column:
-    """Why a text cannot serve as a JSON object, null if it can."""
+    """Why a text cannot serve as a JSON object, null if it can.
+
+    ``beyond_variant`` is valid JSON that the values payloads are built from can't
+    hold: over 128 MB, or with repeated keys where the session forbids them.
+    """
 
     def problem(value: Column) -> Column:
         return (
-            F.when(value.isNull(), F.lit("invalid_json"))
+            F.when(value.isNull(), F.when(is_json(document), F.lit("beyond_variant")).otherwise(F.lit("invalid_json")))
             .when(~F.schema_of_variant(value).startswith("OBJECT"), F.lit("not_an_object"))
             .when(F.size(value.try_cast("map<string,variant>")) == 0, F.lit("empty_object"))
         )

@@ -1,16 +1,18 @@
 """Whole-word renames of environment names inside identifiers and free text.
 
-A rename list is ordered. In the *atomic* form every source word is first
-swapped for a placeholder and all placeholders then become targets, so that one
-rename never feeds another and earlier pairs win where two overlap. Both steps
-are plain ``regexp_replace`` / ``replace`` calls that stay in generated code. A
-long rename list would make that expression too deep, so it is folded at run
-time over an array of pairs instead.
+A rename list is ordered. In the *atomic* form no rename ever feeds another and
+earlier pairs win where two overlap. A text is cut into tokens once, words and
+single other characters, and the source words, cut likewise, form a trie over
+tokens. The trie is constant data of the plan, a hash table from (node, token) to
+the next node, so a text is walked once, whatever the number of pairs. Matches
+that touch each other are settled in the order of the pairs, within their cluster.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -21,9 +23,6 @@ from metaferry.functions.binding import bind
 
 Renames = Mapping[str, str] | Sequence[tuple[str, str]]
 
-# Lists beyond this length are folded at run time.
-_LONG = 40
-
 # A word character is a letter or number of any script, or an underscore.
 _WORD = r"\p{L}\p{N}_"
 
@@ -53,51 +52,197 @@ def whole_word(source: str) -> str:
     return literal + after + before
 
 
-def _placeholder(number: int) -> str:
-    # All word characters, so that neither it nor its number is ever seen as a word of its own.
-    return f"_\ua66e{number}\ua66e_"
+def cut(source: str) -> list[str]:
+    """The tokens of a source: words, and single characters that are none."""
+    tokens = [""]
+    for before, character in zip(" " + source, source):
+        if _is_word(before) and _is_word(character):
+            tokens[-1] += character
+        else:
+            tokens.append(character)
+    return tokens[1:]
 
 
-def rename_words(value: Column, renames: Renames | None) -> Column:
-    """Atomic whole-word renames; targets are literal text."""
-    pairs = as_pairs(renames)
-    if not pairs:
-        return value
-    if len(pairs) > _LONG:
-        renamed = F.reduce(_table(pairs), _mark(value, pairs), lambda text, p: F.replace(text, p["mark"], p["target"]))
-    else:
-        renamed = _mark(value, pairs)
-        for number, (_, target) in enumerate(pairs):
-            renamed = F.replace(renamed, F.lit(_placeholder(number)), F.lit(target))
-    # Most values hold none of the words: a plain substring test spares them the regexes.
-    return F.when(mentions_any(value, pairs), renamed).otherwise(value)
+def tokens_of(value: Column, single: str = "") -> Column:
+    """Words, each of the ``single`` characters, and runs of other characters."""
+    alone = "".join(f"\\x{{{ord(character):x}}}" for character in single)
+    return F.regexp_extract_all(value, F.lit(f"[{_WORD}]++|" + (f"[{alone}]|" if alone else "") + f"[^{_WORD}{alone}]++"), F.lit(0))
+
+
+class _HashTable:
+    """Constant numbers of texts, as an array of small maps."""
+
+    def __init__(self, numbers: Mapping[str, int]):
+        self.size = max(1, 2 * len(numbers))
+        slots: list[dict[str, int]] = [{} for _ in range(self.size)]
+        for key, number in numbers.items():
+            slots[zlib.crc32(key.encode()) % self.size][key] = number
+        self.slots = _constant(slots, "array<map<string,int>>")
+
+    def get(self, key: Column) -> Column:
+        return F.try_element_at(F.get(self.slots, F.pmod(F.crc32(key), F.lit(self.size)).cast("int")), key)
+
 
+class Trie:
+    """Source words as a trie over tokens, whose tables are constants of the plan.
 
-def _table(pairs: Sequence[tuple[str, str]]) -> Column:
-    """Pairs as a constant array of structs."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(source).alias("source"),
-                F.lit(whole_word(source)).alias("pattern"),
-                F.lit(_placeholder(number)).alias("mark"),
-                F.lit(target).alias("target"),
+    A match is a ``struct<start, end, pair>`` of token places and the pair's number.
+    """
+
+    def __init__(self, pairs: Sequence[tuple[str, str]]):
+        firsts: dict[str, int] = {}
+        later: dict[str, int] = {}
+        ends = [-1]
+        sources = [cut(source) for source, _ in pairs]
+        for number, source in enumerate(sources):
+            node = 0
+            for token in source:
+                steps, key = (later, f"{node}/{token}") if node else (firsts, token)
+                if key not in steps:
+                    steps[key] = len(ends)
+                    ends.append(-1)
+                node = steps[key]
+            ends[node] = number
+        self.longest = max(map(len, sources))
+        self.firsts, self.later = _HashTable(firsts), _HashTable(later)
+        self.single = "".join(sorted({c for source in sources for c in source if not _is_word(c[0])}))
+        self.ends = _constant(ends, "array<int>")
+        self.targets = _constant([target for _, target in pairs], "array<string>")
+        # Whether a source begins and ends with a letter.
+        self.edges = _constant(
+            [{"first": _is_word(source[0]), "last": _is_word(source[-1])} for source, _ in pairs],
+            "array<struct<first: boolean, last: boolean>>",
+        )
+        self.plain = all(len(source) == 1 and _is_word(source[0]) for source in sources)
+
+    def tokens(self, value: Column) -> Column:
+        return tokens_of(value, self.single)
+
+    def _match(self, start: Column, end: Column, node: Column) -> Column:
+        return F.struct(
+            start.cast("int").alias("start"), end.cast("int").alias("end"), F.get(self.ends, node).alias("pair")
+        )
+
+    def _beginning(self, tokens: Column, start: Column, token: Column) -> Column:
+        """The matches that begin at a place."""
+        first = self.firsts.get(token)
+        if self.longest == 1:
+            return bind(first, lambda node: F.when(node.isNotNull(), F.array(self._match(start, start, node))))
+
+        def walk(state: Column, following: Column) -> Column:
+            at = state["at"] + 1
+            return bind(
+                self.later.get(F.concat(state["node"].cast("string"), F.lit("/"), following)),
+                lambda node: F.struct(
+                    node.alias("node"),
+                    at.alias("at"),
+                    F.when(F.get(self.ends, node) >= 0, F.array_append(state["found"], self._match(start, at, node)))
+                    .otherwise(state["found"])
+                    .alias("found"),
+                ),
             )
-            for number, (source, target) in enumerate(pairs)
-        ]
-    )
 
+        none = F.array().cast("array<struct<start: int, end: int, pair: int>>")
+        window = F.slice(tokens, start + 2, self.longest - 1)
+
+        def walked(node: Column) -> Column:
+            found = F.when(F.get(self.ends, node) >= 0, F.array(self._match(start, start, node))).otherwise(none)
+            begin = F.struct(node.alias("node"), start.alias("at"), found.alias("found"))
+            return F.when(node.isNotNull(), F.reduce(window, begin, walk, lambda state: state["found"]))
+
+        return bind(first, walked)
+
+    def matches(self, tokens: Column) -> Column:
+        """All places where a source's tokens stand, by start."""
+        found = F.transform(tokens, lambda token, start: self._beginning(tokens, start, token))
+        return F.flatten(F.filter(found, lambda some: some.isNotNull()))
 
-def _mark(value: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    if len(pairs) > _LONG:
-        return F.reduce(
-            _table(pairs),
-            value,
-            lambda text, p: F.when(F.contains(text, p["source"]), F.regexp_replace(text, p["pattern"], p["mark"])).otherwise(text),
+    def _fits(self, match: Column, taken: Column, tokens: Column) -> Column:
+        """Whether a match overlaps nothing taken and stands where words begin and end; what is taken counts as letters."""
+        overlaps = F.exists(taken, lambda other: (other["start"] <= match["end"]) & (match["start"] <= other["end"]))
+        edges = F.get(self.edges, match["pair"])
+
+        def edge(is_word: Column, place: Column, beside) -> Column:
+            joined = F.exists(taken, lambda other: (other["pair"] != match["pair"]) & beside(other))
+            letter = joined | F.coalesce(F.get(tokens, place).rlike(f"^[{_WORD}]"), F.lit(False))
+            return is_word != letter
+
+        return (
+            ~overlaps
+            & edge(edges["first"], match["start"] - 1, lambda other: other["end"] == match["start"] - 1)
+            & edge(edges["last"], match["end"] + 1, lambda other: other["start"] == match["end"] + 1)
         )
-    for number, (source, _) in enumerate(pairs):
-        value = F.regexp_replace(value, whole_word(source), _placeholder(number))
-    return value
+
+    def settled(self, tokens: Column) -> Column:
+        """The matches that count, by start: in a cluster of neighbours those of earlier pairs first."""
+        if self.plain:
+            return self.matches(tokens)
+        # Every place before has at most ``longest`` matches, none longer than that.
+        reach = self.longest * (self.longest + 1)
+
+        def begins(found: Column) -> Column:
+            def alone(place: Column) -> Column:
+                start = F.get(found, place)["start"]
+                before = F.slice(found, F.greatest(place - reach, F.lit(0)) + 1, F.least(place, F.lit(reach)))
+                return ~F.exists(before, lambda other: other["end"] + 1 >= start)
+
+            places = F.sequence(F.lit(0), F.size(found) - 1)
+            return F.filter(places, alone)
+
+        def settle(cluster: Column) -> Column:
+            by_pair = F.array_sort(
+                F.transform(cluster, lambda m: F.struct(m["pair"].alias("pair"), m["start"].alias("start"), m["end"].alias("end")))
+            )
+            none = F.array().cast("array<struct<start: int, end: int, pair: int>>")
+            taken = F.reduce(
+                by_pair,
+                none,
+                lambda taken, m: bind(
+                    F.struct(m["start"].alias("start"), m["end"].alias("end"), m["pair"].alias("pair")),
+                    lambda match: F.when(self._fits(match, taken, tokens), F.array_append(taken, match)).otherwise(taken),
+                ),
+            )
+            return F.array_sort(taken)
+
+        def clusters(found: Column) -> Column:
+            return bind(
+                begins(found),
+                lambda starts: F.transform(
+                    starts,
+                    lambda begin, k: settle(
+                        F.slice(found, begin + 1, F.coalesce(F.get(starts, k + 1), F.size(found)) - begin)
+                    ),
+                ),
+            )
+
+        return bind(self.matches(tokens), lambda found: F.when(F.size(found) > 0, F.flatten(clusters(found))).otherwise(found))
+
+    def renamed(self, value: Column, tokens: Column, found: Column) -> Column:
+        """The text with the targets in the places of the matches."""
+
+        def piece(match: Column, k: Column) -> Column:
+            begin = F.when(k > 0, F.get(found, k - 1)["end"] + 1).otherwise(0)
+            before = F.array_join(F.slice(tokens, begin + 1, match["start"] - begin), "")
+            return F.concat(before, F.get(self.targets, match["pair"]))
+
+        last = F.get(found, F.size(found) - 1)["end"] + 1
+        rest = F.array_join(F.slice(tokens, last + 1, F.size(tokens) - last), "")
+        return F.when(F.size(found) > 0, F.concat(F.array_join(F.transform(found, piece), ""), rest)).otherwise(value)
+
+
+def _constant(value: object, kind: str) -> Column:
+    """A constant as JSON text that Spark parses once, when it plans."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
+
+
+def rename_words(value: Column, renames: Renames | None) -> Column:
+    """Atomic whole-word renames; targets are literal text."""
+    pairs = as_pairs(renames)
+    if not pairs:
+        return value
+    trie = Trie(pairs)
+    renamed = bind(trie.tokens(value), lambda tokens: bind(trie.settled(tokens), lambda found: trie.renamed(value, tokens, found)))
+    return F.when(mentions_any(value, pairs), renamed).otherwise(value)
 
 
 def renames_used(value: Column, renames: Renames | None) -> Column:
@@ -105,17 +250,17 @@ def renames_used(value: Column, renames: Renames | None) -> Column:
     pairs = as_pairs(renames)
     if not pairs:
         return F.lit(0)
-    marks = F.array(*[F.lit(_placeholder(number)) for number in range(len(pairs))])
-    used = bind(_mark(value, pairs), lambda marked: F.size(F.filter(marks, lambda mark: F.contains(marked, mark))))
-    return F.when(mentions_any(value, pairs), used).otherwise(0)
+    trie = Trie(pairs)
+    used = bind(trie.tokens(value), lambda tokens: F.size(F.array_distinct(F.transform(trie.settled(tokens), lambda m: m["pair"]))))
+    return F.coalesce(used, F.lit(0))
 
 
 def mentions_any(value: Column, renames: Renames) -> Column:
-    """True when a value holds one of the source words, as a word or not."""
-    sources = [source for source, _ in as_pairs(renames)]
-    if len(sources) > _LONG:
-        return F.exists(F.array(*[F.lit(s) for s in sources]), lambda source: F.contains(value, source))
-    return reduce(lambda a, b: a | b, [value.contains(source) for source in sources])
+    """True when a value may hold a source word; a cheap test that spares other values the walk."""
+    firsts = sorted({cut(source)[0] for source, _ in as_pairs(renames)})
+    if len(firsts) <= 8:
+        return reduce(lambda a, b: a | b, [value.contains(first) for first in firsts])
+    return F.arrays_overlap(tokens_of(value), _constant(firsts, "array<string>"))
 
 
 def rename_words_in_turn(value: Column, renames: Renames | None) -> Column:
@@ -127,7 +272,10 @@ def rename_words_in_turn(value: Column, renames: Renames | None) -> Column:
 
 def rename_word(value: Column, source: str, target: str) -> Column:
     """One whole-word rename with a literal target."""
-    return rename_words(value, [(source, target)])
+    if not as_pairs([(source, target)]):
+        return value
+    literal = target.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(value, F.lit(whole_word(source)), F.lit(literal))
 
 
 def replace_text(value: Column, source: str, target: str) -> Column:

@@ -94,6 +94,16 @@ def test_long_lists(spark):
     assert run(spark, values, rename.renames_used(F.col("v"), pairs)) == [3, 3, 0, 400]
 
 
+@pytest.mark.parametrize("n", [1, 39, 40, 41, 60, 1000])
+def test_any_number_of_pairs(spark, n):
+    dice = random.Random(n)
+    words = [f"{letter}{k}" for k in range(60) for letter in "abcdefghijklmnopqrs"]
+    sources = [dice.choice(["{0}", "{0}", "{0}.{1}", "-{0}", "{0} {1} {0}"]).format(*dice.sample(words, 2)) for _ in range(2 * n)]
+    pairs = [(source, dice.choice([*words, "$1", ""])) for source in dict.fromkeys(sources)][:n]
+    texts = ["".join(dice.choice([*words[:40], dice.choice(pairs)[0]]) + dice.choice([" ", ".", "-", "\n"]) for _ in range(60)) for _ in range(20)]
+    assert run(spark, texts, rename.rename_words(F.col("v"), pairs)) == [expected(text, pairs) for text in texts]
+
+
 def test_renames_used_counts_pairs(spark):
     pairs = [("A", "B"), ("B", "C"), ("Q", "R")]
     assert run(spark, ["A.B", "A", "x"], rename.renames_used(F.col("v"), pairs)) == [2, 1, 0]
