@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaferry.functions.jsondoc import as_object, field, json_problem, json_text, parsed, set_field
+from metaferry.functions.jsondoc import as_object, field, is_json, json_problem, json_text, parsed, set_field
 from metaferry.functions.text import has_text, strip
 from metaferry.functions.truth import is_set, plain
 from metaferry.operators.ranking import last_per_key
@@ -66,10 +66,11 @@ def _object_or_null(value: Column) -> Column:
 
 
 def config_class(document: Column) -> Column:
-    """``with_config``, ``null_config``, ``missing_field``, ``invalid_format`` or ``unparsable``."""
+    """``with_config``, ``null_config``, ``missing_field``, ``invalid_format``, ``unparsable``, or ``beyond_variant``
+    for valid JSON that no payload can be built from."""
     value = field(as_object(document), "assetConfiguration")
     return (
-        F.when(parsed(document).isNull(), "unparsable")
+        F.when(parsed(document).isNull(), F.when(is_json(document), "beyond_variant").otherwise("unparsable"))
         .when(value.isNull(), "missing_field")
         .when(json_text(value).isNull(), "null_config")
         .when(_object_or_null(value).isNull(), "invalid_format")
@@ -85,7 +86,7 @@ def config_census(configs: DataFrame, document: str = "config_json") -> DataFram
         F.count_if(kind.isin("with_config", "invalid_format")).alias("with_config"),
         F.count_if(kind == "null_config").alias("null_config"),
         F.count_if(kind == "missing_field").alias("missing_field"),
-        F.count_if(kind == "unparsable").alias("unparsable"),
+        F.count_if(kind.isin("unparsable", "beyond_variant")).alias("unparsable"),
     )
 
 
@@ -111,13 +112,13 @@ def config_import_plan(configs: DataFrame, target_ids: DataFrame) -> DataFrame:
     joined = configs.join(target_ids, "target_uid", "left").withColumn("_kind", config_class(F.col("config_json")))
     unknown, kind = F.col("asset_id").isNull(), F.col("_kind")
     status = (
-        F.when(unknown | kind.isin("unparsable", "invalid_format"), "failed")
+        F.when(unknown | kind.isin("unparsable", "invalid_format", "beyond_variant"), "failed")
         .when(kind == "with_config", "importable")
         .otherwise("skipped")
     )
     reason = (
         F.when(unknown, "Asset not found in target")
-        .when(kind.isin("unparsable", "invalid_format"), "Exception occurred")
+        .when(kind.isin("unparsable", "invalid_format", "beyond_variant"), "Exception occurred")
         .when(kind == "missing_field", "No assetConfiguration field in config")
         .when(kind == "null_config", "assetConfiguration is null (default config)")
     )
@@ -125,6 +126,7 @@ def config_import_plan(configs: DataFrame, target_ids: DataFrame) -> DataFrame:
         F.when(unknown, F.concat(F.lit("No asset found for UID: "), "target_uid"))
         .when(kind == "unparsable", "Invalid JSON in config_json")
         .when(kind == "invalid_format", "assetConfiguration is not an object")
+        .when(kind == "beyond_variant", "config_json is too large or repeats a key")
     )
     payload = F.when(~unknown & (kind == "with_config"), with_asset_id(F.col("config_json"), F.col("asset_id")))
     return joined.select(
@@ -179,14 +181,25 @@ def monitor_columns(anomalies: DataFrame, id_map: DataFrame) -> DataFrame:
 
 
 def anomaly_import_plan(anomalies: DataFrame, id_map: DataFrame, target_rules: DataFrame) -> DataFrame:
-    """Payload per target anomaly rule: its document without ``details``, with the
-    mapped columns set in every one of its items.
+    """Payload per anomaly configuration: the document of the target rule without ``details``,
+    with the mapped columns set in every one of its items.
 
-    ``target_rules`` has ``target_uid`` and ``rule_json``, one row per uid.
+    Every configuration has a row. One without content is ``skipped``, one whose uid
+    has no target rule, or a rule that is no JSON object, is ``failed``; both have
+    a reason and no payload. ``target_rules`` has ``target_uid`` and ``rule_json``,
+    one row per uid.
     """
-    wanted = anomalies.filter(anomaly_importable(F.col("anomaly_json"))).select("target_uid")
-    joined = wanted.join(target_rules, "target_uid").join(monitor_columns(anomalies, id_map), "target_uid", "left")
+    given = anomalies.select("target_uid", anomaly_importable(F.col("anomaly_json")).alias("_given"))
+    rules = target_rules.select("target_uid", "rule_json", F.lit(True).alias("_known"))
+    joined = given.join(rules, "target_uid", "left").join(monitor_columns(anomalies, id_map), "target_uid", "left")
     fields = as_object(F.col("rule_json"))
+    # The texts of the reasons.
+    reason = (
+        F.when(~F.col("_given"), "Empty anomaly configuration")
+        .when(F.col("_known").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid"))
+        .when(fields.isNull(), F.concat(F.lit("No anomaly rule for UID: "), "target_uid"))
+    )
+    status = F.when(reason.isNull(), "importable").when(F.col("_given"), "failed").otherwise("skipped")
     items = _object_or_null(field(fields, "details"))
     ids = F.coalesce("monitor_columns", F.array().cast("array<bigint>")).try_cast("array<variant>")
     listed = F.transform(
@@ -195,7 +208,9 @@ def anomaly_import_plan(anomalies: DataFrame, id_map: DataFrame, target_rules: D
     )
     rest = F.map_filter(fields, lambda key, _: key != "details")
     payload = F.to_json(set_field(rest, "items", F.to_variant_object(listed)))
-    return joined.select("target_uid", payload.alias("payload"))
+    return joined.select(
+        "target_uid", status.alias("status"), reason.alias("reason"), F.when(reason.isNull(), payload).alias("payload")
+    )
 
 
 _PROFILE = (
@@ -252,7 +267,12 @@ def profile_import_plan(configs: DataFrame, target_ids: DataFrame, mapping: Data
         mapped = (mapping.agg(F.count(F.lit(1)).alias("n")).scalar() > 0) & notification_ids(document).isNotNull()
         document = F.when(mapped, with_notification_ids(document, F.col("mapped_ids"))).otherwise(document)
     reason = F.when(F.col("asset_id").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid")).when(
-        parsed(F.col("profile_json")).isNull(), F.concat(F.lit("Invalid JSON in profile_json for UID "), "target_uid")
+        parsed(F.col("profile_json")).isNull(),
+        F.concat(
+            F.when(is_json(F.col("profile_json")), "Too large or repeated keys").otherwise("Invalid JSON"),
+            F.lit(" in profile_json for UID "),
+            "target_uid",
+        ),
     )
     return joined.select(
         "target_uid",
@@ -326,9 +346,14 @@ def segments(document: Column) -> Column:
     return F.coalesce(given["assetSegments"]["segments"], given["segments"])
 
 
+def has_segments(document: Column) -> Column:
+    """Whether a segment document has at least one segment; never null."""
+    return F.coalesce(F.size(segments(document)) > 0, F.lit(False))
+
+
 def with_segments(df: DataFrame, document: str = "segments_json") -> DataFrame:
     """Rows whose document has at least one segment."""
-    return df.filter(F.coalesce(F.size(segments(F.col(document))) > 0, F.lit(False)))
+    return df.filter(has_segments(F.col(document)))
 
 
 def segment_payload(found: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metaferry.functions.binding import bind
 from metaferry.functions.rename import Renames, rename_words, renames_used
 from metaferry.functions.text import has_text, or_blank, sort_number, split_list, strip
 from metaferry.operators.joins import absent, hot_join
@@ -121,16 +122,18 @@ def unmatched_views(source: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def mapping_coverage(source: DataFrame, target: DataFrame, renames: Renames | None) -> DataFrame:
     """One row: source rows, rename pairs applied, matched and unmatched rows, match rate."""
-    renamed = source.agg(F.sum(renames_used(F.col("target_uid"), renames)).cast("long").alias("n"))
     matched = F.col("target_id").isNotNull()
-    counts = match_assets(source, target, renames).agg(
+    # The number of renames goes through the match in the place of the tags.
+    used = renames_used(F.col("target_uid"), renames).cast("string")
+    counts = match_assets(source.withColumn("tags", used), target, renames).agg(
         F.count(F.lit(1)).alias("source_rows"),
+        F.sum(F.col("tags").cast("bigint")).alias("renames_applied"),
         F.count_if(matched).alias("matched_rows"),
         F.count_if(~matched).alias("unmatched_rows"),
     )
     return counts.select(
         "source_rows",
-        renamed.scalar().alias("renames_applied"),
+        "renames_applied",
         "matched_rows",
         "unmatched_rows",
         F.round(F.lit(100.0) * F.col("matched_rows") / F.col("source_rows"), 6).alias("match_rate"),
@@ -178,9 +181,14 @@ def child_maps(mapping: DataFrame, source_children: DataFrame, target_children:
     def as_map(children: DataFrame, key: str, name: str) -> DataFrame:
         # The last entry of an id counts, entries without an id none.
         known = F.filter("child_assets", lambda c: c["asset_id"].isNotNull())
-        ids = F.transform(known, lambda c: c["asset_id"])
-        last = F.filter(known, lambda c, k: ~F.array_contains(F.slice(ids, k + 2, F.size(ids)), c["asset_id"]))
-        entries = F.transform(last, lambda c: F.struct(c["asset_id"], c["uid"]))
+        by_id = F.array_sort(F.transform(known, lambda c, k: F.struct(c["asset_id"].alias("id"), k.alias("at"), c["uid"].alias("uid"))))
+
+        def last_ones(entries: Column) -> Column:
+            following = F.transform(entries, lambda e, k: F.get(entries, k + 1)["id"])
+            return F.filter(entries, lambda e, k: ~e["id"].eqNullSafe(F.get(following, k)))
+
+        in_order = F.array_sort(F.transform(bind(by_id, last_ones), lambda e: F.struct(e["at"], e["id"], e["uid"])))
+        entries = F.transform(in_order, lambda e: F.struct(e["id"], e["uid"]))
         return children.select(F.col("asset_id").cast("string").alias(key), F.map_from_entries(entries).alias(name))
 
     return mapping.join(as_map(source_children, "source_id", "source_children"), "source_id", "left").join(

@@ -76,6 +76,21 @@ def policy_statistics(policies: DataFrame, by: str) -> DataFrame:
     )
 
 
+def statistics_by_level(policies: DataFrame, bundle: str = "bundle", member: str = "member") -> DataFrame:
+    """Policy counts per member of a bundle, per bundle and over all, in one pass: ``level`` names which."""
+    kind = policy_class(F.col("is_segmented"), F.col("engine_type"))
+    level = F.get(F.array(F.lit("member"), F.lit("bundle"), F.lit("invalid"), F.lit("total")), F.grouping_id().cast("int"))
+    # Nulls among the names must not pass for the rows of a coarser level; grouping_id tells them apart.
+    sets = [[F.col(bundle), F.col(member)], [F.col(bundle)], []]
+    return policies.groupingSets(sets, F.col(bundle), F.col(member)).agg(
+        level.alias("level"),
+        F.count(F.lit(1)).alias("total_policies"),
+        F.count_if(kind == "segmented_spark").alias("segmented_spark"),
+        F.count_if(kind == "segmented_jdbc").alias("segmented_jdbc"),
+        F.count_if(kind == "non_segmented").alias("non_segmented"),
+    )
+
+
 def segmented_spark_uids(policies: DataFrame, backing: DataFrame) -> DataFrame:
     """Distinct uids of the backing assets of segmented Spark policies."""
     kept = policies.filter(policy_class(F.col("is_segmented"), F.col("engine_type")) == "segmented_spark")

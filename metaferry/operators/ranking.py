@@ -129,15 +129,20 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def numbered(df: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """All rows, numbered from 1 within their key (``option``), with the number of ``copies``."""
-    placed = positions(df, key, ordinal, "option", "copies")
-    return placed.withColumn("option", F.col("option") + 1)
+def with_copies(df: DataFrame, key: str) -> DataFrame:
+    """All rows with the number of ``copies`` of their key; null is a key of its own."""
+    counts = df.groupBy(F.col(key).alias("_counted")).agg(F.count(F.lit(1)).alias("copies"), F.xxhash64(key).alias("_hash"))
+    # A hash as second key asks for a new shuffle, which Spark can split where one key holds much of the rows.
+    same = F.col(key).eqNullSafe(F.col("_counted")) & (F.xxhash64(key) == F.col("_hash"))
+    return df.join(counts, same).select(*df.columns, "copies")
 
 
 def candidates(df: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """Rows whose key is duplicated, numbered from 1 within the key, with the number of copies."""
-    return numbered(df, key, ordinal).filter(F.col("copies") > 1)
+    """Rows whose key is duplicated, numbered from 1 within the key (``option``), with the number of copies."""
+    repeated = with_copies(df, key).filter(F.col("copies") > 1)
+    return positions(repeated, key, ordinal, "option").withColumn("option", F.col("option") + 1).select(
+        *df.columns, "option", "copies"
+    )
 
 
 def resolve_duplicates(
@@ -152,14 +157,17 @@ def resolve_duplicates(
     """
     if default not in ("first", "last", "error"):
         raise ValueError(f"unknown default: {default}")
-    rows = numbered(df, key, ordinal)
+    counted = with_copies(df, key)
+    single = counted.filter(F.col("copies") == 1).select(*df.columns)
+    rows = positions(counted.filter(F.col("copies") > 1), key, ordinal, "option").withColumn("option", F.col("option") + 1)
     if choices is None:
         rows = rows.withColumn("_chosen", F.lit(None).cast("long")).withColumn("_decided", F.lit(False))
     else:
         wanted = choices.select(key, F.col("option").cast("long").alias("_chosen"), F.lit(True).alias("_decided"))
         rows = hot_join(rows, wanted, key, "left").withColumn("_decided", F.coalesce("_decided", F.lit(False)))
-    single, decided = F.col("copies") == 1, F.col("_decided")
+    decided = F.col("_decided")
     by_default = {"first": F.col("option") == 1, "last": F.col("option") == F.col("copies"), "error": F.lit(False)}
-    keep = F.when(single, True).when(decided, F.col("option") == F.col("_chosen")).otherwise(by_default[default])
-    undecided = ~single & ~decided & F.lit(default == "error")
-    return rows.filter(keep).select(*df.columns), rows.filter(undecided).select(*df.columns, "option", "copies")
+    keep = F.when(decided, F.col("option") == F.col("_chosen")).otherwise(by_default[default])
+    undecided = ~decided & F.lit(default == "error")
+    kept = single.unionByName(rows.filter(keep).select(*df.columns))
+    return kept, rows.filter(undecided).select(*df.columns, "option", "copies")

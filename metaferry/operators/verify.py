@@ -252,7 +252,7 @@ def profile_report(results: DataFrame) -> DataFrame:
 def status_counts(results: DataFrame) -> DataFrame:
     """Rows per status with their share in percent."""
     counted = results.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    total = results.agg(F.count(F.lit(1)).alias("total")).scalar()
+    total = counted.agg(F.sum("n").alias("total")).scalar()
     return counted.withColumn("share", F.round(F.lit(100.0) * F.col("n") / total, 6))
 
 

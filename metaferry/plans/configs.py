@@ -108,11 +108,21 @@ def segment_export(pairs: DataFrame, responses: DataFrame, documents: DataFrame)
     """Segment documents of environment pairs ``(source_uid, target_uid)``.
 
     ``responses`` are asset lookups by ``source_uid``, ``documents`` segment documents by ``asset_id``.
+    Every pair is in one of the two tables: assets that are not found, have no
+    document or no segments are problems with a reason.
     """
     found = inventory.lookup_asset_ids(pairs, responses, "source_uid")
-    joined = found.filter(F.col("status") == "ok").join(documents, "asset_id")
-    rows = config.with_segments(joined).select("target_uid", "segments_json")
-    return SegmentExport(rows, found.filter(F.col("status") == "failed").select("source_uid", "reason"))
+    joined = found.join(documents, "asset_id", "left")
+    place = F.concat(F.lit(" for asset ID "), F.col("asset_id").cast("string"), F.lit(" (source-env: "), "source_uid", F.lit(")"))
+    # The texts of the reasons.
+    reason = (
+        F.when(F.col("status") == "failed", F.col("reason"))
+        .when(F.col("segments_json").isNull(), F.concat(F.lit("No segments document found"), place))
+        .when(~config.has_segments(F.col("segments_json")), F.concat(F.lit("No segments found"), place))
+    )
+    judged = joined.withColumn("reason", reason)
+    rows = judged.filter(F.col("reason").isNull()).select("target_uid", "segments_json")
+    return SegmentExport(rows, judged.filter(F.col("reason").isNotNull()).select("source_uid", "reason"))
 
 
 class NotificationCheck(NamedTuple):

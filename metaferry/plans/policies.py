@@ -123,7 +123,7 @@ def bundle_rewrite(
         rewritten,
         documents.uid_table(documents.document_uids(texts, only_members=only_members), renames),
         documents.uid_table(segmented.distinct(), renames),
-        policy.policy_statistics(parsed, "member"),
+        policy.statistics_by_level(parsed),
         documents.change_statistics(rewritten),
         bundles.reconcile_bundles(members, rewritten.filter(F.col("status") != "error")),
     )

@@ -142,16 +142,25 @@ def _anomalies(i: Inputs):
     ids AS (SELECT id, 1 AS pos, o_custkey AS c FROM a WHERE k >= 1 UNION ALL SELECT id, 2, id % 200 FROM a WHERE k >= 1
             UNION ALL SELECT id, 3, o_custkey + 1 FROM a WHERE k = 2),
     m AS (SELECT id, string_agg(merged.target_id, ',' ORDER BY pos) AS columns
-          FROM ids JOIN merged ON CAST(c AS VARCHAR) = source_id GROUP BY id)
-    SELECT concat('t', a.id) AS target_uid, concat('{{"items":[{{"monitorColumns":[', coalesce(columns, ''),
-        '],"name":"i1"}},{{"monitorColumns":[', coalesce(columns, ''), ']}}],"rule":{{"id":', a.id, '}}}}') AS payload
-    FROM a LEFT JOIN m ON a.id = m.id""",
+          FROM ids JOIN merged ON CAST(c AS VARCHAR) = source_id GROUP BY id),
+    p AS (SELECT concat('t', r.id) AS target_uid, r.id % 5 = 4 AS is_empty, r.id % 7 = 3 AS is_unknown, r.id % 7 = 5 AS is_broken,
+               concat('{{"items":[{{"monitorColumns":[', coalesce(columns, ''), '],"name":"i1"}},{{"monitorColumns":[',
+                   coalesce(columns, ''), ']}}],"rule":{{"id":', r.id, '}}}}') AS payload
+          FROM $policies r LEFT JOIN m ON r.id = m.id)
+    SELECT target_uid, CASE WHEN is_empty THEN 'skipped' WHEN is_unknown OR is_broken THEN 'failed' ELSE 'importable' END AS status,
+           CASE WHEN is_empty THEN 'Empty anomaly configuration' WHEN is_unknown THEN concat('No asset found for UID: ', target_uid)
+               WHEN is_broken THEN concat('No anomaly rule for UID: ', target_uid) ELSE '' END AS reason,
+           CASE WHEN is_empty OR is_unknown OR is_broken THEN '' ELSE payload END AS payload
+    FROM p""",
 )
 def _(i: Inputs):
-    document = """concat('{"rule":{"id":', id, '},"details":{"items":[{"name":"i1","monitorColumns":[1]},{}]}}')"""
-    rules = i.policies.selectExpr("concat('t', id) AS target_uid", f"{document} AS rule_json")
+    document = """CASE WHEN id % 7 = 5 THEN '[]'
+        ELSE concat('{"rule":{"id":', id, '},"details":{"items":[{"name":"i1","monitorColumns":[1]},{}]}}') END"""
+    known = i.policies.filter("id % 7 <> 3")
+    rules = known.selectExpr("concat('t', id) AS target_uid", f"{document} AS rule_json")
     plan = config.anomaly_import_plan(_anomalies(i), asset_map(i), rules)
-    return plan.select("target_uid", F.to_json(F.parse_json("payload")).alias("payload"))
+    payload = F.to_json(F.parse_json("payload")).alias("payload")
+    return plan.select("target_uid", "status", text.or_blank(F.col("reason")).alias("reason"), text.or_blank(payload).alias("payload"))
 
 
 _GROUP_MAP = """gm AS (
@@ -565,6 +574,23 @@ def _(i: Inputs):
     return profiling.profiling_decision(i.customer.select(F.col("c_custkey").alias("asset_id")), i.status_log)
 
 
+@query(
+    "profiling_attempts",
+    f"""WITH b AS (SELECT asset_id, min(ts) AS start FROM $status_log GROUP BY asset_id),
+    s AS (SELECT l.asset_id, status, ts, CAST(ceil((epoch_us(ts) - epoch_us(start)) / 43200000000.0) AS BIGINT) AS k
+          FROM $status_log l JOIN b ON l.asset_id = b.asset_id),
+    l AS (SELECT asset_id, k, arg_max(status, ts) AS status FROM s WHERE k < 5 GROUP BY asset_id, k),
+    f AS (SELECT asset_id, arg_min({_STATE}, k) AS outcome, min(k) + 1 AS n FROM l WHERE {_STATE} IN ('done', 'failed')
+          GROUP BY asset_id)
+    SELECT b.asset_id, coalesce(outcome, 'failed') AS outcome, CAST(coalesce(n, 5) AS INTEGER) AS attempts,
+           CASE WHEN n IS NULL THEN 'Timeout waiting for profiling' ELSE '' END AS reason
+    FROM b LEFT JOIN f ON b.asset_id = f.asset_id""",
+)
+def _(i: Inputs):
+    watched = profiling.profiling_attempts(i.status_log, interval=12 * 3600)
+    return watched.select("asset_id", "outcome", "attempts", text.or_blank(F.col("reason")).alias("reason"))
+
+
 @query(
     "latest_profiling_status",
     f"""WITH l AS (SELECT asset_id, arg_max(status, ts) AS status, max(ts) AS ts FROM $status_log GROUP BY asset_id)
@@ -653,17 +679,32 @@ def _(i: Inputs):
 @query(
     "segment_export",
     """SELECT target_uid, concat('t', id) AS source_uid, 'a' AS kind FROM (
-        SELECT id, concat('x', id) AS target_uid FROM $policies WHERE id % 6 >= 3 AND type <> 'EQUALITY')""",
+        SELECT id, concat('x', id) AS target_uid FROM $policies WHERE id % 6 >= 3 AND id % 10 <> 4 AND type <> 'EQUALITY')""",
 )
 def _(i: Inputs):
+    rows = _segment_export(i).rows
+    return rows.select("target_uid", F.replace("target_uid", F.lit("x"), F.lit("t")).alias("source_uid"), F.lit("a").alias("kind"))
+
+
+def _segment_export(i: Inputs):
     pairs = i.policies.selectExpr("concat('t', id) AS source_uid", "concat('x', id) AS target_uid")
     ids = F.array(F.struct(F.when(F.col("type") != "EQUALITY", F.col("id")).alias("id")))
     responses = i.policies.select(F.concat(F.lit("t"), "id").alias("source_uid"), ids.alias("data"))
     stored = _segment_documents(i).select(
         F.regexp_extract("target_uid", r"(\d+)", 1).cast("long").alias("asset_id"), "segments_json"
     )
-    rows = jobs.segment_export(pairs, responses, stored).rows
-    return rows.select("target_uid", F.replace("target_uid", F.lit("x"), F.lit("t")).alias("source_uid"), F.lit("a").alias("kind"))
+    return jobs.segment_export(pairs, responses, stored.filter("asset_id % 10 <> 4"))
+
+
+@query(
+    "segment_export_problems",
+    """SELECT concat('t', id) AS source_uid, CASE WHEN type = 'EQUALITY' THEN 'no id'
+        WHEN id % 10 = 4 THEN concat('No segments document found for asset ID ', id, ' (source-env: t', id, ')')
+        ELSE concat('No segments found for asset ID ', id, ' (source-env: t', id, ')') END AS reason
+    FROM $policies WHERE type = 'EQUALITY' OR id % 10 = 4 OR id % 6 < 3""",
+)
+def _(i: Inputs):
+    return _segment_export(i).problems
 
 
 @query(

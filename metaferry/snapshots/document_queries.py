@@ -42,6 +42,26 @@ def _(i: Inputs):
     return i.conversations.select("conv_id", "turn", rename.rename_words(F.col("text"), WORD_RENAMES).alias("text"))
 
 
+# A thousand words by rule: one or two small letters, and the numbers below 298, each of which becomes the next one.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+THOUSAND_RENAMES = [
+    *((word, f"W_{word.upper()}") for word in [*_LETTERS, *(a + b for a in _LETTERS for b in _LETTERS)]),
+    *((str(number), str(number + 1)) for number in range(298)),
+]
+
+
+@query(
+    "rename_thousand_words",
+    """SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+'), lambda w:
+        CASE WHEN regexp_full_match(w, '[a-z]{1,2}') THEN concat('W_', upper(w))
+             WHEN regexp_full_match(w, '0|[1-9][0-9]{0,2}') AND CAST(w AS INTEGER) < 298 THEN CAST(CAST(w AS INTEGER) + 1 AS VARCHAR)
+             ELSE w END), '') AS text
+    FROM $documents""",
+)
+def _(i: Inputs):
+    return i.documents.select("doc_id", rename.rename_words(F.col("text"), THOUSAND_RENAMES).alias("text"))
+
+
 def _text_documents(i: Inputs):
     """One JSON document per text, nested, with the text as value, key-like value and list element."""
     body = F.to_json(

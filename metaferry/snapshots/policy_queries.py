@@ -29,6 +29,21 @@ def _(i: Inputs):
     return policy.policy_statistics(i.policies, "status")
 
 
+@query(
+    "policy_statistics_by_level",
+    f"""SELECT CASE grouping_id(type, status) WHEN 0 THEN 'member' WHEN 1 THEN 'bundle' ELSE 'total' END AS level,
+           coalesce(type, '-') AS bundle, coalesce(status, '-') AS member,
+           count(*) AS total_policies, count(*) FILTER ({_KIND} = 'segmented_spark') AS segmented_spark,
+           count(*) FILTER ({_KIND} = 'segmented_jdbc') AS segmented_jdbc,
+           count(*) FILTER ({_KIND} = 'non_segmented') AS non_segmented
+    FROM $policies GROUP BY GROUPING SETS ((type, status), (type), ())""",
+)
+def _(i: Inputs):
+    found = policy.statistics_by_level(i.policies, "type", "status")
+    names = [F.coalesce(of, F.lit("-")).alias(name) for of, name in (("type", "bundle"), ("status", "member"))]
+    return found.select("level", *names, *found.columns[3:])
+
+
 @query(
     "segmented_spark_uids",
     """SELECT DISTINCT uid AS source_env, replace(uid, 'PROD_DB.', 'DEV_DB.') AS target_env

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from metaferry.operators.config import config_rows
 from metaferry.operators.inventory import clean_pairs, clean_single, migrated_assets
-from metaferry.operators.ranking import with_ordinal
 from metaferry.operators.tags import tag_rows
 
 # Column layout of an asset mapping file.
@@ -52,8 +51,12 @@ def read_ordered(
     Only the names of the files are sorted, by the driver, which has listed them
     anyway. A file is never split, so the row number within its task grows with it.
     """
-    rows = read_headed(spark, path, columns, recursive)
-    names = rows.columns
+    return _in_file_order(read_headed(spark, path, columns, recursive))
+
+
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """Rows straight from a reader with an ``ordinal`` by path of the file and row in it."""
+    spark, names = rows.sparkSession, rows.columns
     ranks = spark.createDataFrame(
         [(name, rank) for rank, name in enumerate(sorted(rows.inputFiles()))], "_path string, _rank bigint"
     ).withColumn("_path", _plain(F.col("_path")))
@@ -109,5 +112,5 @@ def read_policy_list(spark: SparkSession, path: str, columns: Sequence[str]) ->
     corrupt = "_corrupt"
     schema = ", ".join(f"`{c}` string" for c in [*columns, corrupt])
     reader = spark.read.options(**READ_OPTIONS).option("header", "true").option("columnNameOfCorruptRecord", corrupt)
-    rows = with_ordinal(reader.schema(schema).csv(path))
+    rows = _in_file_order(reader.schema(schema).csv(path))
     return rows.filter(rows[corrupt].isNull()).drop(corrupt)
