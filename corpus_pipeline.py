@@ -34,7 +34,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids, the number of them, and whether decoding gives the same tokens back."""
+    """Documents with token ids, the number of them, and the hash of what they decode to.
+
+    Columns ``ids``, ``n_tokens`` and ``decoded_sha256`` of the input are replaced.
+    """
     coded = bpe.encode(docs, decoded="decoded")
     return coded.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
         "decoded_sha256", F.sha2("decoded", 256)
@@ -48,7 +51,7 @@ STAGES = [
     ("mixing", mixture),
     ("encoding", tokens),
 ]
-# Encoding has no SQL form; tests hold the stages against brute force.
+# Encoding has no SQL form; tests/llm/test_brute_force.py computes every stage plainly.
 ORACLE_SQL = None
 
 
