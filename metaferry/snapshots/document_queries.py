@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from metaferry.functions import jsondoc, rename
 from metaferry.operators import documents, sqlrefs
 from metaferry.snapshots.registry import Inputs, query
-from metaferry.sources import bundles, sinks, tables
+from metaferry.sources import bundles, ordered, sinks, tables
+from metaferry.sources.staging import staging_folder
 
 # Frequent words of the text tables, with a cascade and a pair that must not touch its neighbours.
 WORD_RENAMES = [("the", "THE_T"), ("and", "the"), ("de", "DE.T"), ("le", "$1")]
@@ -225,6 +227,20 @@ def _(i: Inputs):
     return i.documents.select(back.alias("r")).select(F.col("r.doc_id").cast("long").alias("doc_id"), "r.text", "r.lang")
 
 
+@query(
+    "merged_in_order",
+    """SELECT source_uid, source_id, row_number() OVER (ORDER BY lower(source_uid), source_id) - 1 AS position
+    FROM $source_inventory""",
+)
+def _(i: Inputs):
+    # Partial outputs as several workers leave them, merged into one order over 20 files.
+    rows = i.source_inventory.select(F.lower("source_uid").alias("sorted_by"), "source_uid", "source_id")
+    partial = [rows.filter(F.col("source_id") % 3 == k) for k in (2, 0, 1)]
+    path = f"{staging_folder(i.spark)}/ordered-{uuid.uuid4().hex}"
+    ordered.write_in_order(partial[0].unionByName(partial[1]).unionByName(partial[2]), ["sorted_by", "source_id"], path, 20)
+    return ordered.read_in_order(i.spark, path).select("source_uid", "source_id", "position")
+
+
 @query("decoded_text", "SELECT doc_id, text FROM $documents")
 def _(i: Inputs):
     # Latin-1 bytes wherever the text can be written in them, else UTF-8.
