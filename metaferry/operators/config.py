@@ -116,6 +116,7 @@ def config_import_plan(configs: DataFrame, target_ids: DataFrame) -> DataFrame:
         .when(kind == "with_config", "importable")
         .otherwise("skipped")
     )
+    # Report texts, here and below.
     reason = (
         F.when(unknown, "Asset not found in target")
         .when(kind.isin("unparsable", "invalid_format", "beyond_variant"), "Exception occurred")
@@ -266,6 +267,7 @@ def profile_import_plan(configs: DataFrame, target_ids: DataFrame, mapping: Data
         # An empty mapping means that none was made, and leaves the ids as they are.
         mapped = (mapping.agg(F.count(F.lit(1)).alias("n")).scalar() > 0) & notification_ids(document).isNotNull()
         document = F.when(mapped, with_notification_ids(document, F.col("mapped_ids"))).otherwise(document)
+    # Report texts.
     reason = F.when(F.col("asset_id").isNull(), F.concat(F.lit("No asset found for UID: "), "target_uid")).when(
         parsed(F.col("profile_json")).isNull(),
         F.concat(

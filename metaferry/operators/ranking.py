@@ -48,8 +48,12 @@ def _pick(df: DataFrame, keys: Sequence[str], chooser, ordinal: str | Column) ->
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
+# Fixed value: the reason given for later rows.
+LATER_REASON = "Duplicate assetId found in multiple pages/threads"
+
+
 def split_first(
-    df: DataFrame, key: str, ordinal: str, reason: str = "Duplicate assetId found in multiple pages/threads"
+    df: DataFrame, key: str, ordinal: str, reason: str = LATER_REASON
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that come first for their key, and all later rows with a reason.
 

@@ -85,6 +85,7 @@ def mismatches(expected: Column, actual: Column) -> Column:
 
     def difference(name: str, label: str, title: str) -> Column:
         e, a = expected[name], actual[name]
+        # Report texts.
         detail = (
             F.when(is_set(e) & ~is_set(a), f"{title}: Default config present in source but missing in target")
             .when(~is_set(e) & is_set(a), f"{title}: Default config missing in source but present in target")
@@ -129,6 +130,7 @@ def verify_configs(expected: DataFrame, target_ids: DataFrame, actual: DataFrame
     )
     labels = F.array_join(F.transform("_diff", lambda d: d["label"]), ", ")
     result = checked.withColumn("status", status)
+    # Report texts.
     error = (
         F.when(F.col("status") == "asset_not_found", F.concat(F.lit("No asset found for UID: "), "target_uid"))
         .when(F.col("status") == "config_not_found", F.concat(F.lit("No configuration found for asset ID: "), "asset_id"))

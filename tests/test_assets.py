@@ -64,7 +64,7 @@ def test_asset_inventory_from_pages(spark, rows):
     pages = spark.createDataFrame(
         [
             (0, '{"assets":[{"assetId":2,"assetUid":"b","assetTypeId":5},{"assetId":10,"assetUid":"a","assetTypeId":5,'
-                '"tags":[{"name":"manual-tag1","autoTagged":false},{"name":"auto","autoTagged":true},{"name":"manual-tag2"}]}]}'),
+                '"tags":[{"name":"kept-first","autoTagged":false},{"name":"auto","autoTagged":true},{"name":"kept-second"}]}]}'),
             (1, '{"items":[{"assetId":2,"assetUid":"late","assetTypeId":5},{"assetId":9,"assetUid":"a","assetTypeId":5},'
                 '{"assetId":3,"assetUid":"z","assetTypeId":6}]}'),
             (2, '{"message":"down"}'),
@@ -73,7 +73,7 @@ def test_asset_inventory_from_pages(spark, rows):
     )
     job = jobs.asset_inventory(pages, asset_types="5", assembly_ids="None")
     got = [tuple(r) for r in job.assets.select("source_uid", "source_id", "tags").collect()]
-    assert got == [("a", 9, ""), ("a", 10, "manual-tag1:manual-tag2"), ("b", 2, "")]
+    assert got == [("a", 9, ""), ("a", 10, "kept-first:kept-second"), ("b", 2, "")]
     assert rows(job.duplicates, "source_uid", "source_id") == [("late", 2)]
     assert rows(job.pages) == [(3, 1)]
 

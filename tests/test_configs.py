@@ -88,7 +88,7 @@ def test_profile_ids_are_mapped_in_order(spark, rows):
 
 def test_segments(spark, rows):
     documents = [
-        ("a", {"assetSegments": {"segments": [{"id": 1, "name": "seg1", "conditions": [{"id": 2, "columnId": 7, "value": "v"}]}, {"name": "seg2"}]}}),
+        ("a", {"assetSegments": {"segments": [{"id": 1, "name": "north", "conditions": [{"id": 2, "columnId": 7, "value": "v"}]}, {"name": "south"}]}}),
         ("b", {"segments": [{"conditions": [{"columnId": "c", "condition": None}]}]}),
         ("c", {"segments": []}),
         ("d", {"assetSegments": {}}),
@@ -98,8 +98,8 @@ def test_segments(spark, rows):
     ids = spark.createDataFrame([(u, n) for n, (u, _) in enumerate(documents)], "target_uid string, asset_id long")
     plan = {r.target_uid: r for r in config.segment_import_plan(df, ids).collect()}
     assert json.loads(plan["a"].payload) == [
-        {"id": None, "name": "seg1", "conditions": [{"id": None, "columnId": 7, "condition": "CUSTOM", "value": "v"}]},
-        {"id": None, "name": "seg2", "conditions": []},
+        {"id": None, "name": "north", "conditions": [{"id": None, "columnId": 7, "condition": "CUSTOM", "value": "v"}]},
+        {"id": None, "name": "south", "conditions": []},
     ]
     assert plan["a"].segments == 2
     assert json.loads(plan["b"].payload)[0]["name"] == ""

@@ -17,9 +17,9 @@ def write(tmp_path, name, text):
 
 
 def test_pairs_and_single(spark, tmp_path, rows):
-    path = write(tmp_path, "map.csv", 'source-env,target-env\n"asset-1-PROD_DB", asset-1-DEV_DB\n a ,\nonly\n,b\n"x\ny","p,""q"""\n')
-    assert rows(tables.read_pairs(spark, path)) == [("asset-1-PROD_DB", "asset-1-DEV_DB"), ("x\ny", 'p,"q"')]
-    assert rows(tables.read_single(spark, path)) == [("a",), ("asset-1-PROD_DB",), ("only",), ("x\ny",)]
+    path = write(tmp_path, "map.csv", 'source-env,target-env\n"ledger-PROD_DB", ledger-DEV_DB\n a ,\nonly\n,b\n"x\ny","p,""q"""\n')
+    assert rows(tables.read_pairs(spark, path)) == [("ledger-PROD_DB", "ledger-DEV_DB"), ("x\ny", 'p,"q"')]
+    assert rows(tables.read_single(spark, path)) == [("a",), ("ledger-PROD_DB",), ("only",), ("x\ny",)]
     empty = write(tmp_path, "empty.csv", "source-env,target-env\n")
     assert rows(tables.read_pairs(spark, empty)) == []
 
