@@ -70,16 +70,18 @@ def tokens_of(value: Column, single: str = "") -> Column:
 
 
 class _HashTable:
-    """Constant numbers of texts, as an array of small maps."""
+    """Constant values of texts, as an array of small maps; a few texts are one map."""
 
-    def __init__(self, numbers: Mapping[str, int]):
-        self.size = max(1, 2 * len(numbers))
-        slots: list[dict[str, int]] = [{} for _ in range(self.size)]
-        for key, number in numbers.items():
-            slots[zlib.crc32(key.encode()) % self.size][key] = number
-        self.slots = _constant(slots, "array<map<string,int>>")
+    def __init__(self, values: Mapping[str, int | str], kind: str = "int"):
+        self.size = 1 if len(values) <= 8 else 2 * len(values)
+        slots: list[dict[str, int | str]] = [{} for _ in range(self.size)]
+        for key, value in values.items():
+            slots[zlib.crc32(key.encode()) % self.size][key] = value
+        self.slots = _constant(slots if self.size > 1 else slots[0], f"array<map<string,{kind}>>" if self.size > 1 else f"map<string,{kind}>")
 
     def get(self, key: Column) -> Column:
+        if self.size == 1:
+            return F.try_element_at(self.slots, key)
         return F.try_element_at(F.get(self.slots, F.pmod(F.crc32(key), F.lit(self.size)).cast("int")), key)
 
 
@@ -240,6 +242,11 @@ def rename_words(value: Column, renames: Renames | None) -> Column:
     pairs = as_pairs(renames)
     if not pairs:
         return value
+    if all(_is_word(c) for source, _ in pairs for c in source):
+        # Single words never touch: each token is looked up on its own.
+        targets = _HashTable(dict(pairs), "string")
+        words = F.transform(tokens_of(value), lambda token: F.coalesce(targets.get(token), token))
+        return F.when(mentions_any(value, pairs), F.array_join(words, "")).otherwise(value)
     trie = Trie(pairs)
     renamed = bind(trie.tokens(value), lambda tokens: bind(trie.settled(tokens), lambda found: trie.renamed(value, tokens, found)))
     return F.when(mentions_any(value, pairs), renamed).otherwise(value)
