@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from metaferry.llm import components, near_dedup, shingles
 
 DOCS = "doc_id long, text string, id string, component_id int"
@@ -132,3 +134,60 @@ def test_one_link_joins_two_large_components(spark):
         rows.append((k + 10, " ".join(copy)))
     found = {row.component_id for row in near_dedup.near_duplicates(table(spark, rows)).collect()}
     assert found == {1}
+
+
+def loosely_alike(n, base_words=300, seed=4):
+    """Texts that share a base and are about 0.57 alike, and the pairs of them that are near copies."""
+    dice = random.Random(seed)
+    base = [f"b{k}" for k in range(base_words)]
+    rows = []
+    for k in range(n):
+        rows.append((k, " ".join(base + [f"n{k}x{j}" for j in range(113)])))
+        if k % 100 == 0:
+            copy = rows[-1][1].split()
+            copy[dice.randrange(len(copy))] = "changed"
+            rows.append((n + k, " ".join(copy)))
+    return rows
+
+
+def test_loosely_alike_texts_cause_few_candidates(spark):
+    rows = loosely_alike(4000)
+    found = near_dedup.near_duplicates(table(spark, rows)).collect()
+    wanted = {key: key - 4000 if key >= 4000 else key for key, _ in rows}
+    assert {row.doc_id: row.component_id for row in found} == wanted
+    signed = near_dedup.sketches(table(spark, rows)).selectExpr("id", "id AS part", "signature", "fine").cache()
+    pairs, _ = near_dedup.crossing(signed)
+    assert pairs.count() < len(rows)
+
+
+def test_regions_with_many_undecided_pairs_are_cut(spark):
+    compared = []
+    for n in (500, 2000):
+        signed = near_dedup.sketches(table(spark, loosely_alike(n))).selectExpr("id", "id AS part", "signature", "fine").cache()
+        rows, cut = near_dedup.undecided(signed, 1 << 11)
+        assert cut
+        sizes = [row.n for row in rows.groupBy("place", "cell").agg(F.count("*").alias("n")).collect()]
+        compared.append(sum(size * (size - 1) // 2 for size in sizes))
+    assert compared[1] < 6 * compared[0]
+
+
+def test_passes_go_on_while_regions_are_cut(spark):
+    rows = crowd(1, 400)
+    docs = table(spark, rows)
+    classes = near_dedup.sketches(docs).select("id", "signature", "fine").cache()
+    joined = components.components(near_dedup.links(docs, classes, region_pairs=1 << 10)).collect()
+    assert len(joined) == len(rows) and {row.component for row in joined} == {1}
+
+
+def test_blocks_of_a_region_lose_no_pair(spark, monkeypatch):
+    """Rows outside of the main part meet all others, whether they fit one block or not."""
+    for block in (4, 64):
+        monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+        rows = [(7, k, 0 if k < 90 else k) for k in range(120)]
+        dealt = spark.createDataFrame(rows, "place long, id long, part long")
+        regions = spark.createDataFrame([(7, 120.0, 9.0, 0, 30.0)], "place long, rows double, pairs double, main long, few double")
+        cells = {}
+        for row in near_dedup._cells(dealt, regions).collect():
+            cells.setdefault(row.cell, []).append((row.id, row.part))
+        met = {frozenset((a, b)) for held in cells.values() for a, p in held for b, q in held if p != q}
+        assert met == {frozenset((a, b)) for _, a, p in rows for _, b, q in rows if p != q}
