@@ -8,7 +8,8 @@
    has the longest common prefix, and the first row of each prefix of ``STEPS``
    values it shares. The best candidate and one more per class are compared; they
    join most of every group of near copies.
-3. Passes over the whole forest look for what is still apart. A region of a tree
+3. A second pass takes from each region of these few trees the likeliest candidate of
+   each component. Passes over the whole forest then look for what is still apart. A region of a tree
    is a prefix of ``LEAST_DEPTH`` values. It counts the pairs of classes in
    different components, and where these are more than ``REGION_PAIRS`` it is cut
    at the next value, down to ``DEPTH``: the depth adapts to what is undecided in
@@ -42,6 +43,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -172,13 +174,14 @@ def _alike(one: np.ndarray, other: np.ndarray, union: np.ndarray | None = None)
 
 
 def _alike_pairs(fine: np.ndarray, sizes: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Which pairs of rows have sketches that may be of similar sets."""
-    keep = np.zeros(len(one), bool)
+    """The share of agreeing ranges of pairs of rows whose sketches may be of similar sets; 0 for others."""
+    found = np.zeros(len(one))
     for start in range(0, len(one), _PAIRS_AT_ONCE):
         some = slice(start, start + _PAIRS_AT_ONCE)
         a, b = one[some], other[some]
-        keep[some] = _alike(fine[a], fine[b], (sizes[a] + sizes[b]) / (1 + PERCENT / 100))
-    return keep
+        held, common = _agreement(fine[a], fine[b])
+        found[some] = _alike(fine[a], fine[b], (sizes[a] + sizes[b]) / (1 + PERCENT / 100)) * common / held
+    return found
 
 
 def _rows_of_bytes(column: pa.Array, width: int) -> np.ndarray:
@@ -272,20 +275,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
-def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_places(batches: Iterator[pa.RecordBatch], trees: int) -> Iterator[pa.RecordBatch]:
     """The region of each tree that classes (id, part, signature) lie in: the tree's number and its first values."""
     for batch in batches:
         n = batch.num_rows
         if n:
             values = _values(batch.column(2))
-            place = np.repeat(np.arange(TREES, dtype=np.int64)[None], n, axis=0)
+            place = np.repeat(np.arange(trees, dtype=np.int64)[None], n, axis=0)
             for k in range(LEAST_DEPTH):
-                place = place << 16 | values[:, k::STRIDE].astype(np.int64)
-            owner = pa.array(np.repeat(np.arange(n), TREES))
+                place = place << 16 | values[:, k::STRIDE][:, :trees].astype(np.int64)
+            owner = pa.array(np.repeat(np.arange(n), trees))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(place.ravel()),
-                    pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)),
+                    pa.array(np.tile(np.arange(trees, dtype=np.int32), n)),
                     batch.column(0).take(owner),
                     batch.column(1).take(owner),
                 ],
@@ -303,11 +306,11 @@ def _next_places(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.R
             yield batch.set_column(0, "place", pa.array(mixed(place).view(np.int64)))
 
 
-def undecided(classes: DataFrame, region_pairs: int = REGION_PAIRS) -> tuple[DataFrame, bool]:
+def undecided(classes: DataFrame, region_pairs: int = REGION_PAIRS, trees: int = TREES) -> tuple[DataFrame, bool]:
     """(place, cell, id) of classes (id, part, signature) that meet others of another part, and whether a region was cut. Runs jobs."""
     kind = dict(classes.dtypes)["id"]
     rows = classes.select("id", "part", "signature").mapInArrow(
-        _first_places, f"place bigint, tree int, id {kind}, part {kind}"
+        lambda batches: _first_places(batches, trees), f"place bigint, tree int, id {kind}, part {kind}"
     )
     signed = classes.select("id", "signature")
     settled, cut = [], False
@@ -390,8 +393,11 @@ def _all_pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(n, 1)
 
 
-def _pairs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates (a, b) among the rows (place, cell, id, part, brief, fine) of each group that have different parts."""
+def _pairs_of_groups(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
+    """Candidates (a, b) among the rows (place, cell, id, part, brief, fine) of each group that have different parts.
+
+    With ``best`` only the likeliest one of each part in a group.
+    """
     for table, groups in _groups(batches):
         if not groups:
             continue
@@ -418,8 +424,20 @@ def _pairs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         one, other = one[apart], other[apart]
         near = _near(brief[one], brief[other])
         one, other = one[near], other[near]
-        keep = _alike_pairs(fine, sizes, one, other)
-        one, other = one[keep], other[keep]
+        share = _alike_pairs(fine, sizes, one, other)
+        keep = share > 0
+        one, other, share = one[keep], other[keep], share[keep]
+        if best and len(one):
+            group = np.searchsorted([start for start, _ in groups], one, side="right")
+            chosen = []
+            for side in (one, other):
+                order = np.lexsort([-share, part[side], group])
+                before = np.roll(order, 1)
+                change = (group[order] != group[before]) | (part[side[order]] != part[side[before]])
+                change[0] = True
+                chosen.append(order[change])
+            chosen = np.unique(np.concatenate(chosen))
+            one, other = one[chosen], other[chosen]
         ids = table.column(2).combine_chunks()
         yield pa.RecordBatch.from_arrays([_taken(ids, one), _taken(ids, other)], ["a", "b"])
 
@@ -431,10 +449,15 @@ def _with_briefs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), briefs, batch.column(2)], ["id", "brief", "fine"])
 
 
-def crossing(classes: DataFrame, region_pairs: int = REGION_PAIRS) -> tuple[DataFrame, bool]:
-    """Distinct candidates (a, b) of classes (id, part, signature, fine) in different parts, and whether a region was cut. Runs jobs."""
+def crossing(
+    classes: DataFrame, region_pairs: int = REGION_PAIRS, trees: int = TREES, best: bool = False
+) -> tuple[DataFrame, bool]:
+    """Distinct candidates (a, b) of classes (id, part, signature, fine) in different parts, and whether a region was cut.
+
+    With ``best`` only the likeliest one of each part in a region. Runs jobs.
+    """
     kind = dict(classes.dtypes)["id"]
-    rows, cut = undecided(classes, region_pairs)
+    rows, cut = undecided(classes, region_pairs, trees)
     known = classes.select("id", "signature", "fine").mapInArrow(_with_briefs, f"id {kind}, brief binary, fine binary")
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = (
@@ -443,7 +466,7 @@ def crossing(classes: DataFrame, region_pairs: int = REGION_PAIRS) -> tuple[Data
         .repartition(tasks, "place", "cell")
         .sortWithinPartitions("place", "cell")
     )
-    return grouped.mapInArrow(_pairs_of_groups, f"a {kind}, b {kind}").transform(_ordered), cut
+    return grouped.mapInArrow(lambda batches: _pairs_of_groups(batches, best), f"a {kind}, b {kind}").transform(_ordered), cut
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,18 +506,21 @@ def links(
     texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     tested = first_candidates(classes)
     linked = confirmed(tested, texts)
-    while True:
+    for best in chain([True], repeat(False)):
         joined = components(linked).withColumnRenamed("component", "part")
         labelled = _shuffled(classes, joined, "id", "left").withColumn("part", F.coalesce("part", "id"))
-        pairs, cut = crossing(staged(labelled.select("id", "part", "signature", "fine")), region_pairs)
+        labelled = staged(labelled.select("id", "part", "signature", "fine"))
+        pairs, cut = crossing(labelled, region_pairs, FIRST_TREES if best else TREES, best)
         pairs = staged(_shuffled(pairs, tested, ["a", "b"], "left_anti"))
         found = confirmed(pairs, texts)
-        if found.isEmpty():
-            return linked
-        linked = linked.unionByName(found)
-        if not cut:
-            return linked
         tested = tested.unionByName(pairs)
+        if not found.isEmpty():
+            linked = linked.unionByName(found)
+        elif not best:
+            break
+        if not best and not cut:
+            break
+    return linked
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
