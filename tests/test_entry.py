@@ -41,3 +41,11 @@ def test_query(spark, database, name):
     names = [column[0] for column in result.description]
     assert sorted(names) == sorted(frame.columns)
     assert canonical(frame.columns, got) == canonical(names, result.fetchall())
+
+
+def test_segment_export_takes_the_document_of_every_asset(spark):
+    got = {row.target_uid for row in entry.queries()["segment_export"](spark, SF).collect()}
+    orders = spark.read.parquet(f"{SF}/orders.parquet").filter("o_orderkey % 6 >= 3 AND o_orderpriority <> '5-LOW'")
+    keys = {row.o_orderkey for row in orders.select("o_orderkey").collect()}
+    assert any(key % 10 == 4 for key in keys)
+    assert got == {f"x{key}" for key in keys}
