@@ -12,8 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from metaferry.functions.binding import bind
-from metaferry.functions.rename import Renames, as_pairs, mentions_any, rename_words
-from metaferry.functions.text import strip
+from metaferry.functions.rename import Renames, as_pairs, mentions_any, rename_words, rename_words_in_json, single_words
+from metaferry.functions.text import WHITESPACE, strip
 
 # The possessive quantifiers keep the match linear and off the call stack on long strings.
 _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:\s*)?|[^"]++'
@@ -72,12 +72,21 @@ def rewrite_strings(document: Column, renames: Renames | None, compact: bool = F
             lambda old: bind(rename_words(old, pairs), lambda new: F.when(old == new, token).otherwise(_encode(new))),
         )
 
-    # A word can hide behind escapes, so escaped values are always looked at.
+    plain = single_words(pairs)
+    # A word can hide behind escapes, so escaped values are always looked at; single words only behind those of letters.
+    hiding = "\\u" if plain else "\\"
+
     def affected(text: Column) -> Column:
-        return mentions_any(text, pairs) | text.contains("\\")
+        return mentions_any(text, pairs) | text.contains(hiding)
+
+    # Single words are renamed in the text as it is written, unless it has escapes that Spark would write otherwise.
+    def edit_affected(token: Column) -> Column:
+        if not plain:
+            return edit(token)
+        return F.when(token.contains("\\u") | token.contains("\\/"), edit(token)).otherwise(rename_words_in_json(token, pairs))
 
     def edited(all_tokens: Column) -> Column:
-        return F.transform(all_tokens, lambda t: F.when(_is_string(t) & affected(t), edit(t)).otherwise(t))
+        return F.transform(all_tokens, lambda t: F.when(_is_string(t) & affected(t), edit_affected(t)).otherwise(t))
 
     def result(before: Column, after: Column) -> Column:
         differs = F.zip_with(before, after, lambda a, b: a != b)
@@ -133,8 +142,10 @@ def is_json(document: Column) -> Column:
     whether the session allows repeated keys.
     """
     framed = F.concat(F.lit('{"value":'), document, F.lit(f',"{_END}":1}}'))
-    found = F.from_json(framed, f"struct<value: string, {_END}: int>", _UNLIMITED)
-    blank = strip(document) == ""
+    # The value is no field of the schema: the parser checks it and copies nothing.
+    found = F.from_json(framed, f"struct<{_END}: int>", _UNLIMITED)
+    # Cut at one end only: whatever is blank is gone, and another text is left alone from its first character.
+    blank = F.ltrim(document, F.lit(WHITESPACE)) == ""
     return F.when(document.isNotNull(), F.coalesce(~blank & (found[_END] == 1), F.lit(False)))
 
 

@@ -6,11 +6,15 @@ single other characters, and the source words, cut likewise, form a trie over
 tokens. The trie is constant data of the plan, a hash table from (node, token) to
 the next node, so a text is walked once, whatever the number of pairs. Matches
 that touch each other are settled in the order of the pairs, within their cluster.
+
+Single words never touch. For them one regex marks the places where a source word
+stands, and the text is cut at the marks, so what lies between two of them is one piece.
 """
 
 from __future__ import annotations
 
 import json
+import os.path
 import re
 import zlib
 from collections.abc import Mapping, Sequence
@@ -69,6 +73,59 @@ def tokens_of(value: Column, single: str = "") -> Column:
     return F.regexp_extract_all(value, F.lit(f"[{_WORD}]++|" + (f"[{alone}]|" if alone else "") + f"[^{_WORD}{alone}]++"), F.lit(0))
 
 
+# Deeper than this, words are listed one after the other: compiling a regex takes stack for each nested group.
+_DEEPEST = 60
+
+
+def any_of(words: Sequence[str], depth: int = 0) -> str:
+    """Regex for one of some words, sorted and distinct: common beginnings are tested once, what follows is found by halves."""
+    if depth == _DEEPEST:
+        return "|".join(re.escape(word) for word in words)
+    common = os.path.commonprefix(list(words))
+    rest = [word[len(common) :] for word in words]
+    if rest == [""]:
+        return re.escape(common)
+    optional = rest[0] == ""
+    rest = rest[optional:]
+    firsts = sorted({word[0] for word in rest})
+    if len(firsts) <= 8:
+        groups = [[word for word in rest if word[0] == first] for first in firsts]
+        body = "|".join(any_of(group, depth + 1) for group in groups)
+    else:
+        half = len(firsts) // 2
+        low = [word for word in rest if word[0] < firsts[half]]
+        body = (
+            f"(?=[\\x{{{ord(firsts[0]):x}}}-\\x{{{ord(firsts[half - 1]):x}}}])(?:{any_of(low, depth + 1)})|"
+            + any_of(rest[len(low) :], depth + 1)
+        )
+    return f"{re.escape(common)}(?:{body}){'?' if optional else ''}"
+
+
+# Stands around the words that are found; doubled, it stands for itself.
+_MARK = "\x01"
+
+
+def cut_at(value: Column, words: Sequence[str], escaped: bool = False) -> Column:
+    """What lies between the ``words`` that stand as whole words, and those words, in turn; an empty word is a mark.
+
+    With ``escaped`` the value is JSON text: a backslash and the character after it belong together, and a mark after
+    a backslash ends what is no escape.
+    """
+    firsts = "".join(f"\\x{{{ord(first):x}}}" for first in sorted({word[0] for word in words}))
+    # What rules out most places comes first: the letter a word begins with, then a plain letter before it.
+    if escaped:
+        before = rf"(?<![ac-eg-mo-qsu-zA-Z0-9_])(?:(?<![{_WORD}\\])|(?<=\\[bfnrt]))"
+    else:
+        before = f"(?<![a-zA-Z0-9_])(?<![{_WORD}])"
+    found = f"(?=[{firsts}]){before}(?:{any_of(sorted(set(words)))})(?![{_WORD}])"
+    if escaped:
+        # Only behind an escaped backslash a letter can look like part of an escape.
+        value = F.replace(value, F.lit(r"\\"), F.lit(rf"\\{_MARK}{_MARK}"))
+    else:
+        value = F.replace(value, F.lit(_MARK), F.lit(_MARK * 2))
+    return F.split(F.regexp_replace(value, F.lit(found), F.lit(f"{_MARK}$0{_MARK}")), _MARK)
+
+
 class _HashTable:
     """Constant values of texts, as an array of small maps; a few texts are one map."""
 
@@ -242,16 +299,40 @@ def rename_words(value: Column, renames: Renames | None) -> Column:
     pairs = as_pairs(renames)
     if not pairs:
         return value
-    if all(_is_word(c) for source, _ in pairs for c in source):
-        # Single words never touch: each token is looked up on its own.
-        targets = _HashTable(dict(pairs), "string")
-        words = F.transform(tokens_of(value), lambda token: F.coalesce(targets.get(token), token))
-        return F.when(mentions_any(value, pairs), F.array_join(words, "")).otherwise(value)
+    if single_words(pairs):
+        return F.when(mentions_any(value, pairs), _rename_single_words(value, pairs)).otherwise(value)
     trie = Trie(pairs)
     renamed = bind(trie.tokens(value), lambda tokens: bind(trie.settled(tokens), lambda found: trie.renamed(value, tokens, found)))
     return F.when(mentions_any(value, pairs), renamed).otherwise(value)
 
 
+def single_words(pairs: Sequence[tuple[str, str]]) -> bool:
+    """Whether every source is one word, so that matches never touch."""
+    return all(_is_word(c) for source, _ in pairs for c in source)
+
+
+def _rename_single_words(value: Column, pairs: Sequence[tuple[str, str]], escaped: bool = False) -> Column:
+    targets = _HashTable(dict(pairs), "string")
+    mark = F.lit("" if escaped else _MARK)
+    pieces = F.transform(
+        cut_at(value, [source for source, _ in pairs], escaped),
+        lambda piece, k: F.when(k % 2 == 1, F.coalesce(targets.get(piece), mark)).otherwise(piece),
+    )
+    return F.array_join(pieces, "")
+
+
+def rename_words_in_json(token: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Renames of single words in a quoted JSON string, as it is written; it must not hold ``\\u`` escapes."""
+    return _rename_single_words(token, [(source, _escaped(target)) for source, target in pairs], escaped=True)
+
+
+def _escaped(text: str) -> str:
+    """The text as Spark writes it inside a JSON string."""
+    return "".join(
+        f"\\u{ord(c):04X}" if ord(c) < 32 and c not in "\b\t\n\f\r" else json.dumps(c, ensure_ascii=False)[1:-1] for c in text
+    )
+
+
 def renames_used(value: Column, renames: Renames | None) -> Column:
     """How many of the rename pairs apply to a value."""
     pairs = as_pairs(renames)

@@ -15,16 +15,15 @@ def rewrite_documents(documents: DataFrame, renames: Renames, text: str = "text"
     Texts that are not JSON keep their content and get status ``error``; rows
     without text (other bundle members) pass through.
     """
-    document = F.col(text)
-    valid = is_json(document)
+    document, valid = F.col(text), F.col("_valid")
     edited = F.when(valid, rewrite_strings(document, renames, compact))
     status = F.when(document.isNull(), "copied").when(valid, "rewritten").otherwise("error")
     return (
-        documents.withColumn("_edited", edited)
-        .withColumn("status", status)
+        documents.withColumn("_valid", is_json(document))
+        .withColumns({"_edited": edited, "status": status})
         .withColumn(text, F.coalesce("_edited.text", text))
         .withColumn("changes", F.coalesce("_edited.changes", F.lit(0)))
-        .drop("_edited")
+        .drop("_edited", "_valid")
     )
 
 

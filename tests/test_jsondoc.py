@@ -7,7 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from metaferry.functions import jsondoc, truth
+from metaferry.functions import jsondoc, rename, truth
 from metaferry.operators.documents import rewrite_documents
 from tests.test_rename import expected
 
@@ -137,3 +137,22 @@ def test_texts_that_are_not_json_stay(spark, rows):
     done = rewrite_documents(df, PAIRS)
     assert sorted(r.text for r in done.collect()) == sorted(texts)
     assert {r.status for r in done.collect()} == {"error"}
+
+
+def test_single_words_behind_escapes(spark):
+    rng = random.Random(11)
+    pairs = [("n", "N\n\x1f\"\\"), ("the", "and"), ("and", "\x01"), ("bé", "$0\\u"), ("u", ""), ("nthe", "x"), ("𠮷", "é")]
+    pieces = ["n", "the", "and", "bé", "u", "t", "𠮷", "\n", "\\", '"', "\t", "\b", "/", "\x01", "\x1f", "\x7f", "é", "_", " ", " ", ".", "\\n", " "]
+    values = ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(900)]
+    texts = [json.dumps({"the": value, "list": [value, "x"]}, ensure_ascii=k % 3 == 0) for k, value in enumerate(values)]
+    texts = [text.replace("/", "\\/") if k % 5 == 0 else text for k, text in enumerate(texts)]
+    df = spark.createDataFrame([(n, value, text) for n, (value, text) in enumerate(zip(values, texts))], "n int, v string, d string")
+    encoded = F.to_json(F.array(rename.rename_words(F.col("v"), pairs)))
+    got = df.select("n", jsondoc.rewrite_strings(F.col("d"), pairs).alias("r"), encoded.alias("e")).collect()
+    for row in got:
+        new = expected(values[row.n], pairs)
+        assert json.loads(row.e) == [new]
+        assert json.loads(row.r.text) == {"the": new, "list": [new, "x"]}
+        assert row.r.changes == 2 * (new != values[row.n])
+        # A changed value is written as Spark writes it, whatever it looked like before.
+        assert row.r.text == texts[row.n] if new == values[row.n] else row.e[1:-1] in row.r.text

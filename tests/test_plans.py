@@ -52,3 +52,11 @@ def test_policy_coverage_reads_ids_only(spark):
     text = plan(entry.queries()["policies_on_target"](spark, SF))
     lines = [line for line in text.splitlines() if "lineitem.parquet" in line]
     assert lines and all("l_quantity" not in line and "l_extendedprice" not in line for line in lines)
+
+
+def test_rewriting_checks_a_document_once_and_cuts_only_at_source_words(spark):
+    text = plan(entry.queries()["rewrite_documents"](spark, SF))
+    assert text.count("_end_of_the_document_,IntegerType") == 1
+    assert "trim(" not in text.replace("ltrim(", "")
+    # No token for each word of a text.
+    assert r"[\p{L}\p{N}_]++|[^\p{L}\p{N}_]++" not in text

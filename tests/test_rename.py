@@ -107,3 +107,16 @@ def test_any_number_of_pairs(spark, n):
 def test_renames_used_counts_pairs(spark):
     pairs = [("A", "B"), ("B", "C"), ("Q", "R")]
     assert run(spark, ["A.B", "A", "x"], rename.renames_used(F.col("v"), pairs)) == [2, 1, 0]
+
+
+def test_a_text_is_cut_only_at_source_words(spark):
+    values = ["the cat and the dog", "then", "", "the", "a\x01the\x01\x01"]
+    got = run(spark, values, rename.cut_at(F.col("v"), ["the", "and", "t"]))
+    assert got == [["", "the", " cat ", "and", " ", "the", " dog"], ["then"], [""], ["", "the", ""], ["a", "", "", "the", "", "", "", "", ""]]
+
+
+def test_nested_words_of_any_length(spark):
+    words = ["a" * n for n in range(1, 300)] + [chr(0x4E00 + n) for n in range(500)]
+    pairs = [(word, f"<{len(word)}{word[0]}>") for word in words]
+    values = [" ".join(words), "a" * 300, "b" + "a" * 7 + "-aa_ aa"]
+    assert run(spark, values, rename.rename_words(F.col("v"), pairs)) == [expected(v, pairs) for v in values]
