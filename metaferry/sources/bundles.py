@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import io
 import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -56,6 +58,37 @@ LARGEST_ARCHIVE = 2_000_000_000
 _CHUNK_BYTES = 8 << 20
 
 
+# Fixed values of the ZIP format: size and signature of the header before a member, flags of encrypted and patched members.
+_HEADER = struct.Struct("<4s2xH18xHH")
+_SIGNATURE = b"PK\x03\x04"
+_UNUSUAL = 0x1 | 0x20 | 0x40
+
+
+def _plain_member(content: bytes, info: zipfile.ZipInfo, end_of_room: int) -> bytes | None:
+    """A stored or deflated member in which everything is as it should be; None if the library has to look at it."""
+    start = info.header_offset
+    if info.flag_bits & _UNUSUAL or not 0 <= start <= len(content) - _HEADER.size:
+        return None
+    signature, _, name_size, extra_size = _HEADER.unpack_from(content, start)
+    name = content[start + _HEADER.size : start + _HEADER.size + name_size]
+    begin = start + _HEADER.size + name_size + extra_size
+    end = begin + info.compress_size
+    if signature != _SIGNATURE or not name.isascii() or name.decode() != info.orig_filename or end > min(end_of_room, len(content)):
+        return None
+    data = content[begin:end]
+    if info.compress_type == zipfile.ZIP_DEFLATED:
+        unpacking = zlib.decompressobj(-15)
+        try:
+            data = unpacking.decompress(data, info.file_size + 1)
+        except zlib.error:
+            return None
+        if not unpacking.eof:
+            return None
+    elif info.compress_type != zipfile.ZIP_STORED:
+        return None
+    return data if len(data) == info.file_size and zlib.crc32(data) == info.CRC else None
+
+
 def _archive_rows(bundle: str, content: bytes) -> Iterator[tuple]:
     try:
         archive = zipfile.ZipFile(io.BytesIO(content))
@@ -65,9 +98,14 @@ def _archive_rows(bundle: str, content: bytes) -> Iterator[tuple]:
     members = [m for m in archive.namelist() if not m.endswith("/")]
     if not members:
         yield bundle, None, None, "empty archive"
+    # A member has room up to the next one; where two begin at one place the library tells what is wrong.
+    starts = sorted(info.header_offset for info in archive.infolist())
+    room = dict(zip(starts, [*starts[1:], archive.start_dir])) if len(set(starts)) == len(starts) else {}
     for member in members:
         try:
-            yield bundle, member, archive.read(member), None
+            info = archive.getinfo(member)
+            data = _plain_member(content, info, room.get(info.header_offset, -1))
+            yield bundle, member, archive.read(member) if data is None else data, None
         except Exception as problem:  # noqa: BLE001  damaged, encrypted or unknown packing: one error row
             yield bundle, member, None, f"unreadable member: {problem}"
 
