@@ -66,13 +66,22 @@ def _id(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")]
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(base))]), dtype=np.uint64)
+
+
+# Powers for texts of usual length; a longer one gets its own.
+_USUAL = 1 << 16
+_POWERS, _INVERSE = _powers(_BASE, _USUAL), _powers(int(_UNBASE), _USUAL)
+
+
 class Spans:
     """Hashes of any spans of words, from sums over all words before a place."""
 
     def __init__(self, words: np.ndarray):
         n = len(words)
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(_BASE))])[: n + 1], dtype=np.uint64)
-        self.inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _UNBASE)])[: n + 1], dtype=np.uint64)
+        powers = _POWERS if n <= _USUAL else _powers(_BASE, n)
+        self.inverse = _INVERSE if n <= _USUAL else _powers(int(_UNBASE), n)
         self.sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers[:n], dtype=np.uint64)])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -82,12 +91,13 @@ class Spans:
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """The place of the first smallest of every ``width`` values in a row."""
-    places = np.arange(len(values))
+    places, least = np.arange(len(values), dtype=np.int32), values
     span = 1
     while span < width:
         step = min(span, width - span)
-        left, right = places[:-step], places[step:]
-        places = np.where(values[left] <= values[right], left, right)
+        first = least[:-step] <= least[step:]
+        places = np.where(first, places[:-step], places[step:])
+        least = np.minimum(least[:-step], least[step:])
         span += step
     return places
 

@@ -103,3 +103,10 @@ def test_repeated_runs_are_compacted(spark):
     assert found == [(1, 1, 0, 60, 1, 1, 0), (2, 2, 0, 60, 1, 1, 0)]
     texts, notes = substring_dedup.repeated(table(spark, [(1, text), (2, text + " tail"), (3, "w1 w2")]))
     assert [row.kind for row in notes.collect()].count(0) <= 4 and texts.count() == 2
+
+
+def test_powers_of_long_and_short_texts_agree(monkeypatch):
+    words = substring_dedup.word_hashes(" ".join(f"w{n * n % 97}" for n in range(500)), lower=False)
+    usual = substring_dedup.runs(words)
+    monkeypatch.setattr(substring_dedup, "_USUAL", 10)
+    assert all((one == other).all() for one, other in zip(usual, substring_dedup.runs(words)))
